@@ -8,6 +8,8 @@ malformed message costs one NULL, never a Python round trip or a job failure.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from airtrace.schemas import CURATED_COLUMNS, WEATHER_COLUMNS
 
 PAYLOAD = "payload"
 
+_OBSERVATION_IDS = itertools.count(1)
+
 
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the parsed ``payload`` VARIANT (NULL when not valid JSON)."""
@@ -52,6 +56,17 @@ def with_day(df: DataFrame, processing_date: str | Column | None = None) -> Data
     return df.withColumn("day", day_key(F.col(PAYLOAD), processing_date))
 
 
+def with_record_day(df: DataFrame, processing_date: str | Column | None = None) -> DataFrame:
+    """Storage ``day`` of already curated records, by the rule of C6."""
+    if processing_date is None:
+        processing_date = F.current_date().cast("string")
+    fallback = F.lit(processing_date) if isinstance(processing_date, str) else processing_date
+    ts = F.col("timestamp")
+    return df.withColumn(
+        "day", F.when(F.length(ts) >= 10, F.substring(ts, 1, 10)).otherwise(fallback)
+    )
+
+
 def curated_columns(payload: Column) -> list[Column]:
     """Typed curated fields of a payload, in curated column order."""
     fields = {
@@ -92,20 +107,27 @@ def curate(
     keep: tuple[str, ...] = ("seq",),
     value: str = "value",
     require_status_ok: bool = False,
-    observation: Observation | None = None,
+    observation: Observation | str | None = None,
 ) -> DataFrame:
     """Raw messages -> curated records with ``day`` (C1-C8, F1, optional F2).
 
-    ``observation`` (optional) collects the skip counters of A12 while the
-    query runs, without an extra job.
+    The parsed payload always passes an ``observe`` node that counts
+    messages and invalid JSON (A12) while the query runs, without an extra
+    job.  Pass an :class:`Observation` (batch) or a name (streaming progress)
+    to read the counters; otherwise a unique name is used.
+
+    The node is also what keeps the JSON parse single: filters above it
+    (validity, complete keys, normalization) are not pushed below it, where
+    Catalyst would inline - and so repeat - the parse into each predicate.
     """
     parsed = parse_messages(df, value)
-    if observation is not None:
-        parsed = parsed.observe(
-            observation,
-            F.count(F.lit(1)).alias("messages"),
-            F.count_if(F.col(PAYLOAD).isNull()).alias("invalid_json"),
-        )
+    if observation is None:
+        observation = f"airtrace_curation_{next(_OBSERVATION_IDS)}"
+    parsed = parsed.observe(
+        observation,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col(PAYLOAD).isNull()).alias("invalid_json"),
+    )
     valid = drop_invalid(parsed)
     if require_status_ok:
         valid = status_ok(valid)

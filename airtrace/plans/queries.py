@@ -17,6 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrace.functions.time import SOURCE
+from airtrace.session import scratch_path
+from airtrace.sinks.files import write_curated
+from airtrace.sources.curated import read_city
+from airtrace.streaming.dedup_state import dedup_stream
+from airtrace.streaming.ingest import run_available
 from airtrace.operators import curation as C
 from airtrace.operators import reports as R
 from airtrace.operators.dedup import drop_repeats, station_state
@@ -91,6 +96,106 @@ def q_station_state(spark, sf_dir):
     return station_state(_observations(spark, sf_dir))
 
 
+def q_stream_dedup(spark, sf_dir):
+    """D1 stream form, W1-W5: two ``availableNow`` runs on one checkpoint.
+
+    The observations are written as JSON files in two halves; each half is
+    processed by a run that restarts from the same checkpoint, so the second
+    half only sees the first through the state store.  The sink is read back
+    and must equal the batch ``lag`` form.
+    """
+    obs = C.with_record_day(_observations(spark, sf_dir), FALLBACK_DAY)
+    base = scratch_path(spark, "stream-dedup")
+    source_dir, sink_dir = f"{base}/source", f"{base}/sink"
+    schema = obs.schema
+    for half in (F.col("day") <= "2024-01-15", F.col("day") > "2024-01-15"):
+        obs.where(half).write.mode("append").json(source_dir)
+        stream = spark.readStream.schema(schema).json(source_dir)
+        kept = dedup_stream(stream, version="dominant_pollutant")
+        run_available(kept, "json", sink_dir, f"{base}/checkpoint")
+    out = spark.read.schema(schema).json(sink_dir)
+    return out.select("seq", "station_key", "dominant_pollutant", "aqi")
+
+
+# --- curation from raw text ----------------------------------------------------
+
+_CURATED_SCALARS = (
+    "seq", "timestamp", "station_id", "station_key", "station_name", "latitude",
+    "longitude", "aqi", "dominant_pollutant", "temperature", "humidity", "wind",
+    "pressure", "dew",
+)
+
+
+def q_curate_raw(spark, sf_dir):
+    """Raw payload text -> typed curated records with storage day."""
+    cur = _curated_raw(spark, sf_dir)
+    return cur.select(*_CURATED_SCALARS, F.size("pollutants").alias("n_pollutants"), "day")
+
+
+def q_pollutants_long(spark, sf_dir):
+    """C5 + explode: every pollutant reading kept from the raw text."""
+    cur = _curated_raw(spark, sf_dir)
+    return cur.select("seq", F.explode("pollutants").alias("pollutant", "value"))
+
+
+def q_drop_malformed(spark, sf_dir):
+    """valid and invalid message counts."""
+    raw = raw_payloads(load_table(spark, sf_dir, "events"))
+    return C.validity_counts(raw)
+
+
+def q_raw_per_day(spark, sf_dir):
+    """Valid messages per storage day, with the fallback day."""
+    return C.messages_per_day(_curated_raw(spark, sf_dir))
+
+
+def q_incomplete_keys(spark, sf_dir):
+    """records that carry a complete de-duplication key."""
+    cur = C.complete_keys(_curated_raw(spark, sf_dir))
+    return cur.select("seq", "station_key", "timestamp")
+
+
+def q_normalize_observations(spark, sf_dir):
+    """N1-N5, F4 over records curated from raw text (source clock)."""
+    norm = normalize(_curated_raw(spark, sf_dir), tz=SOURCE)
+    return norm.select(
+        "seq", "station_id", "timestamp", "aqi", "dominant_pollutant", "temperature",
+        "humidity", "wind", F.unix_seconds("event_timestamp").alias("event_epoch"),
+        "day", "hour", F.size("pollutants").alias("n_pollutants"),
+    )
+
+
+def q_report_summary(spark, sf_dir):
+    """L3-L6 over the report bundle of the observations."""
+    norm = _normalized(spark, sf_dir)
+    bundle = {
+        "hourly_aqi": R.hourly_aqi(norm),
+        "daily_aqi": R.daily_aqi(norm),
+        "aqi_category_distribution": R.aqi_category_distribution(norm),
+        "dominant_pollutants": R.dominant_pollutants(norm),
+        "weather_correlations": R.weather_correlations(norm),
+    }
+    return _rounded(R.summary(bundle), "strongest_corr")
+
+
+def q_observation_preview(spark, sf_dir):
+    """L2: five rows of the main columns, first by arrival."""
+    return R.preview(_normalized(spark, sf_dir), 5, order="seq")
+
+
+def q_day_pruned_scan(spark, sf_dir):
+    """Write day partitions, read a day range back (pruned)."""
+    obs = C.with_record_day(_observations(spark, sf_dir), FALLBACK_DAY)
+    root = scratch_path(spark, "archive")
+    write_curated(obs, root, "test-city")
+    back = read_city(spark, root, "test-city", day_from="2024-01-10", day_to="2024-01-20")
+    return back.select(
+        "timestamp", "station_id", "station_name", "latitude", "longitude", "aqi",
+        "dominant_pollutant", "temperature", "humidity", "wind", "pressure", "dew",
+        F.size("pollutants").alias("n_pollutants"), "storage_day",
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
     "hourly_aqi": q_hourly_aqi,
     "daily_aqi": q_daily_aqi,
@@ -100,6 +205,16 @@ QUERIES: dict[str, QueryFn] = {
     "weather_correlations": q_weather_correlations,
     "dedup_consecutive": q_dedup_consecutive,
     "station_state": q_station_state,
+    "stream_dedup": q_stream_dedup,
+    "curate_raw": q_curate_raw,
+    "pollutants_long": q_pollutants_long,
+    "drop_malformed": q_drop_malformed,
+    "raw_per_day": q_raw_per_day,
+    "incomplete_keys": q_incomplete_keys,
+    "normalize_observations": q_normalize_observations,
+    "report_summary": q_report_summary,
+    "observation_preview": q_observation_preview,
+    "day_pruned_scan": q_day_pruned_scan,
 }
 
 
@@ -161,3 +276,91 @@ ORACLES: dict[str, str] = {
     + """SELECT station_key, arg_max("timestamp", seq) AS last_timestamp
     FROM obs GROUP BY station_key""",
 }
+
+# Expected curated record of each raw payload (see the defect rules of
+# airtrace.sources.testdata): valid messages only.
+_RAW = """
+WITH cur AS (
+  SELECT event_id AS seq,
+         CASE WHEN event_id % 7 <> 0
+              THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS "timestamp",
+         CASE WHEN event_id % 3 <> 1 THEN CAST(user_id AS INTEGER) END AS station_id,
+         CAST(user_id AS VARCHAR) AS station_key,
+         'station-' || CAST(user_id AS VARCHAR) AS station_name,
+         CAST(42.0 AS DOUBLE) + CAST(user_id AS DOUBLE) / 1000 AS latitude,
+         CAST(23.0 AS DOUBLE) + CAST(user_id AS DOUBLE) / 1000 AS longitude,
+         CASE WHEN event_id % 11 <> 5 THEN CAST(floor(value) AS INTEGER) END AS aqi,
+         event_type AS dominant_pollutant,
+         value,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS temperature,
+         CASE WHEN event_type <> 'error' THEN value END AS humidity,
+         CAST(1.0 AS DOUBLE) AS wind,
+         CAST(NULL AS DOUBLE) AS pressure,
+         CAST(NULL AS DOUBLE) AS dew,
+         CAST(CASE WHEN event_id % 13 = 0 THEN 1 ELSE 2 END AS INTEGER) AS n_pollutants,
+         CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d')
+              ELSE '""" + FALLBACK_DAY + """' END AS day,
+         ts
+  FROM events WHERE event_id % 10 <> 0)
+"""
+
+_SCALARS = ", ".join(f'"{c}"' if c == "timestamp" else c for c in _CURATED_SCALARS)
+
+
+def _first_by(col: str, table: str, order: str, where: str = "") -> str:
+    return f"(SELECT {col} FROM {table} {where} ORDER BY {order} LIMIT 1)"
+
+
+ORACLES.update({
+    "stream_dedup": ORACLES["dedup_consecutive"],
+    "curate_raw": _RAW + f"SELECT {_SCALARS}, n_pollutants, day FROM cur",
+    "pollutants_long": _RAW
+    + """SELECT seq, dominant_pollutant AS pollutant, value FROM cur
+    UNION ALL SELECT seq, 'k', temperature FROM cur WHERE seq % 13 <> 0""",
+    "drop_malformed": """SELECT count(*) FILTER (WHERE event_id % 10 <> 0) AS valid_messages,
+    count(*) FILTER (WHERE event_id % 10 = 0) AS invalid_messages FROM events""",
+    "raw_per_day": _RAW + "SELECT day, count(*) AS raw_messages FROM cur GROUP BY day",
+    "incomplete_keys": _RAW
+    + 'SELECT seq, station_key, "timestamp" FROM cur WHERE "timestamp" IS NOT NULL',
+    "normalize_observations": _RAW
+    + """SELECT seq, station_id, "timestamp", aqi, dominant_pollutant, temperature,
+           humidity, wind, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS event_epoch,
+           day, CAST(hour(ts) AS INTEGER) AS hour, n_pollutants
+    FROM cur WHERE "timestamp" IS NOT NULL AND aqi IS NOT NULL""",
+    "report_summary": _OBS
+    + f""", hourly AS (SELECT hour, avg(aqi) AS a FROM obs GROUP BY hour),
+    daily AS (SELECT day, avg(aqi) AS a FROM obs GROUP BY day),
+    cat AS (SELECT {_CATEGORY} AS c, count(*) AS n FROM obs GROUP BY 1),
+    dom AS (SELECT dominant_pollutant AS d, count(*) AS n FROM obs GROUP BY 1),
+    cor AS (SELECT covar_samp(aqi, k) / nullif(stddev_samp(aqi) * stddev_samp(k), 0) AS t,
+                   covar_samp(aqi, humidity)
+                     / nullif(stddev_samp(aqi) * stddev_samp(humidity), 0) AS h,
+                   covar_samp(aqi, wind) / nullif(stddev_samp(aqi) * stddev_samp(wind), 0) AS w
+            FROM obs),
+    cl AS (SELECT 0 AS pos, 'temperature' AS metric, t AS v FROM cor
+           UNION ALL SELECT 1, 'humidity', h FROM cor
+           UNION ALL SELECT 2, 'wind', w FROM cor)
+    SELECT {_first_by('hour', 'hourly', 'a DESC, hour')} AS peak_hour,
+           {_first_by('a', 'hourly', 'a DESC, hour')} AS peak_avg_aqi,
+           {_first_by('day', 'daily', 'a DESC, day')} AS peak_day,
+           {_first_by('a', 'daily', 'a DESC, day')} AS peak_day_avg_aqi,
+           {_first_by('c', 'cat', 'n DESC, c')} AS top_category,
+           {_first_by('n', 'cat', 'n DESC, c')} AS top_category_count,
+           {_first_by('d', 'dom', 'n DESC, d')} AS top_pollutant,
+           {_first_by('n', 'dom', 'n DESC, d')} AS top_pollutant_count,
+           {_first_by('metric', 'cl', 'abs(v) DESC, pos', 'WHERE v IS NOT NULL AND NOT isnan(v)')}
+             AS strongest_metric,
+           round({_first_by('v', 'cl', 'abs(v) DESC, pos', 'WHERE v IS NOT NULL AND NOT isnan(v)')},
+                 {ROUND}) AS strongest_corr""",
+    "observation_preview": _OBS
+    + """SELECT "timestamp", station_name, aqi, dominant_pollutant, day, hour
+    FROM obs ORDER BY seq LIMIT 5""",
+    "day_pruned_scan": _OBS
+    + """SELECT "timestamp", station_id, station_name,
+           CAST(42.0 AS DOUBLE) + CAST(station_id AS DOUBLE) / 1000 AS latitude,
+           CAST(23.0 AS DOUBLE) + CAST(station_id AS DOUBLE) / 1000 AS longitude,
+           aqi, dominant_pollutant, k AS temperature, humidity, wind,
+           CAST(NULL AS DOUBLE) AS pressure, CAST(NULL AS DOUBLE) AS dew,
+           CAST(2 AS INTEGER) AS n_pollutants, day AS storage_day
+    FROM obs WHERE day BETWEEN '2024-01-10' AND '2024-01-20'""",
+})
