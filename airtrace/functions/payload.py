@@ -38,8 +38,17 @@ def parse_payload(value: Column | str) -> Column:
     as well as empty text and ``{..},{..}``.  Scalars, arrays and ``null`` are
     valid JSON and stay valid (``null`` gives a VARIANT null, not SQL NULL).
     """
+    return single_value(parse_wrapped(value))
+
+
+def parse_wrapped(value: Column | str) -> Column:
+    """The message text parsed as the only element of a JSON array."""
     text = F.col(value) if isinstance(value, str) else value
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def single_value(wrapped: Column) -> Column:
+    """The element of a parsed ``[ message ]`` array, if it is the only one."""
     first = F.try_variant_get(wrapped, "$[0]", "variant")
     second = F.try_variant_get(wrapped, "$[1]", "variant")
     return F.when(first.isNotNull() & second.isNull(), first)

@@ -16,23 +16,31 @@ from pyspark.sql import functions as F
 from airtrace.functions.payload import (
     day_key,
     geo_value,
-    parse_payload,
+    parse_wrapped,
     payload_double,
     payload_int,
     payload_string,
     pollutant_map,
+    single_value,
     station_key,
 )
 from airtrace.schemas import CURATED_COLUMNS, WEATHER_COLUMNS
 
 PAYLOAD = "payload"
+_WRAPPED = "_wrapped_payload"
 
 _OBSERVATION_IDS = itertools.count(1)
 
 
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add the parsed ``payload`` VARIANT (NULL when not valid JSON)."""
-    return df.withColumn(PAYLOAD, parse_payload(F.col(value)))
+    """Add the parsed ``payload`` VARIANT (NULL when not valid JSON).
+
+    The parse is its own projection; the validity test above it reads the
+    parsed value several times without parsing again (Catalyst does not
+    merge a projection whose expensive result is used more than once).
+    """
+    wrapped = df.withColumn(_WRAPPED, parse_wrapped(F.col(value)))
+    return wrapped.withColumn(PAYLOAD, single_value(F.col(_WRAPPED))).drop(_WRAPPED)
 
 
 def drop_invalid(df: DataFrame) -> DataFrame:
@@ -95,9 +103,9 @@ def project_curated(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     payload = F.col(PAYLOAD)
     passthrough = [F.col(c) for c in keep if c in df.columns]
     return df.select(
-        *passthrough,
         *curated_columns(payload),
         station_key(payload).alias("station_key"),
+        *passthrough,
     )
 
 
@@ -153,8 +161,8 @@ def messages_per_day(curated: DataFrame) -> DataFrame:
 
 def validity_counts(df: DataFrame, value: str = "value") -> DataFrame:
     """One row: valid and invalid message counts."""
-    payload = parse_payload(F.col(value))
-    return df.agg(
+    payload = F.col(PAYLOAD)
+    return parse_messages(df, value).agg(
         F.count_if(payload.isNotNull()).alias("valid_messages"),
         F.count_if(payload.isNull()).alias("invalid_messages"),
     )

@@ -13,9 +13,10 @@ ranges of ``slice_size`` sequence numbers:
 
 1. one hash shuffle on ``(station, slice)`` (the only shuffle of the rows);
 2. ``lag`` inside each slice - a hot station is spread over many tasks;
-3. the last version of each slice (a hash aggregate on the same
-   partitioning, no second shuffle) and, by a ``lag`` over that small
-   per-slice table, the version the previous non-empty slice ended with;
+3. the last version of each slice (``max_by``, aggregated map-side before
+   its shuffle, so only partial rows move) and, by a ``lag`` over that
+   small per-slice table, the version the previous non-empty slice ended
+   with;
 4. that carry is attached to the rows by an equi-join on ``(station,
    slice)``; it only matters for the first row of a slice.  The join's
    big side is already partitioned on the join key; AQE broadcasts the
@@ -45,9 +46,15 @@ def drop_repeats(
     order: str = "seq",
     slice_size: int | None = DEFAULT_SLICE_SIZE,
     slice_cols: list[str] | tuple[str, ...] | None = None,
+    initial_state: DataFrame | None = None,
 ) -> DataFrame:
     """Keep records whose version changed since the station's previous one.
 
+    ``initial_state`` (``key``, ``last_<version>``), e.g. the
+    :func:`station_state` of an earlier run, continues from where that run
+    stopped: a station's first record is dropped when it repeats the stored
+    version.
+
     Records with a NULL key or version are dropped first (F3), without
     touching any station's state.  ``order`` is the arrival order (unique per
     row and station).  Slices of the arrival order, in order:
@@ -59,6 +66,34 @@ def drop_repeats(
       ``slice_cols``) no slicing: a plain per-station ``lag``.
     """
     complete = complete_keys(df, key, version)
+    kept = _drop_repeats(complete, key, version, order, slice_size, slice_cols)
+    if initial_state is None:
+        return kept
+    return _apply_state(complete, kept, initial_state, key, version, order)
+
+
+def _apply_state(complete, kept, state, key, version, order):
+    """Drop a station's first record when it equals the stored version.
+
+    Only the first record of each station can be affected: every later one
+    is compared with a record of this run.  The first arrival per station is
+    a map-side aggregate (one row per station); the anti-join matches on
+    ``(station, order)``, which is unique, so no key is hot.
+    """
+    last = f"last_{version}"
+    first = complete.groupBy(key).agg(F.min(order).alias("_first"))
+    stale = first.join(state.select(key, last), on=key).select(
+        F.col(key).alias("_k"), "_first", F.col(last).alias("_stored")
+    )
+    cond = (
+        (F.col(key) == F.col("_k"))
+        & (F.col(order) == F.col("_first"))
+        & (F.col(version) == F.col("_stored"))
+    )
+    return kept.join(stale, cond, "left_anti")
+
+
+def _drop_repeats(complete, key, version, order, slice_size, slice_cols):
     if slice_cols:
         slices = list(slice_cols)
     elif slice_size and isinstance(complete.schema[order].dataType, NumericType):
@@ -68,14 +103,17 @@ def drop_repeats(
         slices = [_SLICE]
     else:
         prev = F.lag(version).over(Window.partitionBy(key).orderBy(order))
-        return complete.where(~prev.eqNullSafe(F.col(version)))
+        with_prev = complete.withColumn(_PREV, prev)
+        return with_prev.where(~F.col(_PREV).eqNullSafe(F.col(version))).drop(_PREV)
 
     sliced = complete.repartition(key, *slices)
     in_slice = sliced.withColumn(
         _PREV, F.lag(version).over(Window.partitionBy(key, *slices).orderBy(order))
     )
+    # Aggregated from the unshuffled rows: partial aggregation runs map-side,
+    # so only one row per (station, slice, task) is exchanged.
     carry = (
-        sliced.groupBy(key, *slices)
+        complete.groupBy(key, *slices)
         .agg(F.max_by(version, order).alias(_LAST))
         .withColumn(_CARRY, F.lag(_LAST).over(Window.partitionBy(key).orderBy(*slices)))
         .drop(_LAST)

@@ -1,0 +1,98 @@
+"""Change detection D1 (batch), initial state, station state A11."""
+
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from airtrace.operators.dedup import drop_repeats, station_state
+
+SCHEMA = "seq long, station_key string, timestamp string"
+
+
+def brute_force(records, state=None):
+    """Walk records in arrival order, as the streaming consumer does."""
+    last = dict(state or {})
+    kept = []
+    for seq, key, ts in sorted(records):
+        if key is None or ts is None:
+            continue
+        if last.get(key) == ts:
+            continue
+        kept.append((seq, key, ts))
+        last[key] = ts
+    return kept, last
+
+
+def run(spark, records, **kw):
+    df = spark.createDataFrame(records, SCHEMA)
+    return sorted(tuple(r) for r in drop_repeats(df, **kw).select("seq", "station_key", "timestamp").collect())
+
+
+def test_change_detection_not_distinct(spark):
+    recs = [(i, "42", ts) for i, ts in enumerate("A A B B A".split())]
+    assert [r[2] for r in run(spark, recs)] == ["A", "B", "A"]
+
+
+def test_a_b_a_kept_whole(spark):
+    recs = [(1, "1", "A"), (2, "1", "B"), (3, "1", "A")]
+    assert run(spark, recs) == recs
+
+
+def test_incomplete_keys_skipped_without_touching_state(spark):
+    recs = [(1, "42", "10:00"), (2, None, "11:00"), (3, "42", None), (4, "42", "10:00")]
+    assert run(spark, recs) == [(1, "42", "10:00")]
+
+
+def test_initial_state(spark):
+    recs = [(1, "42", "10:00"), (2, "42", "11:00"), (3, "42", "11:00"), (4, "7", "09:00")]
+    state = spark.createDataFrame([("42", "10:00"), ("7", "08:00")], "station_key string, last_timestamp string")
+    assert run(spark, recs, initial_state=state) == [(2, "42", "11:00"), (4, "7", "09:00")]
+    final = {r[0]: r[1] for r in station_state(spark.createDataFrame(recs, SCHEMA)).collect()}
+    assert final == {"42": "11:00", "7": "09:00"}
+
+
+def test_state_is_last_by_arrival_not_greatest(spark):
+    recs = [(1, "1", "B"), (2, "1", "A")]
+    got = station_state(spark.createDataFrame(recs, SCHEMA)).collect()
+    assert [tuple(r) for r in got] == [("1", "A")]
+
+
+@pytest.mark.parametrize("slice_size", [None, 1, 3, 1 << 20])
+def test_slices_match_brute_force(spark, slice_size):
+    rnd = random.Random(7)
+    recs = []
+    for seq in range(400):
+        key = rnd.choice(["hot"] * 6 + ["a", "b", None])
+        ts = rnd.choice(["t1", "t2", "t3", None] if rnd.random() < 0.1 else ["t1", "t2"])
+        recs.append((seq * 3 + rnd.randint(0, 2), key, ts))
+    assert run(spark, recs, slice_size=slice_size) == brute_force(recs)[0]
+
+
+def test_explicit_slice_columns(spark):
+    recs = [(0, 0, "s", "A"), (0, 1, "s", "A"), (1, 0, "s", "A"), (1, 1, "s", "B"), (2, 0, "s", "B")]
+    df = spark.createDataFrame(recs, "block long, line long, station_key string, timestamp string")
+    out = drop_repeats(df, order="line", slice_cols=("block",))
+    assert sorted((r.block, r.line) for r in out.collect()) == [(0, 0), (1, 1)]
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["x", "y", None]), st.sampled_from(["A", "B", None])),
+        max_size=30,
+    ),
+    st.integers(min_value=1, max_value=5),
+)
+def test_property_equals_brute_force(spark, pairs, slice_size):
+    recs = [(i, k, t) for i, (k, t) in enumerate(pairs)]
+    assert run(spark, recs, slice_size=slice_size) == brute_force(recs)[0]
+
+
+def test_one_shuffle_of_the_rows(spark):
+    """The rows are exchanged once; the other exchanges move per-slice rows."""
+    df = spark.createDataFrame([(i, "k", "t") for i in range(10)], SCHEMA)
+    plan = drop_repeats(df, slice_size=4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert "partial_max_by" in plan
