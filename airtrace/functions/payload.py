@@ -9,6 +9,10 @@ INT fields take only JSON integers in range (``16.0``, ``"16"`` and ``true``
 become NULL); DOUBLE fields take JSON numbers and the non-numeric number
 texts; pollutant values take numbers and booleans, as a dynamic language's
 ``isinstance(v, (int, float))`` test does.
+
+The field builders return Spark SQL expression text (wrapped by ``F.expr``
+in the Column-returning functions): one expression per field is analysed in
+a single call instead of dozens of small Column calls from Python.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from airtrace.schemas import POLLUTANT_MAP_TYPE, WEATHER_KEYS
+from airtrace.schemas import WEATHER_KEYS
 
 # --- fixed values -----------------------------------------------------------
 # Variant type names (``schema_of_variant``) accepted for each target type.
@@ -30,15 +34,16 @@ _NEG_INF_TEXTS = ("-Infinity", "-INF")
 # ---------------------------------------------------------------------------
 
 
-def parse_payload(value: Column | str) -> Column:
-    """VARIANT of a message holding exactly one JSON value, else NULL.
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    ``try_parse_json`` alone accepts trailing garbage (``{"a":1} x``); wrapping
-    the text in brackets and requiring exactly one array element rejects it,
-    as well as empty text and ``{..},{..}``.  Scalars, arrays and ``null`` are
-    valid JSON and stay valid (``null`` gives a VARIANT null, not SQL NULL).
-    """
-    return single_value(parse_wrapped(value))
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _in(values: tuple[str, ...]) -> str:
+    return ", ".join(_text(v) for v in values)
 
 
 def parse_wrapped(value: Column | str) -> Column:
@@ -48,51 +53,94 @@ def parse_wrapped(value: Column | str) -> Column:
 
 
 def single_value(wrapped: Column) -> Column:
-    """The element of a parsed ``[ message ]`` array, if it is the only one."""
+    """The element of a parsed ``[ message ]`` array, if it is the only one.
+
+    ``try_parse_json`` alone accepts trailing garbage (``{"a":1} x``); wrapping
+    the text in brackets and requiring exactly one array element rejects it,
+    as well as empty text and ``{..},{..}``.  Scalars, arrays and ``null`` are
+    valid JSON and stay valid (``null`` gives a VARIANT null, not SQL NULL).
+    """
     first = F.try_variant_get(wrapped, "$[0]", "variant")
     second = F.try_variant_get(wrapped, "$[1]", "variant")
     return F.when(first.isNotNull() & second.isNull(), first)
 
 
-def _node(payload: Column, path: str) -> Column:
-    return F.try_variant_get(payload, path, "variant")
+def parse_payload(value: Column | str) -> Column:
+    """VARIANT of a message holding exactly one JSON value, else NULL."""
+    return single_value(parse_wrapped(value))
+
 
+# --- SQL text builders ---------------------------------------------------------
 
-def _kind(node: Column) -> Column:
-    return F.schema_of_variant(node)
+def node_sql(payload: str, path: str) -> str:
+    return f"try_variant_get({payload}, {_text(path)}, 'variant')"
 
 
-def payload_int(payload: Column, path: str) -> Column:
-    """INT at ``path`` when it is a JSON integer in range, else NULL."""
-    node = _node(payload, path)
-    return F.when(
-        F.regexp_like(_kind(node), F.lit(_INT_TYPES)),
-        F.try_variant_get(node, "$", "int"),
+def int_sql(payload: str, path: str) -> str:
+    node = node_sql(payload, path)
+    return (
+        f"CASE WHEN regexp_like(schema_of_variant({node}), {_text(_INT_TYPES)}) "
+        f"THEN try_variant_get({node}, '$', 'int') END"
+    )
+
+
+def double_sql(payload: str, path: str) -> str:
+    node = node_sql(payload, path)
+    kind = f"schema_of_variant({node})"
+    text = f"try_variant_get({node}, '$', 'string')"
+    return (
+        f"CASE WHEN regexp_like({kind}, {_text(_NUMBER_TYPES)}) "
+        f"THEN try_variant_get({node}, '$', 'double') "
+        f"WHEN {kind} = 'STRING' AND {text} IN ({_in(_NAN_TEXTS)}) THEN double('NaN') "
+        f"WHEN {kind} = 'STRING' AND {text} IN ({_in(_POS_INF_TEXTS)}) THEN double('Infinity') "
+        f"WHEN {kind} = 'STRING' AND {text} IN ({_in(_NEG_INF_TEXTS)}) THEN double('-Infinity') "
+        f"END"
+    )
+
+
+def string_sql(payload: str, path: str) -> str:
+    return f"try_variant_get({payload}, {_text(path)}, 'string')"
+
+
+def pollutant_map_sql(payload: str) -> str:
+    iaqi = f"try_variant_get({payload}, '$.data.iaqi', 'map<string,variant>')"
+    gate = (
+        f"coalesce(regexp_like(schema_of_variant(try_variant_get(e, '$.v', 'variant')), "
+        f"{_text(_POLLUTANT_TYPES)}), false)"
     )
+    kept = f"map_filter({iaqi}, (k, e) -> NOT k IN ({_in(WEATHER_KEYS)}) AND {gate})"
+    values = f"transform_values({kept}, (k, e) -> try_variant_get(e, '$.v', 'double'))"
+    ordered = f"map_from_entries(array_sort(map_entries({values})))"
+    return f"coalesce({ordered}, cast(map() AS map<string,double>))"
 
 
-def _double_of(node: Column) -> Column:
-    kind = _kind(node)
-    text = F.try_variant_get(node, "$", "string")
+def day_sql(payload: str, fallback_sql: str) -> str:
+    node = node_sql(payload, "$.data.time.iso")
+    text = f"try_variant_get({node}, '$', 'string')"
     return (
-        F.when(F.regexp_like(kind, F.lit(_NUMBER_TYPES)), F.try_variant_get(node, "$", "double"))
-        .when((kind == "STRING") & text.isin(*_NAN_TEXTS), F.lit(float("nan")))
-        .when((kind == "STRING") & text.isin(*_POS_INF_TEXTS), F.lit(float("inf")))
-        .when((kind == "STRING") & text.isin(*_NEG_INF_TEXTS), F.lit(float("-inf")))
+        f"CASE WHEN schema_of_variant({node}) = 'STRING' AND length({text}) >= 10 "
+        f"THEN substring({text}, 1, 10) ELSE {fallback_sql} END"
     )
 
 
-def payload_double(payload: Column, path: str) -> Column:
+# --- Column functions -------------------------------------------------------------
+
+def payload_int(payload: str, path: str) -> Column:
+    """INT at ``path`` when it is a JSON integer in range, else NULL."""
+    return F.expr(int_sql(_ident(payload), path))
+
+
+def payload_double(payload: str, path: str) -> Column:
     """DOUBLE at ``path`` when it is a JSON number (not a boolean), else NULL."""
-    return _double_of(_node(payload, path))
+    return F.expr(double_sql(_ident(payload), path))
 
 
-def payload_string(payload: Column, path: str) -> Column:
+def payload_string(payload: str, path: str) -> Column:
     """Text at ``path``: strings as is, other non-null JSON as its JSON text."""
-    return F.try_variant_get(payload, path, "string")
+    return F.expr(string_sql(_ident(payload), path))
 
 
-def geo_value(payload: Column, index: int) -> Column:
+def geo_value(payload: str, index: int) -> Column:
     """Element ``index`` of ``data.city.geo`` as DOUBLE (C4).
 
     Not an array, too short, or not a number -> NULL.
@@ -100,12 +148,12 @@ def geo_value(payload: Column, index: int) -> Column:
     return payload_double(payload, f"$.data.city.geo[{int(index)}]")
 
 
-def station_key(payload: Column) -> Column:
+def station_key(payload: str) -> Column:
     """Untyped station id as text: ``42`` and ``"42"`` give the same key."""
-    return F.try_variant_get(payload, "$.data.idx", "string")
+    return payload_string(payload, "$.data.idx")
 
 
-def pollutant_map(payload: Column) -> Column:
+def pollutant_map(payload: str) -> Column:
     """Pollutant readings of ``data.iaqi`` as ``MAP<STRING, DOUBLE>``.
 
     Every ``iaqi`` key except the weather keys counts.  An entry is kept only
@@ -113,33 +161,15 @@ def pollutant_map(payload: Column) -> Column:
     and non-object entries are dropped one by one.  Keys are sorted.  A
     missing or non-object ``iaqi`` gives an empty map, never NULL.
     """
-    iaqi = F.try_variant_get(payload, "$.data.iaqi", "map<string,variant>")
-    kept = F.map_filter(
-        iaqi,
-        lambda k, e: (~k.isin(*WEATHER_KEYS))
-        & F.coalesce(
-            F.regexp_like(
-                F.schema_of_variant(F.try_variant_get(e, "$.v", "variant")),
-                F.lit(_POLLUTANT_TYPES),
-            ),
-            F.lit(False),
-        ),
-    )
-    values = F.transform_values(kept, lambda k, e: F.try_variant_get(e, "$.v", "double"))
-    ordered = F.map_from_entries(F.array_sort(F.map_entries(values)))
-    return F.coalesce(ordered, F.create_map().cast(POLLUTANT_MAP_TYPE))
+    return F.expr(pollutant_map_sql(_ident(payload)))
 
 
-def day_key(payload: Column, fallback_day: Column | str) -> Column:
+def day_key(payload: str, fallback_day: str | None = None) -> Column:
     """Storage day of a payload.
 
     The first ten characters of ``data.time.iso`` when it is a text of at
     least ten characters (taken verbatim, not validated); otherwise the
-    fallback processing date.
+    fallback processing date (default: the current date).
     """
-    node = _node(payload, "$.data.time.iso")
-    text = F.try_variant_get(node, "$", "string")
-    fallback = F.lit(fallback_day) if isinstance(fallback_day, str) else fallback_day
-    return F.when(
-        (_kind(node) == "STRING") & (F.length(text) >= 10), F.substring(text, 1, 10)
-    ).otherwise(fallback)
+    fallback = "CAST(current_date() AS STRING)" if fallback_day is None else _text(fallback_day)
+    return F.expr(day_sql(_ident(payload), fallback))

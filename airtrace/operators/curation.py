@@ -53,15 +53,13 @@ def status_ok(df: DataFrame) -> DataFrame:
     return df.where(F.try_variant_get(PAYLOAD, "$.status", "string") == "ok")
 
 
-def with_day(df: DataFrame, processing_date: str | Column | None = None) -> DataFrame:
+def with_day(df: DataFrame, processing_date: str | None = None) -> DataFrame:
     """Add the storage ``day`` key of each payload.
 
     ``processing_date`` is the fallback day for payloads without a usable
-    time; it defaults to the current date, fixed when the plan is built.
+    time; it defaults to the current date of the query.
     """
-    if processing_date is None:
-        processing_date = F.current_date().cast("string")
-    return df.withColumn("day", day_key(F.col(PAYLOAD), processing_date))
+    return df.withColumn("day", day_key(PAYLOAD, processing_date))
 
 
 def with_record_day(df: DataFrame, processing_date: str | Column | None = None) -> DataFrame:
@@ -75,8 +73,8 @@ def with_record_day(df: DataFrame, processing_date: str | Column | None = None)
     )
 
 
-def curated_columns(payload: Column) -> list[Column]:
-    """Typed curated fields of a payload, in curated column order."""
+def curated_columns(payload: str = PAYLOAD) -> list[Column]:
+    """Typed curated fields of the payload column, in curated order."""
     fields = {
         "timestamp": payload_string(payload, "$.data.time.iso"),
         "station_id": payload_int(payload, "$.data.idx"),
@@ -100,18 +98,17 @@ def project_curated(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     as text, used by de-duplication (so ``42`` and ``"42"`` are one station
     even though the typed ``station_id`` of ``"42"`` is NULL).
     """
-    payload = F.col(PAYLOAD)
-    passthrough = [F.col(c) for c in keep if c in df.columns]
+    passthrough = [c for c in keep if c in df.columns]
     return df.select(
-        *curated_columns(payload),
-        station_key(payload).alias("station_key"),
+        *curated_columns(PAYLOAD),
+        station_key(PAYLOAD).alias("station_key"),
         *passthrough,
     )
 
 
 def curate(
     df: DataFrame,
-    processing_date: str | Column | None = None,
+    processing_date: str | None = None,
     keep: tuple[str, ...] = ("seq",),
     value: str = "value",
     require_status_ok: bool = False,

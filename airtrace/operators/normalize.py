@@ -37,12 +37,18 @@ def normalize(df: DataFrame, tz: str = SESSION) -> DataFrame:
     ``IsNotNull`` filters into the scan and fuses the rest into one codegen
     stage.
     """
-    out = non_null_pollutants(ensure_pollutants(df))
-    out = out.withColumn("event_timestamp", event_time("timestamp"))
+    out = ensure_pollutants(df).withColumns(
+        {
+            "pollutants": F.coalesce(
+                F.col("pollutants"), F.create_map().cast(POLLUTANT_MAP_TYPE)
+            ),
+            "event_timestamp": event_time("timestamp"),
+        }
+    )
     out = out.where(F.col("event_timestamp").isNotNull() & F.col("aqi").isNotNull())
     wall = wall_clock("timestamp", "event_timestamp", tz)
     if tz == SESSION:
         day = F.date_format("event_timestamp", "yyyy-MM-dd")
     else:
         day = day_of(wall)
-    return out.withColumn("day", day).withColumn("hour", hour_of(wall))
+    return out.withColumns({"day": day, "hour": hour_of(wall)})

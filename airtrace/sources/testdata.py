@@ -16,9 +16,7 @@ the temperature and a second pollutant ``k``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from airtrace.schemas import POLLUTANT_MAP_TYPE
 
 # --- fixed values -----------------------------------------------------------
 # Fallback processing day for payloads without a usable time.
@@ -32,85 +30,88 @@ TEXT_READING_EVERY = 13    # iaqi.k.v written as a JSON string
 # ---------------------------------------------------------------------------
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Declared schemas of the driver tables read here (no footer inference).
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+}
 
 
-def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").cast("double")
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _iso() -> F.Column:
-    # ts is TIMESTAMP_NTZ: its text form does not depend on the session zone.
-    return F.concat(
-        F.replace(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" "), F.lit("T")),
-        F.lit("+00:00"),
-    )
+# ts is TIMESTAMP_NTZ: its text form does not depend on the session zone.
+_ISO = "concat(replace(substring(CAST(ts AS STRING), 1, 19), ' ', 'T'), '+00:00')"
+_K = "CAST(get_json_object(props, '$.k') AS DOUBLE)"
+_HUMIDITY = "CASE WHEN event_type <> 'error' THEN value END"
+_LAT = "42.0D + CAST(user_id AS DOUBLE) / 1000"
+_LON = "23.0D + CAST(user_id AS DOUBLE) / 1000"
 
 
 def observations(events: DataFrame) -> DataFrame:
     """Curated observation records (with ``seq`` and ``station_key``)."""
-    return events.select(
-        F.col("event_id").alias("seq"),
-        _iso().alias("timestamp"),
-        F.col("user_id").cast("int").alias("station_id"),
-        F.col("user_id").cast("string").alias("station_key"),
-        F.concat(F.lit("station-"), F.col("user_id").cast("string")).alias("station_name"),
-        (F.lit(42.0) + F.col("user_id").cast("double") / 1000).alias("latitude"),
-        (F.lit(23.0) + F.col("user_id").cast("double") / 1000).alias("longitude"),
-        F.floor("value").cast("int").alias("aqi"),
-        F.col("event_type").alias("dominant_pollutant"),
-        F.create_map(F.col("event_type"), F.col("value"), F.lit("k"), _k())
-        .cast(POLLUTANT_MAP_TYPE)
-        .alias("pollutants"),
-        _k().alias("temperature"),
-        F.when(F.col("event_type") != "error", F.col("value")).alias("humidity"),
-        F.lit(1.0).alias("wind"),
-        F.lit(None).cast("double").alias("pressure"),
-        F.lit(None).cast("double").alias("dew"),
+    return events.selectExpr(
+        "event_id AS seq",
+        f"{_ISO} AS timestamp",
+        "CAST(user_id AS INT) AS station_id",
+        "CAST(user_id AS STRING) AS station_key",
+        "concat('station-', CAST(user_id AS STRING)) AS station_name",
+        f"{_LAT} AS latitude",
+        f"{_LON} AS longitude",
+        "CAST(floor(value) AS INT) AS aqi",
+        "event_type AS dominant_pollutant",
+        f"CAST(map(event_type, value, 'k', {_K}) AS map<string,double>) AS pollutants",
+        f"{_K} AS temperature",
+        f"{_HUMIDITY} AS humidity",
+        "1.0D AS wind",
+        "CAST(NULL AS DOUBLE) AS pressure",
+        "CAST(NULL AS DOUBLE) AS dew",
     )
 
 
-def _num(col: F.Column) -> F.Column:
-    return F.coalesce(col.cast("string"), F.lit("null"))
+def _num(sql: str) -> str:
+    return f"coalesce(CAST({sql} AS STRING), 'null')"
 
 
 def raw_payloads(events: DataFrame) -> DataFrame:
     """One raw JSON message per event: ``seq BIGINT, value STRING``."""
-    eid = F.col("event_id")
-    idx = F.when(
-        eid % TEXT_ID_EVERY == TEXT_ID_AT,
-        F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('"')),
-    ).otherwise(F.col("user_id").cast("string"))
-    aqi = F.when(
-        eid % FLOAT_AQI_EVERY == FLOAT_AQI_AT,
-        F.floor("value").cast("double").cast("string"),
-    ).otherwise(F.floor("value").cast("string"))
-    k_reading = F.when(
-        eid % TEXT_READING_EVERY == 0, F.concat(F.lit('"'), _num(_k()), F.lit('"'))
-    ).otherwise(_num(_k()))
-    humidity = F.when(F.col("event_type") != "error", F.col("value"))
-    lat = F.lit(42.0) + F.col("user_id").cast("double") / 1000
-    lon = F.lit(23.0) + F.col("user_id").cast("double") / 1000
-    time = F.when(
-        eid % NO_TIME_EVERY != 0,
-        F.concat(F.lit(',"time":{"iso":"'), _iso(), F.lit('","tz":"+00:00"}')),
-    ).otherwise(F.lit(""))
-    text = F.concat(
-        F.lit('{"status":"ok","data":{"aqi":'), aqi,
-        F.lit(',"idx":'), idx,
-        F.lit(',"city":{"geo":['), _num(lat), F.lit(","), _num(lon),
-        F.lit('],"name":"station-'), F.col("user_id").cast("string"), F.lit('"}'),
-        F.lit(',"dominentpol":"'), F.col("event_type"), F.lit('"'),
-        F.lit(',"iaqi":{"'), F.col("event_type"), F.lit('":{"v":'), _num(F.col("value")),
-        F.lit('},"k":{"v":'), k_reading,
-        F.lit('},"h":{"v":'), _num(humidity),
-        F.lit('},"t":{"v":'), _num(_k()),
-        F.lit('},"w":{"v":1.0}}'),
-        time,
-        F.lit("}}"),
+    idx = (
+        f"CASE WHEN event_id % {TEXT_ID_EVERY} = {TEXT_ID_AT} "
+        "THEN concat('\"', CAST(user_id AS STRING), '\"') ELSE CAST(user_id AS STRING) END"
+    )
+    aqi = (
+        f"CASE WHEN event_id % {FLOAT_AQI_EVERY} = {FLOAT_AQI_AT} "
+        "THEN CAST(CAST(floor(value) AS DOUBLE) AS STRING) ELSE CAST(floor(value) AS STRING) END"
+    )
+    k_reading = (
+        f"CASE WHEN event_id % {TEXT_READING_EVERY} = 0 "
+        f"THEN concat('\"', {_num(_K)}, '\"') ELSE {_num(_K)} END"
+    )
+    time = (
+        f"CASE WHEN event_id % {NO_TIME_EVERY} <> 0 "
+        f"THEN concat(',\"time\":{{\"iso\":\"', {_ISO}, '\",\"tz\":\"+00:00\"}}') "
+        "ELSE '' END"
+    )
+    text = (
+        "concat('{\"status\":\"ok\",\"data\":{\"aqi\":', " + aqi + ", "
+        "',\"idx\":', " + idx + ", "
+        "',\"city\":{\"geo\":[', " + _num(_LAT) + ", ',', " + _num(_LON) + ", "
+        "'],\"name\":\"station-', CAST(user_id AS STRING), '\"}', "
+        "',\"dominentpol\":\"', event_type, '\"', "
+        "',\"iaqi\":{\"', event_type, '\":{\"v\":', " + _num("value") + ", "
+        "'},\"k\":{\"v\":', " + k_reading + ", "
+        "'},\"h\":{\"v\":', " + _num(_HUMIDITY) + ", "
+        "'},\"t\":{\"v\":', " + _num(_K) + ", "
+        "'},\"w\":{\"v\":1.0}}', " + time + ", '}}')"
+    )
+    value = (
+        f"CASE WHEN event_id % {TRUNCATED_EVERY} = 0 "
+        f"THEN substring(t, 1, CAST(floor(length(t) / 2) AS INT)) ELSE t END"
+    )
+    return events.selectExpr("event_id", f"{text} AS t").selectExpr(
+        "event_id AS seq", f"{value} AS value"
     )
-    value = F.when(
-        eid % TRUNCATED_EVERY == 0, F.substring(text, 1, F.floor(F.length(text) / 2).cast("int"))
-    ).otherwise(text)
-    return events.select(eid.alias("seq"), value.alias("value"))
