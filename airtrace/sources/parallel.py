@@ -1,0 +1,23 @@
+"""Scan parallelism for inputs with fewer splits than cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer splits than cores.
+
+    A small input stored as one file (one Parquet row group, one text split)
+    is read by a single task, which then also runs all per-row work that
+    follows it (JSON building and parsing, timestamp parsing).  When the scan
+    has fewer partitions than ``min_partitions`` (default: the session's
+    default parallelism), the rows are redistributed round-robin so every
+    core shares that work.  A large input already has at least that many
+    splits and is returned unchanged, with no shuffle.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from airtrace.sources.parallel import spread
+
 
 # --- fixed values -----------------------------------------------------------
 # Fallback processing day for payloads without a usable time.
@@ -38,6 +40,7 @@ TABLE_SCHEMAS = {
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one driver table with its declared schema."""
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
@@ -78,7 +81,11 @@ def _num(sql: str) -> str:
 
 
 def raw_payloads(events: DataFrame) -> DataFrame:
-    """One raw JSON message per event: ``seq BIGINT, value STRING``."""
+    """One raw JSON message per event: ``seq BIGINT, value STRING``.
+
+    Building and later parsing the text is the CPU-heavy part of the raw
+    queries, so a scan with fewer splits than cores is spread first.
+    """
     idx = (
         f"CASE WHEN event_id % {TEXT_ID_EVERY} = {TEXT_ID_AT} "
         "THEN concat('\"', CAST(user_id AS STRING), '\"') ELSE CAST(user_id AS STRING) END"
@@ -112,6 +119,6 @@ def raw_payloads(events: DataFrame) -> DataFrame:
         f"CASE WHEN event_id % {TRUNCATED_EVERY} = 0 "
         f"THEN substring(t, 1, CAST(floor(length(t) / 2) AS INT)) ELSE t END"
     )
-    return events.selectExpr("event_id", f"{text} AS t").selectExpr(
+    return spread(events).selectExpr("event_id", f"{text} AS t").selectExpr(
         "event_id AS seq", f"{value} AS value"
     )
