@@ -20,6 +20,7 @@ from airtrace.functions.time import SOURCE
 from airtrace.session import scratch_path
 from airtrace.sinks.files import write_curated
 from airtrace.sources.curated import read_city
+from airtrace.sources.parallel import spread
 from airtrace.streaming.dedup_state import dedup_stream
 from airtrace.streaming.ingest import run_available
 from airtrace.operators import curation as C
@@ -104,7 +105,7 @@ def q_stream_dedup(spark, sf_dir):
     half only sees the first through the state store.  The sink is read back
     and must equal the batch ``lag`` form.
     """
-    obs = C.with_record_day(_observations(spark, sf_dir), FALLBACK_DAY)
+    obs = spread(C.with_record_day(_observations(spark, sf_dir), FALLBACK_DAY))
     base = scratch_path(spark, "stream-dedup")
     source_dir, sink_dir = f"{base}/source", f"{base}/sink"
     schema = obs.schema

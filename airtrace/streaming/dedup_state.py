@@ -20,8 +20,20 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from airtrace.operators.curation import complete_keys
 
@@ -47,6 +59,21 @@ def _changes(version: str, order: list[str]):
     return step
 
 
+_PACKED = "_packed"
+_JSON_EXACT = (StringType, IntegerType, LongType, DoubleType, BooleanType)
+
+
+def _json_exact(dtype: DataType) -> bool:
+    """Types that survive ``to_json`` -> ``from_json`` unchanged."""
+    if isinstance(dtype, _JSON_EXACT):
+        return True
+    if isinstance(dtype, MapType):
+        return isinstance(dtype.keyType, StringType) and _json_exact(dtype.valueType)
+    if isinstance(dtype, ArrayType):
+        return _json_exact(dtype.elementType)
+    return False
+
+
 def dedup_stream(
     df: DataFrame,
     key: str = "station_key",
@@ -58,15 +85,39 @@ def dedup_stream(
     Same rule, same result as the batch form over the same records in the
     same arrival order, also across query restarts.  Output mode ``append``:
     each accepted record is emitted once, in the micro-batch it arrives in.
+
+    Only the key, the version and the order columns need to be seen by
+    Python; the other columns are packed into one JSON text column by the
+    JVM before the step and unpacked after it (when every one of them
+    survives that round trip exactly), which keeps the Arrow transfer narrow.
     """
     complete = complete_keys(df, key, version)
     order_cols = [order] if isinstance(order, str) else list(order)
-    schema = complete.schema
-    state_schema = StructType([StructField("last", schema[version].dataType, True)])
-    return complete.groupBy(key).applyInPandasWithState(
+    used = [key, version, *order_cols]
+    rest = [f for f in complete.schema.fields if f.name not in used]
+    pack = bool(rest) and all(_json_exact(f.dataType) for f in rest)
+    if pack:
+        narrow = complete.select(
+            *used, F.to_json(F.struct(*[f.name for f in rest])).alias(_PACKED)
+        )
+    else:
+        narrow = complete
+    state_schema = StructType(
+        [StructField("last", complete.schema[version].dataType, True)]
+    )
+    kept = narrow.groupBy(key).applyInPandasWithState(
         _changes(version, order_cols),
-        outputStructType=schema,
+        outputStructType=narrow.schema,
         stateStructType=state_schema,
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )
+    if not pack:
+        return kept
+    unpacked = kept.withColumn(_PACKED, F.from_json(_PACKED, StructType(rest)))
+    return unpacked.select(
+        *[
+            F.col(f"{_PACKED}.{f.name}").alias(f.name) if f.name not in used else F.col(f.name)
+            for f in complete.schema.fields
+        ]
+    )

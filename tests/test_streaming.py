@@ -86,3 +86,26 @@ def test_ingest_writes_raw_and_curated_by_day(spark, tmp_dir):
         ("2026-04-07", 40, {"pm10": 20.0}), ("2026-04-08", 60, {"pm10": 30.0})
     ]
     assert os.path.isdir(f"{ck}/curated/state")
+
+
+WIDE = ("seq long, station_key string, timestamp string, aqi int, big long, "
+        "temperature double, pollutants map<string,double>, tags array<string>")
+
+
+def test_packed_columns_round_trip_exactly(spark, tmp_dir):
+    src, sink, ck = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    rows = [
+        (1, "1", "A", 7, 2**62 + 1, float("nan"), {"pm10": 0.1 + 0.2, "co": None}, ["x"]),
+        (2, "1", "B", None, None, 1e-300, {}, []),
+        (3, "2", "A", -1, -5, -0.0, None, None),
+    ]
+    spark.createDataFrame(rows, WIDE).write.parquet(src)
+    stream = spark.readStream.schema(WIDE).parquet(src)
+    run_available(dedup_stream(stream), "parquet", sink, ck)
+    got = {r.seq: r for r in spark.read.schema(WIDE).parquet(sink).collect()}
+    assert set(got) == {1, 2, 3}
+    one = got[1]
+    assert one.big == 2**62 + 1 and one.temperature != one.temperature
+    assert one.pollutants == {"pm10": 0.1 + 0.2, "co": None} and one.tags == ["x"]
+    assert got[2].aqi is None and got[2].temperature == 1e-300 and got[2].pollutants == {}
+    assert got[3].pollutants is None and got[3].tags is None
