@@ -25,7 +25,7 @@ ranges of ``slice_size`` sequence numbers:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -47,6 +47,7 @@ def drop_repeats(
     slice_size: int | None = DEFAULT_SLICE_SIZE,
     slice_cols: list[str] | tuple[str, ...] | None = None,
     initial_state: DataFrame | None = None,
+    observation: Observation | str | None = None,
 ) -> DataFrame:
     """Keep records whose version changed since the station's previous one.
 
@@ -55,6 +56,9 @@ def drop_repeats(
     stopped: a station's first record is dropped when it repeats the stored
     version.
 
+    ``observation`` (an :class:`Observation` or a name) counts the records
+    seen and the repeats dropped while the query runs (A12).
+
     Records with a NULL key or version are dropped first (F3), without
     touching any station's state.  ``order`` is the arrival order (unique per
     row and station).  Slices of the arrival order, in order:
@@ -66,7 +70,7 @@ def drop_repeats(
       ``slice_cols``) no slicing: a plain per-station ``lag``.
     """
     complete = complete_keys(df, key, version)
-    kept = _drop_repeats(complete, key, version, order, slice_size, slice_cols)
+    kept = _drop_repeats(complete, key, version, order, slice_size, slice_cols, observation)
     if initial_state is None:
         return kept
     return _apply_state(complete, kept, initial_state, key, version, order)
@@ -93,7 +97,18 @@ def _apply_state(complete, kept, state, key, version, order):
     return kept.join(stale, cond, "left_anti")
 
 
-def _drop_repeats(complete, key, version, order, slice_size, slice_cols):
+def _keep_changes(df: DataFrame, prev: Column, version: str, observation) -> DataFrame:
+    repeat = prev.eqNullSafe(F.col(version))
+    if observation is not None:
+        df = df.observe(
+            observation,
+            F.count(F.lit(1)).alias("complete_records"),
+            F.count_if(repeat).alias("repeats_dropped"),
+        )
+    return df.where(~repeat)
+
+
+def _drop_repeats(complete, key, version, order, slice_size, slice_cols, observation=None):
     if slice_cols:
         slices = list(slice_cols)
     elif slice_size and isinstance(complete.schema[order].dataType, NumericType):
@@ -104,7 +119,7 @@ def _drop_repeats(complete, key, version, order, slice_size, slice_cols):
     else:
         prev = F.lag(version).over(Window.partitionBy(key).orderBy(order))
         with_prev = complete.withColumn(_PREV, prev)
-        return with_prev.where(~F.col(_PREV).eqNullSafe(F.col(version))).drop(_PREV)
+        return _keep_changes(with_prev, F.col(_PREV), version, observation).drop(_PREV)
 
     sliced = complete.repartition(key, *slices)
     in_slice = sliced.withColumn(
@@ -121,7 +136,7 @@ def _drop_repeats(complete, key, version, order, slice_size, slice_cols):
     joined = in_slice.join(carry, on=[key, *slices], how="left")
     # Versions are non-null after F3, so a NULL lag marks a slice's first row.
     prev = F.when(F.col(_PREV).isNull(), F.col(_CARRY)).otherwise(F.col(_PREV))
-    out = joined.where(~prev.eqNullSafe(F.col(version))).drop(_PREV, _CARRY)
+    out = _keep_changes(joined, prev, version, observation).drop(_PREV, _CARRY)
     return out.drop(_SLICE) if not slice_cols else out
 
 

@@ -3,9 +3,17 @@
 from airtrace.sinks.files import (
     kafka_sink_options,
     one_line,
+    publish,
     write_curated,
     write_raw,
     write_reports,
 )
 
-__all__ = ["kafka_sink_options", "one_line", "write_curated", "write_raw", "write_reports"]
+__all__ = [
+    "kafka_sink_options",
+    "one_line",
+    "publish",
+    "write_curated",
+    "write_raw",
+    "write_reports",
+]

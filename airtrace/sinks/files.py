@@ -68,6 +68,19 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
+def publish(df: DataFrame, servers: str, topic: str, value: str = "value") -> None:
+    """Publish raw payload texts to a topic, no key (K7).
+
+    Apply the optional status gate first; needs the Spark Kafka connector.
+    """
+    (
+        df.select(F.col(value).cast("string").alias("value"))
+        .write.format("kafka")
+        .options(**kafka_sink_options(servers, topic))
+        .save()
+    )
+
+
 def write_reports(reports: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
     """Write each report table as Parquet below ``path`` (K8)."""
     for name, report in reports.items():

@@ -96,3 +96,15 @@ def test_one_shuffle_of_the_rows(spark):
     plan = drop_repeats(df, slice_size=4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 1
     assert "partial_max_by" in plan
+
+
+def test_repeat_counters(spark):
+    from pyspark.sql import Observation
+
+    recs = [(1, "1", "A"), (2, "1", "A"), (3, "1", "B"), (4, None, "B"), (5, "2", "X")]
+    for slice_size in (None, 2):
+        obs = Observation(f"dedup{slice_size}")
+        df = spark.createDataFrame(recs, SCHEMA)
+        out = drop_repeats(df, slice_size=slice_size, observation=obs)
+        assert out.count() == 3
+        assert obs.get == {"complete_records": 4, "repeats_dropped": 1}
