@@ -100,7 +100,7 @@ def q_station_state(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     """D1 stream form, W1-W5: two ``availableNow`` runs on one checkpoint.
 
-    The observations are written as JSON files in two halves; each half is
+    The observations are written as files in two halves; each half is
     processed by a run that restarts from the same checkpoint, so the second
     half only sees the first through the state store.  The sink is read back
     and must equal the batch ``lag`` form.
@@ -110,11 +110,11 @@ def q_stream_dedup(spark, sf_dir):
     source_dir, sink_dir = f"{base}/source", f"{base}/sink"
     schema = obs.schema
     for half in (F.col("day") <= "2024-01-15", F.col("day") > "2024-01-15"):
-        obs.where(half).write.mode("append").json(source_dir)
-        stream = spark.readStream.schema(schema).json(source_dir)
+        obs.where(half).write.mode("append").parquet(source_dir)
+        stream = spark.readStream.schema(schema).parquet(source_dir)
         kept = dedup_stream(stream, version="dominant_pollutant")
-        run_available(kept, "json", sink_dir, f"{base}/checkpoint")
-    out = spark.read.schema(schema).json(sink_dir)
+        run_available(kept, "parquet", sink_dir, f"{base}/checkpoint")
+    out = spark.read.schema(schema).parquet(sink_dir)
     return out.select("seq", "station_key", "dominant_pollutant", "aqi")
 
 

@@ -84,9 +84,10 @@ def run_city_reports(
     day_from: str | None = None,
     day_to: str | None = None,
     reuse: str | None = None,
+    layout: str = "partitioned",
 ) -> dict[str, DataFrame]:
     """Scan one city's curated archive and build the report bundle."""
-    curated = read_city(spark, root, city, day_from, day_to)
+    curated = read_city(spark, root, city, day_from, day_to, layout=layout)
     return run_reports(curated.select(*CURATED_COLUMNS), tz=tz, reuse=reuse)
 
 

@@ -20,6 +20,7 @@ def read_curated(
     day_from: str | None = None,
     day_to: str | None = None,
     fmt: str = "json",
+    layout: str = "partitioned",
 ) -> DataFrame:
     """Scan curated records with the fixed schema.
 
@@ -28,19 +29,30 @@ def read_curated(
     all-NULL row (removed later by normalization).  A ``day=`` partitioned
     layout is read with an explicit text ``day`` column, returned as
     ``storage_day``; ``day_from``/``day_to`` become partition filters, so
-    other days are never listed or opened.  ``fmt="parquet"`` reads a
-    compacted copy of the same schema.
+    other days are never listed or opened.  ``layout="flat"`` reads a folder
+    of ``<day>.jsonl`` files instead, the day taken from the file name.
+    ``fmt="parquet"`` reads a compacted copy of the same schema.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.schema(_SCAN_SCHEMA)
     if fmt == "json":
         reader = reader.option("mode", "PERMISSIVE")
     df = reader.format(fmt).load(paths)
+    if layout == "flat":
+        # One <day>.jsonl file per day: the day is only in the file name.
+        day = F.nullif(
+            F.regexp_extract(F.col("_metadata.file_name"), r"^(.+)\.jsonl$", 1), F.lit("")
+        )
+    elif layout == "partitioned":
+        # Filters on the partition column alone become partition filters.
+        day = F.col("day")
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
     if day_from is not None:
-        df = df.where(F.col("day") >= day_from)
+        df = df.where(day >= day_from)
     if day_to is not None:
-        df = df.where(F.col("day") <= day_to)
-    return df.withColumnRenamed("day", STORAGE_DAY)
+        df = df.where(day <= day_to)
+    return df.withColumn("day", day).withColumnRenamed("day", STORAGE_DAY)
 
 
 def read_city(
@@ -49,6 +61,9 @@ def read_city(
     city: str,
     day_from: str | None = None,
     day_to: str | None = None,
+    layout: str = "partitioned",
 ) -> DataFrame:
     """Curated records of one city below a storage root (S1 + S2)."""
-    return read_curated(spark, dataset_path(root, city, "curated"), day_from, day_to)
+    return read_curated(
+        spark, dataset_path(root, city, "curated"), day_from, day_to, layout=layout
+    )
