@@ -108,3 +108,16 @@ def test_repeat_counters(spark):
         out = drop_repeats(df, slice_size=slice_size, observation=obs)
         assert out.count() == 3
         assert obs.get == {"complete_records": 4, "repeats_dropped": 1}
+
+
+def test_numeric_and_text_station_ids_share_state(spark):
+    """``42`` and ``"42"`` are one station for change detection."""
+    from airtrace.operators.curation import curate
+
+    msgs = [
+        (1, '{"data":{"idx":42,"time":{"iso":"2026-04-07T10:00:00+03:00"}}}'),
+        (2, '{"data":{"idx":"42","time":{"iso":"2026-04-07T10:00:00+03:00"}}}'),
+        (3, '{"data":{"idx":"42","time":{"iso":"2026-04-07T11:00:00+03:00"}}}'),
+    ]
+    cur = curate(spark.createDataFrame(msgs, "seq long, value string"))
+    assert sorted(r.seq for r in drop_repeats(cur).collect()) == [1, 3]
