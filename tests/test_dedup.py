@@ -121,3 +121,29 @@ def test_numeric_and_text_station_ids_share_state(spark):
     ]
     cur = curate(spark.createDataFrame(msgs, "seq long, value string"))
     assert sorted(r.seq for r in drop_repeats(cur).collect()) == [1, 3]
+
+
+def test_hot_station_is_spread_over_partitions(spark):
+    """A station with a third of all rows is not processed by one task."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(3)
+    recs = []
+    for seq in range(3000):
+        key = "hot" if seq % 3 == 0 else f"s{rnd.randint(0, 200)}"
+        recs.append((seq, key, rnd.choice(["A", "B"])))
+    df = spark.createDataFrame(recs, SCHEMA)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = drop_repeats(df, slice_size=100)
+        parts = (
+            out.where("station_key = 'hot'")
+            .groupBy(F.spark_partition_id().alias("p"))
+            .count()
+            .collect()
+        )
+        assert len(parts) > 1
+        assert max(r["count"] for r in parts) < 0.5 * sum(r["count"] for r in parts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert run(spark, recs, slice_size=100) == brute_force(recs)[0]
