@@ -32,6 +32,16 @@ _WRAPPED = "_wrapped_payload"
 _OBSERVATION_IDS = itertools.count(1)
 
 
+def message_text(value: Column | str = "value") -> Column:
+    """Message bytes or text as STRING; NULL (so: invalid) when not UTF-8.
+
+    A message that is not valid UTF-8 is dropped and counted like invalid
+    JSON instead of failing the job.
+    """
+    col = F.col(value) if isinstance(value, str) else value
+    return F.try_validate_utf8(col.cast("string"))
+
+
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the parsed ``payload`` VARIANT (NULL when not valid JSON).
 

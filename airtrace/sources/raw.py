@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airtrace.operators.curation import message_text
 from airtrace.paths import dataset_path
 
 # --- fixed values -----------------------------------------------------------
@@ -80,7 +81,7 @@ def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame
     """
     df = spark.readStream.format("kafka").options(**options).load()
     return df.select(
-        F.col("value").cast("string").alias("value"),
+        message_text("value").alias("value"),
         F.col("partition"),
         F.col("offset"),
     )

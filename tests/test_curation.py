@@ -169,3 +169,14 @@ def test_single_parse_in_plan(spark):
     df = spark.createDataFrame([(1, json.dumps(FULL))], "seq long, value string")
     plan = C.curate(df).where("aqi is not null")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_non_utf8_bytes_are_invalid(spark):
+    df = spark.createDataFrame(
+        [(1, bytearray(b'{"data":{"idx":1}}')), (2, bytearray(b'{"data":{"idx":"\\xff\\xfe"}}'))],
+        "seq long, raw binary",
+    ).select("seq", C.message_text("raw").alias("value"))
+    obs = Observation("utf8")
+    got = C.curate(df, observation=obs).collect()
+    assert [r.seq for r in got] == [1]
+    assert obs.get == {"messages": 2, "invalid_json": 1}
