@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 
 from airtrace.functions.time import SOURCE
 from airtrace.session import scratch_path
-from airtrace.sinks.files import write_curated
+from airtrace.plans.replay import curate_archive
+from airtrace.plans.reports import run_city_reports
+from airtrace.sinks.files import one_line, write_curated
+from airtrace.sources.raw import read_raw_archive
 from airtrace.sources.curated import read_city
 from airtrace.sources.parallel import spread
 from airtrace.streaming.dedup_state import dedup_stream
@@ -197,6 +200,38 @@ def q_day_pruned_scan(spark, sf_dir):
     )
 
 
+def q_replay_archive(spark, sf_dir):
+    """S4, K1, C1-C7, D1 (archive form): replay a raw archive with repeats.
+
+    Every message is archived twice in a row, as an at-least-once source
+    re-delivers it; the archive is day-partitioned text whose files keep
+    arrival order (range partitions by (day, seq), so a big day is split
+    over several ordered files).  Replaying it with the streaming rules must
+    keep each complete message exactly once.
+    """
+    raw = raw_payloads(load_table(spark, sf_dir, "events"))
+    dated = C.curate(raw, processing_date=FALLBACK_DAY, keep=("seq", "value"))
+    twice = dated.select("seq", "value", "day").unionByName(dated.select("seq", "value", "day"))
+    archive = scratch_path(spark, "raw-archive")
+    (
+        twice.repartitionByRange("day", "seq")
+        .sortWithinPartitions("day", "seq")
+        .select(one_line("value").alias("value"), "day")
+        .write.partitionBy("day")
+        .text(archive)
+    )
+    kept = curate_archive(read_raw_archive(spark, archive), processing_date=FALLBACK_DAY)
+    return kept.select("station_key", "timestamp", "aqi", "day")
+
+
+def q_archive_daily_aqi(spark, sf_dir):
+    """Curated JSONL archive written, scanned, reported."""
+    curated = drop_repeats(_curated_raw(spark, sf_dir))
+    root = scratch_path(spark, "curated-archive")
+    write_curated(curated, root, "events-city")
+    return run_city_reports(spark, root, "events-city", tz=SOURCE)["daily_aqi"]
+
+
 QUERIES: dict[str, QueryFn] = {
     "hourly_aqi": q_hourly_aqi,
     "daily_aqi": q_daily_aqi,
@@ -216,6 +251,8 @@ QUERIES: dict[str, QueryFn] = {
     "report_summary": q_report_summary,
     "observation_preview": q_observation_preview,
     "day_pruned_scan": q_day_pruned_scan,
+    "replay_archive": q_replay_archive,
+    "archive_daily_aqi": q_archive_daily_aqi,
 }
 
 
@@ -356,6 +393,11 @@ ORACLES.update({
     "observation_preview": _OBS
     + """SELECT "timestamp", station_name, aqi, dominant_pollutant, day, hour
     FROM obs ORDER BY seq LIMIT 5""",
+    "replay_archive": _RAW
+    + """SELECT station_key, "timestamp", aqi, day FROM cur WHERE "timestamp" IS NOT NULL""",
+    "archive_daily_aqi": _RAW
+    + """SELECT day, avg(aqi) AS avg_aqi FROM cur
+    WHERE "timestamp" IS NOT NULL AND aqi IS NOT NULL GROUP BY day""",
     "day_pruned_scan": _OBS
     + """SELECT "timestamp", station_id, station_name,
            CAST(42.0 AS DOUBLE) + CAST(station_id AS DOUBLE) / 1000 AS latitude,
