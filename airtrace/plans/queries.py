@@ -25,7 +25,7 @@ from airtrace.sources.raw import read_raw_archive
 from airtrace.sources.curated import read_city
 from airtrace.sources.parallel import spread
 from airtrace.streaming.dedup_state import dedup_stream
-from airtrace.streaming.ingest import run_available
+from airtrace.streaming.ingest import run_available, start_ingest
 from airtrace.operators import curation as C
 from airtrace.operators import reports as R
 from airtrace.operators.dedup import drop_repeats, station_state
@@ -232,6 +232,30 @@ def q_archive_daily_aqi(spark, sf_dir):
     return run_city_reports(spark, root, "events-city", tz=SOURCE)["daily_aqi"]
 
 
+def q_stream_ingest(spark, sf_dir):
+    """The raw and curated streaming queries, restarted once.
+
+    Raw messages arrive as files in two halves (first and second half of
+    the month); each half is processed by
+    both ingest queries with ``availableNow`` from their checkpoints.  The
+    curated archive is read back through the typed scan (S1).
+    """
+    events = load_table(spark, sf_dir, "events")
+    base = scratch_path(spark, "stream-ingest")
+    source_dir, root = f"{base}/source", f"{base}/archive"
+    for half in (F.col("ts") < "2024-01-16", F.col("ts") >= "2024-01-16"):
+        raw = raw_payloads(events.where(half))
+        raw.write.mode("append").parquet(source_dir)
+        stream = spark.readStream.schema(raw.schema).parquet(source_dir)
+        for query in start_ingest(stream, root, "events-city", f"{base}/checkpoint",
+                                  processing_date=FALLBACK_DAY):
+            query.awaitTermination()
+            if query.exception() is not None:
+                raise query.exception()
+    curated = read_city(spark, root, "events-city")
+    return curated.select("timestamp", "station_id", "aqi", "temperature", "storage_day")
+
+
 QUERIES: dict[str, QueryFn] = {
     "hourly_aqi": q_hourly_aqi,
     "daily_aqi": q_daily_aqi,
@@ -253,6 +277,7 @@ QUERIES: dict[str, QueryFn] = {
     "day_pruned_scan": q_day_pruned_scan,
     "replay_archive": q_replay_archive,
     "archive_daily_aqi": q_archive_daily_aqi,
+    "stream_ingest": q_stream_ingest,
 }
 
 
@@ -395,6 +420,9 @@ ORACLES.update({
     FROM obs ORDER BY seq LIMIT 5""",
     "replay_archive": _RAW
     + """SELECT station_key, "timestamp", aqi, day FROM cur WHERE "timestamp" IS NOT NULL""",
+    "stream_ingest": _RAW
+    + """SELECT "timestamp", station_id, aqi, temperature, day AS storage_day
+    FROM cur WHERE "timestamp" IS NOT NULL""",
     "archive_daily_aqi": _RAW
     + """SELECT day, avg(aqi) AS avg_aqi FROM cur
     WHERE "timestamp" IS NOT NULL AND aqi IS NOT NULL GROUP BY day""",
