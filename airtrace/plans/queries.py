@@ -367,6 +367,15 @@ WITH cur AS (
   FROM events WHERE event_id % 10 <> 0)
 """
 
+# Complete records whose timestamp changed since the station's previous one
+# (change detection on the station timestamp, in arrival order).
+_KEPT = """, kept AS (
+  SELECT * FROM (
+    SELECT *, lag("timestamp") OVER (PARTITION BY station_key ORDER BY seq) AS prev_ts
+    FROM cur WHERE "timestamp" IS NOT NULL)
+  WHERE prev_ts IS DISTINCT FROM "timestamp")
+"""
+
 _SCALARS = ", ".join(f'"{c}"' if c == "timestamp" else c for c in _CURATED_SCALARS)
 
 
@@ -418,14 +427,12 @@ ORACLES.update({
     "observation_preview": _OBS
     + """SELECT "timestamp", station_name, aqi, dominant_pollutant, day, hour
     FROM obs ORDER BY seq LIMIT 5""",
-    "replay_archive": _RAW
-    + """SELECT station_key, "timestamp", aqi, day FROM cur WHERE "timestamp" IS NOT NULL""",
-    "stream_ingest": _RAW
-    + """SELECT "timestamp", station_id, aqi, temperature, day AS storage_day
-    FROM cur WHERE "timestamp" IS NOT NULL""",
-    "archive_daily_aqi": _RAW
-    + """SELECT day, avg(aqi) AS avg_aqi FROM cur
-    WHERE "timestamp" IS NOT NULL AND aqi IS NOT NULL GROUP BY day""",
+    "replay_archive": _RAW + _KEPT
+    + """SELECT station_key, "timestamp", aqi, day FROM kept""",
+    "stream_ingest": _RAW + _KEPT
+    + """SELECT "timestamp", station_id, aqi, temperature, day AS storage_day FROM kept""",
+    "archive_daily_aqi": _RAW + _KEPT
+    + """SELECT day, avg(aqi) AS avg_aqi FROM kept WHERE aqi IS NOT NULL GROUP BY day""",
     "day_pruned_scan": _OBS
     + """SELECT "timestamp", station_id, station_name,
            CAST(42.0 AS DOUBLE) + CAST(station_id AS DOUBLE) / 1000 AS latitude,
