@@ -16,8 +16,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     core shares that work.  A large input already has at least that many
     splits and is returned unchanged, with no shuffle.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)

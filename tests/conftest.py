@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,17 +13,18 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    checkpoint = tempfile.mkdtemp(prefix="airtrace-tests-")
     session = (
         SparkSession.builder.master("local[4]")
         .appName("airtrace-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", checkpoint)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from airtrace.session import shared_dir
+
+    shared_dir(session)  # the session's folder; a private one only if unset
     yield session
     session.stop()
 

@@ -109,3 +109,16 @@ def test_packed_columns_round_trip_exactly(spark, tmp_dir):
     assert one.pollutants == {"pm10": 0.1 + 0.2, "co": None} and one.tags == ["x"]
     assert got[2].aqi is None and got[2].temperature == 1e-300 and got[2].pollutants == {}
     assert got[3].pollutants is None and got[3].tags is None
+
+
+def test_two_order_columns_like_kafka(spark, tmp_dir):
+    """Arrival order given as (partition, offset)."""
+    schema = "partition int, offset long, station_key string, timestamp string"
+    rows = [(0, 2, "1", "B"), (0, 1, "1", "A"), (1, 0, "1", "B"), (0, 3, "1", "B")]
+    src, sink, ck = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    spark.createDataFrame(rows, schema).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    run_available(dedup_stream(stream, order=["partition", "offset"]), "parquet", sink, ck)
+    got = sorted((r.partition, r.offset) for r in spark.read.parquet(sink).collect())
+    # order: (0,1)A (0,2)B (0,3)B (1,0)B -> keep A, B
+    assert got == [(0, 1), (0, 2)]
