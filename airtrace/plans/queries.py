@@ -22,7 +22,7 @@ from airtrace.operators import reports as R
 from airtrace.operators.dedup import drop_repeats, station_state
 from airtrace.operators.normalize import normalize
 from airtrace.plans.replay import curate_archive
-from airtrace.plans.reports import run_city_reports
+from airtrace.plans.reports import report_table, run_city_reports
 from airtrace.session import scratch_path
 from airtrace.sinks.files import one_line, write_curated
 from airtrace.sources.curated import read_city
@@ -182,6 +182,11 @@ def q_report_summary(spark, sf_dir):
     return _rounded(R.summary(bundle), "strongest_corr")
 
 
+def q_report_bundle(spark, sf_dir):
+    """A8 in one pass: all six reports as one long table, one scan."""
+    return report_table(_normalized(spark, sf_dir), digits=ROUND)
+
+
 def q_observation_preview(spark, sf_dir):
     """L2: five rows of the main columns, first by arrival."""
     return R.preview(_normalized(spark, sf_dir), 5, order="seq")
@@ -273,6 +278,7 @@ QUERIES: dict[str, QueryFn] = {
     "incomplete_keys": q_incomplete_keys,
     "normalize_observations": q_normalize_observations,
     "report_summary": q_report_summary,
+    "report_bundle": q_report_bundle,
     "observation_preview": q_observation_preview,
     "day_pruned_scan": q_day_pruned_scan,
     "replay_archive": q_replay_archive,
@@ -424,6 +430,18 @@ ORACLES.update({
              AS strongest_metric,
            round({_first_by('v', 'cl', 'abs(v) DESC, pos', 'WHERE v IS NOT NULL AND NOT isnan(v)')},
                  {ROUND}) AS strongest_corr""",
+    "report_bundle": _OBS
+    + f"""SELECT 'hourly_aqi' AS report, CAST(hour AS VARCHAR) AS key, avg(aqi) AS value,
+           CAST(NULL AS BIGINT) AS n FROM obs GROUP BY hour
+    UNION ALL SELECT 'daily_aqi', day, avg(aqi), NULL FROM obs GROUP BY day
+    UNION ALL SELECT 'aqi_category_distribution', {_CATEGORY}, NULL, count(*) FROM obs GROUP BY 2
+    UNION ALL SELECT 'average_pollutants', pollutant, round(avg(v), {ROUND}), count(v)
+      FROM (SELECT dominant_pollutant AS pollutant, value AS v FROM obs
+            UNION ALL SELECT 'k', k FROM obs) GROUP BY pollutant
+    UNION ALL SELECT 'dominant_pollutants', dominant_pollutant, NULL, count(*) FROM obs GROUP BY 2
+    UNION ALL SELECT 'weather_correlations', 'temperature', {_corr('aqi', 'k')}, NULL FROM obs
+    UNION ALL SELECT 'weather_correlations', 'humidity', {_corr('aqi', 'humidity')}, NULL FROM obs
+    UNION ALL SELECT 'weather_correlations', 'wind', {_corr('aqi', 'wind')}, NULL FROM obs""",
     "observation_preview": _OBS
     + """SELECT "timestamp", station_name, aqi, dominant_pollutant, day, hour
     FROM obs ORDER BY seq LIMIT 5""",

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from airtrace.functions.aqi import aqi_category
 from airtrace.functions.time import SESSION
 from airtrace.operators import reports as R
 from airtrace.operators.normalize import normalize
-from airtrace.schemas import CURATED_COLUMNS
+from airtrace.schemas import CORRELATED_METRICS, CURATED_COLUMNS
 from airtrace.session import scratch_path
 from airtrace.sources.curated import read_city
 
@@ -43,6 +45,154 @@ def materialize(df: DataFrame, columns: tuple[str, ...] | None = None) -> DataFr
     return spark.read.parquet(path)
 
 
+_KEYS = ("hour", "day", "aqi_category", "dominant_pollutant", "pollutant")
+
+
+def _bundle_aggregate(normalized: DataFrame) -> DataFrame:
+    """One aggregate holding every report (see :func:`single_pass_reports`)."""
+    first = F.col("_pos").isNull() | (F.col("_pos") == 0)
+    rows = normalized.select(
+        "hour",
+        "day",
+        aqi_category("aqi").alias("aqi_category"),
+        "dominant_pollutant",
+        "aqi",
+        *CORRELATED_METRICS,
+        F.posexplode_outer("pollutants").alias("_pos", "pollutant", "value"),
+    )
+    aqi = F.when(first, F.col("aqi"))
+    metrics = [
+        F.avg(aqi).alias("avg_aqi"),
+        F.count(F.when(first, F.lit(1))).alias("count"),
+        F.avg("value").alias("avg_value"),
+        F.count("value").alias("measurement_count"),
+    ]
+    for metric in CORRELATED_METRICS:
+        other = F.when(first, F.col(metric))
+        metrics.append(
+            F.try_divide(
+                F.covar_samp(aqi, other), F.stddev_samp(aqi) * F.stddev_samp(other)
+            ).alias(f"aqi_{metric}_corr")
+        )
+    # The set marker and the "key present" flags are aggregate outputs, not
+    # grouping keys, so filters on them stay above the aggregate.
+    markers = [F.max(F.grouping_id()).alias("_set")] + [
+        F.max(F.col(k).isNotNull()).alias(f"_has_{k}") for k in _KEYS
+    ]
+    sets = [[k] for k in _KEYS] + [[]]
+    return rows.groupingSets(sets, *_KEYS).agg(*metrics, *markers)
+
+
+def _set_ids() -> tuple[dict[str, int], int]:
+    """grouping_id of each single-key set (first column = highest bit)."""
+    full = (1 << len(_KEYS)) - 1
+    return {k: full ^ (1 << (len(_KEYS) - 1 - i)) for i, k in enumerate(_KEYS)}, full
+
+
+def single_pass_reports(
+    normalized: DataFrame, persist: bool = True
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All six reports from one scan and one aggregate.
+
+    The pollutant map is exploded with ``posexplode_outer``, so an
+    observation yields one row per reading (at least one).  One aggregate
+    over the grouping sets (hour), (day), (band), (dominant pollutant),
+    (pollutant) and () computes every report at once; observation-level
+    measures only count the first row of each observation, pollutant
+    measures count every reading.  Partial aggregation runs before the
+    shuffle, so only a few rows per group and task move.  The aggregate is
+    bounded by the key domains (24 hours, the days, six bands, the pollutant
+    keys), so it is persisted and each report is a filter of it: the input
+    is read once for the whole bundle.  Returns the reports and the
+    persisted aggregate (``unpersist`` it when done).  For one table holding
+    every report, computed in one plan, see :func:`report_table`.
+    """
+    bundle = _bundle_aggregate(normalized)
+    if persist:
+        bundle = bundle.persist()
+    ids, full = _set_ids()
+
+    def part(key: str | None) -> DataFrame:
+        if key is None:
+            return bundle.where(F.col("_set") == full)
+        return bundle.where((F.col("_set") == ids[key]) & F.col(f"_has_{key}"))
+
+    out = {
+        "hourly_aqi": R._ordered(part("hour").select("hour", "avg_aqi"), "hour"),
+        "daily_aqi": R._ordered(part("day").select("day", "avg_aqi"), "day"),
+        "aqi_category_distribution": R._ordered(
+            part("aqi_category").select("aqi_category", "count"),
+            F.desc("count"), F.asc("aqi_category"),
+        ),
+        "average_pollutants": R._ordered(
+            part("pollutant").select("pollutant", "avg_value", "measurement_count"),
+            F.desc("measurement_count"), F.asc("pollutant"),
+        ),
+        "dominant_pollutants": R._ordered(
+            part("dominant_pollutant").select("dominant_pollutant", "count"),
+            F.desc("count"), F.asc("dominant_pollutant"),
+        ),
+        "weather_correlations": part(None).select(
+            *[f"aqi_{m}_corr" for m in CORRELATED_METRICS]
+        ),
+    }
+    return out, bundle
+
+
+def report_table(normalized: DataFrame, digits: int | None = None) -> DataFrame:
+    """Every report as rows of one long table, from one scan.
+
+    Columns ``report, key, value, n``: ``value`` is the average (AQI or
+    reading) or the coefficient, ``n`` the count where the report has one.
+    Each row of the single aggregate belongs to exactly one report; a CASE
+    on the grouping set picks its report, key and measures, and the global
+    row expands into the three correlation rows.  One linear plan, no union,
+    so nothing is computed twice.  ``digits`` rounds the floating values.
+    """
+    ids, full = _set_ids()
+    agg = _bundle_aggregate(normalized)
+    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    names = {
+        "hour": "hourly_aqi",
+        "day": "daily_aqi",
+        "aqi_category": "aqi_category_distribution",
+        "pollutant": "average_pollutants",
+        "dominant_pollutant": "dominant_pollutants",
+    }
+    value = {
+        "hour": F.col("avg_aqi"),
+        "day": F.col("avg_aqi"),
+        "aqi_category": F.lit(None).cast("double"),
+        "pollutant": rnd(F.col("avg_value")),
+        "dominant_pollutant": F.lit(None).cast("double"),
+    }
+    count = {
+        "hour": F.lit(None).cast("long"),
+        "day": F.lit(None).cast("long"),
+        "aqi_category": F.col("count"),
+        "pollutant": F.col("measurement_count"),
+        "dominant_pollutant": F.col("count"),
+    }
+
+    def entry(report, key, val, n):
+        return F.struct(
+            F.lit(report).alias("report"), key.cast("string").alias("key"),
+            val.cast("double").alias("value"), n.cast("long").alias("n"),
+        )
+
+    keyed = None
+    for k in names:
+        row = F.array(entry(names[k], F.col(k), value[k], count[k]))
+        cond = (F.col("_set") == ids[k]) & F.col(f"_has_{k}")
+        keyed = F.when(cond, row) if keyed is None else keyed.when(cond, row)
+    corr = F.array(*[
+        entry("weather_correlations", F.lit(m), rnd(F.col(f"aqi_{m}_corr")), F.lit(None))
+        for m in CORRELATED_METRICS
+    ])
+    rows = keyed.when(F.col("_set") == full, corr)
+    return agg.select(F.inline(rows))
+
+
 def run_reports(
     curated: DataFrame,
     tz: str = SESSION,
@@ -57,9 +207,16 @@ def run_reports(
     several reports will be collected, ``reuse`` avoids re-scanning the
     input for each: ``"parquet"`` materializes the narrow normalized input
     once (see :func:`materialize`), ``"cache"`` persists it (memory, then
-    disk) for the caller to ``unpersist``.
+    disk) for the caller to ``unpersist``, ``"single_pass"`` computes all
+    reports with one scan and one aggregate (:func:`single_pass_reports`;
+    its small aggregate stays cached until ``spark.catalog.clearCache()``).
     """
     normalized = normalize(curated, tz=tz)
+    if reuse == "single_pass":
+        if pairwise_corr:
+            raise ValueError("single_pass computes the non-pairwise coefficients")
+        reports, _aggregate = single_pass_reports(normalized)
+        return {"normalized": normalized, **reports}
     base = normalized
     if reuse == "parquet":
         base = materialize(normalized, REPORT_INPUT_COLUMNS)
