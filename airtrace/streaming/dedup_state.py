@@ -49,10 +49,8 @@ def _changes(version: str, order: list[str]):
         current = pdf[version].astype(object)
         previous = current.shift(1)
         previous.iloc[0] = state.get[0] if state.exists else None
-        keep = [
-            p is None or (isinstance(p, float) and pd.isna(p)) or p != c
-            for p, c in zip(previous, current)
-        ]
+        # A missing previous version (new station) never equals: keep.
+        keep = ~previous.eq(current).to_numpy(dtype=bool)
         state.update((current.iloc[-1],))
         yield pdf[keep]
 

@@ -122,3 +122,34 @@ def test_two_order_columns_like_kafka(spark, tmp_dir):
     got = sorted((r.partition, r.offset) for r in spark.read.parquet(sink).collect())
     # order: (0,1)A (0,2)B (0,3)B (1,0)B -> keep A, B
     assert got == [(0, 1), (0, 2)]
+
+
+class _State:
+    def __init__(self, value=None):
+        self.value = value
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return (self.value,)
+
+    def update(self, row):
+        self.value = row[0]
+
+
+def test_step_with_and_without_state():
+    import pandas as pd
+
+    from airtrace.streaming.dedup_state import _changes
+
+    step = _changes("timestamp", ["seq"])
+    batch = pd.DataFrame({"seq": [3, 1, 2, 4], "timestamp": ["B", "A", "A", "A"]})
+    state = _State()
+    (out,) = list(step(("42",), iter([batch.iloc[:2], batch.iloc[2:]]), state))
+    assert out["seq"].tolist() == [1, 3, 4] and state.value == "A"
+    state = _State("A")
+    (out,) = list(step(("42",), iter([batch]), state))
+    assert out["seq"].tolist() == [3, 4] and state.value == "A"
