@@ -13,6 +13,10 @@ TOPIC_PREFIX = "air_quality_"
 CONSUMER_GROUP = "air-quality-streaming"
 MAX_RECORDS_PER_POLL = 100
 POLL_INTERVAL = "5 seconds"
+# Upper bound of records per micro-batch (not a fixed value of the original
+# consumer, which polled 100 at a time): it bounds the rows one station can
+# bring into one step of the stateful change detection.
+MAX_OFFSETS_PER_TRIGGER = 1_000_000
 # ---------------------------------------------------------------------------
 
 _BOM = "\ufeff"
@@ -55,13 +59,15 @@ def bootstrap_servers(servers: str | list[str]) -> str:
 def kafka_source_options(
     servers: str | list[str],
     city: str,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
     starting_offsets: str = "latest",
 ) -> dict[str, str]:
     """Options of ``readStream.format("kafka")`` for one city's topic (S3).
 
     Starts at the latest offsets like the original consumer group; offsets
-    are tracked by the query checkpoint instead of consumer commits.
+    are tracked by the query checkpoint instead of consumer commits.  The
+    micro-batch size is bounded (``maxOffsetsPerTrigger``) so that the rows
+    of one station in one stateful step stay bounded too.
     """
     options = {
         "kafka.bootstrap.servers": bootstrap_servers(servers),
