@@ -18,7 +18,7 @@ from airtrace.functions.stats import safe_corr
 from airtrace.schemas import CORRELATED_METRICS
 
 
-def _ordered(report: DataFrame, *order) -> DataFrame:
+def sort_small(report: DataFrame, *order) -> DataFrame:
     """Total order of a small report, sorted inside a single task."""
     return report.coalesce(1).orderBy(*order)
 
@@ -29,7 +29,7 @@ def hourly_aqi(df: DataFrame) -> DataFrame:
         df.where(F.col("hour").isNotNull())
         .groupBy("hour")
         .agg(F.avg("aqi").alias("avg_aqi"))
-        .transform(_ordered, "hour")
+        .transform(sort_small, "hour")
     )
 
 
@@ -39,7 +39,7 @@ def daily_aqi(df: DataFrame) -> DataFrame:
         df.where(F.col("day").isNotNull())
         .groupBy("day")
         .agg(F.avg("aqi").alias("avg_aqi"))
-        .transform(_ordered, "day")
+        .transform(sort_small, "day")
     )
 
 
@@ -49,7 +49,7 @@ def aqi_category_distribution(df: DataFrame) -> DataFrame:
         df.select(aqi_category("aqi").alias("aqi_category"))
         .groupBy("aqi_category")
         .count()
-        .transform(_ordered, F.desc("count"), F.asc("aqi_category"))
+        .transform(sort_small, F.desc("count"), F.asc("aqi_category"))
     )
 
 
@@ -66,7 +66,7 @@ def average_pollutants(df: DataFrame) -> DataFrame:
             F.avg("value").alias("avg_value"),
             F.count("value").alias("measurement_count"),
         )
-        .transform(_ordered, F.desc("measurement_count"), F.asc("pollutant"))
+        .transform(sort_small, F.desc("measurement_count"), F.asc("pollutant"))
     )
 
 
@@ -76,7 +76,7 @@ def dominant_pollutants(df: DataFrame) -> DataFrame:
         df.where(F.col("dominant_pollutant").isNotNull())
         .groupBy("dominant_pollutant")
         .count()
-        .transform(_ordered, F.desc("count"), F.asc("dominant_pollutant"))
+        .transform(sort_small, F.desc("count"), F.asc("dominant_pollutant"))
     )
 
 
@@ -102,7 +102,7 @@ def preview(df: DataFrame, n: int = 5, order: str | list[str] | None = None) ->
 def _peak(report: DataFrame, key: str, prefix: str) -> DataFrame:
     """Row of the largest average; ties go to the smallest key (L3)."""
     return (
-        _ordered(report, F.desc_nulls_last("avg_aqi"), F.asc(key))
+        sort_small(report, F.desc_nulls_last("avg_aqi"), F.asc(key))
         .limit(1)
         .select(
             F.col(key).alias(f"{prefix}_{key}" if key != prefix else prefix),
@@ -124,7 +124,7 @@ def strongest_correlation(correlations: DataFrame) -> DataFrame:
         f"stack({len(CORRELATED_METRICS)}, {pairs}) as (position, metric, coefficient)"
     ).where("coefficient is not null and not isnan(coefficient)")
     return (
-        _ordered(long, F.desc(F.abs("coefficient")), F.asc("position"))
+        sort_small(long, F.desc(F.abs("coefficient")), F.asc("position"))
         .limit(1)
         .select(
             F.col("metric").alias("strongest_metric"),

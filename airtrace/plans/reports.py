@@ -118,17 +118,17 @@ def single_pass_reports(
         return bundle.where((F.col("_set") == ids[key]) & F.col(f"_has_{key}"))
 
     out = {
-        "hourly_aqi": R._ordered(part("hour").select("hour", "avg_aqi"), "hour"),
-        "daily_aqi": R._ordered(part("day").select("day", "avg_aqi"), "day"),
-        "aqi_category_distribution": R._ordered(
+        "hourly_aqi": R.sort_small(part("hour").select("hour", "avg_aqi"), "hour"),
+        "daily_aqi": R.sort_small(part("day").select("day", "avg_aqi"), "day"),
+        "aqi_category_distribution": R.sort_small(
             part("aqi_category").select("aqi_category", "count"),
             F.desc("count"), F.asc("aqi_category"),
         ),
-        "average_pollutants": R._ordered(
+        "average_pollutants": R.sort_small(
             part("pollutant").select("pollutant", "avg_value", "measurement_count"),
             F.desc("measurement_count"), F.asc("pollutant"),
         ),
-        "dominant_pollutants": R._ordered(
+        "dominant_pollutants": R.sort_small(
             part("dominant_pollutant").select("dominant_pollutant", "count"),
             F.desc("count"), F.asc("dominant_pollutant"),
         ),
