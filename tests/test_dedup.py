@@ -147,3 +147,12 @@ def test_hot_station_is_spread_over_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert run(spark, recs, slice_size=100) == brute_force(recs)[0]
+
+
+def test_drop_duplicates_is_not_change_detection(spark):
+    """Negative control: all-time de-duplication loses the return to A."""
+    recs = [(i, "42", ts) for i, ts in enumerate("A A B B A".split())]
+    df = spark.createDataFrame(recs, SCHEMA)
+    distinct = sorted(r.timestamp for r in df.dropDuplicates(["station_key", "timestamp"]).collect())
+    changes = [r[2] for r in run(spark, recs)]
+    assert distinct == ["A", "B"] and changes == ["A", "B", "A"]
