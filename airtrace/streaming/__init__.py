@@ -1,6 +1,6 @@
 """Structured Streaming: stateful change detection and the ingest queries."""
 
 from airtrace.streaming.dedup_state import dedup_stream
-from airtrace.streaming.ingest import run_available, start_ingest
+from airtrace.streaming.ingest import run_available, start_ingest, stop_after
 
-__all__ = ["dedup_stream", "run_available", "start_ingest"]
+__all__ = ["dedup_stream", "run_available", "start_ingest", "stop_after"]

@@ -83,6 +83,28 @@ def start_ingest(
     return raw_query, curated_query
 
 
+def stop_after(query: StreamingQuery, batches: int, timeout: float = 600.0) -> int:
+    """Let a continuously triggered query complete ``batches`` micro-batches,
+    then stop it (W1: a bounded number of polls, then close).
+
+    Waits on the query's progress reports; returns the number of completed
+    batches with data.  Empty triggers do not count, like empty polls.
+    """
+    import time
+
+    deadline = time.monotonic() + timeout
+    done = 0
+    while time.monotonic() < deadline and query.isActive:
+        done = sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
+        if done >= batches:
+            break
+        query.awaitTermination(0.5)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return done
+
+
 def run_available(stream: DataFrame, fmt: str, path: str, checkpoint: str, **options) -> None:
     """Process everything available once into a file sink, then stop."""
     writer = (

@@ -153,3 +153,19 @@ def test_step_with_and_without_state():
     state = _State("A")
     (out,) = list(step(("42",), iter([batch]), state))
     assert out["seq"].tolist() == [3, 4] and state.value == "A"
+
+
+def test_processing_time_trigger_bounded_run(spark, tmp_dir):
+    from airtrace.streaming.ingest import stop_after
+
+    src, sink, ck = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    _write_json(spark, [(1, "1", "A", 1), (2, "1", "A", 1)], src)
+    stream = spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).json(src)
+    query = (
+        dedup_stream(stream).writeStream.format("json")
+        .option("path", sink).option("checkpointLocation", ck)
+        .trigger(processingTime="1 second").start()
+    )
+    assert stop_after(query, 1, timeout=120) >= 1
+    assert not query.isActive
+    assert [r.seq for r in spark.read.schema(OBS).json(sink).collect()] == [1]
