@@ -45,6 +45,16 @@ def read_city_archive(spark: SparkSession, root: str, city: str) -> DataFrame:
     return read_raw_archive(spark, dataset_path(root, city, "raw"))
 
 
+def read_parquet_archive(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet raw archive (written by the ingest with ``raw_format="parquet"``).
+
+    Rows carry the original ``value``, the curated fields parsed at ingest,
+    ``station_key``, the arrival order columns and ``day``: replaying it
+    needs no JSON parsing.
+    """
+    return spark.read.parquet(path)
+
+
 def topic_for(city: str) -> str:
     """Topic of one city's payloads."""
     return f"{TOPIC_PREFIX}{city}"

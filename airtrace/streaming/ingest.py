@@ -4,6 +4,8 @@ Source -> parse (C1, F1) -> day (C6) ->
   query 1: raw file sink, every valid message, no de-duplication (K1);
   query 2: curate (C3-C5) -> complete keys (F3) -> stateful change
            detection (D1) -> curated JSON file sink (K2).
+With a Parquet raw archive, query 2 reads query 1's output instead of the
+source, so each message is parsed once.
 
 Each query has its own checkpoint; the file sinks commit through their
 metadata log, so a restart neither loses nor repeats output (exactly-once,
@@ -43,6 +45,7 @@ def start_ingest(
     processing_date: str | None = None,
     order: str | list[str] = "seq",
     trigger: str | None = None,
+    raw_format: str = "text",
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the raw and curated archive queries over a message stream.
 
@@ -50,6 +53,15 @@ def start_ingest(
     order column(s) ``order`` (``partition``/``offset`` for Kafka).
     ``trigger``: ``None``/``"availableNow"`` processes what is there and
     stops; an interval such as ``"5 seconds"`` runs continuously.
+
+    ``raw_format="text"`` keeps the raw archive as day-partitioned JSON
+    lines; both queries read the source and parse each message.
+    ``raw_format="parquet"`` parses each message once: the first query
+    writes the raw archive as day-partitioned Parquet holding the original
+    one-line ``value`` together with its parse results and arrival order;
+    the second query streams that archive (no second parse) into change
+    detection and the curated sink.  With ``availableNow`` the second query
+    is started after the first one has finished.
     """
     order_cols = [order] if isinstance(order, str) else list(order)
     parsed = parse_messages(source).observe(
@@ -58,29 +70,51 @@ def start_ingest(
         F.count_if(F.col(PAYLOAD).isNull()).alias("invalid_json"),
     )
     dated = with_day(drop_invalid(parsed), processing_date)
+    raw_path = dataset_path(root, city, "raw")
+    raw_checkpoint = f"{checkpoint_root.rstrip('/')}/raw"
+
+    if raw_format == "text":
+        raw = dated.select(one_line("value").alias("value"), "day")
+        raw_query = _start(raw, "text", raw_path, raw_checkpoint, trigger)
+        curated = project_curated(dated, keep=tuple(order_cols) + ("day",))
+    elif raw_format == "parquet":
+        staged = project_curated(
+            dated.withColumn("value", one_line("value")),
+            keep=tuple(order_cols) + ("value", "day"),
+        )
+        raw_query = _start(staged, "parquet", raw_path, raw_checkpoint, trigger)
+        if trigger is None or trigger == "availableNow":
+            raw_query.awaitTermination()
+            if raw_query.exception() is not None:
+                raise raw_query.exception()
+        spark = source.sparkSession
+        curated = spark.readStream.schema(staged.schema).parquet(raw_path).drop("value")
+    else:
+        raise ValueError(f"unknown raw_format {raw_format!r}")
 
-    raw = dated.select(one_line("value").alias("value"), "day")
-    raw_writer = (
-        raw.writeStream.format("text")
-        .partitionBy("day")
-        .option("path", dataset_path(root, city, "raw"))
-        .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/raw")
-        .outputMode("append")
+    kept = dedup_stream(curated, order=order_cols).select(*CURATED_COLUMNS, "day")
+    curated_query = _start(
+        kept,
+        "json",
+        dataset_path(root, city, "curated"),
+        f"{checkpoint_root.rstrip('/')}/curated",
+        trigger,
+        ignoreNullFields="false",
     )
-    raw_query = _trigger(raw_writer, trigger).start()
+    return raw_query, curated_query
 
-    curated = project_curated(dated, keep=tuple(order_cols) + ("day",))
-    kept = dedup_stream(curated, order=order_cols).select(*CURATED_COLUMNS, "day")
-    curated_writer = (
-        kept.writeStream.format("json")
+
+def _start(df: DataFrame, fmt: str, path: str, checkpoint: str, trigger, **options):
+    writer = (
+        df.writeStream.format(fmt)
         .partitionBy("day")
-        .option("ignoreNullFields", "false")
-        .option("path", dataset_path(root, city, "curated"))
-        .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/curated")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
-    curated_query = _trigger(curated_writer, trigger).start()
-    return raw_query, curated_query
+    for name, value in options.items():
+        writer = writer.option(name, value)
+    return _trigger(writer, trigger).start()
 
 
 def stop_after(query: StreamingQuery, batches: int, timeout: float = 600.0) -> int:

@@ -169,3 +169,34 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     assert stop_after(query, 1, timeout=120) >= 1
     assert not query.isActive
     assert [r.seq for r in spark.read.schema(OBS).json(sink).collect()] == [1]
+
+
+def test_ingest_with_parquet_raw_archive_parses_once(spark, tmp_dir):
+    from airtrace.operators.dedup import drop_repeats as batch_dedup
+    from airtrace.sources.raw import read_parquet_archive
+
+    src, root, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    messages = [
+        (1, _payload(1, "2026-04-07T10:00:00+03:00", 40)),
+        (2, _payload(1, "2026-04-07T10:00:00+03:00", 40)),
+        (3, "not-json"),
+        (4, _payload(1, "2026-04-08T11:00:00+03:00", 60)),
+        (5, _payload(2, None, 7)),
+    ]
+    spark.createDataFrame(messages, "seq long, value string").write.parquet(src)
+    source = spark.readStream.schema("seq long, value string").parquet(src)
+    raw_q, cur_q = start_ingest(source, root, "sofia", ck, processing_date="2026-04-09",
+                                raw_format="parquet")
+    for q in (raw_q, cur_q):
+        q.awaitTermination()
+        assert q.exception() is None
+    archive = read_parquet_archive(spark, f"{root}/sofia/raw")
+    assert sorted(r.seq for r in archive.collect()) == [1, 2, 4, 5]
+    assert all("\n" not in r.value for r in archive.collect())
+    cur = read_curated(spark, f"{root}/sofia/curated").orderBy("timestamp").collect()
+    assert [(r.storage_day, r.aqi) for r in cur] == [("2026-04-07", 40), ("2026-04-08", 60)]
+    # batch replay of the Parquet archive: numeric order, no JSON parsing
+    replayed = batch_dedup(archive.drop("value"))
+    assert sorted(r.seq for r in replayed.collect()) == [1, 4]
+    plan = replayed._jdf.queryExecution().executedPlan().toString()
+    assert "parseJson" not in plan
