@@ -73,25 +73,28 @@ def drop_repeats(
     kept = _drop_repeats(complete, key, version, order, slice_size, slice_cols, observation)
     if initial_state is None:
         return kept
-    return _apply_state(complete, kept, initial_state, key, version, order)
+    arrival = [*(slice_cols or ()), order]
+    return _apply_state(complete, kept, initial_state, key, version, arrival)
 
 
-def _apply_state(complete, kept, state, key, version, order):
+def _apply_state(complete, kept, state, key, version, arrival):
     """Drop a station's first record when it equals the stored version.
 
     Only the first record of each station can be affected: every later one
-    is compared with a record of this run.  The first arrival per station is
-    a map-side aggregate (one row per station); the anti-join matches on
-    ``(station, order)``, which is unique, so no key is hot.
+    is compared with a record of this run.  The first arrival per station
+    (smallest arrival tuple, e.g. ``(file, block, line)``) is a map-side
+    aggregate (one row per station); the anti-join matches on ``(station,
+    arrival)``, which is unique, so no key is hot.
     """
     last = f"last_{version}"
-    first = complete.groupBy(key).agg(F.min(order).alias("_first"))
+    position = F.struct(*arrival)
+    first = complete.groupBy(key).agg(F.min(position).alias("_first"))
     stale = first.join(state.select(key, last), on=key).select(
         F.col(key).alias("_k"), "_first", F.col(last).alias("_stored")
     )
     cond = (
         (F.col(key) == F.col("_k"))
-        & (F.col(order) == F.col("_first"))
+        & (position == F.col("_first"))
         & (F.col(version) == F.col("_stored"))
     )
     return kept.join(stale, cond, "left_anti")

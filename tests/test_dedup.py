@@ -156,3 +156,13 @@ def test_drop_duplicates_is_not_change_detection(spark):
     distinct = sorted(r.timestamp for r in df.dropDuplicates(["station_key", "timestamp"]).collect())
     changes = [r[2] for r in run(spark, recs)]
     assert distinct == ["A", "B"] and changes == ["A", "B", "A"]
+
+
+def test_initial_state_with_slice_columns(spark):
+    """First arrival is the smallest (block, line), not the smallest line."""
+    recs = [(1, 0, "s", "A"), (0, 5, "s", "B"), (1, 1, "s", "B")]
+    df = spark.createDataFrame(recs, "block long, line long, station_key string, timestamp string")
+    state = spark.createDataFrame([("s", "B")], "station_key string, last_timestamp string")
+    out = drop_repeats(df, order="line", slice_cols=("block",), initial_state=state)
+    # arrival: (0,5) B [repeats state: dropped], (1,0) A, (1,1) B
+    assert sorted((r.block, r.line) for r in out.collect()) == [(1, 0), (1, 1)]
