@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrace.functions.aqi import aqi_category
@@ -193,6 +193,63 @@ def report_table(normalized: DataFrame, digits: int | None = None) -> DataFrame:
     return agg.select(F.inline(rows))
 
 
+def summary_table(normalized: DataFrame) -> DataFrame:
+    """The one-row summary (L3-L6) from one scan and one aggregate.
+
+    Same result as :func:`airtrace.operators.reports.summary` over the
+    report bundle, without computing the reports one by one: the single
+    grouping-sets aggregate is folded by one global aggregate in which
+    ``min_by`` with a composite ordering picks each extreme together with
+    its tie-break (highest average, then smallest hour or day; highest
+    count, then smallest name).  The strongest coefficient is chosen from
+    the three in a final projection (largest absolute value, ties in column
+    order, NULL and NaN skipped).  Empty input gives one row of NULLs.
+    """
+    ids, full = _set_ids()
+    agg = _bundle_aggregate(normalized)
+
+    def in_set(key: str) -> Column:
+        return (F.col("_set") == ids[key]) & F.col(f"_has_{key}")
+
+    def first_of(key: str, value: str, order: Column) -> Column:
+        return F.min_by(F.when(in_set(key), F.col(value)), F.when(in_set(key), order))
+
+    peak = F.struct(-F.col("avg_aqi"))
+    most = F.struct(-F.col("count"))
+    folded = agg.agg(
+        first_of("hour", "hour", F.struct(peak, F.col("hour"))).alias("peak_hour"),
+        first_of("hour", "avg_aqi", F.struct(peak, F.col("hour"))).alias("peak_avg_aqi"),
+        first_of("day", "day", F.struct(peak, F.col("day"))).alias("peak_day"),
+        first_of("day", "avg_aqi", F.struct(peak, F.col("day"))).alias("peak_day_avg_aqi"),
+        first_of("aqi_category", "aqi_category", F.struct(most, F.col("aqi_category")))
+        .alias("top_category"),
+        first_of("aqi_category", "count", F.struct(most, F.col("aqi_category")))
+        .alias("top_category_count"),
+        first_of("dominant_pollutant", "dominant_pollutant",
+                 F.struct(most, F.col("dominant_pollutant"))).alias("top_pollutant"),
+        first_of("dominant_pollutant", "count",
+                 F.struct(most, F.col("dominant_pollutant"))).alias("top_pollutant_count"),
+        *[
+            F.max(F.when(F.col("_set") == full, F.col(f"aqi_{m}_corr"))).alias(m)
+            for m in CORRELATED_METRICS
+        ],
+    )
+    # Strongest coefficient: a later metric wins only with a strictly larger
+    # absolute value, so ties go to the earlier column.
+    best_metric, best_value = F.lit(None).cast("string"), F.lit(None).cast("double")
+    for m in CORRELATED_METRICS:
+        c = F.col(m)
+        usable = c.isNotNull() & ~F.isnan(c)
+        better = usable & (best_value.isNull() | (F.abs(c) > F.abs(best_value)))
+        best_metric = F.when(better, F.lit(m)).otherwise(best_metric)
+        best_value = F.when(better, c).otherwise(best_value)
+    return folded.select(
+        *R.SUMMARY_COLUMNS[:8],
+        best_metric.alias("strongest_metric"),
+        best_value.alias("strongest_corr"),
+    )
+
+
 def run_reports(
     curated: DataFrame,
     tz: str = SESSION,
