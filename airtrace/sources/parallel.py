@@ -12,12 +12,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     is read by a single task, which then also runs all per-row work that
     follows it (JSON building and parsing, timestamp parsing).  When the scan
     has fewer partitions than ``min_partitions`` (default: the session's
-    default parallelism), the rows are redistributed round-robin so every
-    core shares that work.  A large input already has at least that many
-    splits and is returned unchanged, with no shuffle.
+    default parallelism, capped by ``spark.sql.shuffle.partitions`` so a
+    small input on a large cluster is not cut into thousands of tiny
+    tasks), the rows are redistributed round-robin so the cores share that
+    work.  A large input already has at least that many splits and is
+    returned unchanged, with no shuffle.
     """
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        spark = df.sparkSession
+        target = min_partitions or min(
+            spark.sparkContext.defaultParallelism,
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+        )
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
