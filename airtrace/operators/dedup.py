@@ -43,7 +43,7 @@ def drop_repeats(
     df: DataFrame,
     key: str = "station_key",
     version: str = "timestamp",
-    order: str = "seq",
+    order: str | list[str] | tuple[str, ...] = "seq",
     slice_size: int | None = DEFAULT_SLICE_SIZE,
     slice_cols: list[str] | tuple[str, ...] | None = None,
     initial_state: DataFrame | None = None,
@@ -60,20 +60,25 @@ def drop_repeats(
     seen and the repeats dropped while the query runs (A12).
 
     Records with a NULL key or version are dropped first (F3), without
-    touching any station's state.  ``order`` is the arrival order (unique per
-    row and station).  Slices of the arrival order, in order:
+    touching any station's state.  ``order`` is the arrival order, one
+    column or several compared left to right (``("partition", "offset")``),
+    unique per row and station.  Slices of the arrival order:
 
     * ``slice_cols`` - explicit sortable columns that the arrival order
       refines, e.g. ``(file, block)`` of an archive with ``order="line"``;
-    * else ``floor(order / slice_size)`` for a numeric ``order``;
-    * else (``slice_size=None`` or a non-numeric order without
+    * else the leading order columns and ``floor(last / slice_size)`` of a
+      numeric last order column (``(partition, floor(offset / n))``);
+    * else (``slice_size=None`` or a non-numeric last order column without
       ``slice_cols``) no slicing: a plain per-station ``lag``.
     """
+    order_cols = [order] if isinstance(order, str) else list(order)
     complete = complete_keys(df, key, version)
-    kept = _drop_repeats(complete, key, version, order, slice_size, slice_cols, observation)
+    kept = _drop_repeats(
+        complete, key, version, order_cols, slice_size, slice_cols, observation
+    )
     if initial_state is None:
         return kept
-    arrival = [*(slice_cols or ()), order]
+    arrival = [*(slice_cols or ()), *order_cols]
     return _apply_state(complete, kept, initial_state, key, version, arrival)
 
 
@@ -111,28 +116,30 @@ def _keep_changes(df: DataFrame, prev: Column, version: str, observation) -> Dat
     return df.where(~repeat)
 
 
-def _drop_repeats(complete, key, version, order, slice_size, slice_cols, observation=None):
+def _drop_repeats(complete, key, version, order_cols, slice_size, slice_cols, observation=None):
+    last = order_cols[-1]
     if slice_cols:
         slices = list(slice_cols)
-    elif slice_size and isinstance(complete.schema[order].dataType, NumericType):
+    elif slice_size and isinstance(complete.schema[last].dataType, NumericType):
         complete = complete.withColumn(
-            _SLICE, F.floor(F.col(order) / F.lit(int(slice_size))).cast("long")
+            _SLICE, F.floor(F.col(last) / F.lit(int(slice_size))).cast("long")
         )
-        slices = [_SLICE]
+        slices = [*order_cols[:-1], _SLICE]
     else:
-        prev = F.lag(version).over(Window.partitionBy(key).orderBy(order))
+        prev = F.lag(version).over(Window.partitionBy(key).orderBy(*order_cols))
         with_prev = complete.withColumn(_PREV, prev)
         return _keep_changes(with_prev, F.col(_PREV), version, observation).drop(_PREV)
 
     sliced = complete.repartition(key, *slices)
     in_slice = sliced.withColumn(
-        _PREV, F.lag(version).over(Window.partitionBy(key, *slices).orderBy(order))
+        _PREV, F.lag(version).over(Window.partitionBy(key, *slices).orderBy(*order_cols))
     )
     # Aggregated from the unshuffled rows: partial aggregation runs map-side,
     # so only one row per (station, slice, task) is exchanged.
+    position = F.struct(*order_cols) if len(order_cols) > 1 else F.col(last)
     carry = (
         complete.groupBy(key, *slices)
-        .agg(F.max_by(version, order).alias(_LAST))
+        .agg(F.max_by(version, position).alias(_LAST))
         .withColumn(_CARRY, F.lag(_LAST).over(Window.partitionBy(key).orderBy(*slices)))
         .drop(_LAST)
     )
@@ -147,7 +154,7 @@ def station_state(
     df: DataFrame,
     key: str = "station_key",
     version: str = "timestamp",
-    order: str = "seq",
+    order: str | list[str] | tuple[str, ...] = "seq",
 ) -> DataFrame:
     """Station -> version of its last accepted record, by arrival.
 
@@ -155,8 +162,10 @@ def station_state(
     record's version (not the greatest one).  ``max_by`` aggregates map-side,
     so a hot station costs one partial row per task.
     """
+    order_cols = [order] if isinstance(order, str) else list(order)
+    position = F.struct(*order_cols) if len(order_cols) > 1 else F.col(order_cols[0])
     return (
         complete_keys(df, key, version)
         .groupBy(key)
-        .agg(F.max_by(version, order).alias(f"last_{version}"))
+        .agg(F.max_by(version, position).alias(f"last_{version}"))
     )

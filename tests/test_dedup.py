@@ -166,3 +166,25 @@ def test_initial_state_with_slice_columns(spark):
     out = drop_repeats(df, order="line", slice_cols=("block",), initial_state=state)
     # arrival: (0,5) B [repeats state: dropped], (1,0) A, (1,1) B
     assert sorted((r.block, r.line) for r in out.collect()) == [(1, 0), (1, 1)]
+
+
+@pytest.mark.parametrize("slice_size", [None, 2, 1 << 20])
+def test_two_order_columns_match_brute_force(spark, slice_size):
+    rnd = random.Random(11)
+    recs = []
+    for part in range(3):
+        for offset in range(60):
+            recs.append((part, offset, rnd.choice(["hot", "hot", "a"]), rnd.choice(["A", "B"])))
+    schema = "partition int, offset long, station_key string, timestamp string"
+    df = spark.createDataFrame(recs, schema)
+    out = drop_repeats(df, order=["partition", "offset"], slice_size=slice_size)
+    got = sorted((r.partition, r.offset) for r in out.collect())
+    expected, last = [], {}
+    for part, offset, key, ts in sorted(recs):
+        if last.get(key) != ts:
+            expected.append((part, offset))
+        last[key] = ts
+    assert got == sorted(expected)
+    state = {r.station_key: r.last_timestamp for r in
+             station_state(df, order=["partition", "offset"]).collect()}
+    assert state == last
