@@ -33,3 +33,17 @@ def replay_raw(
     """Rebuild a city's curated archive from its raw archive."""
     raw = read_city_archive(spark, root, city)
     write_curated(curate_archive(raw, processing_date), out_root, city)
+
+
+def curate_parquet_archive(
+    archive: DataFrame, order: str | list[str] = "seq"
+) -> DataFrame:
+    """Change-detected curated records of a Parquet raw archive.
+
+    The archive (ingest with ``raw_format="parquet"``) already holds the
+    parse results and the arrival order, so the replay parses nothing and
+    slices each station by its stored order (e.g. ``(partition, offset)``).
+    """
+    order_cols = [order] if isinstance(order, str) else list(order)
+    kept = drop_repeats(archive.drop("value"), order=order_cols)
+    return kept.drop(*[c for c in order_cols if c in kept.columns])

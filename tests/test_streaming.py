@@ -198,5 +198,8 @@ def test_ingest_with_parquet_raw_archive_parses_once(spark, tmp_dir):
     # batch replay of the Parquet archive: numeric order, no JSON parsing
     replayed = batch_dedup(archive.drop("value"))
     assert sorted(r.seq for r in replayed.collect()) == [1, 4]
+    from airtrace.plans.replay import curate_parquet_archive
+
+    assert sorted(r.aqi for r in curate_parquet_archive(archive).collect()) == [40, 60]
     plan = replayed._jdf.queryExecution().executedPlan().toString()
     assert "parseJson" not in plan
