@@ -50,6 +50,11 @@ def _curated_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.curate(raw, processing_date=FALLBACK_DAY, keep=("seq",))
 
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for the streaming test queries: the session's cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(
         *[F.round(c, ROUND).alias(c) if c in cols else F.col(c) for c in df.columns]
@@ -116,7 +121,8 @@ def q_stream_dedup(spark, sf_dir):
         obs.where(half).write.mode("append").parquet(source_dir)
         stream = spark.readStream.schema(schema).parquet(source_dir)
         kept = dedup_stream(stream, version="dominant_pollutant")
-        run_available(kept, "parquet", sink_dir, f"{base}/checkpoint")
+        run_available(kept, "parquet", sink_dir, f"{base}/checkpoint",
+                      partitions=_cores(spark))
     out = spark.read.schema(schema).parquet(sink_dir)
     return out.select("seq", "station_key", "dominant_pollutant", "aqi")
 
@@ -251,7 +257,8 @@ def _stream_ingest(spark, sf_dir, raw_format):
         raw.write.mode("append").parquet(source_dir)
         stream = spark.readStream.schema(raw.schema).parquet(source_dir)
         for query in start_ingest(stream, root, "events-city", f"{base}/checkpoint",
-                                  processing_date=FALLBACK_DAY, raw_format=raw_format):
+                                  processing_date=FALLBACK_DAY, raw_format=raw_format,
+                                  partitions=_cores(spark)):
             query.awaitTermination()
             if query.exception() is not None:
                 raise query.exception()

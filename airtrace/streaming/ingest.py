@@ -14,6 +14,8 @@ stronger than commit-after-write).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +33,27 @@ from airtrace.sinks.files import one_line
 from airtrace.streaming.dedup_state import dedup_stream
 
 
+@contextmanager
+def state_partitions(spark, partitions: int | None):
+    """Number of state-store partitions for queries started inside the block.
+
+    A stateful query fixes its partition count (``spark.sql.shuffle.
+    partitions`` at its first start) for the life of its checkpoint, so it
+    is chosen deliberately: e.g. the cluster's cores.  The stream keeps its
+    own copy of the setting, so the session value is restored right after.
+    """
+    if not partitions:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(partitions)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -46,6 +69,7 @@ def start_ingest(
     order: str | list[str] = "seq",
     trigger: str | None = None,
     raw_format: str = "text",
+    partitions: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the raw and curated archive queries over a message stream.
 
@@ -61,7 +85,8 @@ def start_ingest(
     one-line ``value`` together with its parse results and arrival order;
     the second query streams that archive (no second parse) into change
     detection and the curated sink.  With ``availableNow`` the second query
-    is started after the first one has finished.
+    is started after the first one has finished.  ``partitions`` sets the
+    state partitions of a new checkpoint (see :func:`state_partitions`).
     """
     order_cols = [order] if isinstance(order, str) else list(order)
     parsed = parse_messages(source).observe(
@@ -93,14 +118,15 @@ def start_ingest(
         raise ValueError(f"unknown raw_format {raw_format!r}")
 
     kept = dedup_stream(curated, order=order_cols).select(*CURATED_COLUMNS, "day")
-    curated_query = _start(
-        kept,
-        "json",
-        dataset_path(root, city, "curated"),
-        f"{checkpoint_root.rstrip('/')}/curated",
-        trigger,
-        ignoreNullFields="false",
-    )
+    with state_partitions(source.sparkSession, partitions):
+        curated_query = _start(
+            kept,
+            "json",
+            dataset_path(root, city, "curated"),
+            f"{checkpoint_root.rstrip('/')}/curated",
+            trigger,
+            ignoreNullFields="false",
+        )
     return raw_query, curated_query
 
 
@@ -139,7 +165,14 @@ def stop_after(query: StreamingQuery, batches: int, timeout: float = 600.0) -> i
     return done
 
 
-def run_available(stream: DataFrame, fmt: str, path: str, checkpoint: str, **options) -> None:
+def run_available(
+    stream: DataFrame,
+    fmt: str,
+    path: str,
+    checkpoint: str,
+    partitions: int | None = None,
+    **options,
+) -> None:
     """Process everything available once into a file sink, then stop."""
     writer = (
         stream.writeStream.format(fmt)
@@ -150,7 +183,8 @@ def run_available(stream: DataFrame, fmt: str, path: str, checkpoint: str, **opt
     )
     for name, value in options.items():
         writer = writer.option(name, value)
-    query = writer.start()
+    with state_partitions(stream.sparkSession, partitions):
+        query = writer.start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

@@ -159,7 +159,8 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     from airtrace.streaming.ingest import stop_after
 
     src, sink, ck = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
-    _write_json(spark, [(1, "1", "A", 1), (2, "1", "A", 1)], src)
+    # one file: both rows arrive in the same micro-batch, ordered by seq
+    spark.createDataFrame([(1, "1", "A", 1), (2, "1", "A", 1)], OBS).coalesce(1).write.json(src)
     stream = spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).json(src)
     query = (
         dedup_stream(stream).writeStream.format("json")
@@ -203,3 +204,19 @@ def test_ingest_with_parquet_raw_archive_parses_once(spark, tmp_dir):
     assert sorted(r.aqi for r in curate_parquet_archive(archive).collect()) == [40, 60]
     plan = replayed._jdf.queryExecution().executedPlan().toString()
     assert "parseJson" not in plan
+
+
+def test_state_partitions_apply_to_new_checkpoint_only(spark, tmp_dir):
+    from airtrace.streaming.ingest import state_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    src, sink, ck = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    _write_json(spark, [(1, "1", "A", 1), (2, "2", "B", 1)], src)
+    stream = spark.readStream.schema(OBS).json(src)
+    run_available(dedup_stream(stream), "json", sink, ck, partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    import os
+
+    assert sorted(os.listdir(f"{ck}/state/0")) == ["0", "1", "2", "_metadata"]
+    with state_partitions(spark, None):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
