@@ -70,6 +70,11 @@ def drop_repeats(
       numeric last order column (``(partition, floor(offset / n))``);
     * else (``slice_size=None`` or a non-numeric last order column without
       ``slice_cols``) no slicing: a plain per-station ``lag``.
+
+    The sliced plan reads ``df`` twice (the rows, and the carry's partial
+    aggregate).  Pass a frame that is cheap to scan (a table, or one written
+    once with :func:`airtrace.plans.reports.materialize`) rather than one
+    that parses JSON on every read.
     """
     order_cols = [order] if isinstance(order, str) else list(order)
     complete = complete_keys(df, key, version)

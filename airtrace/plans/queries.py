@@ -22,7 +22,7 @@ from airtrace.operators import reports as R
 from airtrace.operators.dedup import drop_repeats, station_state
 from airtrace.operators.normalize import normalize
 from airtrace.plans.replay import curate_archive
-from airtrace.plans.reports import report_table, run_city_reports, summary_table
+from airtrace.plans.reports import materialize, report_table, run_city_reports, summary_table
 from airtrace.session import scratch_path
 from airtrace.sinks.files import one_line, write_curated
 from airtrace.sources.curated import read_city
@@ -242,7 +242,7 @@ def q_replay_archive(spark, sf_dir):
 
 def q_archive_daily_aqi(spark, sf_dir):
     """Curated JSONL archive written, scanned, reported."""
-    curated = drop_repeats(_curated_raw(spark, sf_dir))
+    curated = drop_repeats(materialize(_curated_raw(spark, sf_dir)))
     root = scratch_path(spark, "curated-archive")
     write_curated(curated, root, "events-city")
     return run_city_reports(spark, root, "events-city", tz=SOURCE)["daily_aqi"]

@@ -6,19 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airtrace.operators.curation import curate
 from airtrace.operators.dedup import drop_repeats
+from airtrace.plans.reports import materialize
 from airtrace.sinks.files import write_curated
 from airtrace.sources.raw import read_city_archive
 
 
-def curate_archive(raw: DataFrame, processing_date: str | None = None) -> DataFrame:
+def curate_archive(
+    raw: DataFrame, processing_date: str | None = None, materialize_curated: bool = True
+) -> DataFrame:
     """Curated, change-detected records of an archive frame.
 
     ``raw`` comes from :func:`airtrace.sources.raw.read_raw_archive`; its
     arrival order is (file, block, line).  Change detection slices each
     station by ``(file, block)`` - one input split - and orders by ``line``
     inside it, so a station that fills many files is spread over many tasks.
+
+    Change detection reads its input twice (the rows, and the per-slice
+    carry); so that the JSON is parsed once, the curated records (a small
+    fraction of the raw text) are first written as Parquet below the
+    checkpoint folder and both reads scan that copy.
     """
     curated = curate(raw, processing_date=processing_date, keep=("file", "block", "line"))
+    if materialize_curated:
+        curated = materialize(curated)
     kept = drop_repeats(curated, order="line", slice_cols=("file", "block"))
     return kept.drop("file", "block", "line")
 
