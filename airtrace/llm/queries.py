@@ -9,6 +9,11 @@ from __future__ import annotations
 from airtrace.llm.common import load
 from airtrace.llm.exact_dedup import exact_groups
 from airtrace.llm.fingerprints import digest, edited_fingerprints
+from airtrace.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
+from airtrace.llm.packing import pack
+from airtrace.llm.token_counts import count_all
+
+MAX_TOKENS = 1024
 
 
 def op1_fingerprints(spark, sf_dir):
@@ -26,9 +31,32 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_groups(load(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op5_mix_sources(spark, sf_dir):
+    """Every copy that the mix holds of each document, and its place."""
+    return mix(load(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "copy", "source", "n_chars", "position"
+    )
+
+
+def op8_pack(spark, sf_dir):
+    """Pieces of all documents, packed best-fit after dominance reduction."""
+    return pack(load(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark, sf_dir):
+    """Token counts of all texts with the whole-token shortcut."""
+    return count_all(load(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "cast(octet_length(coalesce(text, '')) as bigint) AS n_bytes", "n_tokens",
+        f"n_tokens > {MAX_TOKENS} AS over_limit",
+    )
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_mix_sources": op5_mix_sources,
+    "op8_pack": op8_pack,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLES = {
@@ -42,4 +70,19 @@ ORACLES = {
              first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id
       FROM t)
     SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op5_mix_sources": f"""
+    WITH RECURSIVE n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    r AS (SELECT source, pow(n, {TEMPERATURE}) / (SELECT sum(pow(n, {TEMPERATURE})) FROM n)
+                         * {EPOCHS} * (SELECT sum(n) FROM n) / n AS rate FROM n),
+    cdf(source, rate, k, p, below) AS (
+      SELECT source, rate, 0, exp(-rate), CAST(0 AS DOUBLE) FROM r
+      UNION ALL
+      SELECT source, rate, k + 1, p * rate / (k + 1), below + p FROM cdf
+      WHERE k < ceil(rate + 12 * sqrt(rate) + 30)),
+    d AS (SELECT *, CAST('0x' || substr(md5('{SEED}/' || doc_id), 1, 13) AS BIGINT) / pow(2, 52) AS u
+          FROM documents)
+    SELECT d.doc_id, CAST(cdf.k - 1 AS INTEGER) AS copy, d.source, d.n_chars,
+           CAST('0x' || substr(md5('{SEED + 1}/' || d.doc_id || '/' || (cdf.k - 1)), 1, 13) AS BIGINT)
+             / pow(2, 52) AS position
+    FROM d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source AND cdf.k > 0 AND cdf.below <= d.u""",
 }
