@@ -6,14 +6,18 @@ table and derives the contract's columns from the operator's output.
 
 from __future__ import annotations
 
-from airtrace.llm.common import load
+from airtrace.llm.common import fold, load
 from airtrace.llm.exact_dedup import exact_groups
 from airtrace.llm.fingerprints import digest, edited_fingerprints
+from airtrace.llm.langid import fit as fit_languages
+from airtrace.llm.langid import identify
 from airtrace.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from airtrace.llm.packing import pack
+from airtrace.llm.quality import fit_quality, score_quality
 from airtrace.llm.token_counts import count_all
 
 MAX_TOKENS = 1024
+QUALITY_THRESHOLD = 0.3
 
 
 def op1_fingerprints(spark, sf_dir):
@@ -26,6 +30,15 @@ def op1_fingerprints(spark, sf_dir):
     )
 
 
+def op3_language_id(spark, sf_dir):
+    """Language of every text, learnt from two of three folds."""
+    docs = load(spark, sf_dir, "documents")
+    model = fit_languages(docs.where(fold("doc_id", 3) != 1))
+    return identify(docs, model).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Groups of texts that are equal without their white space."""
     return exact_groups(load(spark, sf_dir, "documents"), hash_all=True)
@@ -38,6 +51,18 @@ def op5_mix_sources(spark, sf_dir):
     )
 
 
+def op6_quality(spark, sf_dir):
+    """Quality of every text by compression, learnt from four of five folds."""
+    docs = load(spark, sf_dir, "documents")
+    model = fit_quality(docs, load(spark, sf_dir, "labels"), where=fold("_id", 5) != 0,
+                        dictionary_where=fold("_id", 5) != 4)
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+        (scored["score"] >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_pack(spark, sf_dir):
     """Pieces of all documents, packed best-fit after dominance reduction."""
     return pack(load(spark, sf_dir, "documents"))
@@ -53,8 +78,10 @@ def op9_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op6_quality": op6_quality,
     "op8_pack": op8_pack,
     "op9_token_counts": op9_token_counts,
 }
