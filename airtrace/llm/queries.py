@@ -15,9 +15,11 @@ from airtrace.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from airtrace.llm.packing import pack
 from airtrace.llm.quality import fit_quality, score_quality
 from airtrace.llm.token_counts import count_all
+from airtrace.llm.toxicity import fit_toxicity, score_toxicity
 
 MAX_TOKENS = 1024
 QUALITY_THRESHOLD = 0.3
+TOXIC_THRESHOLD = 0.5
 
 
 def op1_fingerprints(spark, sf_dir):
@@ -63,6 +65,18 @@ def op6_quality(spark, sf_dir):
     )
 
 
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of every text, learnt from four of five folds."""
+    docs = load(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, load(spark, sf_dir, "labels"), where=fold("_id", 5) != 0,
+                         part=fold("_id", 5) - 1)
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+        (scored["score"] >= TOXIC_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_pack(spark, sf_dir):
     """Pieces of all documents, packed best-fit after dominance reduction."""
     return pack(load(spark, sf_dir, "documents"))
@@ -82,6 +96,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_pack": op8_pack,
     "op9_token_counts": op9_token_counts,
 }
