@@ -78,3 +78,34 @@ def left_join_groups(
     )
     found = F.coalesce("_hot", "_cold")
     return joined.select(*rows.columns, *[found[c].alias(c) for c in cols])
+
+
+def key_bitmap(keys: DataFrame, hashed: Column, bits: int) -> DataFrame:
+    """The 64-bit numbers ``hashed`` of ``keys`` as a bitmap of ``2**bits`` bits.
+
+    One row for each page of 32,768 bits (``_page``, ``_map``); at most
+    ``2**bits / 8`` bytes whatever the number of keys, so it may be broadcast.
+    """
+    slot = hashed.bitwiseAND(F.lit((1 << bits) - 1))
+    return (
+        keys.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 15).alias("_page"))
+        .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(32767))).alias("_map"))
+    )
+
+
+def mark_keys(rows: DataFrame, bitmap: DataFrame, hashed: Column, bits: int, out: str) -> DataFrame:
+    """``rows`` with ``out``: whether the bitmap may hold ``hashed``.
+
+    Never false for a key it was built from; true for others that share a bit.
+    """
+    slot = hashed.bitwiseAND(F.lit((1 << bits) - 1))
+    place = (F.shiftright(slot, 3).bitwiseAND(F.lit(4095)) + 1).cast("int")
+    byte = F.conv(F.hex(F.substring("_map", place, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, slot.bitwiseAND(F.lit(7)).cast("int"))
+    return (
+        rows.withColumn("_page", F.shiftright(slot, 15))
+        .join(F.broadcast(bitmap), "_page", "left")
+        .withColumn(out, F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+        .drop("_page", "_map")
+    )

@@ -20,7 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airtrace.llm.common import left_join_groups, whole_text, write_through
+from airtrace.llm.common import (
+    key_bitmap,
+    left_join_groups,
+    mark_keys,
+    whole_text,
+    write_through,
+)
 
 #: log2 of the bitmap's bits: 2**24 bits are 2 MB at most.
 SURVIVOR_BITS = 24
@@ -34,19 +40,6 @@ def normalised(text: Column) -> Column:
     return text
 
 
-def _slot(bits: int) -> Column:
-    return F.xxhash64("_len", "_prefix").bitwiseAND(F.lit((1 << bits) - 1))
-
-
-def _survivor_bitmap(groups: DataFrame, bits: int) -> DataFrame:
-    """One row per 32,768 slots: the bitmap of the surviving groups."""
-    return (
-        groups.select(_slot(bits).alias("slot"))
-        .groupBy(F.shiftright("slot", 15).alias("_page"))
-        .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(32767))).alias("_map"))
-    )
-
-
 def exact_groups(
     docs: DataFrame,
     *,
@@ -84,21 +77,13 @@ def exact_groups(
         .where("of_length > 1").select("_len")
     )
     surviving = by_prefix.where("n > 1").join(by_length, "_len", "left_semi")
-    bitmap = _survivor_bitmap(surviving, bits)
-    slot = _slot(bits)
-    byte = F.substring("_map", (F.shiftright(slot, 3).bitwiseAND(F.lit(4095)) + 1).cast("int"), F.lit(1))
-    shift = slot.bitwiseAND(F.lit(7)).cast("int")
-    bit = F.call_function("shiftright", F.conv(F.hex(byte), 16, 10).cast("int"), shift)
-    bit = bit.bitwiseAND(F.lit(1))
+    group_hash = F.xxhash64("_len", "_prefix")
     digest = F.sha2("_norm", 256)
-    scanned = (
-        base.withColumns({"_len": F.octet_length("_norm"),
-                          "_prefix": F.xxhash64(F.left("_norm", F.lit(prefix_chars)))})
-        .withColumn("_page", F.shiftright(slot, 15))
-        .join(F.broadcast(bitmap), "_page", "left")
-        .withColumn("_survives", F.coalesce(bit == 1, F.lit(False)))
-        .withColumn("_sha", digest if hash_all else F.when(F.col("_survives"), digest))
-    )
+    scanned = base.withColumns({"_len": F.octet_length("_norm"),
+                                "_prefix": F.xxhash64(F.left("_norm", F.lit(prefix_chars)))})
+    scanned = mark_keys(scanned, key_bitmap(surviving, group_hash, bits), group_hash, bits,
+                        "_survives")
+    scanned = scanned.withColumn("_sha", digest if hash_all else F.when(F.col("_survives"), digest))
     hashed = write_through(
         scanned.select("_id", "_chars", "_sha", F.when(F.col("_survives"), F.col("_sha")).alias("_key")),
         "exact-hashed",

@@ -12,6 +12,7 @@ from airtrace.llm.fingerprints import digest, edited_fingerprints
 from airtrace.llm.langid import fit as fit_languages
 from airtrace.llm.langid import identify
 from airtrace.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
+from airtrace.llm.near_dups import near_groups
 from airtrace.llm.packing import pack
 from airtrace.llm.quality import fit_quality, score_quality
 from airtrace.llm.token_counts import count_all
@@ -32,6 +33,11 @@ def op1_fingerprints(spark, sf_dir):
     )
 
 
+def op2_minhash(spark, sf_dir):
+    """Near-duplicate components of all documents over 2-word shingles."""
+    return near_groups(load(spark, sf_dir, "documents"), k=2)
+
+
 def op3_language_id(spark, sf_dir):
     """Language of every text, learnt from two of three folds."""
     docs = load(spark, sf_dir, "documents")
@@ -92,6 +98,7 @@ def op9_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_minhash": op2_minhash,
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
