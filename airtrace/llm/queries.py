@@ -11,6 +11,7 @@ from airtrace.llm.exact_dedup import exact_groups
 from airtrace.llm.fingerprints import digest, edited_fingerprints
 from airtrace.llm.langid import fit as fit_languages
 from airtrace.llm.langid import identify
+from airtrace.llm.maxent_lm import score_texts
 from airtrace.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from airtrace.llm.near_dups import near_groups
 from airtrace.llm.packing import pack
@@ -96,6 +97,11 @@ def op9_token_counts(spark, sf_dir):
     )
 
 
+def op10_maxent_lm(spark, sf_dir):
+    """Language-model scores of all texts, learnt from four of five folds."""
+    return score_texts(load(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_minhash": op2_minhash,
@@ -106,6 +112,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_pack": op8_pack,
     "op9_token_counts": op9_token_counts,
+    "op10_maxent_lm": op10_maxent_lm,
 }
 
 ORACLES = {
