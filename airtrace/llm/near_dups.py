@@ -441,3 +441,26 @@ def near_groups(
         F.col("_id").eqNullSafe(F.when(F.col("_id").isNotNull(), component)).alias("kept"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
     )
+
+
+def drop_near_copies(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
+) -> DataFrame:
+    """``docs`` without the rows whose id is not their component's smallest.
+
+    All columns stay.  Rows that repeat the id that stays go as well, but
+    one; rows without an id and texts without words stay.
+    """
+    flagged = write_through(
+        near_groups(docs, id_col=id_col, text_col=text_col, k=k, percent=percent), "near-flags")
+    gone = flagged.where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
+    stay = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    repeated = (
+        flagged.where(F.col("kept") & F.col(id_col).isNotNull() & (F.col("n_shingles") > 0))
+        .groupBy(F.col(id_col).alias("_again")).agg(F.count("*").alias("n")).where("n > 1").select("_again")
+    )
+    if repeated.isEmpty():
+        return stay
+    once = stay.join(repeated, stay[id_col] == F.col("_again"), "left_anti")
+    again = stay.join(repeated, stay[id_col] == F.col("_again"), "left_semi")
+    return once.unionByName(again.dropDuplicates([id_col]))
