@@ -4,7 +4,6 @@ from airtrace.functions.aqi import aqi_category
 from airtrace.functions.payload import (
     day_key,
     geo_value,
-    parse_payload,
     payload_double,
     payload_int,
     payload_string,
@@ -19,7 +18,6 @@ __all__ = [
     "day_key",
     "event_time",
     "geo_value",
-    "parse_payload",
     "payload_double",
     "payload_int",
     "payload_string",

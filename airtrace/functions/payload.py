@@ -17,6 +17,8 @@ a single call instead of dozens of small Column calls from Python.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,28 +48,31 @@ def _in(values: tuple[str, ...]) -> str:
     return ", ".join(_text(v) for v in values)
 
 
+#: Closing element of the array a message is wrapped in; drawn anew in each
+#: driver process, so no message can hold it.
+_SENTINEL = f"end-{uuid.uuid4().hex}"
+
+
 def parse_wrapped(value: Column | str) -> Column:
-    """The message text parsed as the only element of a JSON array."""
+    """The message text parsed as the first of two elements of a JSON array."""
     text = F.col(value) if isinstance(value, str) else value
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]')))
 
 
 def single_value(wrapped: Column) -> Column:
-    """The element of a parsed ``[ message ]`` array, if it is the only one.
-
-    ``try_parse_json`` alone accepts trailing garbage (``{"a":1} x``); wrapping
-    the text in brackets and requiring exactly one array element rejects it,
-    as well as empty text and ``{..},{..}``.  Scalars, arrays and ``null`` are
-    valid JSON and stay valid (``null`` gives a VARIANT null, not SQL NULL).
+    """The first element of a parsed ``[message, sentinel]`` array, if strict.
+
+    The parser stops at the end of the first value, so ``{"a":1} x`` alone
+    and ``{"a":1}] x`` inside brackets would pass.  A message is one JSON
+    value only when the sentinel follows it as the second and last element;
+    a bracket or comma of the message itself moves or cuts off the sentinel.
+    Scalars, arrays and ``null`` are valid JSON and stay valid (``null``
+    gives a VARIANT null, not SQL NULL).
     """
     first = F.try_variant_get(wrapped, "$[0]", "variant")
-    second = F.try_variant_get(wrapped, "$[1]", "variant")
-    return F.when(first.isNotNull() & second.isNull(), first)
-
-
-def parse_payload(value: Column | str) -> Column:
-    """VARIANT of a message holding exactly one JSON value, else NULL."""
-    return single_value(parse_wrapped(value))
+    second = F.try_variant_get(wrapped, "$[1]", "string")
+    third = F.try_variant_get(wrapped, "$[2]", "variant")
+    return F.when(first.isNotNull() & (second == _SENTINEL) & third.isNull(), first)
 
 
 # --- SQL text builders ---------------------------------------------------------

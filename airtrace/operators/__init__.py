@@ -7,13 +7,14 @@ from airtrace.operators.curation import (
     messages_per_day,
     parse_messages,
     project_curated,
-    skip_counters,
+    observe_keys,
+    skip_counts,
     status_ok,
     validity_counts,
     with_day,
 )
 from airtrace.operators.dedup import drop_repeats, station_state
-from airtrace.operators.normalize import ensure_pollutants, non_null_pollutants, normalize
+from airtrace.operators.normalize import ensure_pollutants, normalize
 from airtrace.operators.reports import (
     aqi_category_distribution,
     average_pollutants,
@@ -38,12 +39,12 @@ __all__ = [
     "ensure_pollutants",
     "hourly_aqi",
     "messages_per_day",
-    "non_null_pollutants",
     "normalize",
     "parse_messages",
     "preview",
     "project_curated",
-    "skip_counters",
+    "observe_keys",
+    "skip_counts",
     "station_state",
     "status_ok",
     "strongest_correlation",

@@ -9,6 +9,7 @@ malformed message costs one NULL, never a Python round trip or a job failure.
 from __future__ import annotations
 
 import itertools
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -42,14 +43,31 @@ def message_text(value: Column | str = "value") -> Column:
     return F.try_validate_utf8(col.cast("string"))
 
 
+@contextmanager
+def last_key_wins(spark):
+    """Repeated keys of a JSON object are allowed, the last one counts.
+
+    Spark binds the setting to an expression when the expression is analysed,
+    so it is set only while the parse is built and then restored.
+    """
+    key = "spark.sql.variant.allowDuplicateKeys"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the parsed ``payload`` VARIANT (NULL when not valid JSON).
 
-    The parse is its own projection; the validity test above it reads the
+    Of repeated keys in an object the last one wins.  The parse is its own projection; the validity test above it reads the
     parsed value several times without parsing again (Catalyst does not
     merge a projection whose expensive result is used more than once).
     """
-    wrapped = df.withColumn(_WRAPPED, parse_wrapped(F.col(value)))
+    with last_key_wins(df.sparkSession):
+        wrapped = df.withColumn(_WRAPPED, parse_wrapped(F.col(value)))
     return wrapped.withColumn(PAYLOAD, single_value(F.col(_WRAPPED))).drop(_WRAPPED)
 
 
@@ -106,9 +124,14 @@ def project_curated(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     A payload without a ``data`` object still yields a record (all fields
     NULL, ``pollutants`` empty).  ``station_key`` is the untyped station id
     as text, used by de-duplication (so ``42`` and ``"42"`` are one station
-    even though the typed ``station_id`` of ``"42"`` is NULL).
+    even though the typed ``station_id`` of ``"42"`` is NULL).  A column of
+    ``keep`` that is not there is an error, so an arrival order cannot get
+    lost.
     """
-    passthrough = [c for c in keep if c in df.columns]
+    missing = [c for c in keep if c not in df.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} among {', '.join(df.columns)}")
+    passthrough = list(keep)
     return df.select(
         *curated_columns(PAYLOAD),
         station_key(PAYLOAD).alias("station_key"),
@@ -175,14 +198,41 @@ def validity_counts(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def skip_counters(
+def observe_keys(
     curated: DataFrame,
-    observation: Observation,
+    observation: Observation | str,
     key: str = "station_key",
     version: str = "timestamp",
 ) -> DataFrame:
-    """Attach counters of incomplete dedup keys to a curated frame."""
+    """Count records with and without a complete dedup key as they pass."""
+    incomplete = F.col(key).isNull() | F.col(version).isNull()
     return curated.observe(
         observation,
-        F.count_if(F.col(key).isNull() | F.col(version).isNull()).alias("incomplete_keys"),
+        F.count_if(incomplete).alias("incomplete_keys"),
+        F.count_if(~incomplete).alias("complete_keys"),
     )
+
+
+def skip_counts(
+    raw: DataFrame, curated: DataFrame, kept: DataFrame,
+    key: str = "station_key", version: str = "timestamp",
+) -> DataFrame:
+    """One row of what the stages of a batch curation left out.
+
+    ``raw`` are the messages, ``curated`` the records of the valid ones and
+    ``kept`` what change detection kept of the complete ones.  Three scans
+    with partial counts; only sums are exchanged.
+    """
+    incomplete = F.col(key).isNull() | F.col(version).isNull()
+    zero = F.lit(0).cast("long")
+    invalid = parse_messages(raw).agg(
+        F.count_if(F.col(PAYLOAD).isNull()).alias("invalid_json"), F.max(zero).alias("incomplete_keys"),
+        F.max(zero).alias("repeats_dropped"))
+    keys = curated.agg(
+        F.max(zero).alias("invalid_json"), F.count_if(incomplete).alias("incomplete_keys"),
+        F.count_if(~incomplete).alias("repeats_dropped"))
+    rest = kept.agg(
+        F.max(zero).alias("invalid_json"), F.max(zero).alias("incomplete_keys"),
+        (-F.count("*")).alias("repeats_dropped"))
+    counts = invalid.unionByName(keys).unionByName(rest)
+    return counts.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in counts.columns])

@@ -16,14 +16,6 @@ def ensure_pollutants(df: DataFrame) -> DataFrame:
     return df.withColumn("pollutants", F.lit(None).cast(POLLUTANT_MAP_TYPE))
 
 
-def non_null_pollutants(df: DataFrame) -> DataFrame:
-    """Replace a NULL or empty pollutant map by an empty map."""
-    return df.withColumn(
-        "pollutants",
-        F.coalesce(F.col("pollutants"), F.create_map().cast(POLLUTANT_MAP_TYPE)),
-    )
-
-
 def normalize(df: DataFrame, tz: str = SESSION) -> DataFrame:
     """Curated records -> analysable observations.
 

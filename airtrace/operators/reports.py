@@ -1,11 +1,10 @@
 """Report tables over normalized observations.
 
-All reports are partial + final hash aggregations to a handful of groups
-(24 hours, one row per day, six bands, one per pollutant key), so the only
-shuffle moves one partial row per group and task.  Because a report's size
-is bounded by its key domain and not by the data, its final order is
-established in one task (``coalesce(1)`` + sort): this skips the sampling
-job and the extra shuffle of a range-partitioned global sort.
+All reports are partial + final hash aggregations, so their shuffle moves
+one partial row per group and task, and the final aggregate runs in as many
+tasks as the shuffle has partitions.  Only finished report rows are then put
+in order: in one task where the key domain is closed (24 hours, the days,
+six bands), by a range sort where it is open text (pollutant keys).
 """
 
 from __future__ import annotations
@@ -19,8 +18,12 @@ from airtrace.schemas import CORRELATED_METRICS
 
 
 def sort_small(report: DataFrame, *order) -> DataFrame:
-    """Total order of a small report, sorted inside a single task."""
-    return report.coalesce(1).orderBy(*order)
+    """Total order of a report of a closed key domain.
+
+    The rows are exchanged into one task after the final aggregate, which
+    itself stays parallel (a ``coalesce(1)`` would pull it into that task).
+    """
+    return report.repartition(1).sortWithinPartitions(*order)
 
 
 def hourly_aqi(df: DataFrame) -> DataFrame:
@@ -66,7 +69,7 @@ def average_pollutants(df: DataFrame) -> DataFrame:
             F.avg("value").alias("avg_value"),
             F.count("value").alias("measurement_count"),
         )
-        .transform(sort_small, F.desc("measurement_count"), F.asc("pollutant"))
+        .orderBy(F.desc("measurement_count"), F.asc("pollutant"))
     )
 
 
@@ -76,7 +79,7 @@ def dominant_pollutants(df: DataFrame) -> DataFrame:
         df.where(F.col("dominant_pollutant").isNotNull())
         .groupBy("dominant_pollutant")
         .count()
-        .transform(sort_small, F.desc("count"), F.asc("dominant_pollutant"))
+        .orderBy(F.desc("count"), F.asc("dominant_pollutant"))
     )
 
 
@@ -102,7 +105,7 @@ def preview(df: DataFrame, n: int = 5, order: str | list[str] | None = None) ->
 def _peak(report: DataFrame, key: str, prefix: str) -> DataFrame:
     """Row of the largest average; ties go to the smallest key (L3)."""
     return (
-        sort_small(report, F.desc_nulls_last("avg_aqi"), F.asc(key))
+        report.orderBy(F.desc_nulls_last("avg_aqi"), F.asc(key))
         .limit(1)
         .select(
             F.col(key).alias(f"{prefix}_{key}" if key != prefix else prefix),
@@ -124,7 +127,7 @@ def strongest_correlation(correlations: DataFrame) -> DataFrame:
         f"stack({len(CORRELATED_METRICS)}, {pairs}) as (position, metric, coefficient)"
     ).where("coefficient is not null and not isnan(coefficient)")
     return (
-        sort_small(long, F.desc(F.abs("coefficient")), F.asc("position"))
+        long.orderBy(F.desc(F.abs("coefficient")), F.asc("position"))
         .limit(1)
         .select(
             F.col("metric").alias("strongest_metric"),

@@ -45,194 +45,139 @@ def materialize(df: DataFrame, columns: tuple[str, ...] | None = None) -> DataFr
     return spark.read.parquet(path)
 
 
-_KEYS = ("hour", "day", "aqi_category", "dominant_pollutant", "pollutant")
-
-
-def _bundle_aggregate(normalized: DataFrame) -> DataFrame:
-    """One aggregate holding every report (see :func:`single_pass_reports`)."""
-    first = F.col("_pos").isNull() | (F.col("_pos") == 0)
-    rows = normalized.select(
-        "hour",
-        "day",
-        aqi_category("aqi").alias("aqi_category"),
-        "dominant_pollutant",
-        "aqi",
-        *CORRELATED_METRICS,
-        F.posexplode_outer("pollutants").alias("_pos", "pollutant", "value"),
+_KEYS = ("hour", "day", "aqi_category", "dominant_pollutant")
+
+
+def observation_cube(normalized: DataFrame) -> DataFrame:
+    """Sum and count of the AQI by (hour, day, band, dominant pollutant).
+
+    One aggregate of the narrow observation rows; every report but the
+    pollutant averages and the coefficients rolls up from it.  AQI values
+    are integers, so their sums are exact and averages of the cube equal
+    averages of the rows.
+    """
+    return (
+        normalized.select("hour", "day", aqi_category("aqi").alias("aqi_category"), "dominant_pollutant", "aqi")
+        .groupBy(*_KEYS)
+        .agg(F.sum("aqi").alias("sum_aqi"), F.count("aqi").alias("n_aqi"), F.count("*").alias("n"))
+    )
+
+
+def _rolled(cube: DataFrame) -> DataFrame:
+    """(report key columns, _key, avg_aqi, count) of each single-key rollup."""
+    sets = [[k] for k in _KEYS]
+    ids = _set_ids()
+    which = F.create_map(*[x for k in _KEYS for x in (F.lit(ids[k]), F.lit(k))])
+    return (
+        cube.groupingSets(sets, *_KEYS)
+        .agg((F.sum("sum_aqi") / F.sum("n_aqi")).alias("avg_aqi"), F.sum("n").alias("count"),
+             F.max(F.grouping_id()).cast("int").alias("_set"))
+        .withColumn("_key", which[F.col("_set")])
     )
-    aqi = F.when(first, F.col("aqi"))
-    metrics = [
-        F.avg(aqi).alias("avg_aqi"),
-        F.count(F.when(first, F.lit(1))).alias("count"),
-        F.avg("value").alias("avg_value"),
-        F.count("value").alias("measurement_count"),
-    ]
-    for metric in CORRELATED_METRICS:
-        other = F.when(first, F.col(metric))
-        metrics.append(
-            F.try_divide(
-                F.covar_samp(aqi, other), F.stddev_samp(aqi) * F.stddev_samp(other)
-            ).alias(f"aqi_{metric}_corr")
-        )
-    # The set marker and the "key present" flags are aggregate outputs, not
-    # grouping keys, so filters on them stay above the aggregate.
-    markers = [F.max(F.grouping_id()).alias("_set")] + [
-        F.max(F.col(k).isNotNull()).alias(f"_has_{k}") for k in _KEYS
-    ]
-    sets = [[k] for k in _KEYS] + [[]]
-    return rows.groupingSets(sets, *_KEYS).agg(*metrics, *markers)
-
-
-def _set_ids() -> tuple[dict[str, int], int]:
+
+
+def _set_ids() -> dict[str, int]:
     """grouping_id of each single-key set (first column = highest bit)."""
     full = (1 << len(_KEYS)) - 1
-    return {k: full ^ (1 << (len(_KEYS) - 1 - i)) for i, k in enumerate(_KEYS)}, full
+    return {k: full ^ (1 << (len(_KEYS) - 1 - i)) for i, k in enumerate(_KEYS)}
 
 
 def single_pass_reports(
     normalized: DataFrame, persist: bool = True
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """All six reports from one scan and one aggregate.
-
-    The pollutant map is exploded with ``posexplode_outer``, so an
-    observation yields one row per reading (at least one).  One aggregate
-    over the grouping sets (hour), (day), (band), (dominant pollutant),
-    (pollutant) and () computes every report at once; observation-level
-    measures only count the first row of each observation, pollutant
-    measures count every reading.  Partial aggregation runs before the
-    shuffle, so only a few rows per group and task move.  The aggregate is
-    bounded by the key domains (24 hours, the days, six bands, the pollutant
-    keys), so it is persisted and each report is a filter of it: the input
-    is read once for the whole bundle.  Returns the reports and the
-    persisted aggregate (``unpersist`` it when done).  For one table holding
-    every report, computed in one plan, see :func:`report_table`.
+    """All six reports; four of them from one persisted cube.
+
+    Hours, days, bands and dominant pollutants roll up from
+    :func:`observation_cube`, computed once; pollutant averages and the
+    coefficients are aggregates of their own over the columns they read.
+    Returns the reports and the cube (``unpersist`` it when done).
     """
-    bundle = _bundle_aggregate(normalized)
+    cube = observation_cube(normalized)
     if persist:
-        bundle = bundle.persist()
-    ids, full = _set_ids()
-
-    def part(key: str | None) -> DataFrame:
-        if key is None:
-            return bundle.where(F.col("_set") == full)
-        return bundle.where((F.col("_set") == ids[key]) & F.col(f"_has_{key}"))
-
-    out = {
-        "hourly_aqi": R.sort_small(part("hour").select("hour", "avg_aqi"), "hour"),
-        "daily_aqi": R.sort_small(part("day").select("day", "avg_aqi"), "day"),
-        "aqi_category_distribution": R.sort_small(
-            part("aqi_category").select("aqi_category", "count"),
-            F.desc("count"), F.asc("aqi_category"),
-        ),
-        "average_pollutants": R.sort_small(
-            part("pollutant").select("pollutant", "avg_value", "measurement_count"),
-            F.desc("measurement_count"), F.asc("pollutant"),
-        ),
-        "dominant_pollutants": R.sort_small(
-            part("dominant_pollutant").select("dominant_pollutant", "count"),
-            F.desc("count"), F.asc("dominant_pollutant"),
-        ),
-        "weather_correlations": part(None).select(
-            *[f"aqi_{m}_corr" for m in CORRELATED_METRICS]
-        ),
-    }
-    return out, bundle
+        cube = cube.persist()
+
+    def mean(key: str) -> DataFrame:
+        out = cube.where(F.col(key).isNotNull()).groupBy(key)
+        return R.sort_small(out.agg((F.sum("sum_aqi") / F.sum("n_aqi")).alias("avg_aqi")), key)
+
+    def number(key: str) -> DataFrame:
+        out = cube.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("count"))
+        return out.orderBy(F.desc("count"), F.asc(key))
+
+    return {
+        "hourly_aqi": mean("hour"),
+        "daily_aqi": mean("day"),
+        "aqi_category_distribution": number("aqi_category"),
+        "average_pollutants": R.average_pollutants(normalized),
+        "dominant_pollutants": number("dominant_pollutant"),
+        "weather_correlations": R.weather_correlations(normalized),
+    }, cube
 
 
 def report_table(normalized: DataFrame, digits: int | None = None) -> DataFrame:
-    """Every report as rows of one long table, from one scan.
+    """Every report as rows of one long table.
 
     Columns ``report, key, value, n``: ``value`` is the average (AQI or
     reading) or the coefficient, ``n`` the count where the report has one.
-    Each row of the single aggregate belongs to exactly one report; a CASE
-    on the grouping set picks its report, key and measures, and the global
-    row expands into the three correlation rows.  One linear plan, no union,
-    so nothing is computed twice.  ``digits`` rounds the floating values.
+    Three aggregates of narrow projections: the rollups of the cube, the
+    exploded pollutant readings, and one global row of coefficients, which
+    an empty input has as well.  ``digits`` rounds the floating values.
     """
-    ids, full = _set_ids()
-    agg = _bundle_aggregate(normalized)
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     names = {
-        "hour": "hourly_aqi",
-        "day": "daily_aqi",
-        "aqi_category": "aqi_category_distribution",
-        "pollutant": "average_pollutants",
+        "hour": "hourly_aqi", "day": "daily_aqi", "aqi_category": "aqi_category_distribution",
         "dominant_pollutant": "dominant_pollutants",
     }
-    value = {
-        "hour": F.col("avg_aqi"),
-        "day": F.col("avg_aqi"),
-        "aqi_category": F.lit(None).cast("double"),
-        "pollutant": rnd(F.col("avg_value")),
-        "dominant_pollutant": F.lit(None).cast("double"),
-    }
-    count = {
-        "hour": F.lit(None).cast("long"),
-        "day": F.lit(None).cast("long"),
-        "aqi_category": F.col("count"),
-        "pollutant": F.col("measurement_count"),
-        "dominant_pollutant": F.col("count"),
-    }
-
-    def entry(report, key, val, n):
-        return F.struct(
-            F.lit(report).alias("report"), key.cast("string").alias("key"),
-            val.cast("double").alias("value"), n.cast("long").alias("n"),
-        )
-
-    keyed = None
-    for k in names:
-        row = F.array(entry(names[k], F.col(k), value[k], count[k]))
-        cond = (F.col("_set") == ids[k]) & F.col(f"_has_{k}")
-        keyed = F.when(cond, row) if keyed is None else keyed.when(cond, row)
-    corr = F.array(*[
-        entry("weather_correlations", F.lit(m), rnd(F.col(f"aqi_{m}_corr")), F.lit(None))
-        for m in CORRELATED_METRICS
-    ])
-    rows = keyed.when(F.col("_set") == full, corr)
-    return agg.select(F.inline(rows))
+    is_mean = F.col("_key").isin("hour", "day")
+    key = F.coalesce(*[F.when(F.col("_key") == k, F.col(k).cast("string")) for k in _KEYS])
+    report = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("_key")]
+    rolled = _rolled(observation_cube(normalized)).select(
+        report.alias("report"), key.alias("key"), F.when(is_mean, F.col("avg_aqi")).alias("value"),
+        F.when(~is_mean, F.col("count")).alias("n"),
+    ).where(F.col("key").isNotNull())
+    readings = (
+        normalized.select(F.explode("pollutants").alias("key", "_value")).groupBy("key")
+        .agg(rnd(F.avg("_value")).alias("value"), F.count("_value").alias("n"))
+        .select(F.lit("average_pollutants").alias("report"), "key", "value", "n")
+    )
+    entries = ", ".join(f"'{m}', aqi_{m}_corr" for m in CORRELATED_METRICS)
+    coefficients = R.weather_correlations(normalized).selectExpr(
+        f"stack({len(CORRELATED_METRICS)}, {entries}) as (key, value)"
+    ).select(F.lit("weather_correlations").alias("report"), "key", rnd(F.col("value")).alias("value"),
+             F.lit(None).cast("long").alias("n"))
+    return rolled.unionByName(readings).unionByName(coefficients)
 
 
 def summary_table(normalized: DataFrame) -> DataFrame:
-    """The one-row summary (L3-L6) from one scan and one aggregate.
+    """The one-row summary (L3-L6) from the cube and the coefficients.
 
     Same result as :func:`airtrace.operators.reports.summary` over the
-    report bundle, without computing the reports one by one: the single
-    grouping-sets aggregate is folded by one global aggregate in which
-    ``min_by`` with a composite ordering picks each extreme together with
-    its tie-break (highest average, then smallest hour or day; highest
-    count, then smallest name).  The strongest coefficient is chosen from
-    the three in a final projection (largest absolute value, ties in column
-    order, NULL and NaN skipped).  Empty input gives one row of NULLs.
+    report bundle, in two scans: the cube's rollups, and one global
+    aggregate with the coefficients.  A final aggregate over both picks each
+    extreme together with its tie-break by ``min_by`` with a composite
+    ordering (highest average, then smallest hour or day; highest count,
+    then smallest name).  The strongest coefficient has the largest absolute
+    value, ties in column order, NULL and NaN skipped.  Empty input gives
+    one row of NULLs.
     """
-    ids, full = _set_ids()
-    agg = _bundle_aggregate(normalized)
-
-    def in_set(key: str) -> Column:
-        return (F.col("_set") == ids[key]) & F.col(f"_has_{key}")
+    rolled = _rolled(observation_cube(normalized)).unionByName(
+        R.weather_correlations(normalized), allowMissingColumns=True)
 
     def first_of(key: str, value: str, order: Column) -> Column:
-        return F.min_by(F.when(in_set(key), F.col(value)), F.when(in_set(key), order))
-
-    peak = F.struct(-F.col("avg_aqi"))
-    most = F.struct(-F.col("count"))
-    folded = agg.agg(
-        first_of("hour", "hour", F.struct(peak, F.col("hour"))).alias("peak_hour"),
-        first_of("hour", "avg_aqi", F.struct(peak, F.col("hour"))).alias("peak_avg_aqi"),
-        first_of("day", "day", F.struct(peak, F.col("day"))).alias("peak_day"),
-        first_of("day", "avg_aqi", F.struct(peak, F.col("day"))).alias("peak_day_avg_aqi"),
-        first_of("aqi_category", "aqi_category", F.struct(most, F.col("aqi_category")))
-        .alias("top_category"),
-        first_of("aqi_category", "count", F.struct(most, F.col("aqi_category")))
-        .alias("top_category_count"),
-        first_of("dominant_pollutant", "dominant_pollutant",
-                 F.struct(most, F.col("dominant_pollutant"))).alias("top_pollutant"),
-        first_of("dominant_pollutant", "count",
-                 F.struct(most, F.col("dominant_pollutant"))).alias("top_pollutant_count"),
-        *[
-            F.max(F.when(F.col("_set") == full, F.col(f"aqi_{m}_corr"))).alias(m)
-            for m in CORRELATED_METRICS
-        ],
+        there = (F.col("_key") == key) & F.col(key).isNotNull()
+        return F.min_by(F.when(there, F.col(value)), F.when(there, F.struct(order, F.col(key))))
+
+    peak, most = -F.col("avg_aqi"), -F.col("count")
+    folded = rolled.agg(
+        first_of("hour", "hour", peak).alias("peak_hour"),
+        first_of("hour", "avg_aqi", peak).alias("peak_avg_aqi"),
+        first_of("day", "day", peak).alias("peak_day"),
+        first_of("day", "avg_aqi", peak).alias("peak_day_avg_aqi"),
+        first_of("aqi_category", "aqi_category", most).alias("top_category"),
+        first_of("aqi_category", "count", most).alias("top_category_count"),
+        first_of("dominant_pollutant", "dominant_pollutant", most).alias("top_pollutant"),
+        first_of("dominant_pollutant", "count", most).alias("top_pollutant_count"),
+        *[F.max(f"aqi_{m}_corr").alias(m) for m in CORRELATED_METRICS],
     )
     # Strongest coefficient: a later metric wins only with a strictly larger
     # absolute value, so ties go to the earlier column.
@@ -264,9 +209,9 @@ def run_reports(
     several reports will be collected, ``reuse`` avoids re-scanning the
     input for each: ``"parquet"`` materializes the narrow normalized input
     once (see :func:`materialize`), ``"cache"`` persists it (memory, then
-    disk) for the caller to ``unpersist``, ``"single_pass"`` computes all
-    reports with one scan and one aggregate (:func:`single_pass_reports`;
-    its small aggregate stays cached until ``spark.catalog.clearCache()``).
+    disk) for the caller to ``unpersist``, ``"single_pass"`` rolls four
+    reports up from one cached cube (:func:`single_pass_reports`; it stays
+    cached until ``spark.catalog.clearCache()``).
     """
     normalized = normalize(curated, tz=tz)
     if reuse == "single_pass":
