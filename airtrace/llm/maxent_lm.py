@@ -208,15 +208,15 @@ class Tables:
         sizes = np.array([len(b) // 4 for b in blobs])
         return np.where(ids >= 0, ids, self.n_hot - 1 - ids), np.concatenate([[0], np.cumsum(sizes)[:-1]])
 
-    def history(self, codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """Hashes of the history features, one row per feature."""
-        n = len(codes)
-        place = np.arange(n) - np.repeat(begins, np.diff(np.append(begins, n)))
+    def history(self, codes: np.ndarray, begins: np.ndarray, a: int, b: int) -> np.ndarray:
+        """Hashes of the history features of tokens a to b, one row per feature."""
+        at = np.arange(a, b)
+        place = at - begins[np.searchsorted(begins, at, side="right") - 1]
         back = []
         for d in (1, 2, 3):
-            p = np.full(n, self.start, dtype=np.int64)
+            p = np.full(b - a, self.start, dtype=np.int64)
             ok = place >= d
-            p[ok] = codes[np.flatnonzero(ok) - d]
+            p[ok] = codes[at[ok] - d]
             back.append(p)
         one, two, three = back
         pair = self.coarse[two] * 4096 + self.coarse[one]
@@ -249,9 +249,9 @@ def log_probs(codes: np.ndarray, begins: np.ndarray, t: Tables, by_class: np.nda
     """Natural log-probability of every token (of the rest class, where the
     word itself is outside the hot list)."""
     out = np.empty(len(codes))
-    h = t.history(codes, begins)
     for a in range(0, len(codes), _BLOCK):
-        code, part = codes[a : a + _BLOCK], h[:, a : a + _BLOCK]
+        code = codes[a : a + _BLOCK]
+        part = t.history(codes, begins, a, a + len(code))
         cls = t.cls[code]
         lp = _softmax(by_class, t.class_rows(part), t.class_bias)
         value = lp[np.arange(len(code)), cls] + t.inside[code]
@@ -285,9 +285,10 @@ class Learner:
             self.touched[k][at] += np.diff(np.append(first, len(r)))
 
     def learn(self, codes: np.ndarray, begins: np.ndarray) -> None:
-        t, h = self.t, self.t.history(codes, begins)
+        t = self.t
         for a in range(0, len(codes), BATCH):
-            code, part = codes[a : a + BATCH], h[:, a : a + BATCH]
+            code = codes[a : a + BATCH]
+            part = t.history(codes, begins, a, a + len(code))
             cls = t.cls[code]
             rows = t.class_rows(part)
             slope = np.exp(_softmax(self.weights[0], rows, t.class_bias))
