@@ -3,8 +3,8 @@
 Tokens are words (A-Z in lower case) and an end.  The probability of a token
 after its history is P(class | history) * P(token | class, history).  Both
 factors are softmaxes over weights summed from hashed features of the
-history: the previous word, the previous two, and skips to the second and
-third word back.  The most frequent words stand in head classes of ``WIDTH``
+history: the previous word, the previous two, and a skip to the second word
+back.  The most frequent words stand in head classes of ``WIDTH``
 words each, cut by frequency; every other word belongs to one of ``REST``
 classes by its ending, inside which its probability is its smoothed count
 over the class's mass.  With all weights at 0 the model is the unigram model.
@@ -32,22 +32,22 @@ from pyspark.sql import functions as F
 
 from airtrace.llm.common import whole_text, write_through
 
-CLASSES = 32
-REST = 8
+CLASSES = 16
+REST = 4
 WIDTH = 32
 HEAD = (CLASSES - REST) * WIDTH
 #: Words with at least 1/HOT_WORDS of all training tokens are broadcast, so
 #: there are at most HOT_WORDS of them.
-HOT_WORDS = 100_000
+HOT_WORDS = 1_000_000
 CLASS_BITS = 14
 WORD_BITS = 15
 ROUNDS = 2
 RATE = 0.15
-BATCH = 8192
+BATCH = 16384
 END = "\n"  # no word holds white space
 _FLUSH = 400_000
 _BLOCK = 1 << 16
-_FEATURES = 4
+_FEATURES = 3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -128,6 +128,13 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(tuple(named), c, total, distinct, np.maximum(masses, 0.5))
 
 
+class _Ranks(dict):
+    """hot word -> rank; any other word -> -1 - rest class."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - rest_class(word.decode())
+
+
 def encode(docs: DataFrame, id_col: str, text_col: str, train: Column, vocabulary: Vocabulary) -> DataFrame:
     """One row per text: ids of its tokens, and its words outside the hot list.
 
@@ -138,23 +145,17 @@ def encode(docs: DataFrame, id_col: str, text_col: str, train: Column, vocabular
     rows = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"), train.alias("_train"))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = {w: i for i, w in enumerate(shared.value)}
+        rank = _Ranks({w: i for i, w in enumerate(shared.value)})
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             blobs, tails, times = [], [], []
             for value in batch.column("_text"):
                 tokens = words(value.as_py())
                 tokens.append(END.encode())
-                ids = [rank.get(w) for w in tokens]
-                tail: Counter = Counter()
-                if None in ids:
-                    for i, w in enumerate(tokens):
-                        if ids[i] is None:
-                            word = w.decode()
-                            tail[word] += 1
-                            ids[i] = -1 - rest_class(word)
-                blobs.append(np.array(ids, dtype="<i4").tobytes())
-                tails.append(list(tail))
+                ids = np.array(list(map(rank.__getitem__, tokens)), dtype="<i4")
+                tail = Counter([tokens[i] for i in np.flatnonzero(ids < 0)])
+                blobs.append(ids.tobytes())
+                tails.append([w.decode() for w in tail])
                 times.append(list(tail.values()))
             keys = pa.array(range(row, row + len(blobs)), pa.int64())
             row += len(blobs)
@@ -213,14 +214,14 @@ class Tables:
         at = np.arange(a, b)
         place = at - begins[np.searchsorted(begins, at, side="right") - 1]
         back = []
-        for d in (1, 2, 3):
+        for d in (1, 2):
             p = np.full(b - a, self.start, dtype=np.int64)
             ok = place >= d
             p[ok] = codes[at[ok] - d]
             back.append(p)
-        one, two, three = back
+        one, two = back
         pair = self.coarse[two] * 4096 + self.coarse[one]
-        raw = np.stack([one, pair, two, three]).astype(np.uint64) * np.uint64(_FEATURES)
+        raw = np.stack([one, pair, two]).astype(np.uint64) * np.uint64(_FEATURES)
         raw += np.arange(_FEATURES, dtype=np.uint64)[:, None]
         h = (raw + np.uint64(1)) * _MIX
         return (h ^ (h >> np.uint64(31))) * _MIX2
@@ -237,9 +238,9 @@ class Tables:
 
 def _softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Log-probabilities from summed weight rows."""
-    z = weights[rows[0]] + bias
+    z = weights.take(rows[0], axis=0) + bias
     for r in rows[1:]:
-        z += weights[r]
+        z += weights.take(r, axis=0)
     z -= z.max(axis=1, keepdims=True)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
@@ -270,7 +271,7 @@ class Learner:
     def __init__(self, t: Tables, by_class: np.ndarray, by_word: np.ndarray) -> None:
         self.t = t
         self.weights = [by_class.copy(), by_word.copy()]
-        self.squares = [np.full(w.shape, 1.0, dtype=np.float32) for w in self.weights]
+        self.squares = [np.full(len(w), 1.0, dtype=np.float32) for w in self.weights]  # a step size per row
         self.touched = [np.zeros(len(w), dtype=np.int64) for w in self.weights]
 
     def _update(self, k: int, rows: np.ndarray, slope: np.ndarray) -> None:
@@ -278,10 +279,11 @@ class Learner:
             order = np.argsort(r, kind="stable")
             ranked = r[order]
             first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            at = ranked[first]
-            g = np.add.reduceat(slope[order], first, axis=0)
-            self.squares[k][at] += g * g
-            self.weights[k][at] -= RATE * g / np.sqrt(self.squares[k][at])
+            at = ranked[first].astype(np.intp)
+            g = np.add.reduceat(slope.take(order, axis=0), first, axis=0)
+            self.squares[k][at] += np.einsum("ij,ij->i", g, g) / np.float32(WIDTH)
+            g *= (RATE / np.sqrt(self.squares[k][at]))[:, None]
+            self.weights[k][at] -= g
             self.touched[k][at] += np.diff(np.append(first, len(r)))
 
     def learn(self, codes: np.ndarray, begins: np.ndarray) -> None:
@@ -322,9 +324,10 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
                     learner.learn(*learner.t.codes(batch.column(0).to_pylist()))
             for k in (0, 1):
                 at = np.flatnonzero(learner.touched[k])
-                values = pa.ListArray.from_arrays(
-                    np.arange(0, len(at) * WIDTH + 1, WIDTH, dtype=np.int32),
-                    pa.array(learner.weights[k][at].ravel(), pa.float32()))
+                wide = np.zeros((len(at), max(CLASSES, WIDTH)), dtype=np.float32)
+                wide[:, : learner.weights[k].shape[1]] = learner.weights[k][at]
+                ends = np.arange(0, wide.size + 1, wide.shape[1], dtype=np.int32)
+                values = pa.ListArray.from_arrays(ends, pa.array(wide.ravel(), pa.float32()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), k), pa.int32()), pa.array(at, pa.int32()),
                      pa.array(learner.touched[k][at], pa.int64()), values],
@@ -332,13 +335,13 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
 
         share = encoded.where("_train").where(F.pmod(F.xxhash64("_row"), F.lit(rounds)) == turn)
         parts = share.select("ids").mapInArrow(learn, "k int, row int, n long, w array<float>")
-        means = [(F.sum(F.col("w")[i] * F.col("n")) / F.sum("n")).cast("float") for i in range(WIDTH)]
+        means = [(F.sum(F.col("w")[i] * F.col("n")) / F.sum("n")).cast("float") for i in range(max(CLASSES, WIDTH))]
         merged = parts.groupBy("k", "row").agg(F.array(*means).alias("w")).toArrow()
         weights = [model.by_class.copy(), model.by_word.copy()]
         k, row = (np.array(merged[c].to_pylist(), dtype=np.int64) for c in ("k", "row"))
-        values = np.array(merged["w"].to_pylist(), dtype=np.float32).reshape(-1, WIDTH)
+        values = np.array(merged["w"].to_pylist(), dtype=np.float32).reshape(len(k), -1)
         for i in (0, 1):
-            weights[i][row[k == i]] = values[k == i]
+            weights[i][row[k == i]] = values[k == i, : weights[i].shape[1]]
         model = replace(model, by_class=weights[0], by_word=weights[1])
         shared.unpersist()
     return model
