@@ -339,7 +339,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
         merged = parts.groupBy("k", "row").agg(F.array(*means).alias("w")).toArrow()
         weights = [model.by_class.copy(), model.by_word.copy()]
         k, row = (np.array(merged[c].to_pylist(), dtype=np.int64) for c in ("k", "row"))
-        values = np.array(merged["w"].to_pylist(), dtype=np.float32).reshape(len(k), -1)
+        values = np.array(merged["w"].to_pylist(), dtype=np.float32).reshape(len(k), max(CLASSES, WIDTH))
         for i in (0, 1):
             weights[i][row[k == i]] = values[k == i, : weights[i].shape[1]]
         model = replace(model, by_class=weights[0], by_word=weights[1])
