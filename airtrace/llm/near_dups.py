@@ -179,6 +179,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()),
                  pa.array(out[2], longs), pa.array(out[3], longs)],
                 ["n", "_set", "bands", "sketch"])
+        pa.default_memory_pool().release_unused()  # the worker lives on for other stages
 
     signed = F.arrow_udf(sign, schema)
     return rows.select("_id", signed("_text").alias("s")).select("_id", "s.*")

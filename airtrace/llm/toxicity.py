@@ -75,7 +75,7 @@ class Lookup(dict):
     A cache over the lexicon, emptied when it holds ``limit`` words.
     """
 
-    limit = 300_000
+    limit = 100_000
 
     def __init__(self, lexicon: dict[str, float]) -> None:
         super().__init__()
