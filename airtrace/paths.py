@@ -50,11 +50,26 @@ def day_path(root: str, city: str, kind: str, day: str) -> str:
     return join_path(root, city, kind, f"day={day}")
 
 
-def curated_input_paths(root: str, city: str) -> list[str]:
-    """Inputs of the curated scan.
+def _file_system(spark, path: str):
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
-    The ``day=`` directory layout is read through the folder itself (so that
-    partition discovery and pruning apply); a flat layout of ``*.jsonl``
-    day files written by other tools is read by its glob.
+
+def is_streamed(spark, path: str) -> bool:
+    """Whether a streaming file sink has written this folder (its log is there).
+
+    Spark reads only the files that the sink's log lists, so files that a
+    batch job adds to such a folder would be invisible.
     """
-    return [dataset_path(root, city, "curated")]
+    fs, at = _file_system(spark, f"{path.rstrip('/')}/_spark_metadata")
+    return bool(fs.exists(at))
+
+
+def curated_layout(spark, path: str) -> str:
+    """``partitioned`` if the folder holds ``day=`` folders, else ``flat``."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at):
+        return "partitioned"
+    days = any(s.isDirectory() and s.getPath().getName().startswith("day=") for s in fs.listStatus(at))
+    return "partitioned" if days else "flat"

@@ -21,13 +21,13 @@ from airtrace.operators import curation as C
 from airtrace.operators import reports as R
 from airtrace.operators.dedup import drop_repeats, station_state
 from airtrace.operators.normalize import normalize
-from airtrace.plans.replay import curate_archive
+from airtrace.plans.replay import curate_archive, curate_parquet_archive, replay_raw
 from airtrace.plans.reports import materialize, report_table, run_city_reports, summary_table
 from airtrace.session import scratch_path
-from airtrace.sinks.files import one_line, write_curated
+from airtrace.paths import dataset_path
+from airtrace.sinks.files import one_line, write_curated, write_raw, write_raw_ordered
 from airtrace.sources.curated import read_city
-from airtrace.sources.parallel import spread
-from airtrace.sources.raw import read_raw_archive
+from airtrace.sources.raw import read_parquet_archive, read_raw_archive
 from airtrace.sources.testdata import FALLBACK_DAY, load_table, observations, raw_payloads
 from airtrace.streaming.dedup_state import dedup_stream
 from airtrace.streaming.ingest import run_available, start_ingest
@@ -113,7 +113,7 @@ def q_stream_dedup(spark, sf_dir):
     half only sees the first through the state store.  The sink is read back
     and must equal the batch ``lag`` form.
     """
-    obs = spread(C.with_record_day(_observations(spark, sf_dir), FALLBACK_DAY))
+    obs = C.with_record_day(_observations(spark, sf_dir), FALLBACK_DAY)
     base = scratch_path(spark, "stream-dedup")
     source_dir, sink_dir = f"{base}/source", f"{base}/sink"
     schema = obs.schema
@@ -282,6 +282,144 @@ def q_stream_ingest_parse_once(spark, sf_dir):
     return _stream_ingest(spark, sf_dir, "parquet")
 
 
+# --- arrival order, counters and odd inputs ------------------------------------
+
+#: Arrival order of the late messages: the residue of the event number first,
+#: so every part of the archive sweeps the whole month again.
+_RESIDUES = 97
+_ARRIVAL = f"(event_id % {_RESIDUES}) * 1000000000 + event_id"
+_LATE_STATIONS = 50
+_LATE_ISO = "concat(substring(CAST(ts AS STRING), 1, 10), 'T00:00:00Z')"
+
+
+def _late_messages(events):
+    """Messages of few stations with day-coarse times, in late arrival order."""
+    return events.selectExpr(
+        f"{_ARRIVAL} AS seq", "event_id",
+        f"to_json(named_struct('status', 'ok', 'data', named_struct('idx', user_id % {_LATE_STATIONS}, "
+        f"'aqi', CAST(floor(value) AS INT), 'time', named_struct('iso', {_LATE_ISO})))) AS value",
+    )
+
+
+def q_replay_streamed_archive(spark, sf_dir):
+    """The Parquet raw archive of a stream replayed by its order.
+
+    Three runs bring the messages in late arrival order (each run sweeps all
+    days, so days come late and times change back); the archive they leave
+    is replayed and must equal change detection over the arrival order.
+    """
+    base = scratch_path(spark, "streamed-archive")
+    late = _late_messages(load_table(spark, sf_dir, "events"))
+    bounds = (0, 33, 66, _RESIDUES)
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        part = late.where(f"event_id % {_RESIDUES} >= {low} AND event_id % {_RESIDUES} < {high}")
+        part.select("seq", "value").write.mode("append").parquet(f"{base}/source")
+        stream = spark.readStream.schema("seq BIGINT, value STRING").parquet(f"{base}/source")
+        for query in start_ingest(stream, base, "late-city", f"{base}/checkpoint",
+                                  processing_date=FALLBACK_DAY, partitions=_cores(spark)):
+            query.awaitTermination()
+            if query.exception() is not None:
+                raise query.exception()
+    archive = read_parquet_archive(spark, dataset_path(base, "late-city", "raw"))
+    return curate_parquet_archive(archive).select("station_key", "timestamp", "aqi")
+
+
+def q_replay_twice(spark, sf_dir):
+    """A batch raw archive with its order, replayed twice.
+
+    The second replay replaces the days that the first one wrote.
+    """
+    base = scratch_path(spark, "replay-twice")
+    late = _late_messages(load_table(spark, sf_dir, "events"))
+    dated = C.curate(late, processing_date=FALLBACK_DAY, keep=("seq", "value"))
+    write_raw_ordered(dated, base, "late-city")
+    for _ in range(2):
+        replay_raw(spark, base, "late-city", base, processing_date=FALLBACK_DAY, order="seq")
+    curated = read_city(spark, base, "late-city")
+    return curated.groupBy("storage_day").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("aqi").cast("long").alias("sum_aqi"))
+
+
+def q_skip_counters(spark, sf_dir):
+    """Invalid messages, incomplete keys and repeats, over every event."""
+    events = load_table(spark, sf_dir, "events")
+    raw = raw_payloads(events)
+    curated = materialize(_curated_raw(spark, sf_dir))
+    kept = drop_repeats(curated)
+    return C.skip_counts(raw, curated, kept)
+
+
+def q_status_gate(spark, sf_dir):
+    """messages whose status is not ok are left out, by station."""
+    events = load_table(spark, sf_dir, "events")
+    raw = events.selectExpr(
+        "event_id AS seq",
+        "to_json(named_struct('status', CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END, "
+        "'data', named_struct('idx', user_id))) AS value")
+    gated = C.curate(raw, processing_date=FALLBACK_DAY, require_status_ok=True)
+    return gated.groupBy("station_key").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _sparse(spark, sf_dir):
+    """Observations with NULL dominant pollutants, NULL maps and all weather."""
+    return _observations(spark, sf_dir).selectExpr(
+        "seq", "timestamp", "station_id", "station_name", "latitude", "longitude", "aqi",
+        "CASE WHEN dominant_pollutant <> 'error' THEN dominant_pollutant END AS dominant_pollutant",
+        "CASE WHEN seq % 3 <> 0 THEN pollutants END AS pollutants",
+        "temperature", "humidity", "wind", "CAST(aqi AS DOUBLE) + 1000 AS pressure",
+        "temperature - 5 AS dew",
+    )
+
+
+def q_sparse_reports(spark, sf_dir):
+    """Reports over NULL buckets, NULL maps and no map column."""
+    sparse = _sparse(spark, sf_dir)
+    norm = normalize(sparse, tz=SOURCE)
+    mapless = normalize(sparse.drop("pollutants"), tz=SOURCE)
+    dominant = R.dominant_pollutants(norm).selectExpr(
+        "'dominant' AS report", "dominant_pollutant AS key", "count AS n")
+    readings = R.average_pollutants(norm).selectExpr(
+        "'readings' AS report", "pollutant AS key", "measurement_count AS n")
+    empty = mapless.agg(F.count_if(F.size("pollutants") == 0).alias("n")).selectExpr(
+        "'empty maps' AS report", "CAST(NULL AS STRING) AS key", "n")
+    return dominant.unionByName(readings).unionByName(empty)
+
+
+def q_report_order(spark, sf_dir):
+    """L1: the rows of the closed-domain reports with their positions."""
+    norm = _normalized(spark, sf_dir)
+    at = F.monotonically_increasing_id().alias("position")  # one sorted task
+    hourly = R.hourly_aqi(norm).select(F.lit("hourly").alias("report"), F.col("hour").cast("string").alias("key"), at)
+    daily = R.daily_aqi(norm).select(F.lit("daily").alias("report"), F.col("day").alias("key"), at)
+    bands = R.aqi_category_distribution(norm).select(
+        F.lit("bands").alias("report"), F.col("aqi_category").alias("key"), at)
+    return materialize(hourly).unionByName(materialize(daily)).unionByName(materialize(bands))
+
+
+def q_written_jsonl(spark, sf_dir):
+    """K2-K5: curated JSON lines read back as text; written nulls by day."""
+    root = scratch_path(spark, "written-jsonl")
+    sparse = C.with_record_day(_sparse(spark, sf_dir), FALLBACK_DAY)
+    write_curated(sparse, root, "port")
+    lines = spark.read.schema("value STRING, day STRING").text(dataset_path(root, "port", "curated"))
+    return lines.groupBy("day").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("value").contains('"dominant_pollutant":null')).alias("null_dominant"),
+        F.count_if(F.col("value").contains('"pollutants":null')).alias("null_maps"),
+        F.count_if(F.col("value").contains('"pressure":1')).alias("pressures"),
+    )
+
+
+def q_raw_text_archive(spark, sf_dir):
+    """Raw messages as day-partitioned text, read back by day."""
+    root = scratch_path(spark, "raw-text")
+    raw = raw_payloads(load_table(spark, sf_dir, "events"))
+    dated = C.curate(raw, processing_date=FALLBACK_DAY, keep=("seq", "value"))
+    write_raw(dated, root, "port")
+    back = read_raw_archive(spark, dataset_path(root, "port", "raw"))
+    return C.messages_per_day(C.curate(back, processing_date=FALLBACK_DAY, keep=()))
+
+
 QUERIES: dict[str, QueryFn] = {
     "hourly_aqi": q_hourly_aqi,
     "daily_aqi": q_daily_aqi,
@@ -307,6 +445,14 @@ QUERIES: dict[str, QueryFn] = {
     "archive_daily_aqi": q_archive_daily_aqi,
     "stream_ingest": q_stream_ingest,
     "stream_ingest_parse_once": q_stream_ingest_parse_once,
+    "replay_streamed_archive": q_replay_streamed_archive,
+    "replay_twice": q_replay_twice,
+    "skip_counters": q_skip_counters,
+    "status_gate": q_status_gate,
+    "sparse_reports": q_sparse_reports,
+    "report_order": q_report_order,
+    "written_jsonl": q_written_jsonl,
+    "raw_text_archive": q_raw_text_archive,
 }
 
 
@@ -487,3 +633,50 @@ ORACLES.update({
 })
 
 ORACLES["report_summary_one_scan"] = ORACLES["report_summary"]
+
+_LATE = f"""
+WITH late AS (
+  SELECT {_ARRIVAL} AS seq, CAST(user_id % {_LATE_STATIONS} AS VARCHAR) AS station_key,
+         strftime(ts, '%Y-%m-%d') || 'T00:00:00Z' AS "timestamp", strftime(ts, '%Y-%m-%d') AS day,
+         CAST(floor(value) AS INTEGER) AS aqi
+  FROM events),
+kept AS (
+  SELECT * FROM (
+    SELECT *, lag("timestamp") OVER (PARTITION BY station_key ORDER BY seq) AS prev FROM late)
+  WHERE prev IS DISTINCT FROM "timestamp")
+"""
+
+ORACLES.update({
+    "replay_streamed_archive": _LATE + 'SELECT station_key, "timestamp", aqi FROM kept',
+    "replay_twice": _LATE
+    + """SELECT day AS storage_day, count(*) AS records, CAST(sum(aqi) AS BIGINT) AS sum_aqi
+    FROM kept GROUP BY day""",
+    "skip_counters": _RAW + _KEPT
+    + """SELECT CAST((SELECT count(*) FILTER (WHERE event_id % 10 = 0) FROM events) AS BIGINT) AS invalid_json,
+           CAST(count(*) FILTER (WHERE "timestamp" IS NULL) AS BIGINT) AS incomplete_keys,
+           CAST(count(*) FILTER (WHERE "timestamp" IS NOT NULL) - (SELECT count(*) FROM kept) AS BIGINT)
+             AS repeats_dropped
+    FROM cur""",
+    "status_gate": """SELECT CAST(user_id AS VARCHAR) AS station_key, count(*) AS messages
+    FROM events WHERE event_type <> 'error' GROUP BY user_id""",
+    "sparse_reports": _OBS
+    + """SELECT 'dominant' AS report, dominant_pollutant AS key, count(*) AS n FROM obs
+           WHERE dominant_pollutant <> 'error' GROUP BY 2
+    UNION ALL SELECT 'readings', pollutant, count(v) FROM (
+      SELECT dominant_pollutant AS pollutant, value AS v FROM obs WHERE seq % 3 <> 0
+      UNION ALL SELECT 'k', k FROM obs WHERE seq % 3 <> 0) GROUP BY 2
+    UNION ALL SELECT 'empty maps', NULL, count(*) FROM obs""",
+    "report_order": _OBS
+    + f"""SELECT 'hourly' AS report, CAST(hour AS VARCHAR) AS key,
+           row_number() OVER (ORDER BY hour) - 1 AS position FROM (SELECT DISTINCT hour FROM obs)
+    UNION ALL SELECT 'daily', day, row_number() OVER (ORDER BY day) - 1 FROM (SELECT DISTINCT day FROM obs)
+    UNION ALL SELECT 'bands', c, row_number() OVER (ORDER BY n DESC, c) - 1
+      FROM (SELECT {_CATEGORY} AS c, count(*) AS n FROM obs GROUP BY 1)""",
+    "written_jsonl": _OBS
+    + """SELECT day, count(*) AS lines,
+           count(*) FILTER (WHERE dominant_pollutant = 'error') AS null_dominant,
+           count(*) FILTER (WHERE seq % 3 = 0) AS null_maps,
+           count(*) FILTER (WHERE CAST(aqi + 1000 AS VARCHAR) LIKE '1%') AS pressures
+    FROM obs GROUP BY day""",
+    "raw_text_archive": ORACLES["raw_per_day"],
+})

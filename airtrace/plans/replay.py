@@ -6,31 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airtrace.operators.curation import curate
 from airtrace.operators.dedup import drop_repeats
+from airtrace.paths import dataset_path
 from airtrace.plans.reports import materialize
 from airtrace.sinks.files import write_curated
-from airtrace.sources.raw import read_city_archive
+from airtrace.sources.raw import read_parquet_archive, read_raw_archive
 
 
 def curate_archive(
-    raw: DataFrame, processing_date: str | None = None, materialize_curated: bool = True
+    raw: DataFrame, processing_date: str | None = None, materialize_curated: bool = True,
+    order: str | list[str] | None = None,
 ) -> DataFrame:
     """Curated, change-detected records of an archive frame.
 
-    ``raw`` comes from :func:`airtrace.sources.raw.read_raw_archive`; its
-    arrival order is (file, block, line).  Change detection slices each
+    ``order`` names the arrival order columns that ``raw`` carries.  Without
+    it ``raw`` comes from :func:`airtrace.sources.raw.read_raw_archive`; its
+    arrival order is (file, block, line).  Change detection then slices each
     station by ``(file, block)`` - one input split - and orders by ``line``
     inside it, so a station that fills many files is spread over many tasks.
 
     Change detection reads its input twice (the rows, and the per-slice
     carry); so that the JSON is parsed once, the curated records (a small
-    fraction of the raw text) are first written as Parquet below the
-    checkpoint folder and both reads scan that copy.
+    fraction of the raw text) are by default written as Parquet below the
+    checkpoint folder when this is called, and both reads scan that copy.
     """
-    curated = curate(raw, processing_date=processing_date, keep=("file", "block", "line"))
+    slices = ["file", "block"] if order is None else None
+    order_cols = ["line"] if order is None else [order] if isinstance(order, str) else list(order)
+    keep = (*(slices or ()), *order_cols)
+    curated = curate(raw, processing_date=processing_date, keep=keep)
     if materialize_curated:
         curated = materialize(curated)
-    kept = drop_repeats(curated, order="line", slice_cols=("file", "block"))
-    return kept.drop("file", "block", "line")
+    return drop_repeats(curated, order=order_cols, slice_cols=slices).drop(*keep)
 
 
 def replay_raw(
@@ -39,10 +44,23 @@ def replay_raw(
     city: str,
     out_root: str,
     processing_date: str | None = None,
+    order: str | list[str] | None = None,
+    day_from: str | None = None,
+    day_to: str | None = None,
 ) -> None:
-    """Rebuild a city's curated archive from its raw archive."""
-    raw = read_city_archive(spark, root, city)
-    write_curated(curate_archive(raw, processing_date), out_root, city)
+    """Rebuild a city's curated archive from its raw archive.
+
+    ``order`` reads a Parquet archive by its order columns, else a text
+    archive is read by file and line.  The curated days that the replay
+    holds are replaced, so a second replay leaves the same rows.  A day range
+    replays those storage days only; a station's first record of the range
+    then counts as a change.
+    """
+    path = dataset_path(root, city, "raw")
+    read = read_raw_archive if order is None else read_parquet_archive
+    raw = read(spark, path, day_from, day_to)
+    kept = curate_archive(raw, processing_date, order=order)
+    write_curated(kept, out_root, city, mode="replace")
 
 
 def curate_parquet_archive(

@@ -243,7 +243,7 @@ def run_city_reports(
     day_from: str | None = None,
     day_to: str | None = None,
     reuse: str | None = None,
-    layout: str = "partitioned",
+    layout: str | None = None,
 ) -> dict[str, DataFrame]:
     """Scan one city's curated archive and build the report bundle."""
     curated = read_city(spark, root, city, day_from, day_to, layout=layout)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airtrace.paths import dataset_path
+from airtrace.paths import dataset_path, is_streamed
 from airtrace.schemas import CURATED_COLUMNS
 
 
@@ -29,35 +29,51 @@ def curated_records(df: DataFrame) -> DataFrame:
     return df.select(*CURATED_COLUMNS, "day")
 
 
+def _batch_writer(df: DataFrame, path: str, mode: str):
+    """A day-partitioned writer; ``replace`` rewrites the days that ``df`` holds.
+
+    A folder that a stream has written takes no batch files: readers see
+    only what the stream's log lists.
+    """
+    if is_streamed(df.sparkSession, path):
+        raise ValueError(f"{path} was written by a stream; write to another root and read both")
+    writer = df.hint("rebalance", "day").write.partitionBy("day")
+    if mode == "replace":
+        return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return writer.mode(mode)
+
+
 def write_raw(df: DataFrame, root: str, city: str, mode: str = "append") -> None:
     """Append every valid raw message to its day folder, no de-duplication (K1).
 
-    The ``rebalance`` hint groups rows by day so that a batch writes few files
-    per day, while AQE splits a hot day over several tasks instead of one.
+    The text layout keeps no arrival order; to replay an archive with change
+    detection write it by :func:`write_raw_ordered`.  The ``rebalance`` hint
+    groups rows by day so that a batch writes few files per day, while AQE
+    splits a hot day over several tasks instead of one.
     """
-    (
-        raw_lines(df)
-        .hint("rebalance", "day")
-        .write.mode(mode)
-        .partitionBy("day")
-        .text(dataset_path(root, city, "raw"))
-    )
+    path = dataset_path(root, city, "raw")
+    _batch_writer(raw_lines(df), path, mode).text(path)
+
+
+def write_raw_ordered(
+    df: DataFrame, root: str, city: str, order: str | list[str] = "seq", mode: str = "append"
+) -> None:
+    """Raw messages as Parquet with their arrival order columns."""
+    cols = [order] if isinstance(order, str) else list(order)
+    path = dataset_path(root, city, "raw")
+    lines = df.select(one_line("value").alias("value"), *cols, "day")
+    _batch_writer(lines, path, mode).parquet(path)
 
 
 def write_curated(df: DataFrame, root: str, city: str, mode: str = "append") -> None:
     """Append curated records as JSON lines to their day folders (K2-K5).
 
     NULL fields are written (``ignoreNullFields=false``) so every line has all
-    thirteen keys.  Nothing is written when the frame is empty.
+    thirteen keys.  Nothing is written when the frame is empty.  The mode
+    ``replace`` rewrites the days that ``df`` holds.
     """
-    (
-        curated_records(df)
-        .hint("rebalance", "day")
-        .write.mode(mode)
-        .partitionBy("day")
-        .option("ignoreNullFields", "false")
-        .json(dataset_path(root, city, "curated"))
-    )
+    path = dataset_path(root, city, "curated")
+    _batch_writer(curated_records(df), path, mode).option("ignoreNullFields", "false").json(path)
 
 
 def compact_curated(df: DataFrame, path: str, mode: str = "overwrite") -> None:

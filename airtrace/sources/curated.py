@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from airtrace.paths import dataset_path
+from airtrace.paths import curated_layout, dataset_path
 from airtrace.schemas import CURATED_SCHEMA, STORAGE_DAY
 
 # The day partition column is always read as text: day keys are taken
@@ -20,7 +20,7 @@ def read_curated(
     day_from: str | None = None,
     day_to: str | None = None,
     fmt: str = "json",
-    layout: str = "partitioned",
+    layout: str | None = None,
 ) -> DataFrame:
     """Scan curated records with the fixed schema.
 
@@ -30,10 +30,19 @@ def read_curated(
     layout is read with an explicit text ``day`` column, returned as
     ``storage_day``; ``day_from``/``day_to`` become partition filters, so
     other days are never listed or opened.  ``layout="flat"`` reads a folder
-    of ``<day>.jsonl`` files instead, the day taken from the file name.
+    of ``<day>.jsonl`` files instead, the day taken from the file name.  By
+    default each folder's layout is seen from what it holds, and folders of
+    both layouts may be read together (S2).
     ``fmt="parquet"`` reads a compacted copy of the same schema.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if layout is None:
+        kinds = {p: curated_layout(spark, p) for p in paths}
+        parts = [
+            read_curated(spark, [p for p in paths if kinds[p] == kind], day_from, day_to, fmt, kind)
+            for kind in sorted(set(kinds.values()))
+        ]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     reader = spark.read.schema(_SCAN_SCHEMA)
     if fmt == "json":
         reader = reader.option("mode", "PERMISSIVE")
@@ -61,7 +70,7 @@ def read_city(
     city: str,
     day_from: str | None = None,
     day_to: str | None = None,
-    layout: str = "partitioned",
+    layout: str | None = None,
 ) -> DataFrame:
     """Curated records of one city below a storage root (S1 + S2)."""
     return read_curated(

@@ -6,33 +6,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrace.operators.curation import message_text
-from airtrace.paths import dataset_path
+from airtrace.paths import dataset_path, is_streamed
 
 # --- fixed values -----------------------------------------------------------
 TOPIC_PREFIX = "air_quality_"
-CONSUMER_GROUP = "air-quality-streaming"
-MAX_RECORDS_PER_POLL = 100
-POLL_INTERVAL = "5 seconds"
-# Upper bound of records per micro-batch (not a fixed value of the original
-# consumer, which polled 100 at a time): it bounds the rows one station can
-# bring into one step of the stateful change detection.
-MAX_OFFSETS_PER_TRIGGER = 1_000_000
 # ---------------------------------------------------------------------------
+# Records of a micro-batch (the rest stay in the topic for the next one): it
+# bounds the rows one station can bring into one step of change detection.
+MAX_OFFSETS_PER_TRIGGER = 1_000_000
 
 _BOM = "\ufeff"
 
 
-def read_raw_archive(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw archive lines as ``value`` with an arrival order.
+def _days(df: DataFrame, day_from: str | None, day_to: str | None) -> DataFrame:
+    if day_from is not None:
+        df = df.where(F.col("day") >= day_from)
+    return df if day_to is None else df.where(F.col("day") <= day_to)
+
+
+def read_raw_archive(
+    spark: SparkSession, path: str | list[str], day_from: str | None = None, day_to: str | None = None
+) -> DataFrame:
+    """Lines of a text archive as ``value`` with an arrival order.
+
+    Text archives hold no arrival order; the order is that of the files'
+    paths and of the lines inside them: right for archives of one growing
+    file a day, or of part files that were written in order and have names
+    of one length.  A folder that a stream has written is refused, for its
+    part files have random names; the ingest's Parquet archive keeps the
+    order (:func:`read_parquet_archive`).
 
     Order columns: ``file`` (path), ``block`` (split start) and ``line`` (a
     per-task increasing id).  One split is always read by one task in line
-    order, so ``(file, block, line)`` is the line order inside each file and
-    stays the same when a task is retried.  A leading UTF-8 byte-order mark
-    is removed.  Files of a ``day=`` layout are found recursively.
+    order, so ``(file, block, line)`` stays the same when a task is retried.
+    A leading UTF-8 byte-order mark is removed.  ``day_from``/``day_to``
+    prune the folders of a ``day=`` layout; without them files are found
+    recursively in any layout.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.option("recursiveFileLookup", "true").text(paths)
+    for p in paths:
+        if is_streamed(spark, p):
+            raise ValueError(f"{p} was written by a stream: its files carry no arrival order")
+    if day_from is None and day_to is None:
+        df = spark.read.option("recursiveFileLookup", "true").text(paths)
+    else:
+        df = _days(spark.read.schema("value STRING, day STRING").text(paths), day_from, day_to)
     return df.select(
         F.regexp_replace("value", f"^{_BOM}", "").alias("value"),
         F.col("_metadata.file_path").alias("file"),
@@ -45,14 +63,19 @@ def read_city_archive(spark: SparkSession, root: str, city: str) -> DataFrame:
     return read_raw_archive(spark, dataset_path(root, city, "raw"))
 
 
-def read_parquet_archive(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet raw archive (written by the ingest with ``raw_format="parquet"``).
+def read_parquet_archive(
+    spark: SparkSession, path: str, day_from: str | None = None, day_to: str | None = None
+) -> DataFrame:
+    """A Parquet raw archive, which carries the arrival order.
 
-    Rows carry the original ``value``, the curated fields parsed at ingest,
-    ``station_key``, the arrival order columns and ``day``: replaying it
-    needs no JSON parsing.
+    Written by the ingest (``raw_format="parquet"``): the original ``value``,
+    the curated fields parsed at ingest, ``station_key``, the arrival order
+    columns and ``day``, so replaying it needs no JSON parsing.  Written by
+    :func:`airtrace.sinks.files.write_raw_ordered`: ``value``, the order
+    columns and ``day``.  A day range becomes partition filters.
     """
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path).withColumn("day", F.col("day").cast("string"))
+    return _days(df, day_from, day_to)
 
 
 def topic_for(city: str) -> str:
@@ -74,8 +97,9 @@ def kafka_source_options(
 ) -> dict[str, str]:
     """Options of ``readStream.format("kafka")`` for one city's topic (S3).
 
-    Starts at the latest offsets like the original consumer group; offsets
-    are tracked by the query checkpoint instead of consumer commits.  The
+    Starts at the latest offsets; offsets are tracked by the query checkpoint
+    instead of consumer commits, and Spark gives each query a consumer group
+    of its own, so two queries on a topic both read all of it.  The
     micro-batch size is bounded (``maxOffsetsPerTrigger``) so that the rows
     of one station in one stateful step stay bounded too.
     """
@@ -83,7 +107,6 @@ def kafka_source_options(
         "kafka.bootstrap.servers": bootstrap_servers(servers),
         "subscribe": topic_for(city),
         "startingOffsets": starting_offsets,
-        "kafka.group.id": CONSUMER_GROUP,
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))

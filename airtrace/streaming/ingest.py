@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from airtrace.operators.curation import (
     PAYLOAD,
     drop_invalid,
+    observe_keys,
     parse_messages,
     project_curated,
     with_day,
@@ -33,6 +34,9 @@ from airtrace.sinks.files import one_line
 from airtrace.streaming.dedup_state import dedup_stream
 
 
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
 def state_partitions(spark, partitions: int | None):
     """Number of state-store partitions for queries started inside the block.
@@ -54,6 +58,22 @@ def state_partitions(spark, partitions: int | None):
         spark.conf.set(key, old)
 
 
+@contextmanager
+def state_on_disk(spark):
+    """Queries started inside the block keep their state in RocksDB.
+
+    The default provider holds all stations on the executors' heaps.  A
+    checkpoint keeps the provider it was begun with.
+    """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, STATE_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old) if old else spark.conf.unset(key)
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -68,7 +88,7 @@ def start_ingest(
     processing_date: str | None = None,
     order: str | list[str] = "seq",
     trigger: str | None = None,
-    raw_format: str = "text",
+    raw_format: str = "parquet",
     partitions: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the raw and curated archive queries over a message stream.
@@ -78,16 +98,27 @@ def start_ingest(
     ``trigger``: ``None``/``"availableNow"`` processes what is there and
     stops; an interval such as ``"5 seconds"`` runs continuously.
 
-    ``raw_format="text"`` keeps the raw archive as day-partitioned JSON
-    lines; both queries read the source and parse each message.
-    ``raw_format="parquet"`` parses each message once: the first query
-    writes the raw archive as day-partitioned Parquet holding the original
-    one-line ``value`` together with its parse results and arrival order;
-    the second query streams that archive (no second parse) into change
-    detection and the curated sink.  With ``availableNow`` the second query
-    is started after the first one has finished.  ``partitions`` sets the
-    state partitions of a new checkpoint (see :func:`state_partitions`).
+    ``raw_format="parquet"`` (default) parses each message once: the first
+    query writes the raw archive as day-partitioned Parquet holding the
+    original one-line ``value`` together with its parse results and arrival
+    order; the second query streams that archive (no second parse) into
+    change detection and the curated sink, and a batch replay follows the
+    stored order.  With ``availableNow`` the second query is started after
+    the first one has finished.  ``raw_format="text"`` keeps the raw archive
+    as day-partitioned JSON lines instead; both queries read the source and
+    parse each message, and such an archive cannot be replayed with change
+    detection.  ``partitions`` sets the state partitions of a new checkpoint
+    (see :func:`state_partitions`).
+
+    The fallback day of messages without a time is fixed when the queries
+    are built (``processing_date``, by default the current date).  Progress
+    reports carry the counters ``messages`` and ``invalid_json``
+    (``airtrace_ingest_<city>``), ``incomplete_keys`` and ``complete_keys``
+    (``airtrace_keys_<city>``), and ``kept`` (``airtrace_kept_<city>``);
+    complete keys less kept records are the repeats dropped.
     """
+    if processing_date is None:
+        processing_date = str(source.sparkSession.sql("SELECT current_date() AS d").first()["d"])
     order_cols = [order] if isinstance(order, str) else list(order)
     parsed = parse_messages(source).observe(
         f"airtrace_ingest_{city}",
@@ -117,8 +148,10 @@ def start_ingest(
     else:
         raise ValueError(f"unknown raw_format {raw_format!r}")
 
-    kept = dedup_stream(curated, order=order_cols).select(*CURATED_COLUMNS, "day")
-    with state_partitions(source.sparkSession, partitions):
+    counted = observe_keys(curated, f"airtrace_keys_{city}")
+    kept = dedup_stream(counted, order=order_cols).select(*CURATED_COLUMNS, "day")
+    kept = kept.observe(f"airtrace_kept_{city}", F.count(F.lit(1)).alias("kept"))
+    with state_partitions(source.sparkSession, partitions), state_on_disk(source.sparkSession):
         curated_query = _start(
             kept,
             "json",
@@ -143,22 +176,30 @@ def _start(df: DataFrame, fmt: str, path: str, checkpoint: str, trigger, **optio
     return _trigger(writer, trigger).start()
 
 
-def stop_after(query: StreamingQuery, batches: int, timeout: float = 600.0) -> int:
+def stop_after(query: StreamingQuery, batches: int, timeout: float | None = None) -> int:
     """Let a continuously triggered query complete ``batches`` micro-batches,
     then stop it (W1: a bounded number of polls, then close).
 
-    Waits on the query's progress reports; returns the number of completed
-    batches with data.  Empty triggers do not count, like empty polls.
+    Counts by the batch number of the latest progress report, which numbers
+    every micro-batch that was run; triggers without data run none.  Returns
+    the number completed since the call, which may be more than asked for.
+    Without a ``timeout`` (seconds) it waits as long as it takes; with one
+    that is missed the query is stopped and a ``TimeoutError`` is raised.
     """
     import time
 
-    deadline = time.monotonic() + timeout
-    done = 0
-    while time.monotonic() < deadline and query.isActive:
-        done = sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
-        if done >= batches:
-            break
-        query.awaitTermination(0.5)
+    begin, first, done = time.monotonic(), None, 0
+    while query.isActive and done < batches:
+        if timeout is not None and time.monotonic() - begin > timeout:
+            query.stop()
+            raise TimeoutError(f"{done} of {batches} micro-batches in {timeout} s")
+        last = query.lastProgress
+        if last is not None:
+            if first is None:  # the first batch that this run reported
+                first = min(p["batchId"] for p in query.recentProgress)
+            # an idle trigger reports the number of the batch that is to come
+            done = last["batchId"] + bool(last["numInputRows"]) - first
+        query.awaitTermination(0.2)
     query.stop()
     if query.exception() is not None:
         raise query.exception()
@@ -183,7 +224,7 @@ def run_available(
     )
     for name, value in options.items():
         writer = writer.option(name, value)
-    with state_partitions(stream.sparkSession, partitions):
+    with state_partitions(stream.sparkSession, partitions), state_on_disk(stream.sparkSession):
         query = writer.start()
     query.awaitTermination()
     if query.exception() is not None:

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from airtrace.operators.dedup import drop_repeats
@@ -64,7 +66,8 @@ def test_ingest_writes_raw_and_curated_by_day(spark, tmp_dir):
     ]
     spark.createDataFrame(messages, "seq long, value string").write.parquet(src)
     source = spark.readStream.schema("seq long, value string").parquet(src)
-    raw_q, cur_q = start_ingest(source, root, "sofia", ck, processing_date="2026-04-09")
+    raw_q, cur_q = start_ingest(source, root, "sofia", ck, processing_date="2026-04-09",
+                                raw_format="text")
     for q in (raw_q, cur_q):
         q.awaitTermination()
         assert q.exception() is None
@@ -222,30 +225,99 @@ def test_state_partitions_apply_to_new_checkpoint_only(spark, tmp_dir):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_replaying_the_raw_archive_equals_the_stream(spark, tmp_dir):
-    """Batch replay of the archived raw text keeps what the stream kept."""
-    from airtrace.plans.replay import curate_archive
-    from airtrace.sources.raw import read_raw_archive
+def _run_ingest(spark, source, root, ck, **kw):
+    for q in start_ingest(source, root, "port", ck, **kw):
+        q.awaitTermination()
+        assert q.exception() is None
+
+
+def _kept(df):
+    return sorted((r.station_id, r.timestamp, r.aqi) for r in df.collect())
+
+
+def test_replay_of_a_streamed_archive_follows_the_arrival_order(spark, tmp_dir):
+    """Many micro-batches, a change back (A, B, A) across them, and late days."""
+    from airtrace.plans.replay import curate_archive, curate_parquet_archive
+    from airtrace.sources.raw import read_parquet_archive, read_raw_archive
+
+    src, root, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    a, b, early = "2031-11-06T01:00:00Z", "2031-11-06T02:00:00Z", "2031-11-05T23:00:00Z"
+    arrivals = [a, a, b, a, early, a, a, early, early, b]
+    for seq, iso in enumerate(arrivals):
+        messages = [(2 * seq, _payload(1, iso, seq)), (2 * seq + 1, _payload(2, a, 50 + seq))]
+        spark.createDataFrame(messages, "seq long, value string").write.mode("append").parquet(src)
+        source = spark.readStream.schema("seq long, value string").parquet(src)
+        _run_ingest(spark, source, root, ck)
+    want = [s for s, iso in enumerate(arrivals) if s == 0 or arrivals[s - 1] != iso]
+    streamed = _kept(read_curated(spark, f"{root}/port/curated"))
+    assert sorted(aqi for station, _, aqi in streamed if station == 1) == want
+    assert [aqi for station, _, aqi in streamed if station == 2] == [50]
+    archive = read_parquet_archive(spark, f"{root}/port/raw")
+    assert _kept(curate_parquet_archive(archive)) == streamed
+    again = curate_archive(archive.select("value", "seq"), order="seq")  # parsed anew
+    assert _kept(again) == streamed
+    one_day = read_parquet_archive(spark, f"{root}/port/raw", "2031-11-05", "2031-11-05")
+    assert {r.timestamp for r in one_day.collect()} == {early}
+    with pytest.raises(ValueError, match="arrival order"):
+        read_raw_archive(spark, f"{root}/port/raw")
+    with pytest.raises(ValueError, match="stream"):
+        from airtrace.sinks.files import write_curated
+
+        write_curated(again.limit(1), root, "port")
+
+
+def test_bounded_run_counts_beyond_the_progress_window(spark, tmp_dir):
+    """More micro-batches than the recent progress reports keep."""
+    from airtrace.streaming.ingest import stop_after
+
+    src = f"{tmp_dir}/src"
+    spark.range(40).repartition(40).write.parquet(src)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
+        query = (stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_dir}/ck")
+                 .trigger(processingTime="0 seconds").start())
+        assert stop_after(query, 30) >= 30
+        assert not query.isActive
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_bounded_run_that_misses_its_timeout_raises(spark, tmp_dir):
+    from airtrace.streaming.ingest import stop_after
+
+    src = f"{tmp_dir}/src"
+    spark.range(1).write.parquet(src)
+    query = (spark.readStream.schema("id long").parquet(src).writeStream.format("noop")
+             .option("checkpointLocation", f"{tmp_dir}/ck").trigger(processingTime="1 second").start())
+    with pytest.raises(TimeoutError):
+        stop_after(query, 5, timeout=8)
+    assert not query.isActive
+
 
+def test_stream_counters_and_one_fallback_day(spark, tmp_dir, monkeypatch):
+    """Invalid messages, incomplete keys and repeats are counted; the fallback
+    day is fixed when the queries are built."""
     src, root, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
-    iso = "2026-04-0{}T{:02d}:00:00+03:00"
-    messages = []
-    for i, (station, day, hour) in enumerate(
-        [(1, 7, 10), (1, 7, 10), (2, 7, 10), (1, 7, 11), (1, 7, 10), (2, 8, 9), (2, 8, 9),
-         (1, 8, 1), (1, 8, 1), (2, 8, 10)]
-    ):
-        messages.append((i, _payload(station, iso.format(day, hour), 10 + i)))
-    messages.append((99, "garbage"))
-    spark.createDataFrame(messages, "seq long, value string").coalesce(1).write.parquet(src)
+    iso = "2031-11-06T01:00:00Z"
+    messages = [(0, _payload(1, iso, 1)), (1, _payload(1, iso, 1)), (2, "{"), (3, _payload(2, None, 7)),
+                (4, '{"data":{"idx":3,"idx":4,"time":{"iso":"' + iso + '"}}}')]
+    spark.createDataFrame(messages, "seq long, value string").write.parquet(src)
     source = spark.readStream.schema("seq long, value string").parquet(src)
-    for q in start_ingest(source, root, "sofia", ck, processing_date="2026-04-09"):
+    raw, curated = start_ingest(source, root, "port", ck)
+    for q in (raw, curated):
         q.awaitTermination()
         assert q.exception() is None
 
-    def key(rows):
-        return sorted((r.station_id, r.timestamp, r.aqi) for r in rows)
-
-    streamed = key(read_curated(spark, f"{root}/sofia/curated").collect())
-    replayed = key(curate_archive(read_raw_archive(spark, f"{root}/sofia/raw")).collect())
-    assert streamed == replayed
-    assert len(streamed) == 7  # 10 messages, 3 immediate repeats
+    def total(query, name):
+        rows = [p["observedMetrics"][name] for p in query.recentProgress if p["numInputRows"]]
+        return [sum(r[i] for r in rows) for i in range(len(rows[0]))]
+
+    assert total(raw, "airtrace_ingest_port") == [5, 1]
+    assert total(curated, "airtrace_keys_port") == [1, 3]
+    assert total(curated, "airtrace_kept_port") == [2]
+    today = str(spark.sql("select current_date()").first()[0])
+    days = {r.day for r in spark.read.parquet(f"{root}/port/raw").selectExpr("cast(day as string) day").collect()}
+    assert days <= {"2031-11-06", today}
+    got = read_curated(spark, f"{root}/port/curated").collect()
+    assert sorted(r.station_id for r in got) == [1, 4]  # of repeated keys the last counts
