@@ -50,7 +50,8 @@ def day_path(root: str, city: str, kind: str, day: str) -> str:
     return join_path(root, city, kind, f"day={day}")
 
 
-def _file_system(spark, path: str):
+def file_system(spark, path: str):
+    """Hadoop file system and path object of a path."""
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
@@ -62,13 +63,13 @@ def is_streamed(spark, path: str) -> bool:
     Spark reads only the files that the sink's log lists, so files that a
     batch job adds to such a folder would be invisible.
     """
-    fs, at = _file_system(spark, f"{path.rstrip('/')}/_spark_metadata")
+    fs, at = file_system(spark, f"{path.rstrip('/')}/_spark_metadata")
     return bool(fs.exists(at))
 
 
 def curated_layout(spark, path: str) -> str:
     """``partitioned`` if the folder holds ``day=`` folders, else ``flat``."""
-    fs, at = _file_system(spark, path)
+    fs, at = file_system(spark, path)
     if not fs.exists(at):
         return "partitioned"
     days = any(s.isDirectory() and s.getPath().getName().startswith("day=") for s in fs.listStatus(at))

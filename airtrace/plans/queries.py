@@ -31,6 +31,7 @@ from airtrace.sources.raw import read_parquet_archive, read_raw_archive
 from airtrace.sources.testdata import FALLBACK_DAY, load_table, observations, raw_payloads
 from airtrace.streaming.dedup_state import dedup_stream
 from airtrace.streaming.ingest import run_available, start_ingest
+from airtrace.streaming.sliced import read_sliced, seed_state, start_sliced_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +128,32 @@ def q_stream_dedup(spark, sf_dir):
     return out.select("seq", "station_key", "dominant_pollutant", "aqi")
 
 
+def q_stream_dedup_sliced(spark, sf_dir):
+    """The micro-batch form with sliced change detection.
+
+    As ``stream_dedup``, with one station holding a third of all rows, and
+    a checkpoint that begins with the state of the first half (the second
+    half is a new query, seeded).
+    """
+    base = scratch_path(spark, "stream-sliced")
+    obs = C.with_record_day(_observations(spark, sf_dir), FALLBACK_DAY).withColumn(
+        "station_key", F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("station_key")))
+    first = F.col("day") <= "2024-01-15"
+    for name, half in (("a", first), ("b", ~first)):
+        obs.where(half).write.parquet(f"{base}/{name}/source")
+        if name == "b":
+            done = spark.read.schema(obs.schema).parquet(f"{base}/a/source")
+            seed_state(station_state(done, version="dominant_pollutant"), f"{base}/b/state")
+        stream = spark.readStream.schema(obs.schema).parquet(f"{base}/{name}/source")
+        query = start_sliced_dedup(stream, f"{base}/{name}/out", f"{base}/{name}/state",
+                                   f"{base}/{name}/checkpoint", version="dominant_pollutant")
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    kept = [read_sliced(spark, f"{base}/{name}/out", obs.schema) for name in "ab"]
+    return kept[0].unionByName(kept[1]).select("seq", "station_key", "dominant_pollutant", "aqi")
+
+
 # --- curation from raw text ----------------------------------------------------
 
 _CURATED_SCALARS = (
@@ -445,6 +472,7 @@ QUERIES: dict[str, QueryFn] = {
     "archive_daily_aqi": q_archive_daily_aqi,
     "stream_ingest": q_stream_ingest,
     "stream_ingest_parse_once": q_stream_ingest_parse_once,
+    "stream_dedup_sliced": q_stream_dedup_sliced,
     "replay_streamed_archive": q_replay_streamed_archive,
     "replay_twice": q_replay_twice,
     "skip_counters": q_skip_counters,
@@ -647,6 +675,12 @@ kept AS (
 """
 
 ORACLES.update({
+    "stream_dedup_sliced": _OBS
+    + """SELECT seq, station_key, dominant_pollutant, aqi FROM (
+      SELECT seq, dominant_pollutant, aqi, CASE WHEN seq % 3 = 0 THEN 'hot' ELSE station_key END AS station_key,
+             lag(dominant_pollutant) OVER (
+               PARTITION BY CASE WHEN seq % 3 = 0 THEN 'hot' ELSE station_key END ORDER BY seq) AS prev
+      FROM obs) WHERE prev IS DISTINCT FROM dominant_pollutant""",
     "replay_streamed_archive": _LATE + 'SELECT station_key, "timestamp", aqi FROM kept',
     "replay_twice": _LATE
     + """SELECT day AS storage_day, count(*) AS records, CAST(sum(aqi) AS BIGINT) AS sum_aqi

@@ -188,17 +188,20 @@ def stop_after(query: StreamingQuery, batches: int, timeout: float | None = None
     """
     import time
 
-    begin, first, done = time.monotonic(), None, 0
+    def following(progress) -> int:
+        # an idle trigger reports the number of the batch that is to come
+        return progress["batchId"] + bool(progress["numInputRows"])
+
+    begin, done = time.monotonic(), 0
+    first = None if query.lastProgress is None else following(query.lastProgress)
     while query.isActive and done < batches:
         if timeout is not None and time.monotonic() - begin > timeout:
             query.stop()
             raise TimeoutError(f"{done} of {batches} micro-batches in {timeout} s")
-        last = query.lastProgress
-        if last is not None:
-            if first is None:  # the first batch that this run reported
+        if query.lastProgress is not None:
+            if first is None:  # nothing had been reported at the call
                 first = min(p["batchId"] for p in query.recentProgress)
-            # an idle trigger reports the number of the batch that is to come
-            done = last["batchId"] + bool(last["numInputRows"]) - first
+            done = following(query.lastProgress) - first
         query.awaitTermination(0.2)
     query.stop()
     if query.exception() is not None:

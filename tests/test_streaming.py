@@ -277,7 +277,7 @@ def test_bounded_run_counts_beyond_the_progress_window(spark, tmp_dir):
         stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
         query = (stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_dir}/ck")
                  .trigger(processingTime="0 seconds").start())
-        assert stop_after(query, 30) >= 30
+        assert stop_after(query, 20, timeout=200) >= 20
         assert not query.isActive
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
@@ -321,3 +321,42 @@ def test_stream_counters_and_one_fallback_day(spark, tmp_dir, monkeypatch):
     assert days <= {"2031-11-06", today}
     got = read_curated(spark, f"{root}/port/curated").collect()
     assert sorted(r.station_id for r in got) == [1, 4]  # of repeated keys the last counts
+
+
+def test_sliced_micro_batches_run_again_and_seeded(spark, tmp_dir):
+    """Small slices, restarts, a hot station, a repeated micro-batch, a seed."""
+    import random
+    import shutil
+
+    from airtrace.operators.dedup import drop_repeats, station_state
+    from airtrace.streaming.sliced import read_sliced, seed_state, start_sliced_dedup
+
+    rng = random.Random(12)
+    schema = "seq long, station_key string, timestamp string, aqi int"
+    rows = [(i, rng.choice(["hot", "hot", "b", "c", None]), rng.choice(["x", "y"]), i) for i in range(120)]
+    src, out, state, ck = (f"{tmp_dir}/{x}" for x in ("src", "out", "state", "ck"))
+
+    def run(part, out=out, state=state, ck=ck):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        query = start_sliced_dedup(stream, out, state, ck, slice_size=7)
+        query.awaitTermination()
+        assert query.exception() is None
+
+    def kept(*outs):
+        return sorted(r.seq for o in outs for r in read_sliced(spark, o, schema).collect())
+
+    want = sorted(r.seq for r in drop_repeats(spark.createDataFrame(rows, schema)).collect())
+    run(rows[:50])
+    run(rows[50:90])
+    shutil.rmtree(f"{ck}/commits")  # the last micro-batch was written but not committed
+    os.makedirs(f"{ck}/commits")
+    with open(f"{ck}/commits/0", "w") as fh:
+        fh.write("v1\n{}")
+    run(rows[90:])
+    assert kept(out) == want
+    other = f"{tmp_dir}/other"
+    seed_state(station_state(spark.createDataFrame(rows[:90], schema)), f"{other}/state")
+    src = f"{tmp_dir}/src2"
+    run(rows[90:], f"{other}/out", f"{other}/state", f"{other}/ck")
+    assert kept(f"{other}/out") == [s for s in want if s >= 90]
