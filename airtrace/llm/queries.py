@@ -54,9 +54,12 @@ def op4_exact_dedup(spark, sf_dir):
 
 
 def op5_mix_sources(spark, sf_dir):
-    """Every copy that the mix holds of each document, and its place."""
+    """Every copy that the mix holds of each document, and its place.
+
+    The digest is taken of the texts as they arrive from the global shuffle.
+    """
     return mix(load(spark, sf_dir, "documents")).selectExpr(
-        "doc_id", "copy", "source", "n_chars", "position"
+        "doc_id", "copy", "source", "n_chars", "position", "sha2(coalesce(text, ''), 256) AS text_sha256"
     )
 
 
@@ -139,6 +142,7 @@ ORACLES = {
           FROM documents)
     SELECT d.doc_id, CAST(cdf.k - 1 AS INTEGER) AS copy, d.source, d.n_chars,
            CAST('0x' || substr(md5('{SEED + 1}/' || d.doc_id || '/' || (cdf.k - 1)), 1, 13) AS BIGINT)
-             / pow(2, 52) AS position
+             / pow(2, 52) AS position,
+           sha256(coalesce(d.text, '')) AS text_sha256
     FROM d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source AND cdf.k > 0 AND cdf.below <= d.u""",
 }
