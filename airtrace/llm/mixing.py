@@ -36,14 +36,19 @@ def uniform(seed: int, *cols: str) -> Column:
 def poisson_sql(rate: str, u: str) -> str:
     """SQL: smallest k with P(X <= k) > u for X ~ Poisson(rate).
 
-    The table of the distribution function is built per call site from the
-    rate, up to ``rate + 12 * sqrt(rate) + 30``, beyond which less than one
-    step of ``u`` is left.
+    The distribution function is summed up to ``rate + 12 sqrt(rate) + 30``,
+    beyond which less than one step of ``u`` is left; for rates above 500 it
+    begins at ``rate - 12 sqrt(rate)``, below which as little lies, with the
+    mass there by Stirling's series (``exp(-rate)`` would vanish).
     """
     last = f"cast(ceil({rate} + 12 * sqrt({rate}) + 30) as int)"
+    first = f"IF({rate} > 500, cast(floor({rate} - 12 * sqrt({rate})) as int), 0)"
+    low = f"floor({rate} - 12 * sqrt({rate}))"
+    factorial = f"({low} * ln({low}) - {low} + 0.5 * ln(2 * pi() * {low}) + 1 / (12 * {low}) - 1 / (360 * pow({low}, 3)))"
+    mass = f"IF({rate} > 500, exp({low} * ln({rate}) - {rate} - {factorial}), exp(-{rate}))"
     return (
-        f"CASE WHEN {rate} > 0 THEN aggregate(sequence(0, {last}), "
-        f"named_struct('n', 0, 'p', exp(-{rate}), 'cdf', exp(-{rate})), "
+        f"CASE WHEN {rate} > 0 THEN aggregate(sequence({first}, {last}), "
+        f"named_struct('n', {first}, 'p', {mass}, 'cdf', {mass}), "
         f"(s, k) -> named_struct("
         f"'n', s.n + IF(s.cdf <= {u}, 1, 0), "
         f"'p', s.p * {rate} / (k + 1), "
