@@ -32,6 +32,15 @@ def test_poisson_inverse(spark):
             assert r["n"] == next(k for k, c in enumerate(table) if c > r["u"] + 1e-12)
 
 
+def test_poisson_of_large_means(spark):
+    df = spark.range(2000).select(((F.col("id") + 0.5) / 2000).alias("u"))
+    for rate in (499.0, 501.0, 5000.0, 80000.0):
+        n = [r["n"] for r in df.select(F.expr(poisson_sql(f"{rate}D", "u")).alias("n")).collect()]
+        mean = sum(n) / len(n)
+        spread = (sum((x - mean) ** 2 for x in n) / len(n)) ** 0.5
+        assert abs(mean - rate) < 0.02 * rate**0.5 + 0.1 and abs(spread / rate**0.5 - 1) < 0.02
+
+
 def test_mix_reaches_the_weights_and_repeats_itself(spark):
     docs = documents(spark, [f"text {i}" for i in range(4000)], source=["big" if i % 4 else "small" for i in range(4000)])
     weights = spark.createDataFrame([("big", 1.0), ("small", 3.0), ("none", 5.0)], "source string, weight double")
