@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from airtrace.paths import file_system
+
 
 def get_session(app_name: str = "airtrace") -> SparkSession:
     """Return the caller's active session, or build one without extra conf."""
@@ -46,6 +48,27 @@ def shared_dir(spark: SparkSession) -> str:
     return local.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the shared checkpoint folder.
+
+    What is written there serves lazy frames and so outlives the call that
+    made it; :func:`clear_scratch` deletes it when they are done with.
+    """
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process has named; how many there were.
+
+    Frames that read them cannot be used afterwards.
+    """
+    count = 0
+    while _made:
+        fs, at = file_system(spark, _made.pop())
+        count += bool(fs.delete(at, True))
+    return count
