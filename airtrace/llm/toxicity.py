@@ -16,19 +16,21 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airtrace.llm.calibration import label_counts, labelled_sample
 from airtrace.llm.common import whole_text, write_through
 
+if TYPE_CHECKING:  # not in the workers that measure features
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import IsotonicRegressionModel
+
 #: Labelled texts of each class for the lexicon, the trees and the curve.
 SAMPLE_ROWS = 5000
 #: Entries of the lexicon at most, the strongest ones.
@@ -172,6 +174,8 @@ def _with_features(rows: DataFrame, lexicon: dict[str, float], text: Column) ->
 
 
 def _with_margin(rows: DataFrame, trees: GBTClassificationModel) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
     judged = trees.transform(rows.withColumn("_features", array_to_vector("_x")))
     return judged.withColumn("_margin", vector_to_array("_raw")[1])
 
@@ -189,6 +193,10 @@ def fit_toxicity(
     the share of the class.  Without labels of both classes in each part
     there is no model but the share of label 1.
     """
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import IsotonicRegression
+
     where = F.lit(True) if where is None else where
     part = F.pmod(F.xxhash64(F.lit(5), "_id"), F.lit(4)) if part is None else part
     counts = label_counts(labels, label_col=label_col, where=where, id_col=id_col)
