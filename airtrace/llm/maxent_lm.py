@@ -3,11 +3,15 @@
 Tokens are words (A-Z in lower case) and an end.  The probability of a token
 after its history is P(class | history) * P(token | class, history).  Both
 factors are softmaxes over weights summed from hashed features of the
-history: the previous word, the previous two, and a skip to the second word
-back.  The most frequent words stand in head classes of ``WIDTH``
+history: the previous word, the previous two, and skips to the second and
+third word back.  The most frequent words stand in head classes of ``WIDTH``
 words each, cut by frequency; every other word belongs to one of ``REST``
-classes by its ending, inside which its probability is its smoothed count
-over the class's mass.  With all weights at 0 the model is the unigram model.
+classes by its ending.  The hot words of a rest class stand in a tree of
+softmaxes, the frequent ones near its root: half of a node's places hold
+words, half lead to nodes below, so the whole hot list is class-factored and
+the tree grows with it.  One place of the root holds the words outside the hot
+list, inside which a word's probability is its smoothed count over their mass.
+With all weights at 0 the model is the unigram model.
 
 Training goes over all training texts in ``ROUNDS`` rounds.  In each, every
 task starts from the broadcast weights, makes AdaGrad updates batch by batch
@@ -32,8 +36,8 @@ from pyspark.sql import functions as F
 
 from airtrace.llm.common import whole_text, write_through
 
-CLASSES = 16
-REST = 4
+CLASSES = 32
+REST = 8
 WIDTH = 32
 HEAD = (CLASSES - REST) * WIDTH
 #: Words with at least 1/HOT_WORDS of all training tokens are broadcast, so
@@ -43,11 +47,12 @@ CLASS_BITS = 14
 WORD_BITS = 15
 ROUNDS = 2
 RATE = 0.15
-BATCH = 16384
+BATCH = 8192
 END = "\n"  # no word holds white space
 _FLUSH = 400_000
-_BLOCK = 1 << 16
-_FEATURES = 3
+_BLOCK = 1 << 12
+_FEATURES = 4
+_LEAVES = WIDTH // 2  # places of a tree node that hold words
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -177,31 +182,62 @@ class Tables:
         n = len(v.hot)
         head = min(n, HEAD)
         self.n_hot = n
-        # class and place of every code: hot ranks, then the rest classes
+        # class of every code: hot ranks, then the words outside by rest class
         self.cls = np.empty(n + REST, dtype=np.int64)
         self.cls[:head] = np.arange(head) // WIDTH
-        rest = [rest_class(w.decode()) for w in v.hot[head:]]
-        self.cls[head:n] = CLASSES - REST + np.array(rest, dtype=np.int64)
+        rest = np.array([rest_class(w.decode()) for w in v.hot[head:]], dtype=np.int64)
+        self.cls[head:n] = CLASSES - REST + rest
         self.cls[n:] = CLASSES - REST + np.arange(REST)
-        self.place = np.full(n + REST, -1, dtype=np.int64)
-        self.place[:head] = np.arange(head) % WIDTH
         z = v.total + 0.5 * (v.distinct + 1)
         smoothed = v.counts + 0.5
         self.base = np.zeros(n + REST)  # words outside the hot list are added by the join
         self.base[:n] = np.log10(smoothed / z)
-        self.inside = np.zeros(n + REST)  # log P(word | rest class) of hot words
-        self.inside[head:n] = np.log(smoothed[head:] / v.masses[rest]) if n > head else 0.0
+        outside = np.maximum(v.masses - np.bincount(rest, smoothed[head:], REST), 0.5)
+        self.inside = np.zeros(n + REST)  # so that the join's count / mass of the rest class ends the product
+        self.inside[n:] = np.log(v.masses / outside)
         mass = np.zeros(CLASSES)
         np.add.at(mass, self.cls[:head], smoothed[:head])
         mass[CLASSES - REST :] = v.masses
         with np.errstate(divide="ignore"):
             self.class_bias = np.where(mass > 0, np.log(mass / mass.sum()), -1e9).astype(np.float32)
-        self.word_bias = np.full((CLASSES, WIDTH), -1e9, dtype=np.float32)
-        self.word_bias[self.cls[:head], self.place[:head]] = np.log(
-            smoothed[:head] / mass[self.cls[:head]])
+        # Nodes: the head classes, then each rest class's tree, numbered like a
+        # heap: leaf i of a tree is in its node i // _LEAVES, node q > 0 hangs
+        # on node (q - 1) // _LEAVES.  Leaf 0 holds the words outside.
+        sizes = np.bincount(rest, minlength=REST)
+        trees = sizes // _LEAVES + 1
+        roots = CLASSES + np.concatenate([[0], np.cumsum(trees)])
+        order = np.argsort(rest, kind="stable")
+        leaf = np.empty(n - head, dtype=np.int64)
+        leaf[order] = 1 + np.arange(n - head) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.node = np.concatenate([self.cls[:head], roots[rest] + leaf // _LEAVES, roots[:REST]])
+        self.place = np.concatenate([np.arange(head) % WIDTH, leaf % _LEAVES, np.zeros(REST, dtype=np.int64)])
+        self.parent = np.full(roots[-1], -1, dtype=np.int64)
+        self.branch = np.zeros(roots[-1], dtype=np.int64)  # place in the parent
+        masses = np.zeros((roots[-1], WIDTH))
+        masses[self.node, self.place] = np.append(smoothed, outside)
+        for root, size in zip(roots[:REST], trees, strict=True):
+            below = np.arange(1, size)
+            self.parent[root + below] = root + (below - 1) // _LEAVES
+            self.branch[root + below] = _LEAVES + (below - 1) % _LEAVES
+            for q in range(root + size - 1, root, -1):
+                masses[self.parent[q], self.branch[q]] = masses[q].sum()
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.word_bias = np.where(
+                masses > 0, np.log(masses / masses.sum(axis=1, keepdims=True)), -1e9).astype(np.float32)
         # codes as history: hot ranks, rest classes, then the start of a text
         self.start = n + REST
-        self.coarse = np.append(np.where(self.place >= 0, np.arange(n + REST), HEAD + self.cls), HEAD + CLASSES)
+        self.coarse = np.append(np.where(np.arange(n + REST) < head, np.arange(n + REST), HEAD + self.cls), HEAD + CLASSES)
+
+    def steps(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(token, node, place) of every choice below the class, for all tokens."""
+        found = []
+        at, node, place = np.arange(len(code)), self.node[code], self.place[code]
+        while len(at):
+            found.append((at, node, place))
+            up = self.parent[node]
+            on = np.flatnonzero(up >= 0)
+            at, place, node = at[on], self.branch[node[on]], up[on]
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
     def codes(self, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all tokens and where each text begins."""
@@ -214,14 +250,14 @@ class Tables:
         at = np.arange(a, b)
         place = at - begins[np.searchsorted(begins, at, side="right") - 1]
         back = []
-        for d in (1, 2):
+        for d in (1, 2, 3):
             p = np.full(b - a, self.start, dtype=np.int64)
             ok = place >= d
             p[ok] = codes[at[ok] - d]
             back.append(p)
-        one, two = back
+        one, two, three = back
         pair = self.coarse[two] * 4096 + self.coarse[one]
-        raw = np.stack([one, pair, two]).astype(np.uint64) * np.uint64(_FEATURES)
+        raw = np.stack([one, pair, two, three]).astype(np.uint64) * np.uint64(_FEATURES)
         raw += np.arange(_FEATURES, dtype=np.uint64)[:, None]
         h = (raw + np.uint64(1)) * _MIX
         return (h ^ (h >> np.uint64(31))) * _MIX2
@@ -231,36 +267,72 @@ class Tables:
         return (h >> np.uint64(64 - CLASS_BITS)).astype(np.uint16)
 
     @staticmethod
-    def word_rows(h: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        own = (h + cls.astype(np.uint64)[None, :] * _MIX) * _MIX2
+    def word_rows(h: np.ndarray, node: np.ndarray) -> np.ndarray:
+        own = (h + node.astype(np.uint64)[None, :] * _MIX) * _MIX2
         return (own >> np.uint64(64 - WORD_BITS)).astype(np.uint16)
 
 
-def _softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Log-probabilities from summed weight rows."""
-    z = weights.take(rows[0], axis=0) + bias
+def _sums(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Summed weight rows, the largest of each moved to 0."""
+    z = weights.take(rows[0].astype(np.intp), axis=0)
+    z += bias
     for r in rows[1:]:
-        z += weights.take(r, axis=0)
+        z += weights.take(r.astype(np.intp), axis=0)
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
+def _log_softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the chosen places."""
+    z = _sums(weights, rows, bias)
+    picked = z[np.arange(len(z)), chosen]
+    np.exp(z, out=z)
+    return picked - np.log(np.einsum("ij->i", z))
+
+
+def _slope(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Probabilities less 1 at the chosen places: the loss's slope by the sums."""
+    z = _sums(weights, rows, bias)
+    np.exp(z, out=z)
+    z /= np.einsum("ij->i", z)[:, None]
+    z[np.arange(len(z)), chosen] -= 1
+    return z
+
+
+def _rows_of(table: np.ndarray) -> np.ndarray:
+    """A view with one item a row, which numpy copies as a whole."""
+    return table.view(np.dtype((np.void, table.itemsize * table.shape[1]))).ravel()
+
+
+def _segment_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin at ``first``, as ``np.add.reduceat``
+    gives them, which takes several times as long where most runs are short."""
+    sizes = np.diff(np.append(first, len(rows)))
+    sums = rows.take(first, axis=0)
+    on, k = np.flatnonzero(sizes > 1), 1
+    while len(on) > 64:
+        sums[on] += rows.take(first[on] + k, axis=0)
+        k += 1
+        on = on[sizes[on] > k]
+    for i in on.tolist():
+        sums[i] = rows[first[i] : first[i] + sizes[i]].sum(axis=0)
+    return sums
+
+
 def log_probs(codes: np.ndarray, begins: np.ndarray, t: Tables, by_class: np.ndarray, by_word: np.ndarray) -> np.ndarray:
-    """Natural log-probability of every token (of the rest class, where the
-    word itself is outside the hot list)."""
+    """Natural log-probability of every token; outside the hot list the word's
+    smoothed count over the mass of its rest class is still to be added."""
     out = np.empty(len(codes))
     for a in range(0, len(codes), _BLOCK):
         code = codes[a : a + _BLOCK]
         part = t.history(codes, begins, a, a + len(code))
         cls = t.cls[code]
-        lp = _softmax(by_class, t.class_rows(part), t.class_bias)
-        value = lp[np.arange(len(code)), cls] + t.inside[code]
-        head = np.flatnonzero(t.place[code] >= 0)
-        if len(head):
-            own = cls[head]
-            wp = _softmax(by_word, t.word_rows(part[:, head], own), t.word_bias[own])
-            value[head] += wp[np.arange(len(head)), t.place[code[head]]]
+        value = _log_softmax(by_class, t.class_rows(part), t.class_bias, cls) + t.inside[code]
+        at, node, place = t.steps(code)
+        for i in range(0, len(at), _BLOCK):
+            own, of = node[i : i + _BLOCK], at[i : i + _BLOCK]
+            rows = t.word_rows(part[:, of], own)
+            value += np.bincount(of, _log_softmax(by_word, rows, t.word_bias[own], place[i : i + _BLOCK]), len(code))
         out[a : a + _BLOCK] = value
     return out
 
@@ -280,10 +352,11 @@ class Learner:
             ranked = r[order]
             first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
             at = ranked[first].astype(np.intp)
-            g = np.add.reduceat(slope.take(order, axis=0), first, axis=0)
+            g = _segment_sums(slope.take(order, axis=0), first)
             self.squares[k][at] += np.einsum("ij,ij->i", g, g) / np.float32(WIDTH)
             g *= (RATE / np.sqrt(self.squares[k][at]))[:, None]
-            self.weights[k][at] -= g
+            g = self.weights[k].take(at, axis=0) - g
+            _rows_of(self.weights[k])[at] = _rows_of(g)
             self.touched[k][at] += np.diff(np.append(first, len(r)))
 
     def learn(self, codes: np.ndarray, begins: np.ndarray) -> None:
@@ -293,16 +366,12 @@ class Learner:
             part = t.history(codes, begins, a, a + len(code))
             cls = t.cls[code]
             rows = t.class_rows(part)
-            slope = np.exp(_softmax(self.weights[0], rows, t.class_bias))
-            slope[np.arange(len(code)), cls] -= 1
-            self._update(0, rows, slope)
-            head = np.flatnonzero(t.place[code] >= 0)
-            if len(head):
-                own = cls[head]
-                rows = t.word_rows(part[:, head], own)
-                slope = np.exp(_softmax(self.weights[1], rows, t.word_bias[own]))
-                slope[np.arange(len(head)), t.place[code[head]]] -= 1
-                self._update(1, rows, slope)
+            self._update(0, rows, _slope(self.weights[0], rows, t.class_bias, cls))
+            at, node, place = t.steps(code)
+            for i in range(0, len(at), BATCH):
+                own = node[i : i + BATCH]
+                rows = t.word_rows(part[:, at[i : i + BATCH]], own)
+                self._update(1, rows, _slope(self.weights[1], rows, t.word_bias[own], place[i : i + BATCH]))
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> MaxEnt:

@@ -192,3 +192,31 @@ def test_language_model_edges(spark):
     assert score_texts(docs.limit(0), F.lit(True)).count() == 0
     alike = score_texts(docs, F.lit(True)).where("doc_id = 4").select("score", "base_score").distinct().count()
     assert alike == 1
+
+
+def _vocabulary(n):
+    hot = tuple(f"w{i}".encode() for i in range(n))
+    masses = np.full(maxent_lm.REST, 0.5)
+    for w in hot[maxent_lm.HEAD :]:
+        masses[maxent_lm.rest_class(w.decode())] += 10.5
+    return maxent_lm.Vocabulary(hot, np.full(n, 10.0), 10 * n, n, masses)
+
+
+def test_language_model_tells_content_words_of_a_class_apart():
+    """Histories favour single words beyond the head classes, not their class alone."""
+    t = maxent_lm.Tables(_vocabulary(3000))
+    same = [i for i in range(2000, 3000) if t.cls[i] == t.cls[2000]]
+    x, y = same[0], same[-1]
+    learner = maxent_lm.Learner(
+        t, np.zeros((1 << maxent_lm.CLASS_BITS, maxent_lm.CLASSES), dtype=np.float32),
+        np.zeros((1 << maxent_lm.WORD_BITS, maxent_lm.WIDTH), dtype=np.float32))
+    for _ in range(50):
+        learner.learn(np.array([1500, x] * 50), np.arange(0, 100, 2))
+    px, py = (maxent_lm.log_probs(np.array([1500, w]), np.array([0]), t, *learner.weights)[1] for w in (x, y))
+    assert px > py + 1
+
+
+def test_language_model_sees_the_third_word_back():
+    t = maxent_lm.Tables(_vocabulary(1000))
+    a, b = (t.history(np.array([w, 7, 8, 9]), np.array([0]), 3, 4) for w in (5, 6))
+    assert len(a) == 4 and (a != b).any()
