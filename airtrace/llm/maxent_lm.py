@@ -17,7 +17,8 @@ Training goes over all training texts in ``ROUNDS`` rounds.  In each, every
 task starts from the broadcast weights, makes AdaGrad updates batch by batch
 over its share of the texts, and returns the weight rows that it touched;
 the rows are averaged over the tasks by a grouped aggregate, weighted by
-their updates.  The model is of fixed size; counts of words outside the
+their updates.  The hot list and the weight tables grow with the training
+texts (:func:`least_hot`, :func:`sizes`); counts of words outside the
 broadcast hot list stay distributed and are joined.
 """
 
@@ -40,9 +41,12 @@ CLASSES = 32
 REST = 8
 WIDTH = 32
 HEAD = (CLASSES - REST) * WIDTH
-#: Words with at least 1/HOT_WORDS of all training tokens are broadcast, so
-#: there are at most HOT_WORDS of them.
+#: Words with at least 1/HOT_WORDS of all training tokens are broadcast; above
+#: GROWS_FROM tokens the least count rises with their square root only, so the
+#: list grows as the vocabulary does.
 HOT_WORDS = 1_000_000
+GROWS_FROM = 4_000_000
+#: Least rows of the weight tables, as powers of two.
 CLASS_BITS = 14
 WORD_BITS = 15
 ROUNDS = 2
@@ -81,6 +85,19 @@ class Vocabulary:
     masses: np.ndarray  # of the rest classes: counts + 0.5 each, + 0.5 for unknown words
 
 
+def least_hot(total: int) -> float:
+    """HOT_WORDS times the least count of a hot word among ``total`` tokens."""
+    return float(min(total, (total * GROWS_FROM) ** 0.5))
+
+
+def sizes(v: Vocabulary) -> tuple[int, int]:
+    """Rows of the class and the word table, by the counted hot words.
+
+    Every hot word is a history of its own and a choice in some node.
+    """
+    return max(1 << CLASS_BITS, len(v.hot) // 4), max(1 << WORD_BITS, len(v.hot) // 2)
+
+
 @dataclass(frozen=True)
 class MaxEnt:
     vocabulary: Vocabulary
@@ -113,12 +130,12 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
-    """Hot words and masses from the whole count table; at most HOT_WORDS rows return."""
+    """Hot words and masses from the whole count table; only hot words return."""
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(sums["n"] or 0), int(sums["v"])
     hot = (
-        counts.where(F.col("c") * F.lit(HOT_WORDS) >= F.lit(total))
-        .orderBy(F.desc("c"), "word").limit(HOT_WORDS).toArrow()
+        counts.where(F.col("c") * F.lit(HOT_WORDS) >= F.lit(least_hot(total)))
+        .orderBy(F.desc("c"), "word").toArrow()
     )
     named = [w.encode() for w in hot["word"].to_pylist()]
     c = np.array(hot["c"].to_pylist(), dtype=np.float64)
@@ -263,21 +280,26 @@ class Tables:
         return (h ^ (h >> np.uint64(31))) * _MIX2
 
     @staticmethod
-    def class_rows(h: np.ndarray) -> np.ndarray:
-        return (h >> np.uint64(64 - CLASS_BITS)).astype(np.uint16)
+    def class_rows(h: np.ndarray, size: int) -> np.ndarray:
+        return _dealt(h, size)
 
     @staticmethod
-    def word_rows(h: np.ndarray, node: np.ndarray) -> np.ndarray:
+    def word_rows(h: np.ndarray, node: np.ndarray, size: int) -> np.ndarray:
         own = (h + node.astype(np.uint64)[None, :] * _MIX) * _MIX2
-        return (own >> np.uint64(64 - WORD_BITS)).astype(np.uint16)
+        return _dealt(own, size)
+
+
+def _dealt(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes as rows 0 to ``size`` - 1, by their upper half."""
+    return ((h >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.intp)
 
 
 def _sums(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Summed weight rows, the largest of each moved to 0."""
-    z = weights.take(rows[0].astype(np.intp), axis=0)
+    z = weights.take(rows[0], axis=0)
     z += bias
     for r in rows[1:]:
-        z += weights.take(r.astype(np.intp), axis=0)
+        z += weights.take(r, axis=0)
     z -= z.max(axis=1, keepdims=True)
     return z
 
@@ -327,11 +349,11 @@ def log_probs(codes: np.ndarray, begins: np.ndarray, t: Tables, by_class: np.nda
         code = codes[a : a + _BLOCK]
         part = t.history(codes, begins, a, a + len(code))
         cls = t.cls[code]
-        value = _log_softmax(by_class, t.class_rows(part), t.class_bias, cls) + t.inside[code]
+        value = _log_softmax(by_class, t.class_rows(part, len(by_class)), t.class_bias, cls) + t.inside[code]
         at, node, place = t.steps(code)
         for i in range(0, len(at), _BLOCK):
             own, of = node[i : i + _BLOCK], at[i : i + _BLOCK]
-            rows = t.word_rows(part[:, of], own)
+            rows = t.word_rows(part[:, of], own, len(by_word))
             value += np.bincount(of, _log_softmax(by_word, rows, t.word_bias[own], place[i : i + _BLOCK]), len(code))
         out[a : a + _BLOCK] = value
     return out
@@ -348,10 +370,10 @@ class Learner:
 
     def _update(self, k: int, rows: np.ndarray, slope: np.ndarray) -> None:
         for r in rows:
-            order = np.argsort(r, kind="stable")
-            ranked = r[order]
+            keyed = np.sort(r << 32 | np.arange(len(r)))  # faster than a stable argsort
+            ranked, order = keyed >> 32, keyed & 0xFFFFFFFF
             first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            at = ranked[first].astype(np.intp)
+            at = ranked[first]
             g = _segment_sums(slope.take(order, axis=0), first)
             self.squares[k][at] += np.einsum("ij,ij->i", g, g) / np.float32(WIDTH)
             g *= (RATE / np.sqrt(self.squares[k][at]))[:, None]
@@ -365,21 +387,22 @@ class Learner:
             code = codes[a : a + BATCH]
             part = t.history(codes, begins, a, a + len(code))
             cls = t.cls[code]
-            rows = t.class_rows(part)
+            rows = t.class_rows(part, len(self.weights[0]))
             self._update(0, rows, _slope(self.weights[0], rows, t.class_bias, cls))
             at, node, place = t.steps(code)
             for i in range(0, len(at), BATCH):
                 own = node[i : i + BATCH]
-                rows = t.word_rows(part[:, at[i : i + BATCH]], own)
+                rows = t.word_rows(part[:, at[i : i + BATCH]], own, len(self.weights[1]))
                 self._update(1, rows, _slope(self.weights[1], rows, t.word_bias[own], place[i : i + BATCH]))
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> MaxEnt:
     """Fit the weights on all rows marked ``_train``, a share in each round."""
     spark = encoded.sparkSession
+    by_class, by_word = sizes(vocabulary)
     model = MaxEnt(
-        vocabulary, np.zeros((1 << CLASS_BITS, CLASSES), dtype=np.float32),
-        np.zeros((1 << WORD_BITS, WIDTH), dtype=np.float32))
+        vocabulary, np.zeros((by_class, CLASSES), dtype=np.float32),
+        np.zeros((by_word, WIDTH), dtype=np.float32))
     if not vocabulary.hot:
         return model
     for turn in range(rounds):
@@ -403,12 +426,14 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
                     names=["k", "row", "n", "w"])
 
         share = encoded.where("_train").where(F.pmod(F.xxhash64("_row"), F.lit(rounds)) == turn)
-        parts = share.select("ids").mapInArrow(learn, "k int, row int, n long, w array<float>")
+        # every task returns weights of its own, so there are a few tasks a core, not one a file
+        tasks = max(2 * spark.sparkContext.defaultParallelism, vocabulary.total >> 27)
+        parts = share.select("ids").coalesce(tasks).mapInArrow(learn, "k int, row int, n long, w array<float>")
         means = [(F.sum(F.col("w")[i] * F.col("n")) / F.sum("n")).cast("float") for i in range(max(CLASSES, WIDTH))]
         merged = parts.groupBy("k", "row").agg(F.array(*means).alias("w")).toArrow()
         weights = [model.by_class.copy(), model.by_word.copy()]
-        k, row = (np.array(merged[c].to_pylist(), dtype=np.int64) for c in ("k", "row"))
-        values = np.array(merged["w"].to_pylist(), dtype=np.float32).reshape(len(k), max(CLASSES, WIDTH))
+        k, row = (merged[c].to_numpy().astype(np.int64) for c in ("k", "row"))
+        values = merged["w"].combine_chunks().flatten().to_numpy().reshape(len(k), max(CLASSES, WIDTH))
         for i in (0, 1):
             weights[i][row[k == i]] = values[k == i, : weights[i].shape[1]]
         model = replace(model, by_class=weights[0], by_word=weights[1])
@@ -441,7 +466,7 @@ def score(encoded: DataFrame, counts: DataFrame, model: MaxEnt) -> DataFrame:
         "_row", F.col("t.tail").alias("word"), F.col("t.times").alias("m"))
     smoothed = F.coalesce("c", F.lit(0)) + F.lit(0.5)
     own_mass = F.element_at(masses, F.expr(_rest_class_sql("word")) + 1)
-    rare = counts.where(F.col("c") * F.lit(HOT_WORDS) < F.lit(v.total))
+    rare = counts.where(F.col("c") * F.lit(HOT_WORDS) < F.lit(least_hot(v.total)))
     tail_sums = (
         tail.join(rare, "word", "left")
         .select("_row", "m", (F.col("m") * F.log10(smoothed / F.lit(z))).alias("base"),

@@ -220,3 +220,20 @@ def test_language_model_sees_the_third_word_back():
     t = maxent_lm.Tables(_vocabulary(1000))
     a, b = (t.history(np.array([w, 7, 8, 9]), np.array([0]), 3, 4) for w in (5, 6))
     assert len(a) == 4 and (a != b).any()
+
+
+def test_language_model_grows_with_the_training_texts():
+    """More training tokens: a longer hot list by the same Zipfian law, more weight rows held."""
+    lists, held = [], []
+    for total in (20_000_000, 100_000_000):
+        shares = total / 14 / np.arange(1, 1_000_000)
+        n = int((shares * maxent_lm.HOT_WORDS >= maxent_lm.least_hot(total)).sum())
+        t = maxent_lm.Tables(v := _vocabulary(n))
+        learner = maxent_lm.Learner(t, *[
+            np.zeros((rows, width), dtype=np.float32)
+            for rows, width in zip(maxent_lm.sizes(v), (maxent_lm.CLASSES, maxent_lm.WIDTH), strict=True)])
+        learner.learn(np.random.default_rng(0).integers(0, n, 40_000), np.array([0]))
+        lists.append(n)
+        held.append([int((x > 0).sum()) for x in learner.touched])
+    assert lists[1] > 1.5 * lists[0]
+    assert all(b > 1.3 * a for a, b in zip(*held, strict=True))
