@@ -19,7 +19,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def write_through(df: DataFrame, name: str) -> DataFrame:
+def write_through(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage with files that every executor sees, so a lost
@@ -27,7 +27,7 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -211,6 +211,12 @@ def lay_out(patterns: list[tuple[Pattern, int]]) -> tuple[np.ndarray, ...]:
     return tuple(np.array(c, dtype=np.int64) for c in zip(*rows, strict=True)) if rows else ()
 
 
+def digested(packed: DataFrame) -> DataFrame:
+    """Pieces packed ``with_ids``: ``ids_crc32`` taken of the ids as they
+    arrive from the packing, in place of the ids."""
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def pack(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False,
@@ -226,7 +232,7 @@ def pack(
     pieces = write_through(
         token_pieces(docs, id_col=id_col, text_col=text_col, capacity=capacity, path=path,
                      with_ids=with_ids),
-        "pieces",
+        "pieces", compression="zstd" if with_ids else "snappy",
     )
     cells = shuffle_partitions(docs.sparkSession)
     celled = pieces.withColumn("_cell", F.pmod(F.xxhash64(F.col(id_col), "piece", "ids_crc32"), F.lit(cells)))

@@ -14,7 +14,7 @@ from airtrace.llm.langid import identify
 from airtrace.llm.maxent_lm import score_texts
 from airtrace.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from airtrace.llm.near_dups import near_groups
-from airtrace.llm.packing import pack
+from airtrace.llm.packing import digested, pack
 from airtrace.llm.quality import fit_quality, score_quality
 from airtrace.llm.token_counts import count_all
 from airtrace.llm.toxicity import fit_toxicity, score_toxicity
@@ -88,8 +88,11 @@ def op7_toxicity(spark, sf_dir):
 
 
 def op8_pack(spark, sf_dir):
-    """Pieces of all documents, packed best-fit after dominance reduction."""
-    return pack(load(spark, sf_dir, "documents"))
+    """Pieces of all documents, packed best-fit after dominance reduction.
+
+    The digest is taken of the ids as they arrive from the packing.
+    """
+    return digested(pack(load(spark, sf_dir, "documents"), with_ids=True))
 
 
 def op9_token_counts(spark, sf_dir):

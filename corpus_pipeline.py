@@ -13,7 +13,7 @@ from airtrace.llm.common import load, write_through
 from airtrace.llm.exact_dedup import drop_exact_copies
 from airtrace.llm.mixing import mix
 from airtrace.llm.near_dups import drop_near_copies
-from airtrace.llm.packing import pack
+from airtrace.llm.packing import digested, pack
 from airtrace.llm.toxicity import fit_toxicity, score_toxicity
 
 TOXIC = 0.5
@@ -46,7 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All pieces of all copies, packed into sequences."""
-    return pack(docs)
+    return digested(pack(docs, with_ids=True))
 
 
 STAGES = [

@@ -5,8 +5,10 @@ import zlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from airtrace.llm import packing
 from airtrace.llm.packing import cut, lay_out, pack, plan_patterns
+from airtrace.llm.queries import op8_pack
 from airtrace.llm.token_counts import count_all, count_tokens
 from airtrace.llm.tokens import vocabulary, vocabulary_path
 from tests.llm.helpers import documents, rows, with_clashes
@@ -158,3 +160,13 @@ def test_pack_round_trip(spark, vocab):
 
 def test_pack_empty_table(spark):
     assert rows(pack(documents(spark, []))) == []
+
+
+def test_queries_pack_the_ids_themselves(spark, tmp_path):
+    """op8_pack and the pipeline's last stage take the digest of packed ids."""
+    docs = documents(spark, ["some words " * 900, "short", "", None, "short"], [1, 2, 3, None, 2])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = rows(pack(docs))
+    for got in (op8_pack(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, "")):
+        assert "crc32(ids" in got._jdf.queryExecution().optimizedPlan().toString()
+        assert got.columns == pack(docs).columns and rows(got) == want
