@@ -13,7 +13,8 @@ the tree grows with it.  One place of the root holds the words outside the hot
 list, inside which a word's probability is its smoothed count over their mass.
 With all weights at 0 the model is the unigram model.
 
-Training goes over all training texts in ``ROUNDS`` rounds.  In each, every
+Training goes over all training texts once, in ``ROUNDS`` rounds of another
+share (half) of them each.  In a round, every
 task starts from the broadcast weights, makes AdaGrad updates batch by batch
 over its share of the texts, and returns the weight rows that it touched;
 the rows are averaged over the tasks by a grouped aggregate, weighted by
