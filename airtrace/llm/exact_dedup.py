@@ -1,11 +1,11 @@
 """Exact dedup by progressive refinement (DataFrame operations only).
 
 Texts are equal when identical after every white-space character of
-``[\\x20\\x09-\\x0D]`` is deleted.  The groups are refined in three steps:
+``[\\x20\\x09-\\x0D]`` is deleted.  The groups are refined in two steps:
 
-1. rows are grouped by the length of the normalised text,
-2. rows of lengths that occur twice by the hash of its first characters,
-3. rows of those groups that hold two rows or more by the SHA-256 of the
+1. rows are grouped by the length of the normalised text and the hash of its
+   first characters, taken of every row,
+2. rows of those groups that hold two rows or more by the SHA-256 of the
    whole normalised text.
 
 The first scan writes one narrow row per document (length, prefix hash); the
