@@ -66,7 +66,7 @@ def terms(text: str) -> set[str]:
     """A text's words and the beginnings of its longer words (with a ^)."""
     out = set()
     for word in set(_WORD.findall(text.lower())):
-        out.add(word[:40])
+        out.add(word)
         out.update(f"{word[:n]}^" for n in _PREFIXES if len(word) > n)
     return out
 
@@ -85,12 +85,13 @@ class Lookup(dict):
 
     def __missing__(self, word: str) -> tuple[float, float] | None:
         get = self.lexicon.get
-        whole = get(word[:40], 0.0)
+        whole = get(word, 0.0)
         start = max([0.0, *(get(f"{word[:n]}^", 0.0) for n in _PREFIXES if len(word) > n)])
         found = (whole, start) if whole or start else None
         if len(self) >= self.limit:
             self.clear()
-        self[word] = found
+        if len(word) <= 64:
+            self[word] = found
         return found
 
 
@@ -112,13 +113,14 @@ def features(text: str, lookup: Lookup) -> list[float]:
     raw = np.frombuffer(text.encode(), dtype=np.uint8)
     size = max(1, len(raw))
     signs = np.bincount(_SIGNS[raw], minlength=5) / size
-    mixed = mixed_hits = 0
+    mixed = mixed_hits = a = b = 0
     for m in _MIXED.finditer(text):
         mixed += 1
-        a = max(text.rfind(" ", max(0, m.start() - 30), m.start()) + 1, m.start() - 30)
-        b = text.find(" ", m.end(), m.end() + 30)
-        token = text[a : b if b >= 0 else m.end() + 30].strip(".,;:!?\n").translate(_READ).lower()
-        read = lookup[token]
+        if m.start() >= b:  # not in the token of the match before: each character is passed once
+            a = text.rfind(" ", b, m.start()) + 1 or b
+            b = text.find(" ", m.end())
+            b = len(text) if b < 0 else b
+            read = lookup[text[a:b].strip(".,;:!?\n").translate(_READ).lower()]
         mixed_hits += bool(read and read[0])
     return [
         math.log1p(len(words)), len(whole) / n, math.log1p(len(whole)), max(whole, default=0.0),
