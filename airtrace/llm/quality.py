@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from airtrace.llm.calibration import fit_logistic, label_counts, labelled_sample, logistic
 from airtrace.llm.common import whole_text
 
-#: Labelled texts of each class for the dictionaries, and their greatest length.
+#: Labelled texts of each class for the dictionaries, the length of the pieces
+#: that they are cut into, and the pieces of each class at most.
 DICTIONARY_ROWS = 1500
-DICTIONARY_CHARS = 20_000
+PIECE_CHARS = 20_000
+DICTIONARY_PIECES = 3000
 DICTIONARY_BYTES = 112_640
 #: Labelled texts of each class that the curve is fitted on.
 CURVE_ROWS = 4000
@@ -40,7 +42,12 @@ class QualityModel:
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
-    """A dictionary of the samples; of few or tiny ones their plain content."""
+    """A dictionary of the samples.
+
+    Training needs several samples of some length; where it has too few, the
+    samples themselves are the dictionary (the last of them, if they are more
+    than ``DICTIONARY_BYTES``).
+    """
     import zstandard
 
     samples = sorted(samples)
@@ -88,8 +95,10 @@ def fit_quality(
 
     The dictionaries come from the rows that also meet ``dictionary_where``,
     the curve from the others (from all if there are none).  Both are fitted
-    on bounded samples (``DICTIONARY_ROWS``, ``CURVE_ROWS`` a class); whole
-    texts are used, those above ``DICTIONARY_CHARS`` only for the curve.
+    on bounded samples (``DICTIONARY_ROWS``, ``CURVE_ROWS`` a class).  The
+    curve sees whole texts; for the dictionaries long texts are cut into
+    pieces of ``PIECE_CHARS`` over their whole length, of which a hash draws
+    ``DICTIONARY_PIECES`` a class at most.
     """
     counts = label_counts(labels, label_col=label_col, where=where, id_col=id_col)
     rate = counts[1] / max(1, counts[0] + counts[1])
@@ -100,9 +109,14 @@ def fit_quality(
                                where=condition, id_col=id_col, text_col=text_col)
 
     texts: dict[int, list[bytes]] = {0: [], 1: []}
-    short = sample(DICTIONARY_ROWS, where & part).where(F.length("_text") <= DICTIONARY_CHARS)
-    for row in short.select("_text", "_label").collect():
-        texts[row["_label"]].append(row["_text"].encode())
+    last = F.floor((F.greatest(F.length("_text"), F.lit(1)) - 1) / F.lit(PIECE_CHARS)).cast("int")
+    pieces = sample(DICTIONARY_ROWS, where & part).select(
+        "_label", "_id", "_text", F.explode(F.sequence(F.lit(0), last)).alias("_at")).select(
+        "_label", "_id", "_at",
+        F.substring("_text", F.col("_at") * PIECE_CHARS + 1, F.lit(PIECE_CHARS)).alias("_piece"))
+    for label in (0, 1):
+        drawn = pieces.where(F.col("_label") == label).orderBy(F.xxhash64("_at", "_id"), "_id", "_at")
+        texts[label] = [row["_piece"].encode() for row in drawn.limit(DICTIONARY_PIECES).collect()]
     model = QualityModel(_dictionary(texts[1]), _dictionary(texts[0]), None, rate)
     if not counts[0] or not counts[1]:
         return model
