@@ -24,7 +24,6 @@ _SETTLED = re.compile(
     "[^\u0000-ɏΑ-ΡΣ-ϿЀ-ҁ‐-‧‰-⁞"
     "€™←-⇿ぁ-ゖァ-ヺ一-龥가-힣]"
 )
-#: A text this long without white space is left to the reference as well.
 _PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
