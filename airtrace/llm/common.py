@@ -109,3 +109,17 @@ def mark_keys(rows: DataFrame, bitmap: DataFrame, hashed: Column, bits: int, out
         .withColumn(out, F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False)))
         .drop("_page", "_map")
     )
+
+
+def split_by_keys(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = 24) -> tuple[DataFrame, DataFrame]:
+    """``docs`` as (_row, a struct of all columns), parted by the ids in ``ids``.
+
+    The second part holds all rows whose id is among ``ids`` (one column) and
+    a few others that share a bit of the fixed-size bitmap; rows of the first
+    part are none of them and need no join, so their texts are not shuffled.
+    Null ids are told apart like any other.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    bitmap = key_bitmap(ids, F.xxhash64(F.col(ids.columns[0])), bits)
+    marked = mark_keys(rows, bitmap, F.xxhash64(F.col("_row")[id_col]), bits, "_marked")
+    return marked.where("NOT _marked").select("_row"), marked.where("_marked").select("_row")

@@ -1,18 +1,18 @@
 """Exact dedup by progressive refinement (DataFrame operations only).
 
 Texts are equal when identical after every white-space character of
-``[\\x20\\x09-\\x0D]`` is deleted.  The groups are refined in two steps:
+``[\\x20\\x09-\\x0D]`` is deleted.  The groups are refined in three steps:
 
-1. rows are grouped by the length of the normalised text and the hash of its
-   first characters, taken of every row,
-2. rows of those groups that hold two rows or more by the SHA-256 of the
+1. rows are grouped by the length of the normalised text,
+2. rows of a length that occurs twice or more by the hash of the text's
+   first characters,
+3. rows of a (length, prefix) group of two or more by the SHA-256 of the
    whole normalised text.
 
-The first scan writes one narrow row per document (length, prefix hash); the
-full hash is taken only for rows whose (length, prefix) group survives.
-Which rows survive is tested at the scan against a bitmap of a fixed number
-of bits, broadcast: its size does not grow with the data, and two groups
-that share a bit cost a needless hash, never a wrong result.
+Each step is a scan that hashes only rows whose group survived the step
+before.  Which rows those are is tested at the scan against a bitmap of a
+fixed number of bits, broadcast: its size does not grow with the data, and
+two groups that share a bit cost a needless hash, never a wrong result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from airtrace.llm.common import (
     key_bitmap,
     left_join_groups,
     mark_keys,
+    split_by_keys,
     whole_text,
     write_through,
 )
@@ -68,21 +69,20 @@ def exact_groups(
     text = whole_text(text_col)
     base = docs.select(F.col(id_col).alias("_id"), normalised(text).alias("_norm"),
                        F.length(text).cast("long").alias("_chars"))
-    length = F.octet_length("_norm").alias("_len")
-    prefix = F.xxhash64(F.left("_norm", F.lit(prefix_chars))).alias("_prefix")
-    keys = write_through(base.select(length, prefix), "exact-keys")
-    by_prefix = keys.groupBy("_len", "_prefix").agg(F.count("*").alias("n"))
-    by_length = (
-        by_prefix.groupBy("_len").agg(F.sum("n").alias("of_length"))
-        .where("of_length > 1").select("_len")
-    )
-    surviving = by_prefix.where("n > 1").join(by_length, "_len", "left_semi")
-    group_hash = F.xxhash64("_len", "_prefix")
+    measured = base.withColumn("_len", F.octet_length("_norm"))
+    length_hash, group_hash = F.xxhash64("_len"), F.xxhash64("_len", "_prefix")
+
+    def repeated(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys)
+
+    lengths = write_through(repeated(measured, "_len"), "exact-lengths")
+    by_length = mark_keys(measured, key_bitmap(lengths, length_hash, bits), length_hash, bits, "_shared")
+    prefixed = by_length.withColumn(
+        "_prefix", F.when(F.col("_shared"), F.xxhash64(F.left("_norm", F.lit(prefix_chars)))))
+    surviving = write_through(
+        repeated(prefixed.where("_shared"), "_len", "_prefix"), "exact-prefixes")
     digest = F.sha2("_norm", 256)
-    scanned = base.withColumns({"_len": F.octet_length("_norm"),
-                                "_prefix": F.xxhash64(F.left("_norm", F.lit(prefix_chars)))})
-    scanned = mark_keys(scanned, key_bitmap(surviving, group_hash, bits), group_hash, bits,
-                        "_survives")
+    scanned = mark_keys(prefixed, key_bitmap(surviving, group_hash, bits), group_hash, bits, "_survives")
     scanned = scanned.withColumn("_sha", digest if hash_all else F.when(F.col("_survives"), digest))
     hashed = write_through(
         scanned.select("_id", "_chars", "_sha", F.when(F.col("_survives"), F.col("_sha")).alias("_key")),
@@ -117,26 +117,32 @@ def drop_exact_copies(
     Rows that repeat the id and the text of the row that stays go as well;
     which of them stays is open, as they differ in other columns at most.
     Rows are told apart by id and text, so one id may have several texts.
+    Null texts count as empty, and of empty texts one row stays.  Columns of
+    any name pass unchanged; an empty table gives an empty result.
+
+    Only rows that go, repeat, or share a bit with one that does are joined;
+    the texts of all others stay where they are.
     """
     flagged = write_through(
         exact_groups(docs, id_col=id_col, text_col=text_col).where("group_size > 1")
         .select(F.col(id_col).alias("_of"), F.col("text_sha256").alias("_sha"), "kept"),
         "exact-flags",
     )
-    own = F.sha2(normalised(whole_text(text_col)), 256)
-
-    def of(keys: DataFrame):
-        return docs[id_col].eqNullSafe(keys["_of"]) & (own == keys["_sha"])
-
     dropped = flagged.where("not kept").select("_of", "_sha").distinct()
-    stay = docs.join(dropped, of(dropped), "left_anti")
     repeated = (
         flagged.where("kept").groupBy("_of", "_sha").agg(F.count("*").alias("n"))
         .where("n > 1").select("_of", "_sha")
     )
-    if repeated.isEmpty():
-        return stay
-    once = stay.join(repeated, of(repeated), "left_anti")
-    again = stay.join(repeated, of(repeated), "left_semi")
-    one = again.withColumn("_sha", own).dropDuplicates([id_col, "_sha"]).drop("_sha")
-    return once.unionByName(one)
+    clear, near = split_by_keys(docs, id_col, dropped.select("_of").unionByName(repeated.select("_of")))
+    text = F.coalesce(F.col("_row")[text_col], F.lit(""))
+    named = near.withColumns({"_key": F.col("_row")[id_col], "_own": F.sha2(normalised(text), 256)})
+
+    def of(keys: DataFrame):
+        return F.col("_key").eqNullSafe(keys["_of"]) & (F.col("_own") == keys["_sha"])
+
+    stay = named.join(dropped, of(dropped), "left_anti")
+    if not repeated.isEmpty():
+        once = stay.join(repeated, of(repeated), "left_anti")
+        again = stay.join(repeated, of(repeated), "left_semi")
+        stay = once.unionByName(again.dropDuplicates(["_key", "_own"]))
+    return clear.unionByName(stay.select("_row")).select("_row.*")

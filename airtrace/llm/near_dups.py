@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airtrace.llm.common import key_bitmap, left_join_groups, mark_keys, whole_text, write_through
+from airtrace.llm.common import key_bitmap, left_join_groups, mark_keys, split_by_keys, whole_text, write_through
 from airtrace.llm.components import components
 
 BANDS = 40
@@ -449,19 +449,25 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` without the rows whose id is not their component's smallest.
 
-    All columns stay.  Rows that repeat the id that stays go as well, but
-    one; rows without an id and texts without words stay.
+    All columns stay, of whatever name.  Rows that repeat the id that stays
+    go as well, but one; rows without an id and texts without words stay.  Of
+    ties the smallest id stays; an empty table gives an empty result.
+
+    Only rows that go, repeat, or share a bit with one that does are joined;
+    the texts of all others stay where they are.
     """
     flagged = write_through(
         near_groups(docs, id_col=id_col, text_col=text_col, k=k, percent=percent), "near-flags")
     gone = flagged.where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    stay = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
     repeated = (
         flagged.where(F.col("kept") & F.col(id_col).isNotNull() & (F.col("n_shingles") > 0))
         .groupBy(F.col(id_col).alias("_again")).agg(F.count("*").alias("n")).where("n > 1").select("_again")
     )
-    if repeated.isEmpty():
-        return stay
-    once = stay.join(repeated, stay[id_col] == F.col("_again"), "left_anti")
-    again = stay.join(repeated, stay[id_col] == F.col("_again"), "left_semi")
-    return once.unionByName(again.dropDuplicates([id_col]))
+    clear, near = split_by_keys(docs, id_col, gone.unionByName(repeated.withColumnRenamed("_again", "_gone")))
+    named = near.withColumn("_key", F.col("_row")[id_col])
+    stay = named.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    if not repeated.isEmpty():
+        once = stay.join(repeated, F.col("_key") == F.col("_again"), "left_anti")
+        again = stay.join(repeated, F.col("_key") == F.col("_again"), "left_semi")
+        stay = once.unionByName(again.dropDuplicates(["_key"]))
+    return clear.unionByName(stay.select("_row")).select("_row.*")
