@@ -94,7 +94,7 @@ def replicate(
 
     ``copy`` counts a document's copies from 0; ``position`` is the place in
     the mix as a number in [0, 1), by which the rows come range-partitioned
-    and sorted.  Documents that draw 0 are not in the mix.  Draws hang on the
+    (even parts of the interval: no sample of the rows is needed) and sorted.  Documents that draw 0 are not in the mix.  Draws hang on the
     seed and the id alone: rows that repeat an id draw alike, a null id
     draws as the empty text.  Rates of 0 and sources without a rate give no
     row.  The rates are broadcast if their size is known to be below
@@ -115,7 +115,7 @@ def replicate(
     n = shuffle_partitions(docs.sparkSession)
     return (
         drawn.select(*base.columns, "copy", "position")
-        .repartitionByRange(n, "position")
+        .repartitionById(n, F.floor(F.col("position") * F.lit(n)).cast("int"))
         .sortWithinPartitions("position", id_col, "copy")
     )
 
