@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +64,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def scratch_made() -> Iterator[list[str]]:
+    """The scratch folders named inside the block, for :func:`delete_scratch`."""
+    begin, made = len(_made), []
+    try:
+        yield made
+    finally:
+        made += _made[begin:]
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders whose frames are done with."""
+    for path in list(paths):
+        fs, at = file_system(spark, path)
+        fs.delete(at, True)
+        if path in _made:
+            _made.remove(path)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the scratch folders that this process has named; how many there were.
 
