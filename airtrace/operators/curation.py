@@ -9,7 +9,6 @@ malformed message costs one NULL, never a Python round trip or a job failure.
 from __future__ import annotations
 
 import itertools
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -43,31 +42,30 @@ def message_text(value: Column | str = "value") -> Column:
     return F.try_validate_utf8(col.cast("string"))
 
 
-@contextmanager
-def last_key_wins(spark):
-    """Repeated keys of a JSON object are allowed, the last one counts.
+_REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
-    Spark binds the setting to an expression when the expression is analysed,
-    so it is set only while the parse is built and then restored.
+
+def last_key_wins(spark) -> None:
+    """From now on repeated keys of a JSON object are allowed, the last one counts.
+
+    The parse reads the setting whenever its expression is copied, by any
+    self-join or union of what comes after it, so the session keeps it; a
+    stream takes it along when it is started.
     """
-    key = "spark.sql.variant.allowDuplicateKeys"
-    old = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+    if spark.conf.get(_REPEATED_KEYS, "false").lower() != "true":
+        spark.conf.set(_REPEATED_KEYS, "true")
 
 
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the parsed ``payload`` VARIANT (NULL when not valid JSON).
 
-    Of repeated keys in an object the last one wins.  The parse is its own projection; the validity test above it reads the
+    Of repeated keys in an object the last one wins (:func:`last_key_wins`).
+    The parse is its own projection; the validity test above it reads the
     parsed value several times without parsing again (Catalyst does not
     merge a projection whose expensive result is used more than once).
     """
-    with last_key_wins(df.sparkSession):
-        wrapped = df.withColumn(_WRAPPED, parse_wrapped(F.col(value)))
+    last_key_wins(df.sparkSession)
+    wrapped = df.withColumn(_WRAPPED, parse_wrapped(F.col(value)))
     return wrapped.withColumn(PAYLOAD, single_value(F.col(_WRAPPED))).drop(_WRAPPED)
 
 

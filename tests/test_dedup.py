@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from airtrace.operators.dedup import drop_repeats, station_state
+from airtrace.operators.dedup import drop_repeats, hot_stations, station_state
 
 SCHEMA = "seq long, station_key string, timestamp string"
 
@@ -90,12 +90,87 @@ def test_property_equals_brute_force(spark, pairs, slice_size):
     assert run(spark, recs, slice_size=slice_size) == brute_force(recs)[0]
 
 
-def test_one_shuffle_of_the_rows(spark):
-    """The rows are exchanged once; the other exchanges move per-slice rows."""
-    df = spark.createDataFrame([(i, "k", "t") for i in range(10)], SCHEMA)
-    plan = drop_repeats(df, slice_size=4)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("REPARTITION_BY_COL") == 1
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_stations_one_scan_and_one_exchange(spark, tmp_dir):
+    """10^5 stations: the rows are read once and exchanged once, nothing else moves."""
+    spark.range(300_000).selectExpr(
+        "id AS seq", "concat('s', id % 100000) AS station_key", "CAST(id % 3 AS STRING) AS timestamp", "id AS payload"
+    ).write.parquet(tmp_dir)
+    out = drop_repeats(spark.read.parquet(tmp_dir))
+    plan = _plan(out)
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_COL") == 1
+    assert "Join" not in plan
+    # a station's versions go 0, 1, 2: every record is a change
+    assert out.count() == 300_000
+
+
+def test_hot_stations_alone_are_sliced(spark, tmp_dir):
+    """The carry scans narrow columns of the hot station; the rows are exchanged once."""
+    spark.range(30_000).selectExpr(
+        "id AS seq", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 9000) END AS station_key",
+        "CAST(id div 6 % 2 AS STRING) AS timestamp", "id AS payload").write.parquet(tmp_dir)
+    df = spark.read.parquet(tmp_dir)
+    assert hot_stations(df, "station_key", 1000) == ["hot"]
+    out = drop_repeats(df, slice_size=1000)
+    plan = _plan(out)
+    assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("FileScan") == 2
     assert "partial_max_by" in plan
+    narrow = [line for line in plan.splitlines() if "FileScan" in line and "payload" not in line]
+    assert len(narrow) == 1
+    records = [tuple(r) for r in df.select("seq", "station_key", "timestamp").collect()]
+    got = sorted(tuple(r) for r in out.select("seq", "station_key", "timestamp").collect())
+    assert got == brute_force(records)[0]
+
+
+def test_an_order_that_cannot_be_sliced_is_an_error(spark):
+    df = spark.createDataFrame([(f"{i:03}", "s", "A") for i in range(9)], "seq string, station_key string, timestamp string")
+    with pytest.raises(ValueError, match="slice_cols"):
+        drop_repeats(df, slice_size=4)
+    assert drop_repeats(df, slice_size=None).count() == 1
+    assert drop_repeats(df).count() == 1  # no station is that large
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_orders_in_time_are_sliced(spark, kind):
+    rnd = random.Random(5)
+    recs = [(i, "hot" if i % 3 else "b", rnd.choice("AB")) for i in range(200)]
+    unit = "date_add(DATE'2024-01-01', CAST(seq AS INT))" if kind == "date" else f"CAST(timestamp_seconds(seq * 7) AS {kind})"
+    df = spark.createDataFrame(recs, SCHEMA).selectExpr("seq", "station_key", "timestamp", f"{unit} AS at")
+    got = sorted(tuple(r) for r in drop_repeats(df, order="at", slice_size=5).drop("at").collect())
+    assert got == brute_force(recs)[0]
+
+
+def test_state_inside_the_arrival_order(spark):
+    """Rows of a state that carry order columns are seen where they stand."""
+    recs = [(1, "s", "A"), (5, "s", "A"), (9, "s", "B"), (2, "hot", "A")] + [(10 + i, "hot", "A") for i in range(50)]
+    state = spark.createDataFrame(
+        [(3, "s", "B"), (0, "s", "A"), (None, "hot", "A"), (30, "hot", "B")],
+        "seq long, station_key string, last_timestamp string")
+    for size in (None, 3, 1 << 20):
+        got = run(spark, recs, initial_state=state, slice_size=size)
+        assert got == [(5, "s", "A"), (9, "s", "B"), (31, "hot", "A")]
+
+
+def test_repeated_json_keys_survive_copies_of_the_parse(spark):
+    """A self-join and the carry of hot stations copy the parse; no message may vanish."""
+    from airtrace.operators.curation import curate
+
+    def message(idx, iso, twice):
+        extra = '"aqi":1,"aqi":2,' if twice else ""
+        return f'{{"data":{{{extra}"idx":{idx},"time":{{"iso":"{iso}"}}}}}}'
+
+    src = spark.createDataFrame(
+        [(i, message(7, iso, twice)) for i, (iso, twice) in enumerate(
+            [("2024-01-01T00", True), ("2024-01-01T00", False), ("2024-01-01T01", True), ("2024-01-01T02", False),
+             ("2024-01-01T02", True), ("2024-01-01T03", True)])], "seq long, value string")
+    cur = curate(src, processing_date="2024-01-01")
+    assert cur.alias("a").join(cur.alias("b"), "seq").count() == 6
+    assert sorted(r["seq"] for r in drop_repeats(cur, slice_size=2).collect()) == [0, 2, 3, 5]
+    assert {r["aqi"] for r in cur.where("seq IN (0, 2)").collect()} == {2}
 
 
 def test_repeat_counters(spark):
