@@ -1,27 +1,38 @@
 """Change detection on a stream with per-station state (D1 stream form, D2).
 
-The state of a station is one value: the version (station timestamp) of its
-last accepted record.  It lives in the state store, is committed together
-with each micro-batch and the sink's log, and survives restarts from the
-checkpoint (W3, W4, W7).  No watermark and no eviction: like the original
-consumer, every station is remembered and late data is always accepted.
-
-Only this step runs in Python, vectorized with pandas per station and
-micro-batch: rows are sorted by arrival, compared with the previous row (the
-first with the stored state), and the last version becomes the new state.
-All parsing happens before it in JVM expressions.  A station's rows of one
-micro-batch are held together, so their number is bounded by the trigger's
-batch size (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+A :class:`StationVersions` processor (``transformWithState``) holds one value
+per station: the version (station timestamp) of its last accepted record.
+The state lives in RocksDB, is committed together with each micro-batch and
+the sink's log, and survives restarts from the checkpoint (W3, W4, W7).  No
+watermark and no eviction: like the original consumer, every station is
+remembered and late data is always accepted.
+
+Before the processor a micro-batch is exchanged once, by station, and each
+partition is sorted by station and arrival in the JVM, where a sort spills.
+So the processor sees a station's records as a sorted stream of rows and
+compares each with the one before: it holds one row, however many records a
+station has.  It checks the order as the records pass; records that do not
+come in order are an error, never a wrong result.
+
+Spark's checker forbids any sort of a stream, since a global one would never
+end.  Sorting the partitions of a micro-batch is well defined, so queries with
+this step are started inside :func:`airtrace.streaming.ingest.stateful`, which
+turns the checker off for the start (and puts the state into RocksDB).
+
+A new checkpoint may begin with the state of an earlier run
+(``initial_state``), whatever its number of partitions;
+:func:`read_stream_state` reads that state from a checkpoint, also of a
+running stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -37,24 +48,35 @@ from pyspark.sql.types import (
 
 from airtrace.operators.curation import complete_keys
 
+STATE = "last"
 
-def _changes(version: str, order: list[str]):
-    def step(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(order, kind="stable", ignore_index=True)
-        current = pdf[version].astype(object)
-        previous = current.shift(1)
-        previous.iloc[0] = state.get[0] if state.exists else None
-        # A missing previous version (new station) never equals: keep.
-        keep = ~previous.eq(current).to_numpy(dtype=bool)
-        state.update((current.iloc[-1],))
-        yield pdf[keep]
 
-    return step
+class StationVersions(StatefulProcessor):
+    """Passes the records whose version differs from the station's last one."""
+
+    def __init__(self, version: str, order: list[str], kind: DataType) -> None:
+        self.version, self.order = version, order
+        self.schema = StructType([StructField(STATE, kind, True)])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState(STATE, self.schema)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        last = self.last.get()[0] if self.last.exists() else None
+        place = None
+        for row in rows:
+            arrival = tuple(row[c] for c in self.order)
+            if place is not None and arrival < place:
+                raise ValueError(f"records of station {key} do not come in the order of {self.order}")
+            place = arrival
+            if row[self.version] != last:  # a new station has no last version: NULL differs from all
+                last = row[self.version]
+                yield row
+        if place is not None:
+            self.last.update((last,))
+
+    def handleInitialState(self, key: Any, initialState: Row, timerValues) -> None:
+        self.last.update((initialState[STATE],))
 
 
 _PACKED = "_packed"
@@ -77,12 +99,17 @@ def dedup_stream(
     key: str = "station_key",
     version: str = "timestamp",
     order: str | list[str] = "seq",
+    initial_state: DataFrame | None = None,
 ) -> DataFrame:
     """Streaming form of :func:`airtrace.operators.dedup.drop_repeats`.
 
     Same rule, same result as the batch form over the same records in the
     same arrival order, also across query restarts.  Output mode ``append``:
     each accepted record is emitted once, in the micro-batch it arrives in.
+    Start the query inside :func:`airtrace.streaming.ingest.stateful`.
+
+    ``initial_state`` (``key``, ``last_<version>``; one row a station) is what
+    a new checkpoint begins with; Spark ignores it on restarts.
 
     Only the key, the version and the order columns need to be seen by
     Python; the other columns are packed into one JSON text column by the
@@ -100,15 +127,20 @@ def dedup_stream(
         )
     else:
         narrow = complete
-    state_schema = StructType(
-        [StructField("last", complete.schema[version].dataType, True)]
-    )
-    kept = narrow.groupBy(key).applyInPandasWithState(
-        _changes(version, order_cols),
-        outputStructType=narrow.schema,
-        stateStructType=state_schema,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+    kind = complete.schema[version].dataType
+    seed = None
+    if initial_state is not None:
+        stored = F.col(f"last_{version}").cast(kind).alias(STATE)
+        seed = initial_state.select(F.col(key).cast(complete.schema[key].dataType).alias(key), stored).groupBy(key)
+    kept = (
+        narrow.repartition(key).sortWithinPartitions(key, *order_cols).groupBy(key)
+        .transformWithState(
+            StationVersions(version, order_cols, kind),
+            outputStructType=narrow.schema,
+            outputMode="append",
+            timeMode="none",
+            initialState=seed,
+        )
     )
     if not pack:
         return kept
@@ -119,3 +151,24 @@ def dedup_stream(
             for f in complete.schema.fields
         ]
     )
+
+
+def read_stream_state(
+    spark: SparkSession,
+    checkpoint: str,
+    key: str = "station_key",
+    version: str = "timestamp",
+    batch_id: int | None = None,
+) -> DataFrame:
+    """Station state of a checkpoint of :func:`dedup_stream`.
+
+    The snapshot after the last committed micro-batch, or after ``batch_id``
+    (as long as the checkpoint retains it); the query may be running.  Same
+    columns as :func:`airtrace.operators.dedup.station_state`, so it can seed
+    a checkpoint with another number of partitions.
+    """
+    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", STATE)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    return reader.load().select(
+        F.col("key").getField(key).alias(key), F.col("value").getField(STATE).alias(f"last_{version}"))

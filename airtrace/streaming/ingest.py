@@ -74,6 +74,29 @@ def state_on_disk(spark):
         spark.conf.set(key, old) if old else spark.conf.unset(key)
 
 
+@contextmanager
+def sorted_partitions(spark):
+    """Queries started inside the block may sort the partitions of a micro-batch.
+
+    Spark's checker of streaming plans refuses every sort; it is off while
+    the queries of the block are started.
+    """
+    key = "spark.sql.streaming.unsupportedOperationCheck"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old) if old else spark.conf.unset(key)
+
+
+@contextmanager
+def stateful(spark, partitions: int | None = None):
+    """What queries with :func:`dedup_stream` are started in."""
+    with state_partitions(spark, partitions), state_on_disk(spark), sorted_partitions(spark):
+        yield
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -90,6 +113,7 @@ def start_ingest(
     trigger: str | None = None,
     raw_format: str = "parquet",
     partitions: int | None = None,
+    initial_state: DataFrame | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the raw and curated archive queries over a message stream.
 
@@ -108,7 +132,8 @@ def start_ingest(
     as day-partitioned JSON lines instead; both queries read the source and
     parse each message, and such an archive cannot be replayed with change
     detection.  ``partitions`` sets the state partitions of a new checkpoint
-    (see :func:`state_partitions`).
+    (see :func:`state_partitions`), ``initial_state`` the station state that
+    it begins with.
 
     The fallback day of messages without a time is fixed when the queries
     are built (``processing_date``, by default the current date).  Progress
@@ -149,9 +174,9 @@ def start_ingest(
         raise ValueError(f"unknown raw_format {raw_format!r}")
 
     counted = observe_keys(curated, f"airtrace_keys_{city}")
-    kept = dedup_stream(counted, order=order_cols).select(*CURATED_COLUMNS, "day")
+    kept = dedup_stream(counted, order=order_cols, initial_state=initial_state).select(*CURATED_COLUMNS, "day")
     kept = kept.observe(f"airtrace_kept_{city}", F.count(F.lit(1)).alias("kept"))
-    with state_partitions(source.sparkSession, partitions), state_on_disk(source.sparkSession):
+    with stateful(source.sparkSession, partitions):
         curated_query = _start(
             kept,
             "json",
@@ -227,7 +252,7 @@ def run_available(
     )
     for name, value in options.items():
         writer = writer.option(name, value)
-    with state_partitions(stream.sparkSession, partitions), state_on_disk(stream.sparkSession):
+    with stateful(stream.sparkSession, partitions):
         query = writer.start()
     query.awaitTermination()
     if query.exception() is not None:

@@ -1,15 +1,16 @@
 """Change detection of a stream by micro-batches of the batch operator.
 
-``applyInPandasWithState`` (:mod:`airtrace.streaming.dedup_state`) holds a
-station's rows of one micro-batch in one task.  Here each micro-batch runs
-the sliced batch operator instead, which spreads a hot station over many
-tasks, and the state (one version per station) is a Parquet table per
+The stateful step (:mod:`airtrace.streaming.dedup_state`) passes a station's
+rows of one micro-batch through one task.  Here each micro-batch runs the
+sliced batch operator instead, which spreads a hot station over many tasks, and the state (one version per station) is a Parquet table per
 micro-batch.  Nothing depends on a partition count that was fixed at the
 first start, and a new checkpoint can be seeded with any station state.
 
 Both the output and the state of a micro-batch go to folders named by its
 number and are overwritten, so a micro-batch that is run again after a
-failure replaces what it had written.
+failure replaces what it had written.  A state counts from when its marker
+file is there, which is written last; a micro-batch whose predecessor has no
+finished state is an error.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql.streaming import StreamingQuery
 from airtrace.operators.dedup import drop_repeats, station_state
 from airtrace.paths import file_system
 from airtrace.plans.reports import materialize
+from airtrace.session import delete_scratch, scratch_made
 
 _SEED = "seed"
+_MARKER = "_station_state_complete"
 #: States kept behind the newest one, for a micro-batch that runs again.
 _KEEP_STATES = 2
 
@@ -31,18 +34,32 @@ def _folder(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch={batch_id:012d}"
 
 
+def _write_state(state: DataFrame, place: str) -> None:
+    """Overwrite a state, then mark it as complete."""
+    fs, marker = file_system(state.sparkSession, f"{place}/{_MARKER}")
+    fs.delete(marker, False)
+    state.write.mode("overwrite").parquet(place)
+    fs.create(marker, True).close()
+
+
 def _read_state(spark: SparkSession, path: str, batch_id: int, like: DataFrame) -> DataFrame | None:
-    """The state before this micro-batch: that of the one before, or the seed."""
-    for place in (_folder(path, batch_id - 1), f"{path.rstrip('/')}/{_SEED}"):
-        fs, at = file_system(spark, f"{place}/_SUCCESS")
-        if fs.exists(at):
-            return spark.read.schema(like.schema).parquet(place)
+    """The state before this micro-batch: that of the one before, or the seed.
+
+    Only the first micro-batch of a checkpoint begins with the seed, or with
+    nothing where there is none.
+    """
+    place = _folder(path, batch_id - 1) if batch_id else f"{path.rstrip('/')}/{_SEED}"
+    fs, marker = file_system(spark, f"{place}/{_MARKER}")
+    if fs.exists(marker):
+        return spark.read.schema(like.schema).parquet(place)
+    if batch_id or fs.exists(marker.getParent()):
+        raise RuntimeError(f"the station state {place} is missing or was not finished")
     return None
 
 
 def seed_state(state: DataFrame, state_path: str) -> None:
     """Station state (:func:`station_state`) that a new checkpoint begins with."""
-    state.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/{_SEED}")
+    _write_state(state, f"{state_path.rstrip('/')}/{_SEED}")
 
 
 def start_sliced_dedup(
@@ -67,17 +84,22 @@ def start_sliced_dedup(
     last = f"last_{version}"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = materialize(batch)  # read twice below, and by the state
-        latest = station_state(rows, key, version, order)
-        before = _read_state(batch.sparkSession, state_path, batch_id, latest)
-        kept = drop_repeats(rows, key, version, order, initial_state=before, **sliced)
-        kept.write.mode("overwrite").parquet(_folder(out_path, batch_id))
-        after = latest
-        if before is not None:
-            older = before.withColumnRenamed(last, "_older")
-            after = latest.join(older, key, "full").select(key, F.coalesce(last, "_older").alias(last))
-        after.write.mode("overwrite").parquet(_folder(state_path, batch_id))
-        fs, old = file_system(batch.sparkSession, _folder(state_path, batch_id - _KEEP_STATES))
+        spark = batch.sparkSession
+        with scratch_made() as made:
+            rows = materialize(batch)  # read again by the state
+        try:
+            latest = station_state(rows, key, version, order)
+            before = _read_state(spark, state_path, batch_id, latest)
+            kept = drop_repeats(rows, key, version, order, initial_state=before, **sliced)
+            kept.write.mode("overwrite").parquet(_folder(out_path, batch_id))
+            after = latest
+            if before is not None:
+                older = before.withColumnRenamed(last, "_older")
+                after = latest.join(older, key, "full").select(key, F.coalesce(last, "_older").alias(last))
+            _write_state(after, _folder(state_path, batch_id))
+        finally:
+            delete_scratch(spark, made)
+        fs, old = file_system(spark, _folder(state_path, batch_id - _KEEP_STATES))
         fs.delete(old, True)
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

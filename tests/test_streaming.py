@@ -11,7 +11,7 @@ from airtrace.operators.dedup import drop_repeats
 from airtrace.schemas import CURATED_SCHEMA
 from airtrace.sources.curated import read_curated
 from airtrace.streaming.dedup_state import dedup_stream
-from airtrace.streaming.ingest import run_available, start_ingest
+from airtrace.streaming.ingest import run_available, start_ingest, stateful
 
 OBS = "seq long, station_key string, timestamp string, aqi int"
 
@@ -127,35 +127,135 @@ def test_two_order_columns_like_kafka(spark, tmp_dir):
     assert got == [(0, 1), (0, 2)]
 
 
-class _State:
+class _Value:
+    """A value state without a store."""
+
     def __init__(self, value=None):
         self.value = value
 
-    @property
+    def getValueState(self, name, schema):
+        return self
+
     def exists(self):
         return self.value is not None
 
-    @property
     def get(self):
         return (self.value,)
 
     def update(self, row):
-        self.value = row[0]
+        (self.value,) = row
+
+
+def _processor(value=None, order=("seq",)):
+    from pyspark.sql.types import StringType
+
+    from airtrace.streaming.dedup_state import StationVersions
+
+    step = StationVersions("timestamp", list(order), StringType())
+    state = _Value(value)
+    step.init(state)
+    return step, state
+
+
+def _rows(versions):
+    from pyspark.sql import Row
+
+    return [Row(p=0, seq=i + 1, timestamp=v) for i, v in enumerate(versions)]
+
+
+def test_processor_compares_row_after_row():
+    rows = _rows("AABBAAC")
+    step, state = _processor()
+    out = list(step.handleInputRows(("42",), iter(rows), None))
+    assert [r.seq for r in out] == [1, 3, 5, 7] and state.value == "C"
+    assert [r.seq for r in _processor("A")[0].handleInputRows(("42",), iter(rows), None)] == [3, 5, 7]
+    step, state = _processor("A")
+    assert list(step.handleInputRows(("42",), iter([]), None)) == [] and state.value == "A"
 
+    def broken():  # a row is passed on before the next one is asked for
+        yield rows[0]
+        raise LookupError
 
-def test_step_with_and_without_state():
-    import pandas as pd
+    passed = _processor()[0].handleInputRows(("42",), broken(), None)
+    assert next(passed).seq == 1
+    with pytest.raises(LookupError):
+        next(passed)
 
-    from airtrace.streaming.dedup_state import _changes
 
-    step = _changes("timestamp", ["seq"])
-    batch = pd.DataFrame({"seq": [3, 1, 2, 4], "timestamp": ["B", "A", "A", "A"]})
-    state = _State()
-    (out,) = list(step(("42",), iter([batch.iloc[:2], batch.iloc[2:]]), state))
-    assert out["seq"].tolist() == [1, 3, 4] and state.value == "A"
-    state = _State("A")
-    (out,) = list(step(("42",), iter([batch]), state))
-    assert out["seq"].tolist() == [3, 4] and state.value == "A"
+def test_processor_refuses_records_out_of_order():
+    rows = _rows("ABC")
+    assert len(list(_processor(order=("p", "seq"))[0].handleInputRows(("1",), iter(rows), None))) == 3
+    with pytest.raises(ValueError, match="order"):
+        list(_processor(order=("p", "seq"))[0].handleInputRows(("1",), iter(rows[::-1]), None))
+
+
+def test_hot_station_in_random_files_and_a_seed(spark, tmp_dir):
+    """A third of the rows in one station, spread at random over files; a seeded checkpoint."""
+    import random
+
+    from airtrace.operators.dedup import station_state
+
+    rnd = random.Random(4)
+    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 20}", rnd.choice("AB"), i) for i in range(6000)]
+    before = [(-1, "hot", "A", 0), (-2, "s1", "B", 0), (-3, "gone", "C", 0)]
+    spark.createDataFrame(rows, OBS).orderBy(F.rand(1)).repartition(7).write.parquet(f"{tmp_dir}/src")
+    seed = station_state(spark.createDataFrame(before, OBS))
+    stream = spark.readStream.schema(OBS).parquet(f"{tmp_dir}/src")
+    run_available(dedup_stream(stream, initial_state=seed), "parquet", f"{tmp_dir}/sink", f"{tmp_dir}/ck", partitions=3)
+    got = sorted(r.seq for r in spark.read.schema(OBS).parquet(f"{tmp_dir}/sink").collect())
+    want = drop_repeats(spark.createDataFrame(before + rows, OBS))
+    assert got == sorted(r.seq for r in want.collect() if r.seq >= 0)
+
+
+def test_state_of_a_stream_seeds_another_partition_count(spark, tmp_dir):
+    from airtrace.operators.dedup import station_state
+    from airtrace.streaming import read_stream_state
+
+    rows = [(i, f"s{i % 7}", "AB"[i % 3 % 2], i) for i in range(90)]
+    _write_json(spark, rows[:40], f"{tmp_dir}/src")
+    stream = spark.readStream.schema(OBS).json(f"{tmp_dir}/src")
+    run_available(dedup_stream(stream), "json", f"{tmp_dir}/sink", f"{tmp_dir}/ck", partitions=2)
+    state = read_stream_state(spark, f"{tmp_dir}/ck")
+    batch = station_state(spark.createDataFrame(rows[:40], OBS))
+    assert state.columns == batch.columns
+    assert sorted(map(tuple, state.collect())) == sorted(map(tuple, batch.collect()))
+    _write_json(spark, rows[40:], f"{tmp_dir}/src2")
+    stream = spark.readStream.schema(OBS).json(f"{tmp_dir}/src2")
+    run_available(dedup_stream(stream, initial_state=state), "json", f"{tmp_dir}/sink2", f"{tmp_dir}/ck2", partitions=5)
+    got = sorted(r.seq for p in ("sink", "sink2") for r in spark.read.schema(OBS).json(f"{tmp_dir}/{p}").collect())
+    assert got == sorted(r.seq for r in drop_repeats(spark.createDataFrame(rows, OBS)).collect())
+
+
+def test_a_missing_sliced_state_is_an_error_and_scratch_goes(spark, tmp_dir):
+    """Ten micro-batches leave no scratch; an unfinished state stops the query."""
+    import random
+
+    from airtrace.paths import file_system
+    from airtrace.session import scratch_made
+    from airtrace.streaming import sliced
+
+    rnd = random.Random(8)
+    rows = [(i, rnd.choice("abc"), rnd.choice("xy"), i) for i in range(100)]
+    for at in range(0, 100, 10):
+        spark.createDataFrame(rows[at : at + 10], OBS).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/src")
+
+    def start():
+        stream = spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src")
+        query = sliced.start_sliced_dedup(stream, f"{tmp_dir}/out", f"{tmp_dir}/state", f"{tmp_dir}/ck")
+        query.awaitTermination()
+        return query
+
+    with scratch_made() as made:
+        assert start().exception() is None
+        assert made == []  # filled when the block ends
+    assert not any(file_system(spark, p)[0].exists(file_system(spark, p)[1]) for p in made)
+    got = sorted(r.seq for r in sliced.read_sliced(spark, f"{tmp_dir}/out", "seq long, station_key string, timestamp string, aqi int").collect())
+    assert got == sorted(r.seq for r in drop_repeats(spark.createDataFrame(rows, OBS)).collect())
+    (last,) = [p for p in os.listdir(f"{tmp_dir}/state") if p == "batch=000000000009"]
+    os.remove(f"{tmp_dir}/state/{last}/{sliced._MARKER}")
+    spark.createDataFrame([(200, "a", "x", 0)], OBS).write.mode("append").parquet(f"{tmp_dir}/src")
+    with pytest.raises(Exception, match="missing or was not finished"):
+        start()
 
 
 def test_processing_time_trigger_bounded_run(spark, tmp_dir):
@@ -165,11 +265,12 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     # one file: both rows arrive in the same micro-batch, ordered by seq
     spark.createDataFrame([(1, "1", "A", 1), (2, "1", "A", 1)], OBS).coalesce(1).write.json(src)
     stream = spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).json(src)
-    query = (
-        dedup_stream(stream).writeStream.format("json")
-        .option("path", sink).option("checkpointLocation", ck)
-        .trigger(processingTime="1 second").start()
-    )
+    with stateful(spark):
+        query = (
+            dedup_stream(stream).writeStream.format("json")
+            .option("path", sink).option("checkpointLocation", ck)
+            .trigger(processingTime="1 second").start()
+        )
     assert stop_after(query, 1, timeout=120) >= 1
     assert not query.isActive
     assert [r.seq for r in spark.read.schema(OBS).json(sink).collect()] == [1]
@@ -220,7 +321,7 @@ def test_state_partitions_apply_to_new_checkpoint_only(spark, tmp_dir):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     import os
 
-    assert sorted(os.listdir(f"{ck}/state/0")) == ["0", "1", "2", "_metadata"]
+    assert sorted(n for n in os.listdir(f"{ck}/state/0") if n.isdigit()) == ["0", "1", "2"]
     with state_partitions(spark, None):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
