@@ -21,6 +21,9 @@ def safe_corr(left: str, right: str, pairwise: bool = False) -> Column:
         both = lcol.isNotNull() & rcol.isNotNull()
         lcol = F.when(both, lcol)
         rcol = F.when(both, rcol)
-    return F.try_divide(
+    # merging partial moments may leave a constant series a deviation of rounding
+    varies = (F.min(lcol) < F.max(lcol)) & (F.min(rcol) < F.max(rcol))
+    coefficient = F.try_divide(
         F.covar_samp(lcol, rcol), F.stddev_samp(lcol) * F.stddev_samp(rcol)
     )
+    return F.when(varies, coefficient)

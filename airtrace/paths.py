@@ -8,6 +8,7 @@ directories let many tasks write in parallel and let readers prune days.
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 _SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://")
 
@@ -67,6 +68,18 @@ def is_streamed(spark, path: str) -> bool:
     return bool(fs.exists(at))
 
 
+def day_folders(spark, path: str, column: str = "day") -> dict[str, list]:
+    """Day -> statuses of the files in its ``day=`` folder, as far as there are any."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return {}
+    return {
+        unquote(s.getPath().getName()[len(column) + 1:]): [
+            f for f in fs.listStatus(s.getPath()) if f.isFile() and not f.getPath().getName().startswith((".", "_"))]
+        for s in fs.listStatus(at) if s.isDirectory() and s.getPath().getName().startswith(f"{column}=")
+    }
+
+
 def curated_layout(spark, path: str) -> str:
     """``partitioned`` if the folder holds ``day=`` folders, else ``flat``."""
     fs, at = file_system(spark, path)

@@ -21,7 +21,7 @@ from airtrace.operators import curation as C
 from airtrace.operators import reports as R
 from airtrace.operators.dedup import drop_repeats, station_state
 from airtrace.operators.normalize import normalize
-from airtrace.plans.replay import curate_archive, curate_parquet_archive, replay_raw
+from airtrace.plans.replay import curate_archive, curate_parquet_archive, replay_raw, skip_report
 from airtrace.plans.reports import materialize, report_table, run_city_reports, summary_table
 from airtrace.session import scratch_path
 from airtrace.paths import dataset_path
@@ -279,7 +279,8 @@ def _stream_ingest(spark, sf_dir, raw_format):
     events = load_table(spark, sf_dir, "events")
     base = scratch_path(spark, "stream-ingest")
     source_dir, root = f"{base}/source", f"{base}/archive"
-    for half in (F.col("ts") < "2024-01-16", F.col("ts") >= "2024-01-16"):
+    first = F.coalesce(F.col("ts") < "2024-01-16", F.lit(False))
+    for half in (first, ~first):
         raw = raw_payloads(events.where(half))
         raw.write.mode("append").parquet(source_dir)
         stream = spark.readStream.schema(raw.schema).parquet(source_dir)
@@ -314,7 +315,7 @@ def q_stream_ingest_parse_once(spark, sf_dir):
 #: Arrival order of the late messages: the residue of the event number first,
 #: so every part of the archive sweeps the whole month again.
 _RESIDUES = 97
-_ARRIVAL = f"(event_id % {_RESIDUES}) * 1000000000 + event_id"
+_ARRIVAL = f"(event_id % {_RESIDUES}) * 1000000000 + event_id"  # NULL ids arrive first
 _LATE_STATIONS = 50
 _LATE_ISO = "concat(substring(CAST(ts AS STRING), 1, 10), 'T00:00:00Z')"
 
@@ -339,7 +340,7 @@ def q_replay_streamed_archive(spark, sf_dir):
     late = _late_messages(load_table(spark, sf_dir, "events"))
     bounds = (0, 33, 66, _RESIDUES)
     for low, high in zip(bounds, bounds[1:], strict=False):
-        part = late.where(f"event_id % {_RESIDUES} >= {low} AND event_id % {_RESIDUES} < {high}")
+        part = late.where(f"coalesce(event_id % {_RESIDUES}, 0) BETWEEN {low} AND {high - 1}")
         part.select("seq", "value").write.mode("append").parquet(f"{base}/source")
         stream = spark.readStream.schema("seq BIGINT, value STRING").parquet(f"{base}/source")
         for query in start_ingest(stream, base, "late-city", f"{base}/checkpoint",
@@ -369,11 +370,7 @@ def q_replay_twice(spark, sf_dir):
 
 def q_skip_counters(spark, sf_dir):
     """Invalid messages, incomplete keys and repeats, over every event."""
-    events = load_table(spark, sf_dir, "events")
-    raw = raw_payloads(events)
-    curated = materialize(_curated_raw(spark, sf_dir))
-    kept = drop_repeats(curated)
-    return C.skip_counts(raw, curated, kept)
+    return skip_report(raw_payloads(load_table(spark, sf_dir, "events")), FALLBACK_DAY)
 
 
 def q_status_gate(spark, sf_dir):

@@ -48,17 +48,20 @@ def materialize(df: DataFrame, columns: tuple[str, ...] | None = None) -> DataFr
 _KEYS = ("hour", "day", "aqi_category", "dominant_pollutant")
 
 
-def observation_cube(normalized: DataFrame) -> DataFrame:
+def observation_cube(normalized: DataFrame, *more: str) -> DataFrame:
     """Sum and count of the AQI by (hour, day, band, dominant pollutant).
 
+    ``more`` columns are keys as well.
+
     One aggregate of the narrow observation rows; every report but the
     pollutant averages and the coefficients rolls up from it.  AQI values
     are integers, so their sums are exact and averages of the cube equal
     averages of the rows.
     """
     return (
-        normalized.select("hour", "day", aqi_category("aqi").alias("aqi_category"), "dominant_pollutant", "aqi")
-        .groupBy(*_KEYS)
+        normalized.select(
+            *more, "hour", "day", aqi_category("aqi").alias("aqi_category"), "dominant_pollutant", "aqi")
+        .groupBy(*more, *_KEYS)
         .agg(F.sum("aqi").alias("sum_aqi"), F.count("aqi").alias("n_aqi"), F.count("*").alias("n"))
     )
 
@@ -83,16 +86,16 @@ def _set_ids() -> dict[str, int]:
 
 
 def single_pass_reports(
-    normalized: DataFrame, persist: bool = True
+    normalized: DataFrame | None, persist: bool = True, cube: DataFrame | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """All six reports; four of them from one persisted cube.
+    """All six reports; four of them from one persisted cube (those alone from a given ``cube``).
 
     Hours, days, bands and dominant pollutants roll up from
     :func:`observation_cube`, computed once; pollutant averages and the
     coefficients are aggregates of their own over the columns they read.
     Returns the reports and the cube (``unpersist`` it when done).
     """
-    cube = observation_cube(normalized)
+    cube = observation_cube(normalized) if cube is None else cube
     if persist:
         cube = cube.persist()
 
@@ -104,12 +107,17 @@ def single_pass_reports(
         out = cube.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("count"))
         return out.orderBy(F.desc("count"), F.asc(key))
 
-    return {
+    rolled = {
         "hourly_aqi": mean("hour"),
         "daily_aqi": mean("day"),
         "aqi_category_distribution": number("aqi_category"),
-        "average_pollutants": R.average_pollutants(normalized),
         "dominant_pollutants": number("dominant_pollutant"),
+    }
+    if normalized is None:
+        return rolled, cube
+    return {
+        **rolled,
+        "average_pollutants": R.average_pollutants(normalized),
         "weather_correlations": R.weather_correlations(normalized),
     }, cube
 
@@ -210,15 +218,15 @@ def run_reports(
     input for each: ``"parquet"`` materializes the narrow normalized input
     once (see :func:`materialize`), ``"cache"`` persists it (memory, then
     disk) for the caller to ``unpersist``, ``"single_pass"`` rolls four
-    reports up from one cached cube (:func:`single_pass_reports`; it stays
-    cached until ``spark.catalog.clearCache()``).
+    reports up from one cached cube (:func:`single_pass_reports`), returned as
+    ``cube`` for the caller to ``unpersist``.
     """
     normalized = normalize(curated, tz=tz)
     if reuse == "single_pass":
         if pairwise_corr:
             raise ValueError("single_pass computes the non-pairwise coefficients")
-        reports, _aggregate = single_pass_reports(normalized)
-        return {"normalized": normalized, **reports}
+        reports, cube = single_pass_reports(normalized)
+        return {"normalized": normalized, **reports, "cube": cube}
     base = normalized
     if reuse == "parquet":
         base = materialize(normalized, REPORT_INPUT_COLUMNS)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airtrace.paths import dataset_path, is_streamed
+from airtrace.paths import dataset_path, day_folders, file_system, is_streamed
 from airtrace.schemas import CURATED_COLUMNS
 
 
@@ -65,15 +67,69 @@ def write_raw_ordered(
     _batch_writer(lines, path, mode).parquet(path)
 
 
-def write_curated(df: DataFrame, root: str, city: str, mode: str = "append") -> None:
+@contextmanager
+def exact_variants(spark):
+    """Variants written inside the block keep the type of every number.
+
+    Shredding by an inferred schema stores the integers of a field that also
+    holds decimals as decimals, after which ``16`` and ``16.0`` are alike and
+    the integer gates of curation (C3) misjudge them.
+    """
+    key = "spark.sql.variant.inferShreddingSchema"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old) if old else spark.conf.unset(key)
+
+
+def write_raw_variant(
+    df: DataFrame, root: str, city: str, order: str | list[str] = "seq", mode: str = "append"
+) -> None:
+    """Raw messages as their parsed VARIANT with the arrival order.
+
+    ``df`` has ``payload`` (:func:`airtrace.operators.curation.parse_messages`,
+    invalid messages dropped), the order columns and ``day``.  A later
+    curation, also with other fields, reads paths of the stored variant and
+    parses no text; the rule for repeated keys has been applied once.
+    """
+    cols = [order] if isinstance(order, str) else list(order)
+    path = dataset_path(root, city, "raw")
+    with exact_variants(df.sparkSession):
+        _batch_writer(df.select("payload", *cols, "day"), path, mode).parquet(path)
+
+
+def write_curated(
+    df: DataFrame, root: str, city: str, mode: str = "append",
+    day_from: str | None = None, day_to: str | None = None,
+) -> None:
     """Append curated records as JSON lines to their day folders (K2-K5).
 
     NULL fields are written (``ignoreNullFields=false``) so every line has all
     thirteen keys.  Nothing is written when the frame is empty.  The mode
-    ``replace`` rewrites the days that ``df`` holds.
+    ``replace`` rewrites the days that ``df`` holds and empties the others of
+    the range (of all days without a range): what was there and is no longer.
     """
     path = dataset_path(root, city, "curated")
+    spark = df.sparkSession
+
+    def files() -> dict[str, frozenset[str]]:
+        return {
+            day: frozenset(f.getPath().getName() for f in found) for day, found in day_folders(spark, path).items()
+            if (day_from is None or day >= day_from) and (day_to is None or day <= day_to)
+        }
+
+    before = files() if mode == "replace" else {}
     _batch_writer(curated_records(df), path, mode).option("ignoreNullFields", "false").json(path)
+    if not before:
+        return
+    after = files()
+    fs, at = file_system(spark, path)
+    by_name = {day: found for day, found in day_folders(spark, path).items()}
+    for day, names in before.items():
+        if names and after.get(day) == names:  # a rewritten day has files of new names
+            fs.delete(by_name[day][0].getPath().getParent(), True)
 
 
 def compact_curated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -81,13 +137,15 @@ def compact_curated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
     ``df`` comes from :func:`airtrace.sources.curated.read_curated`; read the
     copy back with ``read_curated(..., fmt="parquet")`` for repeated report
-    runs (vectorized scan, column pruning, no JSON parsing).
+    runs (vectorized scan, column pruning, no JSON parsing).  ``overwrite``
+    replaces the days that ``df`` holds and leaves all others.
     """
     (
         df.withColumnRenamed("storage_day", "day")
         .select(*CURATED_COLUMNS, "day")
         .hint("rebalance", "day")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
     )
@@ -117,6 +175,6 @@ def publish(df: DataFrame, servers: str, topic: str, value: str = "value") -> No
 def write_reports(reports: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
     """Write each report table as Parquet below ``path`` (K8)."""
     for name, report in reports.items():
-        if name == "normalized":
+        if name in ("normalized", "cube"):
             continue
         report.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from airtrace.paths import curated_layout, dataset_path
+from airtrace.paths import curated_layout, dataset_path, file_system
 from airtrace.schemas import CURATED_SCHEMA, STORAGE_DAY
 
 # The day partition column is always read as text: day keys are taken
@@ -30,7 +30,8 @@ def read_curated(
     layout is read with an explicit text ``day`` column, returned as
     ``storage_day``; ``day_from``/``day_to`` become partition filters, so
     other days are never listed or opened.  ``layout="flat"`` reads a folder
-    of ``<day>.jsonl`` files instead, the day taken from the file name.  By
+    of ``<day>.jsonl`` files instead, the day taken from the file name; of a
+    day range only the files so named are planned.  By
     default each folder's layout is seen from what it holds, and folders of
     both layouts may be read together (S2).
     ``fmt="parquet"`` reads a compacted copy of the same schema.
@@ -46,6 +47,10 @@ def read_curated(
     reader = spark.read.schema(_SCAN_SCHEMA)
     if fmt == "json":
         reader = reader.option("mode", "PERMISSIVE")
+    if layout == "flat" and (day_from is not None or day_to is not None):
+        paths = _files_of_days(spark, paths, day_from, day_to)
+        if not paths:
+            return spark.createDataFrame([], _SCAN_SCHEMA).withColumnRenamed("day", STORAGE_DAY)
     df = reader.format(fmt).load(paths)
     if layout == "flat":
         # One <day>.jsonl file per day: the day is only in the file name.
@@ -64,6 +69,21 @@ def read_curated(
     return df.withColumn("day", day).withColumnRenamed("day", STORAGE_DAY)
 
 
+def _files_of_days(spark: SparkSession, paths: list[str], day_from: str | None, day_to: str | None) -> list[str]:
+    """The ``<day>.jsonl`` files of the folders that a day range asks for."""
+    found = []
+    for path in paths:
+        fs, at = file_system(spark, path)
+        for status in fs.listStatus(at) if fs.exists(at) else ():
+            name = status.getPath().getName()
+            day = name.removesuffix(".jsonl")
+            if not status.isFile() or day == name or name.startswith(("_", ".")):
+                continue
+            if (day_from is None or day >= day_from) and (day_to is None or day <= day_to):
+                found.append(status.getPath().toString())
+    return sorted(found)
+
+
 def read_city(
     spark: SparkSession,
     root: str,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrace.operators.curation import message_text
-from airtrace.paths import dataset_path, is_streamed
+from airtrace.paths import dataset_path, file_system, is_streamed
 
 # --- fixed values -----------------------------------------------------------
 TOPIC_PREFIX = "air_quality_"
@@ -24,17 +26,37 @@ def _days(df: DataFrame, day_from: str | None, day_to: str | None) -> DataFrame:
     return df if day_to is None else df.where(F.col("day") <= day_to)
 
 
+def _check_names(spark: SparkSession, path: str) -> None:
+    """Raise if numbered files of a folder have names of several lengths."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return
+    lengths: dict[str, int] = {}
+    files = fs.listFiles(at, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        name = file.getName()
+        if name.startswith(("_", ".")) or not re.search(r"[0-9]", name):
+            continue
+        folder = file.getParent().toString()
+        if lengths.setdefault(folder, len(name)) != len(name):
+            raise ValueError(f"{folder}: names of several lengths do not sort in the order of their numbers ({name})")
+
+
 def read_raw_archive(
-    spark: SparkSession, path: str | list[str], day_from: str | None = None, day_to: str | None = None
+    spark: SparkSession, path: str | list[str], day_from: str | None = None, day_to: str | None = None,
+    in_order: bool | None = None,
 ) -> DataFrame:
     """Lines of a text archive as ``value`` with an arrival order.
 
     Text archives hold no arrival order; the order is that of the files'
     paths and of the lines inside them: right for archives of one growing
     file a day, or of part files that were written in order and have names
-    of one length.  A folder that a stream has written is refused, for its
-    part files have random names; the ingest's Parquet archive keeps the
-    order (:func:`read_parquet_archive`).
+    of one length.  Folders with numbered files of names of several lengths
+    (``part-99999``, ``part-100000``) are refused; ``in_order=True`` vouches
+    for the order of the names.  A folder that a stream has written is
+    refused, for its part files have random names; the ingest's Parquet
+    archive keeps the order (:func:`read_parquet_archive`).
 
     Order columns: ``file`` (path), ``block`` (split start) and ``line`` (a
     per-task increasing id).  One split is always read by one task in line
@@ -47,6 +69,8 @@ def read_raw_archive(
     for p in paths:
         if is_streamed(spark, p):
             raise ValueError(f"{p} was written by a stream: its files carry no arrival order")
+        if in_order is None:
+            _check_names(spark, p)
     if day_from is None and day_to is None:
         df = spark.read.option("recursiveFileLookup", "true").text(paths)
     else:

@@ -31,6 +31,7 @@ from airtrace.operators.curation import (
 from airtrace.paths import dataset_path
 from airtrace.schemas import CURATED_COLUMNS
 from airtrace.sinks.files import one_line
+from airtrace.streaming.counters import day_counts
 from airtrace.streaming.dedup_state import dedup_stream
 
 
@@ -138,7 +139,8 @@ def start_ingest(
     The fallback day of messages without a time is fixed when the queries
     are built (``processing_date``, by default the current date).  Progress
     reports carry the counters ``messages`` and ``invalid_json``
-    (``airtrace_ingest_<city>``), ``incomplete_keys`` and ``complete_keys``
+    (``airtrace_ingest_<city>``), ``raw_messages`` by day
+    (``airtrace_days_<city>``), ``incomplete_keys`` and ``complete_keys``
     (``airtrace_keys_<city>``), and ``kept`` (``airtrace_kept_<city>``);
     complete keys less kept records are the repeats dropped.
     """
@@ -150,7 +152,8 @@ def start_ingest(
         F.count(F.lit(1)).alias("messages"),
         F.count_if(F.col(PAYLOAD).isNull()).alias("invalid_json"),
     )
-    dated = with_day(drop_invalid(parsed), processing_date)
+    dated = with_day(drop_invalid(parsed), processing_date).observe(
+        f"airtrace_days_{city}", day_counts().alias("raw_messages"))
     raw_path = dataset_path(root, city, "raw")
     raw_checkpoint = f"{checkpoint_root.rstrip('/')}/raw"
 
@@ -240,6 +243,7 @@ def run_available(
     path: str,
     checkpoint: str,
     partitions: int | None = None,
+    partition_by: tuple[str, ...] = (),
     **options,
 ) -> None:
     """Process everything available once into a file sink, then stop."""
@@ -250,6 +254,8 @@ def run_available(
         .outputMode("append")
         .trigger(availableNow=True)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     for name, value in options.items():
         writer = writer.option(name, value)
     with stateful(stream.sparkSession, partitions):
