@@ -111,15 +111,13 @@ def single_pass_reports(
         "hourly_aqi": mean("hour"),
         "daily_aqi": mean("day"),
         "aqi_category_distribution": number("aqi_category"),
-        "dominant_pollutants": number("dominant_pollutant"),
     }
-    if normalized is None:
-        return rolled, cube
-    return {
-        **rolled,
-        "average_pollutants": R.average_pollutants(normalized),
-        "weather_correlations": R.weather_correlations(normalized),
-    }, cube
+    if normalized is not None:
+        rolled["average_pollutants"] = R.average_pollutants(normalized)
+    rolled["dominant_pollutants"] = number("dominant_pollutant")
+    if normalized is not None:
+        rolled["weather_correlations"] = R.weather_correlations(normalized)
+    return rolled, cube
 
 
 def report_table(normalized: DataFrame, digits: int | None = None) -> DataFrame:
@@ -218,15 +216,16 @@ def run_reports(
     input for each: ``"parquet"`` materializes the narrow normalized input
     once (see :func:`materialize`), ``"cache"`` persists it (memory, then
     disk) for the caller to ``unpersist``, ``"single_pass"`` rolls four
-    reports up from one cached cube (:func:`single_pass_reports`), returned as
-    ``cube`` for the caller to ``unpersist``.
+    reports up from one cube (:func:`single_pass_reports`), a small table below
+    the checkpoint folder that :func:`airtrace.session.delete_scratch` releases.
     """
     normalized = normalize(curated, tz=tz)
     if reuse == "single_pass":
         if pairwise_corr:
             raise ValueError("single_pass computes the non-pairwise coefficients")
-        reports, cube = single_pass_reports(normalized)
-        return {"normalized": normalized, **reports, "cube": cube}
+        cube = materialize(observation_cube(normalized))
+        reports, _ = single_pass_reports(normalized, persist=False, cube=cube)
+        return {"normalized": normalized, **reports}
     base = normalized
     if reuse == "parquet":
         base = materialize(normalized, REPORT_INPUT_COLUMNS)

@@ -257,7 +257,7 @@ def _tables(reports):
 
     return {
         name: [tuple(value(v) for v in r) for r in df.collect()]
-        for name, df in reports.items() if name not in ("normalized", "cube")
+        for name, df in reports.items() if name != "normalized"
     }
 
 
