@@ -14,11 +14,14 @@ list, inside which a word's probability is its smoothed count over their mass.
 With all weights at 0 the model is the unigram model.
 
 Training goes over all training texts once, in ``ROUNDS`` rounds of another
-share (half) of them each.  In a round, every
-task starts from the broadcast weights, makes AdaGrad updates batch by batch
-over its share of the texts, and returns the weight rows that it touched;
-the rows are averaged over the tasks by a grouped aggregate, weighted by
-their updates.  The hot list and the weight tables grow with the training
+share (half) of them each.  In a round the texts are dealt to shards of about
+``SHARD_TOKENS`` tokens by a hash of id and text.  Each shard starts from the
+broadcast weights, makes AdaGrad updates batch by batch over its texts, in
+the order of the hash, and returns the weight rows that it touched; the rows
+are averaged over the shards by a grouped aggregate, weighted by their
+updates, in whole numbers, so that no order of addition matters.  The model
+is therefore a function of the table: neither the files, the cores nor the
+partitions of the session change a score by more than rounding.  The hot list and the weight tables grow with the training
 texts (:func:`least_hot`, :func:`sizes`); counts of words outside the
 broadcast hot list stay distributed and are joined.
 """
@@ -53,6 +56,11 @@ WORD_BITS = 15
 ROUNDS = 2
 RATE = 0.15
 BATCH = 8192
+SHARD_TOKENS = 1 << 22
+#: Tokens that a shard takes up at once, whatever batches they come in.
+_PASS = 1 << 20
+#: Weights travel as whole numbers of this fraction.
+_FIXED = float(1 << 16)
 END = "\n"  # no word holds white space
 _FLUSH = 400_000
 _BLOCK = 1 << 12
@@ -91,6 +99,11 @@ def least_hot(total: int) -> float:
     return float(min(total, (total * GROWS_FROM) ** 0.5))
 
 
+def shards(total: int) -> int:
+    """Learners of a round, by the training tokens alone."""
+    return max(1, total // SHARD_TOKENS)
+
+
 def sizes(v: Vocabulary) -> tuple[int, int]:
     """Rows of the class and the word table, by the counted hot words.
 
@@ -412,25 +425,40 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = shared.value
             learner = Learner(Tables(m.vocabulary), m.by_class, m.by_word)
+            blobs, held = [], 0
             for batch in batches:
-                if len(batch):
-                    learner.learn(*learner.t.codes(batch.column(0).to_pylist()))
+                for blob in batch.column(0).to_pylist():
+                    blobs.append(blob)
+                    held += len(blob) // 4
+                    if held >= _PASS:
+                        learner.learn(*learner.t.codes(blobs))
+                        blobs, held = [], 0
+            if blobs:
+                learner.learn(*learner.t.codes(blobs))
             for k in (0, 1):
                 at = np.flatnonzero(learner.touched[k])
-                wide = np.zeros((len(at), max(CLASSES, WIDTH)), dtype=np.float32)
-                wide[:, : learner.weights[k].shape[1]] = learner.weights[k][at]
+                wide = np.zeros((len(at), max(CLASSES, WIDTH)), dtype=np.int32)
+                wide[:, : learner.weights[k].shape[1]] = np.rint(learner.weights[k][at] * np.float32(_FIXED))
                 ends = np.arange(0, wide.size + 1, wide.shape[1], dtype=np.int32)
-                values = pa.ListArray.from_arrays(ends, pa.array(wide.ravel(), pa.float32()))
+                values = pa.ListArray.from_arrays(ends, pa.array(wide.ravel(), pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), k), pa.int32()), pa.array(at, pa.int32()),
                      pa.array(learner.touched[k][at], pa.int64()), values],
                     names=["k", "row", "n", "w"])
 
-        share = encoded.where("_train").where(F.pmod(F.xxhash64("_row"), F.lit(rounds)) == turn)
-        # every task returns weights of its own, so there are a few tasks a core, not one a file
-        tasks = max(2 * spark.sparkContext.defaultParallelism, vocabulary.total >> 27)
-        parts = share.select("ids").coalesce(tasks).mapInArrow(learn, "k int, row int, n long, w array<float>")
-        means = [(F.sum(F.col("w")[i] * F.col("n")) / F.sum("n")).cast("float") for i in range(max(CLASSES, WIDTH))]
+        key = F.xxhash64("_id", "ids")
+        share = encoded.where("_train").select("ids", key.alias("key")).where(
+            F.pmod("key", F.lit(rounds)) == turn)
+        n = shards(vocabulary.total)
+        shard = F.pmod(F.shiftright("key", 8), F.lit(n)).cast("int")
+        parts = (
+            share.repartitionById(n, shard).sortWithinPartitions("key", "ids").select("ids")
+            .mapInArrow(learn, "k int, row int, n long, w array<int>")
+        )
+        means = [
+            (F.sum(F.col("w")[i] * F.col("n")) / F.sum("n") / F.lit(_FIXED)).cast("float")
+            for i in range(max(CLASSES, WIDTH))
+        ]
         merged = parts.groupBy("k", "row").agg(F.array(*means).alias("w")).toArrow()
         weights = [model.by_class.copy(), model.by_word.copy()]
         k, row = (merged[c].to_numpy().astype(np.int64) for c in ("k", "row"))
