@@ -237,3 +237,194 @@ def test_language_model_grows_with_the_training_texts():
         held.append([int((x > 0).sum()) for x in learner.touched])
     assert lists[1] > 1.5 * lists[0]
     assert all(b > 1.3 * a for a, b in zip(*held, strict=True))
+
+
+def test_language_model_scores_are_a_function_of_the_table(spark, monkeypatch):
+    """File layout, partitions and shuffle settings do not change a score."""
+    import random
+
+    from airtrace.llm import maxent_lm
+
+    monkeypatch.setattr(maxent_lm, "SHARD_TOKENS", 1000)
+    monkeypatch.setattr(maxent_lm, "_PASS", 300)
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choices(["a", "b", "c", "dd", "ee", "word", f"w{i % 40}"], k=rnd.randint(0, 60))) for i in range(300)]
+    docs = documents(spark, texts)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for files, parts in ((1, "8"), (7, "3")):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            given = docs.orderBy(F.rand(files)).repartition(files)
+            out = maxent_lm.score_texts(given, F.col("doc_id") % 5 != 1)
+            got.append({r["doc_id"]: r["score"] for r in out.collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert set(got[0]) == set(got[1]) and len(got[0]) == 300
+    assert max(abs(got[0][i] - got[1][i]) for i in got[0]) < 1e-6
+    assert maxent_lm.shards(10_500) == 10 and maxent_lm.shards(0) == 1
+
+
+def _plain_buckets(text):
+    """Buckets of the 2- and 3-grams of letters and blanks, one by one."""
+    wide = 1 << 64
+    points = [ord(c) if c.isalpha() else 32 for c in f" {text.lower()}  "]
+    for i in range(len(points) - 2):
+        a, b, c = points[i : i + 3]
+        pair = (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % wide
+        triple = (pair * 0x165667B19E3779F9 + c * 0x27D4EB2F165667C5) % wide
+        for h, gram in ((pair, (a, b)), (triple, (a, b, c))):
+            if set(gram) != {32}:
+                yield ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 % wide) >> (64 - langid.BUCKET_BITS)
+
+
+def test_language_scores_equal_a_plain_bayes(spark):
+    rng = random.Random(4)
+    texts = [_text(rng, EN if i % 3 else DE, rng.randint(1, 12)) for i in range(60)] + ["", None, "12 !?", "Ünï 🙂 𝔘x"]
+    langs = ["en" if i % 3 else "de" for i in range(60)] + ["en", None, "de", "de"]
+    docs = documents(spark, texts, lang=langs)
+    counts, n_docs = {"en": Counter(), "de": Counter()}, Counter()
+    for text, lang in zip(texts, langs, strict=True):
+        if text is not None and lang is not None:
+            counts[lang].update(_plain_buckets(text))
+            n_docs[lang] += 1
+    size = 1 << langid.BUCKET_BITS
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(docs, fit(docs)).collect()}
+    for i, text in enumerate(texts):
+        if text is None or not any(c.isalpha() for c in text):
+            assert got[i] == ("und", 0.0)
+            continue
+        sums = {
+            lang: math.log(n_docs[lang] / sum(n_docs.values())) + sum(
+                math.log((c[b] + langid.SMOOTHING) / (sum(c.values()) + langid.SMOOTHING * size))
+                for b in _plain_buckets(text))
+            for lang, c in counts.items()
+        }
+        best = max(sums.values())
+        assert sums[got[i][0]] > best - 1e-2
+        assert abs(got[i][1] - 1 / sum(math.exp(s - best) for s in sums.values())) < 1e-3
+
+
+def test_quality_scores_equal_a_plain_loop(spark):
+    import zstandard
+
+    rng = random.Random(8)
+    good = [_text(rng, EN, rng.randint(3, 200)) for _ in range(60)]
+    bad = [" ".join(rng.choices("abcdefgh", k=rng.randint(3, 200))) for _ in range(60)]
+    texts = good + bad + [None, "", "x" * 50_000]
+    docs = documents(spark, texts)
+    labels = _labels(spark, [(i, int(i < 60), 0) for i in range(120)])
+    model = fit_quality(docs, labels, where=F.lit(True), dictionary_where=fold("_id", 5) != 4)
+    got = {r["doc_id"]: r["score"] for r in score_quality(docs, model).collect()}
+
+    def size(raw, dictionary):
+        own = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(
+            level=3, dict_data=own, write_content_size=False, write_dict_id=False).compress(raw))
+
+    for i, text in enumerate(texts):
+        raw = (text or "").encode()
+        n = max(1, len(raw))
+        apart = min(0.5, max(-0.5, (size(raw, model.bad) - size(raw, model.good)) / n))
+        left = min(1.0, size(raw, model.good) / n)
+        x = [20 * apart, 20 * min(apart, 0.02), 20 * min(apart, 0), 5 * left, 20 * min(left, 0.25),
+             100 * min(left, 0.05), 2 * math.log1p(min(n, 1000)) / 7, 1.0]
+        z = sum(a * b for a, b in zip(x, model.curve.tolist(), strict=True))
+        assert abs(got[i] - 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))) < 1e-9
+
+
+def test_quality_dictionaries_see_all_of_long_texts(spark, monkeypatch):
+    """Pieces over the whole length, also of texts that are all longer than one piece."""
+    from airtrace.llm import quality
+
+    monkeypatch.setattr(quality, "PIECE_CHARS", 200)
+    rng = random.Random(3)
+    seen = []
+    plain = quality._dictionary
+    monkeypatch.setattr(quality, "_dictionary", lambda samples: seen.append(samples) or plain(samples))
+    texts = [_text(rng, EN if i % 2 else DE, 400) for i in range(30)]
+    fit_quality(documents(spark, texts), _labels(spark, [(i, i % 2, 0) for i in range(30)]), where=F.lit(True))
+    assert sorted("".join(sorted(s.decode() for s in seen[0]))) == sorted("".join(t for i, t in enumerate(texts) if i % 2))
+    assert max(len(s.decode()) for s in seen[1]) <= 200
+
+
+def _walk(debug, x):
+    """Prediction of a tree from its printed form."""
+    lines = [line for line in debug.splitlines()[1:] if line.strip()]
+    depth = len(lines[0]) - len(lines[0].lstrip())
+    i = 0
+    while True:
+        line = lines[i].strip()
+        if line.startswith("Predict:"):
+            return float(line.split(":")[1])
+        feature, bound = line.split("(feature ")[1].rstrip(")").split(" <= ")
+        depth = len(lines[i]) - len(lines[i].lstrip())
+        if x[int(feature)] <= float(bound):
+            i += 1
+            continue
+        i = next(j for j in range(i + 1, len(lines))
+                 if lines[j].strip().startswith("Else") and len(lines[j]) - len(lines[j].lstrip()) == depth) + 1
+
+
+def _plain_features(text, lexicon):
+    """The features of a text, one after the other."""
+    import re
+
+    you = set("you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous"
+              " votre vos ti tus usted ustedes vosotros su".split())
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    whole = [lexicon.get(w, 0.0) for w in words]
+    start = [max([0.0] + [lexicon.get(w[:k] + "^", 0.0) for k in (4, 5, 6) if len(w) > k]) for w in words]
+    hits = [i for i in range(len(words)) if whole[i] or start[i]]
+    near = sum(any(abs(i - j) <= 5 for j, w in enumerate(words) if w in you) for i in hits)
+    n, raw = max(1, len(words)), text.encode()
+    size = max(1, len(raw))
+    mixed = [m for m in re.finditer(r"[^\W\d_][0-9@$*!|.]{1,4}[^\W\d_]", text)]
+    read = 0
+    for m in mixed:
+        at, tokens = 0, text.split(" ")
+        for token in tokens:
+            if at <= m.start() < at + len(token) + 1:
+                plain = token.strip(".,;:!?\n").translate(str.maketrans("013457@$!|", "oieastasil", "*.-_")).lower()
+                read += bool(lexicon.get(plain, 0.0))
+            at += len(token) + 1
+    used = [v for v in whole if v]
+    began = [v for v in start if v]
+    signs = "\"#$%&'()*+,-./:;<=>@[\\]^_`{|}~"
+    return [
+        math.log1p(len(words)), len(used) / n, math.log1p(len(used)), max(used, default=0.0), len(began) / n,
+        math.log1p(len(began)), max(began, default=0.0), near / max(1, len(hits)), sum(w in you for w in words) / n,
+        sum(65 <= b <= 90 for b in raw) / size, len(re.findall(r"\b[^\W\d_a-z]{2,}\b", text)) / n,
+        sum(chr(b) in "!?" for b in raw) / size, sum(b < 128 and chr(b) in signs for b in raw) / size,
+        sum(48 <= b <= 57 for b in raw) / size, len(mixed) / n, math.log1p(read),
+        len(re.findall(r"([^\W\d_])\1\1", text)) / n,
+    ]
+
+
+def test_toxicity_scores_equal_a_plain_walk_of_the_trees(spark):
+    rng = random.Random(6)
+    bad = ["grumblor", "snorfing", "vexnot"]
+    texts, rows = [], []
+    for i in range(240):
+        toxic = i % 3 == 0
+        words = rng.choices(EN, k=rng.randint(4, 30))
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice([*bad, "sn0rf1ng", "YOU"]))
+        texts.append(" ".join(words))
+        rows.append((i, 0, int(toxic)))
+    texts += [None, "", "y0u gr.umblor!!! " * 40, "a1b" * 3000, "zzz 99"]
+    docs = documents(spark, texts)
+    model = fit_toxicity(docs, _labels(spark, rows))
+    assert model.trees is not None and "grumblor" in model.lexicon
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(docs, model).collect()}
+    bounds, values = list(model.curve.boundaries.toArray()), list(model.curve.predictions.toArray())
+    trees = list(zip(model.trees.treeWeights, [t.toDebugString for t in model.trees.trees], strict=True))
+    for i, text in enumerate(texts):
+        x = _plain_features(text or "", model.lexicon)
+        assert x == features(text or "", Lookup(model.lexicon))
+        margin = sum(w * _walk(t, x) for w, t in trees)
+        want = float(np.interp(margin, bounds, values))
+        assert abs(got[i] - min(1.0, max(0.0, want))) < 1e-6
+    # equal features, equal scores
+    assert got[texts.index("")] == got[texts.index(None)]
