@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,22 @@ def write_through(df: DataFrame, name: str, compression: str = "snappy") -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that are built and run inside the block delete their shuffle files at their end.
+
+    For results that come to the driver or go to files, and whose frames are
+    not used again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def whole_text(text: str = "text") -> Column:
     """The text, a null one as empty."""
     return F.coalesce(F.col(text), F.lit(""))

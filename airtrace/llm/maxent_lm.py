@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airtrace.llm.common import whole_text, write_through
+from airtrace.llm.common import shuffles_freed, whole_text, write_through
 
 CLASSES = 32
 REST = 8
@@ -56,11 +56,12 @@ WORD_BITS = 15
 ROUNDS = 2
 RATE = 0.15
 BATCH = 8192
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 23
 #: Tokens that a shard takes up at once, whatever batches they come in.
 _PASS = 1 << 20
-#: Weights travel as whole numbers of this fraction.
-_FIXED = float(1 << 16)
+#: Weights travel as 16-bit numbers of this fraction, so up to 16 in size.
+_FIXED = float(1 << 11)
+_FIXED_MOST = float((1 << 15) - 1)
 END = "\n"  # no word holds white space
 _FLUSH = 400_000
 _BLOCK = 1 << 12
@@ -437,10 +438,11 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
                 learner.learn(*learner.t.codes(blobs))
             for k in (0, 1):
                 at = np.flatnonzero(learner.touched[k])
-                wide = np.zeros((len(at), max(CLASSES, WIDTH)), dtype=np.int32)
-                wide[:, : learner.weights[k].shape[1]] = np.rint(learner.weights[k][at] * np.float32(_FIXED))
+                wide = np.zeros((len(at), max(CLASSES, WIDTH)), dtype=np.int16)
+                fixed = np.rint(learner.weights[k][at] * np.float32(_FIXED))
+                wide[:, : learner.weights[k].shape[1]] = np.clip(fixed, -_FIXED_MOST, _FIXED_MOST)
                 ends = np.arange(0, wide.size + 1, wide.shape[1], dtype=np.int32)
-                values = pa.ListArray.from_arrays(ends, pa.array(wide.ravel(), pa.int32()))
+                values = pa.ListArray.from_arrays(ends, pa.array(wide.ravel(), pa.int16()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), k), pa.int32()), pa.array(at, pa.int32()),
                      pa.array(learner.touched[k][at], pa.int64()), values],
@@ -451,15 +453,16 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
             F.pmod("key", F.lit(rounds)) == turn)
         n = shards(vocabulary.total)
         shard = F.pmod(F.shiftright("key", 8), F.lit(n)).cast("int")
-        parts = (
-            share.repartitionById(n, shard).sortWithinPartitions("key", "ids").select("ids")
-            .mapInArrow(learn, "k int, row int, n long, w array<int>")
-        )
         means = [
             (F.sum(F.col("w")[i] * F.col("n")) / F.sum("n") / F.lit(_FIXED)).cast("float")
             for i in range(max(CLASSES, WIDTH))
         ]
-        merged = parts.groupBy("k", "row").agg(F.array(*means).alias("w")).toArrow()
+        with shuffles_freed(spark):  # a round leaves its texts and weight rows behind
+            parts = (
+                share.repartitionById(n, shard).sortWithinPartitions("key", "ids").select("ids")
+                .mapInArrow(learn, "k int, row int, n long, w array<smallint>")
+            )
+            merged = parts.groupBy("k", "row").agg(F.array(*means).alias("w")).toArrow()
         weights = [model.by_class.copy(), model.by_word.copy()]
         k, row = (merged[c].to_numpy().astype(np.int64) for c in ("k", "row"))
         values = merged["w"].combine_chunks().flatten().to_numpy().reshape(len(k), max(CLASSES, WIDTH))
