@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from airtrace.plans.archive_queries import ARCHIVE_ORACLES, ARCHIVE_QUERIES
 from airtrace.plans.queries import ORACLES, QUERIES
 from tests.conftest import SF_SMALL
 
@@ -37,11 +38,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
-    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) == set(ORACLES) and set(ARCHIVE_QUERIES) == set(ARCHIVE_ORACLES)
+    assert {*QUERIES, *ARCHIVE_QUERIES} <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted({*QUERIES, *ARCHIVE_QUERIES}))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
