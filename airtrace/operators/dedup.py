@@ -155,25 +155,24 @@ def with_previous(
             seen.withColumn(_SEEN, F.lit(True)), allowMissingColumns=True)
     else:
         rows = rows.withColumn(_SEEN, F.lit(False))
-    names = [f"{_SLICE}_{i}" for i in range(len(slices))]
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    rows = rows.withColumns({n: F.when(is_hot, c) for n, c in zip(names, slices, strict=True)})
-
-    along = Window.partitionBy(key, *names).orderBy(*arrival)
-    lagged = rows.repartition(key, *names).withColumn(_PREV, F.lag(_LAST).over(along))
+    parts = [key]
+    if hot:
+        # one struct, so that slices with NULL parts are equal to themselves;
+        # NULL for all other stations, whose rows then match no carry
+        is_hot = F.col(key).isin(hot)
+        rows = rows.withColumn(_SLICE, F.when(is_hot, F.struct(*slices)))
+        parts = [key, _SLICE]
+
+    along = Window.partitionBy(*parts).orderBy(*arrival)
+    lagged = rows.repartition(*parts).withColumn(_PREV, F.lag(_LAST).over(along))
     if hot:
         # combined map-side: one row per slice of a hot station is exchanged
         ends = (
-            rows.where(is_hot).groupBy(key, *names)
+            rows.where(is_hot).groupBy(*parts)
             .agg(F.max_by(_LAST, F.struct(*arrival)).alias(_LAST))
-            .withColumn(_CARRY, F.lag(_LAST).over(Window.partitionBy(key).orderBy(*names)))
+            .withColumn(_CARRY, F.lag(_LAST).over(Window.partitionBy(key).orderBy(_SLICE)))
         )
-        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in names]
-        on = F.col(f"l.{key}") == F.col(f"r.{key}")
-        for c in same:
-            on = on & c
-        joined = lagged.alias("l").join(ends.drop(_LAST).alias("r"), on, "left")
-        lagged = joined.select("l.*", F.col(f"r.{_CARRY}")).withColumn(_PREV, F.coalesce(_PREV, _CARRY))
+        lagged = lagged.join(ends.drop(_LAST), parts, "left").withColumn(_PREV, F.coalesce(_PREV, _CARRY))
     return lagged.where(~F.col(_SEEN)).select(*columns, _PREV)
 
 

@@ -121,6 +121,15 @@ def test_hot_stations_alone_are_sliced(spark, tmp_dir):
     assert "partial_max_by" in plan
     narrow = [line for line in plan.splitlines() if "FileScan" in line and "payload" not in line]
     assert len(narrow) == 1
+    # a carry too large to broadcast is dealt like the rows, which do not move again
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = _plan(drop_repeats(df, slice_size=1000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows_side, carry_side = merged.split("REPARTITION_BY_COL")
+    assert "SortMergeJoin" in rows_side and "Exchange" not in rows_side.rsplit("Exchange", 1)[0]
+    assert "payload" not in carry_side.split("FileScan")[-1].split("\n")[0]
     records = [tuple(r) for r in df.select("seq", "station_key", "timestamp").collect()]
     got = sorted(tuple(r) for r in out.select("seq", "station_key", "timestamp").collect())
     assert got == brute_force(records)[0]
@@ -144,6 +153,13 @@ def test_orders_in_time_are_sliced(spark, kind):
     assert got == brute_force(recs)[0]
 
 
+def test_null_parts_of_an_order_are_slices_of_their_own(spark):
+    rows = [(None, i, "hot", "AB"[i // 30 % 2]) for i in range(120)] + [(1, i, "hot", "B") for i in range(40)]
+    df = spark.createDataFrame(rows, "partition int, offset long, station_key string, timestamp string")
+    got = sorted((r.partition or 0, r.offset) for r in drop_repeats(df, order=["partition", "offset"], slice_size=7).collect())
+    assert got == [(0, 0), (0, 30), (0, 60), (0, 90)]
+
+
 def test_state_inside_the_arrival_order(spark):
     """Rows of a state that carry order columns are seen where they stand."""
     recs = [(1, "s", "A"), (5, "s", "A"), (9, "s", "B"), (2, "hot", "A")] + [(10 + i, "hot", "A") for i in range(50)]
