@@ -9,6 +9,7 @@ micro-batches.
 from __future__ import annotations
 
 import threading
+import time
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 SCHEMA = "query_id string, batch_id long, source string, counter string, key string, value long"
 #: Days of one micro-batch that are counted one by one.
 DAYS = 1000
+#: How long the report of an ended run may take.
+REPORT_SECONDS = 120.0
 
 
 def day_counts(day: str = "day") -> Column:
@@ -94,12 +97,23 @@ class CounterListener(StreamingQueryListener):
         def done() -> bool:
             return self.batches(query) >= batches or str(query.runId) in self._ended
 
+        end = None if timeout is None else time.monotonic() + timeout
+        unreported = None  # since when the query has ended without a report of it
+        in_time = True
         with self._change:
-            in_time = self._change.wait_for(done, timeout)
+            while not done() and in_time:
+                self._change.wait(1.0)
+                now = time.monotonic()
+                in_time = end is None or now < end
+                if not query.isActive:
+                    unreported = unreported or now
+                    if now - unreported > REPORT_SECONDS:
+                        raise RuntimeError(f"the end of run {query.runId} was not reported; was the listener added before it?")
+            reached = done()
         query.stop()
         if query.exception() is not None:
             raise query.exception()
-        if not in_time:
+        if not reached:
             raise TimeoutError(f"{self.batches(query)} of {batches} micro-batches in {timeout} s")
         if self.failure is not None:
             raise self.failure

@@ -342,7 +342,7 @@ def test_skip_report_counts_in_passing(spark):
     assert [tuple(r) for r in empty] == [(0, 0, 0)]
 
 
-def test_listener_writes_counters_and_ends_a_bounded_run(spark, tmp_dir):
+def test_listener_writes_counters_and_ends_a_bounded_run(spark, tmp_dir, monkeypatch):
     from airtrace.streaming import CounterListener, read_counters
     from airtrace.streaming.counters import day_counts
 
@@ -368,6 +368,12 @@ def test_listener_writes_counters_and_ends_a_bounded_run(spark, tmp_dir):
         with pytest.raises(TimeoutError):
             listener.run_batches(idle, 1000, timeout=3)
         assert not idle.isActive
+        # a run that the listener has not been told of is an error, not an endless wait
+        from airtrace.streaming import counters
+
+        monkeypatch.setattr(counters, "REPORT_SECONDS", 2.0)
+        with pytest.raises(RuntimeError, match="not reported"):
+            CounterListener(spark, f"{tmp_dir}/other").run_batches(query, 5)
     finally:
         spark.streams.removeListener(listener)
 
