@@ -12,7 +12,7 @@ from airtrace.operators import curation as C
 from airtrace.operators.arrival import poll_order
 from airtrace.operators.dedup import drop_repeats
 from airtrace.paths import dataset_path
-from airtrace.plans.edges import write_day_edges
+from airtrace.plans.edges import write_day_edges, write_state_snapshot
 from airtrace.plans.partials import read_partials, reports_from_partials, update_partials
 from airtrace.plans.queries import (
     _CURATED_SCALARS,
@@ -72,6 +72,7 @@ def q_replay_range(spark, sf_dir):
     late = _late_messages(load_table(spark, sf_dir, "events"))
     write_raw_ordered(C.curate(late, processing_date=FALLBACK_DAY, keep=("seq", "value")), base, "late-city")
     write_day_edges(spark, base, "late-city", FALLBACK_DAY, order="seq")
+    write_state_snapshot(spark, base, "late-city", "2024-01-05", order="seq")
     replay_raw(spark, base, "late-city", base, FALLBACK_DAY, "seq", "2024-01-10", "2024-01-20")
     return read_city(spark, base, "late-city").select(
         F.col("station_id").cast("string").alias("station_key"), "timestamp", "aqi", "storage_day")

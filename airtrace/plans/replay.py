@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from airtrace.operators.curation import curate, observe_keys
 from airtrace.operators.dedup import drop_repeats
-from airtrace.plans.edges import archive_records, arrival_columns, read_day_edges, state_around
+from airtrace.plans.edges import (
+    archive_records,
+    arrival_columns,
+    newest_snapshot,
+    read_day_edges,
+    state_around,
+)
 from airtrace.plans.reports import materialize
 from airtrace.sinks.files import write_curated
 
@@ -58,13 +64,16 @@ def replay_raw(
     A day range replays those storage days only and leaves their rows as a
     replay of everything does: stations begin with the state that the edges
     of the other days give (:func:`airtrace.plans.edges.write_day_edges`, to be
-    run when the archive has changed).
+    run when the archive has changed), from the newest state snapshot on
+    (:func:`airtrace.plans.edges.write_state_snapshot`) if there are any.
     """
     order_cols, slices = arrival_columns(order)
     records = archive_records(spark, root, city, processing_date, order, day_from, day_to)
     state = None
     if day_from is not None or day_to is not None:
-        state = state_around(read_day_edges(spark, root, city), records, order, day_from, day_to)
+        state = state_around(
+            read_day_edges(spark, root, city), records, order, day_from, day_to,
+            snapshot=lambda first: newest_snapshot(spark, root, city, first))
     kept = drop_repeats(records, order=order_cols, slice_cols=slices, initial_state=state)
     write_curated(kept, out_root, city, mode="replace", day_from=day_from, day_to=day_to)
 

@@ -114,6 +114,32 @@ def test_replay_of_a_range_leaves_what_a_whole_replay_does(spark, tmp_dir, kind)
     assert sorted(read_city(spark, f"{tmp_dir}/all", "port").select("aqi", "storage_day").collect()) == sorted(whole)
 
 
+@pytest.mark.parametrize("kind", ["parquet", "text"])
+def test_snapshots_shorten_what_a_range_reads(spark, tmp_dir, kind):
+    from airtrace.plans.edges import _since, newest_snapshot, write_state_snapshot
+
+    order = _archive(spark, tmp_dir, kind, seed=8)
+    replay_raw(spark, tmp_dir, "port", f"{tmp_dir}/all", "2031-01-01", order)
+    whole = read_city(spark, f"{tmp_dir}/all", "port").select("aqi", "storage_day").collect()
+    write_day_edges(spark, tmp_dir, "port", "2031-01-01", order)
+    for day in ("2031-01-03", "2031-01-05", "2031-01-08"):  # the second begins with the first
+        write_state_snapshot(spark, tmp_dir, "port", day, order)
+    for low, high in (("2031-01-06", "2031-01-07"), ("2031-01-05", "2031-01-09"), ("2031-01-01", "2031-01-02")):
+        out = f"{tmp_dir}/{low}"
+        replay_raw(spark, tmp_dir, "port", out, "2031-01-01", order, low, high)
+        got = read_city(spark, out, "port").select("aqi", "storage_day").collect()
+        assert sorted(got) == sorted(r for r in whole if low <= r["storage_day"] <= high) and got
+    if kind == "parquet":
+        begin = newest_snapshot(spark, tmp_dir, "port", (10**9,))
+        edges = read_day_edges(spark, tmp_dir, "port")
+        later = _since(edges, begin, {"seq": edges.schema["seq"].dataType})
+        assert f"GreaterThanOrEqual(seq,{begin[0][0]})" in later._jdf.queryExecution().executedPlan().toString()
+        assert later.count() < edges.count() / 2
+        assert newest_snapshot(spark, tmp_dir, "port", (-1,)) is None
+    with pytest.raises(ValueError, match="no record"):
+        write_state_snapshot(spark, tmp_dir, "port", "2040-01-01", order)
+
+
 def test_replace_empties_days_that_are_gone(spark, tmp_dir):
     def frame(days):
         rows = [tuple([f"{d}T00", i] + [None] * 5 + [{}] + [None] * 5 + [d]) for i, d in enumerate(days)]
