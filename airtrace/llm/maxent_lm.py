@@ -64,6 +64,7 @@ _FIXED = float(1 << 11)
 _FIXED_MOST = float((1 << 15) - 1)
 END = "\n"  # no word holds white space
 _FLUSH = 400_000
+_SHORT = 6
 _BLOCK = 1 << 12
 _FEATURES = 4
 _LEAVES = WIDTH // 2  # places of a tree node that hold words
@@ -310,30 +311,44 @@ def _dealt(h: np.ndarray, size: int) -> np.ndarray:
 
 
 def _sums(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Summed weight rows, the largest of each moved to 0."""
+    """Summed weight rows."""
     z = weights.take(rows[0], axis=0)
     z += bias
     for r in rows[1:]:
         z += weights.take(r, axis=0)
-    z -= z.max(axis=1, keepdims=True)
     return z
 
 
+def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """Exponentials of ``z``, their sums by row, and what was taken off each row.
+
+    The biases are log-probabilities and the weights small, so the range of
+    the numbers nearly always suffices as they are; if a sum leaves it, the
+    largest of each row is moved to 0.
+    """
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+    total = np.einsum("ij->i", e)
+    if len(total) == 0 or (total.min() > 1e-30 and total.max() < 1e30):
+        return e, total, 0.0
+    top = z.max(axis=1, keepdims=True)
+    np.exp(z - top, out=e)
+    return e, np.einsum("ij->i", e), top[:, 0]
+
+
 def _log_softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-probabilities of the chosen places."""
     z = _sums(weights, rows, bias)
-    picked = z[np.arange(len(z)), chosen]
-    np.exp(z, out=z)
-    return picked - np.log(np.einsum("ij->i", z))
+    _, total, off = _exp(z)
+    return z[np.arange(len(z)), chosen] - off - np.log(total)
 
 
 def _slope(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Probabilities less 1 at the chosen places: the loss's slope by the sums."""
-    z = _sums(weights, rows, bias)
-    np.exp(z, out=z)
-    z /= np.einsum("ij->i", z)[:, None]
-    z[np.arange(len(z)), chosen] -= 1
-    return z
+    e, total, _ = _exp(_sums(weights, rows, bias))
+    e /= total[:, None]
+    e[np.arange(len(e)), chosen] -= 1
+    return e
 
 
 def _rows_of(table: np.ndarray) -> np.ndarray:
@@ -342,17 +357,25 @@ def _rows_of(table: np.ndarray) -> np.ndarray:
 
 
 def _segment_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the runs of rows that begin at ``first``, as ``np.add.reduceat``
-    gives them, which takes several times as long where most runs are short."""
+    """Sums of the runs of rows that begin at ``first``.
+
+    ``np.add.reduceat`` takes long where most runs are short, so only runs of
+    more than ``_SHORT`` rows go through it.
+    """
     sizes = np.diff(np.append(first, len(rows)))
     sums = rows.take(first, axis=0)
-    on, k = np.flatnonzero(sizes > 1), 1
-    while len(on) > 64:
+    on = np.flatnonzero(sizes > 1)
+    long = on[sizes[on] > _SHORT]
+    on, k = on[sizes[on] <= _SHORT], 1
+    while len(on):
         sums[on] += rows.take(first[on] + k, axis=0)
         k += 1
         on = on[sizes[on] > k]
-    for i in on.tolist():
-        sums[i] = rows[first[i] : first[i] + sizes[i]].sum(axis=0)
+    if len(long):
+        n = sizes[long]
+        starts = np.cumsum(n) - n
+        at = np.repeat(first[long] - starts, n) + np.arange(n.sum())
+        sums[long] = np.add.reduceat(rows.take(at, axis=0), starts, axis=0)
     return sums
 
 
