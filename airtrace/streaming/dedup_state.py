@@ -7,15 +7,21 @@ the sink's log, and survives restarts from the checkpoint (W3, W4, W7).  No
 watermark and no eviction: like the original consumer, every station is
 remembered and late data is always accepted.
 
-Before the processor a micro-batch is exchanged once, by station, and each
-partition is sorted by station and arrival in the JVM, where a sort spills.
-So the processor sees a station's records as a sorted stream of rows and
-compares each with the one before: it holds one row, however many records a
-station has.  It checks the order as the records pass; records that do not
-come in order are an error, never a wrong result.
-
-Spark's checker forbids any sort of a stream, since a global one would never
-end.  Sorting the partitions of a micro-batch is well defined, so queries with
+A micro-batch is exchanged once, by station, and sorted by station and arrival
+in the JVM, where a sort spills.  There a ``lag`` compares each record with the
+one before, which decides all but a station's first record of the micro-batch:
+they are passed or dropped in the JVM.  Only a station's first and last record
+go through the processor, which compares the first with the state and keeps the
+last one's version.  Spark's Python runner gathers what a processor returns for
+a key (and, beside an initial state, also what it gets) before passing it on,
+so its memory would grow with the station; so it holds two records a station,
+however many a station has.  Both paths read the same exchange, and the version
+breaks ties of the arrival order, so they see the same sequence.  The processor
+checks the order of what it gets; records that do not come in order are an
+error, never a wrong result.
+
+Spark's checker forbids any sort or window of a stream, since a global one
+would never end.  Sorting the partitions of a micro-batch is well defined, so queries with
 this step are started inside :func:`airtrace.streaming.ingest.stateful`, which
 turns the checker off for the start (and puts the state into RocksDB).
 
@@ -30,7 +36,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
@@ -80,6 +86,9 @@ class StationVersions(StatefulProcessor):
 
 
 _PACKED = "_packed"
+_PREV = "_prev"
+_NEXT = "_next"
+_FIRST = "_first"
 _JSON_EXACT = (StringType, IntegerType, LongType, DoubleType, BooleanType)
 
 
@@ -111,29 +120,33 @@ def dedup_stream(
     ``initial_state`` (``key``, ``last_<version>``; one row a station) is what
     a new checkpoint begins with; Spark ignores it on restarts.
 
-    Only the key, the version and the order columns need to be seen by
-    Python; the other columns are packed into one JSON text column by the
-    JVM before the step and unpacked after it (when every one of them
-    survives that round trip exactly), which keeps the Arrow transfer narrow.
+    Only a station's first and last record of a micro-batch go through Python.
+    Of these only the key, the version and the order columns need to be seen;
+    the other columns are packed into one JSON text column by the JVM before
+    the step and unpacked after it (when every one of them survives that round
+    trip exactly), which keeps the Arrow transfer narrow.
     """
     complete = complete_keys(df, key, version)
     order_cols = [order] if isinstance(order, str) else list(order)
     used = [key, version, *order_cols]
+    columns = complete.columns
     rest = [f for f in complete.schema.fields if f.name not in used]
     pack = bool(rest) and all(_json_exact(f.dataType) for f in rest)
-    if pack:
-        narrow = complete.select(
-            *used, F.to_json(F.struct(*[f.name for f in rest])).alias(_PACKED)
-        )
-    else:
-        narrow = complete
     kind = complete.schema[version].dataType
+    along = Window.partitionBy(key).orderBy(*order_cols, version)
+    beside = complete.repartition(key).withColumn(_PREV, F.lag(version).over(along)).withColumn(
+        _NEXT, F.lead(version).over(along))
+    inside = beside.where(F.col(_PREV).isNotNull() & (F.col(_PREV) != F.col(version))).select(*columns)
+    ends = beside.where(F.col(_PREV).isNull() | F.col(_NEXT).isNull())
+    narrow = ends.select(
+        *used, F.col(_PREV).isNull().alias(_FIRST),
+        *([F.to_json(F.struct(*[f.name for f in rest])).alias(_PACKED)] if pack else [f.name for f in rest]))
     seed = None
     if initial_state is not None:
         stored = F.col(f"last_{version}").cast(kind).alias(STATE)
         seed = initial_state.select(F.col(key).cast(complete.schema[key].dataType).alias(key), stored).groupBy(key)
-    kept = (
-        narrow.repartition(key).sortWithinPartitions(key, *order_cols).groupBy(key)
+    first = (
+        narrow.sortWithinPartitions(key, *order_cols, version).groupBy(key)
         .transformWithState(
             StationVersions(version, order_cols, kind),
             outputStructType=narrow.schema,
@@ -141,16 +154,12 @@ def dedup_stream(
             timeMode="none",
             initialState=seed,
         )
+        .where(_FIRST)
     )
-    if not pack:
-        return kept
-    unpacked = kept.withColumn(_PACKED, F.from_json(_PACKED, StructType(rest)))
-    return unpacked.select(
-        *[
-            F.col(f"{_PACKED}.{f.name}").alias(f.name) if f.name not in used else F.col(f.name)
-            for f in complete.schema.fields
-        ]
-    )
+    if pack:
+        first = first.withColumn(_PACKED, F.from_json(_PACKED, StructType(rest))).select(
+            *[F.col(f"{_PACKED}.{c}").alias(c) if c not in used else F.col(c) for c in columns])
+    return first.select(*columns).unionByName(inside)
 
 
 def read_stream_state(

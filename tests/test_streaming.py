@@ -207,6 +207,52 @@ def test_hot_station_in_random_files_and_a_seed(spark, tmp_dir):
     assert got == sorted(r.seq for r in want.collect() if r.seq >= 0)
 
 
+@pytest.mark.parametrize("seeded", [False, True])
+def test_python_gets_two_records_of_a_hot_station(spark, tmp_dir, monkeypatch, seeded):
+    """The runner gathers a key's records in Python, so their number must not grow with the station."""
+    from airtrace.streaming import dedup_state
+
+    class Two(dedup_state.StationVersions):
+        def handleInputRows(self, key, rows, timerValues):
+            rows = list(rows)
+            if len(rows) > 2:
+                raise ValueError(f"{len(rows)} records of {key}")
+            yield from super().handleInputRows(key, iter(rows), timerValues)
+
+    monkeypatch.setattr(dedup_state, "StationVersions", Two)
+    state = [("hot", "A"), ("gone", "B")]
+    seed = spark.createDataFrame(state, "station_key string, last_timestamp string") if seeded else None
+    rows = [(i, "hot" if i % 3 else "cold", "AABBC"[i % 5], i) for i in range(900)]
+    rows += [(1000, "once", "A", 1), (1001, "twice", "A", 1), (1002, "twice", "A", 2)]
+    want = []
+    last = dict(state) if seeded else {}
+    for part in (rows[:500], rows[500:]):
+        _write_json(spark, part, f"{tmp_dir}/src")
+        stream = spark.readStream.schema(OBS).json(f"{tmp_dir}/src")
+        run_available(dedup_stream(stream, initial_state=seed), "json", f"{tmp_dir}/sink", f"{tmp_dir}/ck", partitions=3)
+        for seq, station, version, _ in part:
+            if last.get(station) != version:
+                want.append(seq)
+            last[station] = version
+    assert sorted(r.seq for r in spark.read.schema(OBS).json(f"{tmp_dir}/sink").collect()) == want
+
+
+def test_a_micro_batch_is_read_and_exchanged_once(spark, tmp_dir):
+    """Both paths of change detection share one exchange; ties of the order lose nothing."""
+    rows = [(i // 2, f"s{i % 4 // 2}", "AB"[i // 4 % 2], i) for i in range(80)]
+    spark.createDataFrame(rows, OBS).repartition(5).write.parquet(f"{tmp_dir}/src")
+    kept = dedup_stream(spark.readStream.schema(OBS).parquet(f"{tmp_dir}/src"))
+    with stateful(spark, 2):
+        query = kept.writeStream.format("parquet").option("path", f"{tmp_dir}/sink").option(
+            "checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("FileScan") == plan.count("REPARTITION_BY_COL") - plan.count("ReusedExchange") == 1
+    assert query.lastProgress["numInputRows"] == 80
+    got = sorted((r.station_key, r.seq) for r in spark.read.parquet(f"{tmp_dir}/sink").collect())
+    assert got == [(f"s{k}", i) for k in (0, 1) for i in range(k, 40, 2)]
+
+
 def test_state_of_a_stream_seeds_another_partition_count(spark, tmp_dir):
     from airtrace.operators.dedup import station_state
     from airtrace.streaming import read_stream_state
