@@ -82,8 +82,7 @@ def q_variant_archive(spark, sf_dir):
     """Curated again from an archive of parsed payloads, which parses nothing."""
     base = scratch_path(spark, "variant-archive")
     raw = raw_payloads(load_table(spark, sf_dir, "events"))
-    valid = C.drop_invalid(C.parse_messages(raw))
-    write_raw_variant(C.with_day(valid, FALLBACK_DAY), base, "city")
+    write_raw_variant(C.with_day(C.valid_messages(raw), FALLBACK_DAY), base, "city")
     archive = read_parquet_archive(spark, dataset_path(base, "city", "raw"))
     cur = C.project_curated(archive, keep=("seq", "day"))
     return cur.select(*_CURATED_SCALARS, F.size("pollutants").alias("n_pollutants"), "day")

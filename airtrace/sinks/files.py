@@ -89,8 +89,8 @@ def write_raw_variant(
 ) -> None:
     """Raw messages as their parsed VARIANT with the arrival order.
 
-    ``df`` has ``payload`` (:func:`airtrace.operators.curation.parse_messages`,
-    invalid messages dropped), the order columns and ``day``.  A later
+    ``df`` has ``payload`` (:func:`airtrace.operators.curation.valid_messages`),
+    the order columns and ``day``.  A later
     curation, also with other fields, reads paths of the stored variant and
     parses no text; the rule for repeated keys has been applied once.
     """

@@ -422,3 +422,21 @@ def test_scratch_of_a_block_can_be_deleted(spark):
 def test_edges_folder_is_named_when_missing(spark, tmp_dir):
     with pytest.raises(FileNotFoundError, match="edges"):
         read_day_edges(spark, tmp_dir, "nowhere")
+
+
+def _payload_events(spark, path):
+    spark.range(40).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-03 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id AS int)) AS ts",
+        "id % 3 AS user_id", "'view' AS event_type", "1.5D * id AS value", "'{\"k\":1}' AS props",
+    ).write.parquet(f"{path}/events.parquet")
+
+
+def test_variant_archive_parses_each_message_once(spark, tmp_dir, monkeypatch):
+    from airtrace.plans import archive_queries
+
+    written = []
+    monkeypatch.setattr(archive_queries, "write_raw_variant", lambda df, *args: (
+        written.append(df._jdf.queryExecution().executedPlan().toString()), write_raw_variant(df, *args)))
+    _payload_events(spark, tmp_dir)
+    assert archive_queries.q_variant_archive(spark, tmp_dir).count() == 36
+    assert [plan.count("parseJson") for plan in written] == [1]
