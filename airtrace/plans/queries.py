@@ -254,10 +254,11 @@ def q_replay_archive(spark, sf_dir):
     """
     raw = raw_payloads(load_table(spark, sf_dir, "events"))
     dated = C.curate(raw, processing_date=FALLBACK_DAY, keep=("seq", "value"))
-    twice = dated.select("seq", "value", "day").unionByName(dated.select("seq", "value", "day"))
+    lines = materialize(dated.select("seq", "value", "day"))  # range partitions read their input twice
     archive = scratch_path(spark, "raw-archive")
     (
-        twice.repartitionByRange("day", "seq")
+        lines.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
+        .repartitionByRange("day", "seq")
         .sortWithinPartitions("day", "seq")
         .select(one_line("value").alias("value"), "day")
         .write.partitionBy("day")

@@ -440,3 +440,19 @@ def test_variant_archive_parses_each_message_once(spark, tmp_dir, monkeypatch):
     _payload_events(spark, tmp_dir)
     assert archive_queries.q_variant_archive(spark, tmp_dir).count() == 36
     assert [plan.count("parseJson") for plan in written] == [1]
+
+
+def test_replayed_archive_is_built_from_one_parse(spark, tmp_dir, monkeypatch):
+    """Range partitions read their input twice, so both deliveries come from written lines."""
+    from airtrace.plans import queries
+
+    built = []
+    kind = type(spark.range(1))
+    ranged = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda df, *args: (
+        built.append(df._jdf.queryExecution().executedPlan().toString()), ranged(df, *args))[1])
+    _payload_events(spark, tmp_dir)
+    out = queries.q_replay_archive(spark, tmp_dir)
+    assert [plan.count("parseJson") for plan in built] == [0]
+    want = [i for i in range(40) if i % 10 and i % 7]
+    assert sorted(r.timestamp for r in out.collect()) == [f"2024-01-03T00:{i:02d}:00+00:00" for i in want]
