@@ -28,13 +28,15 @@ broadcast hot list stay distributed and are joined.
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,9 +65,13 @@ _PASS = 1 << 20
 _FIXED = float(1 << 11)
 _FIXED_MOST = float((1 << 15) - 1)
 END = "\n"  # no word holds white space
-_FLUSH = 400_000
+#: Words that are counted at once, and bytes of text that are split at once.
+_FLUSH = 1 << 21
+_TEXT_BYTES = 1 << 23
 _SHORT = 6
 _BLOCK = 1 << 12
+#: Rows of weights that are summed at once; they and the room beside them stay in a core's cache.
+_CACHED = 1 << 11
 _FEATURES = 4
 _LEAVES = WIDTH // 2  # places of a tree node that hold words
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -81,8 +87,24 @@ def _rest_class_sql(word: str) -> str:
     return f"cast(crc32(cast(right({word}, 2) as binary)) % {REST} as int)"
 
 
-def words(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+def split_texts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+    """Lower-case words of the texts, some texts at a time.
+
+    Gives the number of the first text, how many words each has, and all words.
+    """
+    if not len(texts):
+        return
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    share = (np.cumsum(sizes) - sizes) // _TEXT_BYTES
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(share)) + 1, [len(texts)]])
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(a, b - a)))
+        flat, ends = parts.flatten(), np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+        real = pc.greater(pc.binary_length(flat), 0)  # white space at an end gives an empty one
+        if not pc.all(real).as_py():
+            kept = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+            flat, ends = flat.filter(real), kept[ends]
+        yield a, np.diff(ends, prepend=0), flat
 
 
 @dataclass(frozen=True)
@@ -120,24 +142,32 @@ class MaxEnt:
     by_class: np.ndarray  # feature rows x classes
     by_word: np.ndarray  # (feature, class) rows x places in the class
 
+    @cached_property
+    def tables(self) -> Tables:
+        """Built once in each Python worker that holds the broadcast model."""
+        return Tables(self.vocabulary)
+
 
 def count_words(docs: DataFrame, text: str) -> DataFrame:
     """(word, c): how often each token occurs, the end once a text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(found: Counter) -> pa.RecordBatch:
-            keys = pa.array([k.decode() for k in found], pa.string())
-            return pa.RecordBatch.from_arrays([keys, pa.array(list(found.values()), pa.int64())], names=["word", "c"])
+        def rows(found: list[pa.Array]) -> pa.RecordBatch:
+            counted = pa.chunked_array(found, pa.string()).value_counts()
+            return pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], names=["word", "c"])
 
-        found: Counter = Counter()
+        texts, held, found = 0, 0, []
         for batch in batches:
-            for value in batch.column(0):
-                found.update(words(value.as_py()))
-                found[END.encode()] += 1
-                if len(found) > _FLUSH:
+            texts += batch.num_rows
+            for _, _, flat in split_texts(batch.column(0).cast(pa.string())):
+                found.append(flat)
+                held += len(flat)
+                if held > _FLUSH:
                     yield rows(found)
-                    found = Counter()
+                    held, found = 0, []
         yield rows(found)
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([texts], pa.int64())], names=["word", "c"])
 
     return (
         docs.select(text).mapInArrow(count, "word string, c long")
@@ -166,13 +196,6 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(tuple(named), c, total, distinct, np.maximum(masses, 0.5))
 
 
-class _Ranks(dict):
-    """hot word -> rank; any other word -> -1 - rest class."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1 - rest_class(word.decode())
-
-
 def encode(docs: DataFrame, id_col: str, text_col: str, train: Column, vocabulary: Vocabulary) -> DataFrame:
     """One row per text: ids of its tokens, and its words outside the hot list.
 
@@ -183,24 +206,42 @@ def encode(docs: DataFrame, id_col: str, text_col: str, train: Column, vocabular
     rows = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"), train.alias("_train"))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = _Ranks({w: i for i, w in enumerate(shared.value)})
+        hot = pa.array(shared.value, pa.binary()).cast(pa.string())
+        end = hot.index(END).as_py()
+        if end < 0:
+            end = -1 - rest_class(END)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            blobs, tails, times = [], [], []
-            for value in batch.column("_text"):
-                tokens = words(value.as_py())
-                tokens.append(END.encode())
-                ids = np.array(list(map(rank.__getitem__, tokens)), dtype="<i4")
-                tail = Counter([tokens[i] for i in np.flatnonzero(ids < 0)])
-                blobs.append(ids.tobytes())
-                tails.append([w.decode() for w in tail])
-                times.append(list(tail.values()))
-            keys = pa.array(range(row, row + len(blobs)), pa.int64())
-            row += len(blobs)
-            yield pa.RecordBatch.from_arrays(
-                [keys, batch.column("_id"), batch.column("_train"), pa.array(blobs, pa.binary()),
-                 pa.array(tails, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))],
-                names=["_row", "_id", "_train", "ids", "tail", "times"])
+            for a, n, flat in split_texts(batch.column("_text").cast(pa.string())):
+                ranks = pc.index_in(flat, hot).fill_null(-1).to_numpy(zero_copy_only=False)
+                outside = np.flatnonzero(ranks < 0)
+                ends = np.cumsum(n + 1)  # where the next text begins
+                ids = np.full(ends[-1], end, dtype="<i4")
+                is_word = np.ones(len(ids), dtype=bool)
+                is_word[ends - 1] = False
+                tail = flat.take(pa.array(outside)).dictionary_encode()
+                named = tail.dictionary
+                which = tail.indices.to_numpy(zero_copy_only=False)
+                if len(outside):
+                    ranks = ranks.copy()
+                    ranks[outside] = -1 - np.array([rest_class(w) for w in named.to_pylist()])[which]
+                ids[is_word] = ranks
+                of = np.searchsorted(np.cumsum(n), outside, side="right")  # texts of the words outside
+                if end < 0:
+                    named = pa.concat_arrays([named, pa.array([END])])
+                    of = np.append(of, np.arange(len(n)))
+                    which = np.append(which, np.full(len(n), len(named) - 1))
+                found, times = np.unique(of * len(named) + which, return_counts=True)
+                bounds = np.searchsorted(found, np.arange(len(n) + 1) * len(named)).astype(np.int32)
+                blobs = pa.BinaryArray.from_buffers(
+                    pa.binary(), len(n), [None, pa.py_buffer((np.append(0, ends) * 4).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + len(n))), batch.column("_id").slice(a, len(n)),
+                     batch.column("_train").slice(a, len(n)), blobs,
+                     pa.ListArray.from_arrays(bounds, named.take(pa.array(found % max(len(named), 1)))),
+                     pa.ListArray.from_arrays(bounds, pa.array(times, pa.int32()))],
+                    names=["_row", "_id", "_train", "ids", "tail", "times"])
+                row += len(n)
 
     kind = rows.schema["_id"].dataType.simpleString()
     return write_through(
@@ -255,21 +296,25 @@ class Tables:
             for q in range(root + size - 1, root, -1):
                 masses[self.parent[q], self.branch[q]] = masses[q].sum()
         with np.errstate(divide="ignore", invalid="ignore"):
-            self.word_bias = np.where(
-                masses > 0, np.log(masses / masses.sum(axis=1, keepdims=True)), -1e9).astype(np.float32)
+            self.word_bias = _aligned(np.where(
+                masses > 0, np.log(masses / masses.sum(axis=1, keepdims=True)), -1e9))
         # codes as history: hot ranks, rest classes, then the start of a text
         self.start = n + REST
         self.coarse = np.append(np.where(np.arange(n + REST) < head, np.arange(n + REST), HEAD + self.cls), HEAD + CLASSES)
+        # small numbers, so that a core's cache holds more of them
+        self.cls, self.place, self.deep = self.cls.astype(np.int8), self.place.astype(np.int8), self.parent[self.node] >= 0
 
     def steps(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(token, node, place) of every choice below the class, for all tokens."""
-        found = []
-        at, node, place = np.arange(len(code)), self.node[code], self.place[code]
+        node = self.node.take(code)
+        found = [(np.arange(len(code)), node, self.place.take(code))]
+        at = np.flatnonzero(self.deep.take(code))
+        node = node.take(at)
         while len(at):
+            place, node = self.branch.take(node), self.parent.take(node)
             found.append((at, node, place))
-            up = self.parent[node]
-            on = np.flatnonzero(up >= 0)
-            at, place, node = at[on], self.branch[node[on]], up[on]
+            on = np.flatnonzero(self.parent.take(node) >= 0)
+            at, node = at.take(on), node.take(on)
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
     def codes(self, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -280,20 +325,27 @@ class Tables:
 
     def history(self, codes: np.ndarray, begins: np.ndarray, a: int, b: int) -> np.ndarray:
         """Hashes of the history features of tokens a to b, one row per feature."""
-        at = np.arange(a, b)
-        place = at - begins[np.searchsorted(begins, at, side="right") - 1]
+        n = b - a
+        fewer = min(a, 3)
+        near = np.concatenate([np.full(3 - fewer, self.start), codes[a - fewer : b]])
+        starts = begins[np.searchsorted(begins, a - 2) : np.searchsorted(begins, b)] - a
         back = []
         for d in (1, 2, 3):
-            p = np.full(b - a, self.start, dtype=np.int64)
-            ok = place >= d
-            p[ok] = codes[at[ok] - d]
+            p = near[3 - d : 3 - d + n].copy()
+            for i in range(d):  # the first d tokens of a text
+                own = starts + i
+                p[own[(own >= 0) & (own < n)]] = self.start
             back.append(p)
         one, two, three = back
-        pair = self.coarse[two] * 4096 + self.coarse[one]
-        raw = np.stack([one, pair, two, three]).astype(np.uint64) * np.uint64(_FEATURES)
-        raw += np.arange(_FEATURES, dtype=np.uint64)[:, None]
-        h = (raw + np.uint64(1)) * _MIX
-        return (h ^ (h >> np.uint64(31))) * _MIX2
+        raw = np.empty((_FEATURES, n), dtype=np.uint64)
+        raw[0], raw[2], raw[3] = one, two, three
+        raw[1] = self.coarse.take(two) * 4096 + self.coarse.take(one)
+        raw *= np.uint64(_FEATURES)
+        raw += np.arange(1, _FEATURES + 1, dtype=np.uint64)[:, None]
+        raw *= _MIX
+        raw ^= raw >> np.uint64(31)
+        raw *= _MIX2
+        return raw
 
     @staticmethod
     def class_rows(h: np.ndarray, size: int) -> np.ndarray:
@@ -301,54 +353,99 @@ class Tables:
 
     @staticmethod
     def word_rows(h: np.ndarray, node: np.ndarray, size: int) -> np.ndarray:
-        own = (h + node.astype(np.uint64)[None, :] * _MIX) * _MIX2
+        own = h + node.astype(np.uint64) * _MIX
+        own *= _MIX2
         return _dealt(own, size)
 
 
 def _dealt(h: np.ndarray, size: int) -> np.ndarray:
     """Hashes as rows 0 to ``size`` - 1, by their upper half."""
-    return ((h >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.intp)
+    row = h >> np.uint64(32)
+    row *= np.uint64(size)
+    row >>= np.uint64(32)
+    return row.view(np.intp)
+
+
+def _empty(*shape: int) -> np.ndarray:
+    """Room for numbers that begins with a cache line, so that no row lies across one more than it fills."""
+    size = 4 * math.prod(shape)
+    raw = np.empty(size + 64, dtype=np.uint8)
+    start = -raw.ctypes.data % 64
+    return raw[start : start + size].view(np.float32).reshape(shape)
 
 
-def _sums(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Summed weight rows."""
-    z = weights.take(rows[0], axis=0)
-    z += bias
-    for r in rows[1:]:
-        z += weights.take(r, axis=0)
-    return z
+def _aligned(table: np.ndarray) -> np.ndarray:
+    """A copy in such room."""
+    copied = _empty(*table.shape)
+    copied[:] = table
+    return copied
 
 
-def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
-    """Exponentials of ``z``, their sums by row, and what was taken off each row.
+def _sums(
+    weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, node: np.ndarray | None
+) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Summed weight rows and the bias (its rows by node), a cacheful of rows at a time.
+
+    Gives which rows they are, the sums, and room of the same shape.  The
+    arrays are used again for the next part.
+    """
+    n = rows.shape[1]
+    sums, room = _empty(2, min(n, _CACHED), weights.shape[1])
+    for a in range(0, n, _CACHED):
+        own = slice(a, min(a + _CACHED, n))
+        z, part = sums[: own.stop - a], room[: own.stop - a]
+        if node is None:
+            z[:] = bias
+        else:
+            bias.take(node[own], axis=0, out=z, mode="clip")  # "raise" copies once more
+        for r in rows:
+            z += weights.take(r[own], axis=0, out=part, mode="clip")
+        yield own, z, part
+
+
+def _exp(z: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """Exponentials of ``z`` into ``out``; their sums by row, and what was taken off each row.
 
     The biases are log-probabilities and the weights small, so the range of
     the numbers nearly always suffices as they are; if a sum leaves it, the
     largest of each row is moved to 0.
     """
-    with np.errstate(over="ignore"):
-        e = np.exp(z)
-    total = np.einsum("ij->i", e)
-    if len(total) == 0 or (total.min() > 1e-30 and total.max() < 1e30):
-        return e, total, 0.0
+    np.exp(z, out=out)
+    total = np.einsum("ij->i", out)
+    if total.min() > 1e-30 and total.max() < 1e30:
+        return total, 0.0
     top = z.max(axis=1, keepdims=True)
-    np.exp(z - top, out=e)
-    return e, np.einsum("ij->i", e), top[:, 0]
+    np.exp(z - top, out=out)
+    return np.einsum("ij->i", out), top[:, 0]
 
 
-def _log_softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+def _log_softmax(
+    weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray, node: np.ndarray | None = None
+) -> np.ndarray:
     """Log-probabilities of the chosen places."""
-    z = _sums(weights, rows, bias)
-    _, total, off = _exp(z)
-    return z[np.arange(len(z)), chosen] - off - np.log(total)
+    out = np.empty(rows.shape[1], dtype=np.float32)
+    for own, z, room in _sums(weights, rows, bias, node):
+        total, off = _exp(z, room)
+        out[own] = z.ravel().take(_flat(chosen[own], z.shape[1])) - off - np.log(total)
+    return out
 
 
-def _slope(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+def _slope(
+    weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray, node: np.ndarray | None = None
+) -> np.ndarray:
     """Probabilities less 1 at the chosen places: the loss's slope by the sums."""
-    e, total, _ = _exp(_sums(weights, rows, bias))
-    e /= total[:, None]
-    e[np.arange(len(e)), chosen] -= 1
-    return e
+    slope = _empty(rows.shape[1], weights.shape[1])
+    for own, z, _ in _sums(weights, rows, bias, node):
+        e = slope[own]
+        total, _ = _exp(z, e)
+        e /= total[:, None]
+    slope.ravel()[_flat(chosen, slope.shape[1])] -= 1
+    return slope
+
+
+def _flat(chosen: np.ndarray, width: int) -> np.ndarray:
+    """The chosen place of each row, counted from the first row's first."""
+    return np.arange(0, len(chosen) * width, width) + chosen
 
 
 def _rows_of(table: np.ndarray) -> np.ndarray:
@@ -356,29 +453,39 @@ def _rows_of(table: np.ndarray) -> np.ndarray:
     return table.view(np.dtype((np.void, table.itemsize * table.shape[1]))).ravel()
 
 
-def _segment_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the runs of rows that begin at ``first``.
+def _segment_sums(
+    rows: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray, out: np.ndarray
+) -> np.ndarray:
+    """Sums of the runs of ``rows[order]`` that begin at ``first``, without that copy.
 
-    ``np.add.reduceat`` takes long where most runs are short, so only runs of
-    more than ``_SHORT`` rows go through it.
+    Runs of several rows are taken longest first, so those that go on are
+    always the foremost.  ``np.add.reduceat`` takes long where most runs are
+    short, so only runs of more than ``_SHORT`` rows go through it.
     """
-    sizes = np.diff(np.append(first, len(rows)))
-    sums = rows.take(first, axis=0)
-    on = np.flatnonzero(sizes > 1)
-    long = on[sizes[on] > _SHORT]
-    on, k = on[sizes[on] <= _SHORT], 1
-    while len(on):
-        sums[on] += rows.take(first[on] + k, axis=0)
-        k += 1
-        on = on[sizes[on] > k]
-    if len(long):
-        n = sizes[long]
-        starts = np.cumsum(n) - n
-        at = np.repeat(first[long] - starts, n) + np.arange(n.sum())
-        sums[long] = np.add.reduceat(rows.take(at, axis=0), starts, axis=0)
+    sums = rows.take(order.take(first), axis=0, out=out[: len(first)], mode="clip")
+    several = np.flatnonzero(sizes > 1)
+    if not len(several):
+        return sums
+    fewer = -sizes.take(several).astype(np.int16)  # 16 bits are sorted by radix
+    by_size = np.argsort(fewer, kind="stable")
+    several, fewer = several.take(by_size), fewer.take(by_size)
+    starts = first.take(several)
+    found = sums.take(several, axis=0)
+    long, *on = np.searchsorted(fewer, -np.arange(_SHORT, 0, -1, dtype=np.int16)).tolist()
+    if long:
+        n = sizes.take(several[:long])
+        ends = np.cumsum(n)
+        at = np.repeat(starts[:long] - ends + n, n) + np.arange(ends[-1])
+        found[:long] = np.add.reduceat(rows.take(order.take(at), axis=0), ends - n, axis=0)
+    for k, last in enumerate(reversed(on), 1):  # the runs of more than k rows
+        if last <= long:
+            break
+        found[long:last] += rows.take(order.take(starts[long:last] + k), axis=0)
+    _rows_of(sums)[several] = _rows_of(found)
     return sums
 
 
+@np.errstate(over="ignore")
 def log_probs(codes: np.ndarray, begins: np.ndarray, t: Tables, by_class: np.ndarray, by_word: np.ndarray) -> np.ndarray:
     """Natural log-probability of every token; outside the hot list the word's
     smoothed count over the mass of its rest class is still to be added."""
@@ -391,8 +498,8 @@ def log_probs(codes: np.ndarray, begins: np.ndarray, t: Tables, by_class: np.nda
         at, node, place = t.steps(code)
         for i in range(0, len(at), _BLOCK):
             own, of = node[i : i + _BLOCK], at[i : i + _BLOCK]
-            rows = t.word_rows(part[:, of], own, len(by_word))
-            value += np.bincount(of, _log_softmax(by_word, rows, t.word_bias[own], place[i : i + _BLOCK]), len(code))
+            rows = t.word_rows(part.take(of, axis=1), own, len(by_word))
+            value += np.bincount(of, _log_softmax(by_word, rows, t.word_bias, place[i : i + _BLOCK], own), len(code))
         out[a : a + _BLOCK] = value
     return out
 
@@ -402,23 +509,37 @@ class Learner:
 
     def __init__(self, t: Tables, by_class: np.ndarray, by_word: np.ndarray) -> None:
         self.t = t
-        self.weights = [by_class.copy(), by_word.copy()]
+        self.weights = [_aligned(by_class), _aligned(by_word)]
         self.squares = [np.full(len(w), 1.0, dtype=np.float32) for w in self.weights]  # a step size per row
         self.touched = [np.zeros(len(w), dtype=np.int64) for w in self.weights]
+        self.sums = [_empty(BATCH, w.shape[1]) for w in self.weights]
+        self.room = [_empty(_CACHED, w.shape[1]) for w in self.weights]
 
     def _update(self, k: int, rows: np.ndarray, slope: np.ndarray) -> None:
+        weights, squares = self.weights[k], self.squares[k]
+        room = self.room[k]
+        places = np.arange(len(slope))
         for r in rows:
-            keyed = np.sort(r << 32 | np.arange(len(r)))  # faster than a stable argsort
+            keyed = r << 32
+            keyed |= places
+            keyed.sort()  # faster than a stable argsort
             ranked, order = keyed >> 32, keyed & 0xFFFFFFFF
-            first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            at = ranked[first]
-            g = _segment_sums(slope.take(order, axis=0), first)
-            self.squares[k][at] += np.einsum("ij,ij->i", g, g) / np.float32(WIDTH)
-            g *= (RATE / np.sqrt(self.squares[k][at]))[:, None]
-            g = self.weights[k].take(at, axis=0) - g
-            _rows_of(self.weights[k])[at] = _rows_of(g)
-            self.touched[k][at] += np.diff(np.append(first, len(r)))
-
+            edges = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1, [len(r)]])
+            first, sizes = edges[:-1], np.diff(edges)
+            at = ranked.take(first)
+            sums = _segment_sums(slope, order, first, sizes, self.sums[k])
+            for a in range(0, len(at), _CACHED):
+                own, g = at[a : a + _CACHED], sums[a : a + _CACHED]
+                square = squares.take(own)
+                square += np.einsum("ij,ij->i", g, g) / np.float32(WIDTH)
+                squares[own] = square
+                g *= (RATE / np.sqrt(square))[:, None]
+                moved = weights.take(own, axis=0, out=room[: len(own)], mode="clip")
+                moved -= g
+                _rows_of(weights)[own] = _rows_of(moved)
+            self.touched[k][at] += sizes
+
+    @np.errstate(over="ignore")
     def learn(self, codes: np.ndarray, begins: np.ndarray) -> None:
         t = self.t
         for a in range(0, len(codes), BATCH):
@@ -430,8 +551,8 @@ class Learner:
             at, node, place = t.steps(code)
             for i in range(0, len(at), BATCH):
                 own = node[i : i + BATCH]
-                rows = t.word_rows(part[:, at[i : i + BATCH]], own, len(self.weights[1]))
-                self._update(1, rows, _slope(self.weights[1], rows, t.word_bias[own], place[i : i + BATCH]))
+                rows = t.word_rows(part.take(at[i : i + BATCH], axis=1), own, len(self.weights[1]))
+                self._update(1, rows, _slope(self.weights[1], rows, t.word_bias, place[i : i + BATCH], own))
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> MaxEnt:
@@ -448,7 +569,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = shared.value
-            learner = Learner(Tables(m.vocabulary), m.by_class, m.by_word)
+            learner = Learner(m.tables, m.by_class, m.by_word)
             blobs, held = [], 0
             for batch in batches:
                 for blob in batch.column(0).to_pylist():
@@ -503,7 +624,7 @@ def score(encoded: DataFrame, counts: DataFrame, model: MaxEnt) -> DataFrame:
 
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        t = Tables(m.vocabulary)
+        t = m.tables
         for blobs in batches:
             codes, begins = t.codes(blobs.to_pylist())
             if not len(codes):

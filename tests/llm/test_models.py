@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from airtrace.llm import langid, maxent_lm
@@ -265,6 +266,49 @@ def test_language_model_scores_are_a_function_of_the_table(spark, monkeypatch):
     assert maxent_lm.shards(10_500) == 10 and maxent_lm.shards(0) == 1
 
 
+def test_language_model_splits_texts_as_plain_python(monkeypatch):
+    monkeypatch.setattr(maxent_lm, "_TEXT_BYTES", 12)  # several goes
+    texts = ["  Ab c\t", "", " \n ", "ÀÉ x\x85Y z\x1cq\xa0r", "one", "a  b\x0bC\x0cd\r\ne " * 3, " "]
+    got = []
+    for first, n, flat in maxent_lm.split_texts(pa.array(texts)):
+        assert first == len(got)
+        flat = flat.to_pylist()
+        for k in n:
+            got.append(flat[:k])
+            flat = flat[k:]
+        assert not flat
+    assert got == [[w.decode() for w in t.encode().lower().split()] for t in texts]
+    assert not list(maxent_lm.split_texts(pa.array([], pa.string())))
+
+
+def test_language_model_update_equals_a_plain_one(monkeypatch):
+    """Runs of one, some and many equal rows, over several cachefuls."""
+    monkeypatch.setattr(maxent_lm, "_CACHED", 7)
+    rng = np.random.default_rng(3)
+    t = maxent_lm.Tables(_vocabulary(1000))
+    start = rng.normal(size=(90, maxent_lm.CLASSES)).astype(np.float32)
+    learner = maxent_lm.Learner(t, start, np.zeros((4, maxent_lm.WIDTH), dtype=np.float32))
+    rows = np.minimum(rng.geometric(0.03, size=(maxent_lm._FEATURES, 200)), 89)
+    rows[0, :20] = 5
+    slope = rng.normal(size=(200, maxent_lm.CLASSES)).astype(np.float32)
+    learner._update(0, rows, slope.copy())
+    weights, squares, touched = start.astype(np.float64), np.ones(90), np.zeros(90, dtype=int)
+    for r in rows:
+        for row in set(r.tolist()):
+            g = slope[r == row].astype(np.float64).sum(axis=0)
+            squares[row] += (g * g).sum() / maxent_lm.WIDTH
+            weights[row] -= maxent_lm.RATE / math.sqrt(squares[row]) * g
+            touched[row] += (r == row).sum()
+    assert np.abs(learner.weights[0] - weights).max() < 1e-4
+    assert np.abs(learner.squares[0] - squares).max() < 1e-3 and (learner.touched[0] == touched).all()
+
+
+def test_language_model_tables_are_built_once_a_model():
+    v = _vocabulary(50)
+    model = maxent_lm.MaxEnt(v, np.zeros((4, maxent_lm.CLASSES)), np.zeros((4, maxent_lm.WIDTH)))
+    assert model.tables is model.tables
+
+
 def _plain_buckets(text):
     """Buckets of the 2- and 3-grams of letters and blanks, one by one."""
     wide = 1 << 64
