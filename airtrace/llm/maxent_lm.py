@@ -59,7 +59,7 @@ ROUNDS = 2
 RATE = 0.15
 BATCH = 8192
 SHARD_TOKENS = 1 << 23
-#: Tokens that a shard takes up at once, whatever batches they come in.
+#: Tokens that a task takes up at once, whatever batches they come in.
 _PASS = 1 << 20
 #: Weights travel as 16-bit numbers of this fraction, so up to 16 in size.
 _FIXED = float(1 << 11)
@@ -69,6 +69,7 @@ END = "\n"  # no word holds white space
 _FLUSH = 1 << 21
 _TEXT_BYTES = 1 << 23
 _SHORT = 6
+_SEEN = 16
 _BLOCK = 1 << 12
 #: Rows of weights that are summed at once; they and the room beside them stay in a core's cache.
 _CACHED = 1 << 11
@@ -512,12 +513,22 @@ class Learner:
         self.weights = [_aligned(by_class), _aligned(by_word)]
         self.squares = [np.full(len(w), 1.0, dtype=np.float32) for w in self.weights]  # a step size per row
         self.touched = [np.zeros(len(w), dtype=np.int64) for w in self.weights]
+        self.seen: list[list[np.ndarray]] = [[], []]  # rows of the updates not yet in ``touched``
         self.sums = [_empty(BATCH, w.shape[1]) for w in self.weights]
         self.room = [_empty(_CACHED, w.shape[1]) for w in self.weights]
 
+    def _count(self, k: int) -> None:
+        """Adds the rows of the last updates to ``touched``, many at once."""
+        if self.seen[k]:
+            self.touched[k] += np.bincount(np.concatenate(self.seen[k]), minlength=len(self.touched[k]))
+            self.seen[k] = []
+
     def _update(self, k: int, rows: np.ndarray, slope: np.ndarray) -> None:
         weights, squares = self.weights[k], self.squares[k]
         room = self.room[k]
+        self.seen[k].append(rows.ravel())
+        if len(self.seen[k]) == _SEEN:
+            self._count(k)
         places = np.arange(len(slope))
         for r in rows:
             keyed = r << 32
@@ -537,7 +548,6 @@ class Learner:
                 moved = weights.take(own, axis=0, out=room[: len(own)], mode="clip")
                 moved -= g
                 _rows_of(weights)[own] = _rows_of(moved)
-            self.touched[k][at] += sizes
 
     @np.errstate(over="ignore")
     def learn(self, codes: np.ndarray, begins: np.ndarray) -> None:
@@ -553,6 +563,8 @@ class Learner:
                 own = node[i : i + BATCH]
                 rows = t.word_rows(part.take(at[i : i + BATCH], axis=1), own, len(self.weights[1]))
                 self._update(1, rows, _slope(self.weights[1], rows, t.word_bias, place[i : i + BATCH], own))
+        for k in (0, 1):
+            self._count(k)
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> MaxEnt:
@@ -624,15 +636,22 @@ def score(encoded: DataFrame, counts: DataFrame, model: MaxEnt) -> DataFrame:
 
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        t = m.tables
+        t, by_class, by_word = m.tables, _aligned(m.by_class), _aligned(m.by_word)
         for blobs in batches:
-            codes, begins = t.codes(blobs.to_pylist())
-            if not len(codes):
-                continue
-            value = log_probs(codes, begins, t, m.by_class, m.by_word) / np.log(10)
-            n = np.diff(np.append(begins, len(codes)))
-            sums = [np.add.reduceat(x, begins) for x in (t.base[codes], value, (codes < t.n_hot).astype(np.int64))]
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), *map(pa.array, sums)], ["n", "base", "model", "hot"])
+            tokens = np.cumsum(pc.binary_length(blobs).to_numpy(zero_copy_only=False).astype(np.int64) // 4)
+            edges = [0, *(np.flatnonzero(np.diff(tokens // _PASS)) + 1).tolist(), len(blobs)]
+            found = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a == b:
+                    continue
+                codes, begins = t.codes(blobs.slice(a, b - a).to_pylist())
+                value = log_probs(codes, begins, t, by_class, by_word) / np.log(10)
+                n = np.diff(np.append(begins, len(codes)))
+                sums = [np.add.reduceat(x, begins) for x in (t.base[codes], value, (codes < t.n_hot).astype(np.int64))]
+                found.append(pa.StructArray.from_arrays(
+                    [pa.array(n, pa.int64()), *map(pa.array, sums)], ["n", "base", "model", "hot"]))
+            if found:
+                yield pa.concat_arrays(found)
 
     judged = F.arrow_udf(judge, "n long, base double, model double, hot long")
     head = encoded.select("_row", "_id", "_train", judged("ids").alias("s"))

@@ -292,6 +292,7 @@ def test_language_model_update_equals_a_plain_one(monkeypatch):
     rows[0, :20] = 5
     slope = rng.normal(size=(200, maxent_lm.CLASSES)).astype(np.float32)
     learner._update(0, rows, slope.copy())
+    learner._count(0)
     weights, squares, touched = start.astype(np.float64), np.ones(90), np.zeros(90, dtype=int)
     for r in rows:
         for row in set(r.tolist()):
